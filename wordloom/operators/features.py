@@ -13,28 +13,17 @@ from . import ordering
 from . import text as T
 
 
-# ---------------------------------------------------------------- in-row counts
-def _run_lengths(tokens) -> F.Column:
-    """Array of (term, n) for a token array: sort, then measure the runs.
-    Linear after the sort, all in generated code, no shuffle."""
-    s = F.array_sort(C.col(tokens))
-    n = F.size(s)
-    starts = F.filter(F.sequence(F.lit(1), n),
-                      lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
-    runs = F.transform(starts, lambda st, j: F.struct(
-        F.get(s, st - 1).alias("term"),
-        (F.coalesce(F.get(starts, j + 1), n + 1) - st).cast("long").alias("n")))
-    return F.when(n > 0, runs)
-
-
+# ---------------------------------------------------------------- counts
 def doc_term_counts(docs: DataFrame, text="text", id_col="doc_id", tokenizer="default",
                     lowercase=True, keep: Sequence[str] = ()) -> DataFrame:
-    """Term-document counts ``(doc_id, keep..., term, n)`` straight from the
-    text.  Every token of a document comes from one row, so the counting is
-    done inside that row and needs no shuffle."""
-    toks = C.regex_tokens(text, T._pattern(tokenizer), lowercase)
-    return (docs.select(id_col, *keep, F.explode(_run_lengths(toks)).alias("r"))
-                .select(id_col, *keep, "r.term", "r.n"))
+    """Term-document counts ``(doc_id, keep..., term, n)`` from the text.
+
+    Tokens are exploded and counted by (doc, term); the partial aggregate
+    runs before the shuffle, so a document's repeated terms leave its task
+    as one row each.  (Counting inside the row with array lambdas was
+    measured 3x slower: lambdas run outside generated code.)"""
+    toks = T.tokenize(docs, text, id_col, tokenizer, lowercase, keep=keep)
+    return toks.groupBy(id_col, *keep, "term").agg(F.count("*").alias("n"))
 
 
 def term_document(tokens: DataFrame, vocab: DataFrame | None = None, id_col="doc_id",
