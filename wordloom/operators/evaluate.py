@@ -20,28 +20,34 @@ def few_shot_prompt(queries: DataFrame, examples: DataFrame, k, task: str,
                     text="text", order="ex_id", max_k: int = 64) -> DataFrame:
     """Base instruction + the first ``min(k, n_examples)`` numbered examples +
     the query block.  ``k`` is an int or a column; ``k_effective`` records
-    the cap (Q17).  Examples are ordered by ``order`` and at most ``max_k`` of
-    them are gathered (one small array, a scalar subquery); an unknown task is
-    an error (Q18)."""
+    the cap (Q17); an unknown task is an error (Q18).
+
+    At most ``max_k`` examples are used: their cumulative prefixes form a
+    table of at most ``max_k + 1`` rows (a proven bound), broadcast and
+    joined on ``k_effective``."""
     layout = PR.TASK_LAYOUTS.get(task)
     if layout is None:
         raise ValueError(f"unknown task {task!r}; use one of {sorted(PR.TASK_LAYOUTS)}")
     fields = layout["fields"]
     ex = examples.orderBy(order).limit(max_k)
-    arr = ex.select(F.array_sort(F.collect_list(F.struct(
-        F.col(order).alias("o"), *[F.col(f).alias(f) for f in fields])))).scalar()
+    n_ex = ex.select(F.count("*")).scalar()
+    num = Window.orderBy(order)
+    blocks = ex.select(F.row_number().over(num).alias("ke"), *fields).select(
+        "ke", F.format_string(layout["example"], F.col("ke"), *[F.col(f) for f in fields])
+        .alias("block"))
+    upto = Window.orderBy("ke").rowsBetween(Window.unboundedPreceding, 0)
+    prefixes = blocks.select("ke", F.array_join(F.collect_list("block").over(upto), "")
+                             .alias("_examples"))
+    prefixes = prefixes.unionByName(
+        prefixes.sparkSession.range(1).select(F.lit(0).alias("ke"), F.lit("").alias("_examples")))
     kcol = k if isinstance(k, Column) else F.lit(int(k))
-    keff = F.least(kcol, F.size(arr))
-    base = queries.withColumn("k_effective", keff)
-    blocks = F.transform(
-        F.slice(arr, 1, F.greatest(F.col("k_effective"), F.lit(0))),
-        lambda e, i: F.format_string(layout["example"], i + 1, *[e[f] for f in fields]))
-    query_block = F.format_string(layout["query"], *[F.col(c) for c in layout["query_cols"]]) \
-        if layout["query_cols"] else F.lit(layout["query"])
-    prompt = F.concat(F.lit(layout["base"]),
-                      F.when(F.col("k_effective") > 0, F.array_join(blocks, "")).otherwise(F.lit("")),
-                      query_block)
-    return base.withColumn("prompt", prompt)
+    base = queries.withColumn("k_effective", F.greatest(F.least(kcol, n_ex), F.lit(0)).cast("int"))
+    query_block = (F.format_string(layout["query"], *[F.col(c) for c in layout["query_cols"]])
+                   if layout["query_cols"] else F.lit(layout["query"]))
+    j = base.join(F.broadcast(prefixes), F.col("k_effective") == F.col("ke"), "left")
+    return (j.withColumn("prompt", F.concat(F.lit(layout["base"]),
+                                            F.coalesce("_examples", F.lit("")), query_block))
+             .drop("ke", "_examples"))
 
 
 def prompt_variants(tasks: DataFrame, variants: Sequence[Mapping], text="text") -> DataFrame:
@@ -105,6 +111,12 @@ def to_conversation(df: DataFrame, question="question", context="context",
     return df.withColumn("conversation", conv).withColumn("reject", F.col("conversation").isNull())
 
 
+def strip_ws(c: Column) -> Column:
+    """Leading and trailing white space removed (``str.strip``; Spark's
+    ``trim`` removes blanks only)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def render_chat(conv: str | Column, template: Mapping = PR.GEMMA_TEMPLATE,
                 add_generation_prompt: bool = False) -> Column:
     """Conversation array to training text with a chat template.  A leading
@@ -121,7 +133,7 @@ def render_chat(conv: str | Column, template: Mapping = PR.GEMMA_TEMPLATE,
         prefix = F.when((i == 0) & sys_text.isNotNull(),
                         F.concat(sys_text, F.lit(template["system_sep"]))).otherwise(F.lit(""))
         return F.concat(F.lit(template["turn_start"]), F.coalesce(role_map[m["role"]], m["role"]),
-                        F.lit("\n"), prefix, F.trim(m["content"]), F.lit(template["turn_end"]))
+                        F.lit("\n"), prefix, strip_ws(m["content"]), F.lit(template["turn_end"]))
 
     body = F.array_join(F.transform(turns, seg), "")
     if add_generation_prompt:
@@ -235,12 +247,18 @@ def relative_change(df: DataFrame, group: Sequence[str], order: str, value: str,
 _PUNCT = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]"""
 
 
+def squad_tokens(text) -> Column:
+    """Answer normalisation as tokens: lower case, ASCII punctuation removed,
+    split on white space, the articles a / an / the dropped (our documented
+    choice; whole-token article removal avoids regex word-boundary
+    differences between engines)."""
+    t = F.regexp_replace(F.lower(C.col(text)), _PUNCT, "")
+    toks = F.split(F.trim(F.regexp_replace(t, r"\s+", " ")), " ")
+    return F.filter(toks, lambda x: (x != "") & ~x.isin("a", "an", "the"))
+
+
 def squad_normalize(text) -> Column:
-    """Lower case, ASCII punctuation removed, articles removed, blanks folded."""
-    t = F.lower(C.col(text))
-    t = F.regexp_replace(t, _PUNCT, "")
-    t = F.regexp_replace(t, r"\b(a|an|the)\b", " ")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    return F.array_join(squad_tokens(text), " ")
 
 
 def _bag(df, id_cols, toks_col, side):
@@ -286,10 +304,7 @@ def token_f1(df: DataFrame, pred="prediction", gold="reference", id_cols=("id",)
         gold, key = "_gold", [*ids, "_gi"]
     else:
         x, key = df, ids
-    toks = x.select(*key, F.split(squad_normalize(pred), " ").alias("_pt"),
-                    F.split(squad_normalize(gold), " ").alias("_gt"))
-    toks = toks.select(*key, F.filter("_pt", lambda s: s != "").alias("_pt"),
-                       F.filter("_gt", lambda s: s != "").alias("_gt"))
+    toks = x.select(*key, squad_tokens(pred).alias("_pt"), squad_tokens(gold).alias("_gt"))
     sc = _overlap_scores(toks, key, F.col("_pt"), F.col("_gt"), "tok")
     sizes = toks.select(*key, F.size("_pt").alias("_np"), F.size("_gt").alias("_ng"))
     f1 = F.when((F.col("_np") == 0) | (F.col("_ng") == 0),
@@ -328,11 +343,21 @@ def lcs_length(a: Sequence, b: Sequence) -> int:
     return len(b) - bin(v).count("1")
 
 
-@F.pandas_udf("long")
-def _lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+def _lcs_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(list(x), list(y)) for x, y in zip(a, b)], dtype="int64")
 
 
+_LCS_UDF = None
+
+
+def _lcs_udf(a, b):
+    """Arrow-batched LCS lengths (created lazily: a UDF needs a session)."""
+    global _LCS_UDF
+    if _LCS_UDF is None:
+        _LCS_UDF = F.pandas_udf(_lcs_batch, T.LongType())
+    return _LCS_UDF(a, b)
+
+
 def rouge_l(df: DataFrame, pred="prediction", gold="reference", id_cols=("id",)) -> DataFrame:
     """ROUGE-L: longest common subsequence precision / recall / F1 per row
     on whole texts (bit-parallel LCS in an Arrow-batched pandas UDF)."""

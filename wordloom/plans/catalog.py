@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from . import q_classify, q_features, q_text  # noqa: F401
+from . import q_classify, q_evaluate, q_features, q_text  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
