@@ -44,14 +44,19 @@ def cosine_distance(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _query_vector(vectors: DataFrame, positive: Sequence[str], negative: Sequence[str]):
-    """Mean of signed unit vectors as one array (a scalar subquery)."""
+    """Mean of signed unit vectors, computed by Spark and fetched as one
+    literal array (its size is the vector dimension, a proven bound; a
+    scalar subquery cannot be used inside the cosine's lambdas)."""
     sign = F.when(F.col("word").isin(list(positive)), 1.0).otherwise(-1.0)
     sel = vectors.filter(F.col("word").isin(list(positive) + list(negative)))
     unit = sel.select(F.posexplode(C.unit_vector("vector")).alias("i", "x"), sign.alias("s"))
     comp = unit.groupBy("i").agg(F.sum(F.col("x") * F.col("s")).alias("x"))
     n_words = len(positive) + len(negative)
-    return comp.select(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))),
-                                   lambda e: e["x"] / n_words)).scalar()
+    row = comp.select(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))),
+                                  lambda e: e["x"] / n_words)).first()
+    if row is None or row[0] is None or len(row[0]) == 0:
+        raise KeyError(f"none of {list(positive) + list(negative)} is in the vocabulary")
+    return F.array(*[F.lit(float(x)) for x in row[0]])
 
 
 def most_similar(vectors: DataFrame, positive: Sequence[str], negative: Sequence[str] = (),
