@@ -13,6 +13,23 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def explode_rows(df, keep, arr, name: str):
+    """``explode`` without Spark's inferred ``size(arr) > 0`` filter.
+
+    For a plain ``explode`` the optimizer adds that filter and pushes it
+    below the projection that built the array, so the array expression (a
+    tokenizer, n-gram lambdas) is evaluated twice per row -- measured as the
+    dominant cost of tokenisation.  ``explode_outer`` gets no inferred
+    filter; the one null row of an empty array is dropped after."""
+    return df.select(*keep, F.explode_outer(arr).alias(name)).filter(F.col(name).isNotNull())
+
+
+def posexplode_rows(df, keep, arr, pos: str = "pos", name: str = "term"):
+    """``posexplode`` counterpart of :func:`explode_rows`."""
+    return (df.select(*keep, F.posexplode_outer(arr).alias(pos, name))
+              .filter(F.col(pos).isNotNull()))
+
+
 def regex_tokens(text, pattern: str, lowercase: bool = True) -> Column:
     """All matches of ``pattern`` in ``text`` (optionally lower-cased first)."""
     t = col(text)

@@ -262,7 +262,7 @@ def squad_normalize(text) -> Column:
 
 
 def _bag(df, id_cols, toks_col, side):
-    return (df.select(*id_cols, F.explode(toks_col).alias("_tok"))
+    return (C.explode_rows(df, list(id_cols), toks_col, "_tok")
               .groupBy(*id_cols, "_tok").agg(F.count("*").alias(f"_c{side}")))
 
 
@@ -320,8 +320,10 @@ def rouge_tokens(text) -> Column:
 def rouge_n(df: DataFrame, n: int, pred="prediction", gold="reference", id_cols=("id",)) -> DataFrame:
     """ROUGE-n precision / recall / F1 per row (n-gram bag overlap)."""
     ids = list(id_cols)
-    x = df.select(*ids, C.ngram_array(rouge_tokens(pred), n).alias("_pg"),
-                  C.ngram_array(rouge_tokens(gold), n).alias("_gg"))
+    # tokens first, in their own projection: an expression used inside the
+    # n-gram lambda would be re-evaluated for every element
+    t = df.select(*ids, rouge_tokens(pred).alias("_pt"), rouge_tokens(gold).alias("_gt"))
+    x = t.select(*ids, C.ngram_array("_pt", n).alias("_pg"), C.ngram_array("_gt", n).alias("_gg"))
     return _overlap_scores(x, ids, F.col("_pg"), F.col("_gg"), f"rouge{n}")
 
 

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..session import cut_lineage
 
 
@@ -92,8 +93,8 @@ def _close(spans: DataFrame, closure: DataFrame) -> DataFrame:
 def chart_parse(sentences: DataFrame, lexicon: DataFrame, rules: DataFrame, start="S",
                 sent="sent_id", text="text", checkpoint_every: int = 4) -> DataFrame:
     """Number of parses per sentence (0 when none): ``(sent_id, n_words, n_parses)``."""
-    toks = sentences.select(F.col(sent).alias("sent"),
-                            F.posexplode(F.split(F.trim(F.col(text)), r"\s+")).alias("i", "w"))
+    toks = C.posexplode_rows(sentences.withColumn("sent", F.col(sent)), ["sent"],
+                             F.split(F.trim(F.col(text)), r"\s+"), "i", "w")
     lengths = toks.groupBy("sent").agg(F.count("*").alias("len"))
     max_len = lengths.select(F.max("len")).first()[0] or 0
     b = binarize(rules)

@@ -42,7 +42,7 @@ def tokenize(df: DataFrame, text: str = "text", id_cols="doc_id",
     if alpha_only:
         toks = C.alpha_only(toks)
     cols = _ids(id_cols) + list(keep)
-    return df.select(*cols, F.posexplode(toks).alias("pos", "term"))
+    return C.posexplode_rows(df, cols, toks)
 
 
 def tokenize_word(df, text="text", id_cols="doc_id", pattern: str = "word",
@@ -66,8 +66,7 @@ def token_arrays(df: DataFrame, text="text", out="tokens", tokenizer="word",
 def ngrams(df: DataFrame, n: int, tokens: str = "tokens", id_cols="doc_id",
            keep=()) -> DataFrame:
     """Long-form contiguous n-grams ``(ids..., pos, term)``."""
-    return df.select(*_ids(id_cols), *keep,
-                     F.posexplode(C.ngram_array(tokens, n)).alias("pos", "term"))
+    return C.posexplode_rows(df, [*_ids(id_cols), *keep], C.ngram_array(tokens, n))
 
 
 def tokenizer_report(df: DataFrame, text="text",
@@ -78,17 +77,16 @@ def tokenizer_report(df: DataFrame, text="text",
     arms = [F.struct(F.lit(name).alias("tokenizer"),
                      C.regex_tokens(text, _pattern(p), lowercase).alias("toks"))
             for name, p in tokenizers.items()]
-    long = (df.select(F.explode(F.array(*arms)).alias("a"))
-              .select("a.tokenizer", F.explode("a.toks").alias("term")))
+    arms_df = df.select(F.explode(F.array(*arms)).alias("a")).select("a.tokenizer", "a.toks")
+    long = C.explode_rows(arms_df, ["tokenizer"], F.col("toks"), "term")
     return long.groupBy("tokenizer").agg(
         F.count("*").alias("n_tokens"), F.countDistinct("term").alias("n_terms"))
 
 
 # --------------------------------------------------------------- regex mining
 def _matches(df, text, id_cols, pattern, keep):
-    return df.select(*_ids(id_cols), *keep,
-                     F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0))
-                     .alias("word"))
+    return C.explode_rows(df, [*_ids(id_cols), *keep],
+                          F.regexp_extract_all(F.col(text), F.lit(pattern), 0), "word")
 
 
 def elongated_words(df: DataFrame, text="text", id_cols="doc_id", min_run=3,

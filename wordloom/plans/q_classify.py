@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import ENGLISH_STOPWORDS
 from ..operators import classify as CL
 from ..operators import text as T
-from ..session import table
+from ..session import cut_lineage, table
 from . import fixtures as FX
 from .registry import query
 
@@ -24,7 +24,9 @@ def nb_inputs(spark, sf, n=1, stop=False, lower=True):
     toks = T.ngrams(arr, n, "tokens", "doc_id", keep=["label"])
     if stop:
         toks = T.remove_stopwords(toks, ENGLISH_STOPWORDS)
-    td = toks.groupBy("doc_id", "label", "term").agg(F.count("*").alias("n"))
+    # counted once and written to the shared checkpoint folder: the fit and
+    # the scoring read it several times
+    td = cut_lineage(toks.groupBy("doc_id", "label", "term").agg(F.count("*").alias("n")))
     return {"train_td": td.filter(~_test()), "test_td": td.filter(_test()).drop("label"),
             "train_docs": docs.filter(~_test()).select("doc_id", "label"),
             "test_docs": docs.filter(_test()).select("doc_id", "label")}

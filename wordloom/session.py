@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +48,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from it: lineage is cut, the data survives executor loss,
+    and later reads are columnar (faster than ``checkpoint()``'s
+    row-serialised files)."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"wordloom-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
