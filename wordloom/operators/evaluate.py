@@ -176,8 +176,12 @@ def pending_runs(grid: DataFrame, done: DataFrame, keys: Sequence[str] = RESULT_
 def pending_groups(grid: DataFrame, done: DataFrame, group: Sequence[str] = RESULT_KEYS[:3],
                    keys: Sequence[str] = RESULT_KEYS) -> DataFrame:
     """(model, adapter, task) groups having any pending run."""
-    p = pending_runs(grid, done, keys).select(*group).distinct()
-    return grid.select(*group).distinct().join(p, list(group), "left_semi")
+    p = pending_runs(grid, done, keys).select(*[F.col(g).alias(f"_p{i}") for i, g in enumerate(group)])
+    cond = None
+    for i, g in enumerate(group):  # null-safe: base models have no adapter
+        c = F.col(g).eqNullSafe(F.col(f"_p{i}"))
+        cond = c if cond is None else cond & c
+    return grid.select(*group).distinct().join(p.distinct(), cond, "left_semi")
 
 
 def best_k_shot(results: DataFrame, metric_keys: Mapping[str, Sequence[str]],
@@ -224,11 +228,14 @@ def score_pivot(df: DataFrame, rows: Sequence[str], column: str, value: str,
     """Rows x dataset columns plus the row mean; listed pivot values avoid a
     second pass.  Means use decimal (half-up) rounding, as printed tables do."""
     p = df.groupBy(*rows).pivot(column, list(values)).agg(F.first(value))
-    mean = sum((F.col(v) for v in values), F.lit(0.0)) / len(values)
-    out = p.withColumn("mean", mean)
+    # decimal arithmetic, as printed tables are computed: 0.39, 0.57, 0.67
+    # and 0.47 average to 0.525 (0.5249... in binary) and print as 0.53
+    dec = "decimal(38,12)"
+    total = sum((F.col(v).cast(dec) for v in values[1:]), F.col(values[0]).cast(dec))
+    mean = total / F.lit(len(values)).cast(dec)
     if decimals is not None:
-        out = out.withColumn("mean", F.round("mean", decimals))
-    return out
+        mean = F.round(mean, decimals)
+    return p.withColumn("mean", mean.cast("double"))
 
 
 def relative_change(df: DataFrame, group: Sequence[str], order: str, value: str,

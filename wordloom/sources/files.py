@@ -14,11 +14,9 @@ from pyspark.sql import types as T
 def read_corpus(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per file: ``(path, file, text)`` with the whole text.  An empty
     result is a warning, not an error."""
-    r = spark.read.option("wholetext", True)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     try:
-        df = r.text(path)
+        # the keyword matters: text() has its own wholetext=False default
+        df = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     except Exception as e:  # noqa: BLE001 - missing folder is an empty corpus
         warnings.warn(f"no files read from {path}: {e}")
         return spark.createDataFrame([], "path string, file string, text string")
@@ -30,7 +28,7 @@ def read_corpus(spark: SparkSession, path: str, glob: str | None = None) -> Data
 def read_lines(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
     """One row per line with a stable 0-based ``line_no`` within each file
     (whole-text read, then split: the order of lines is kept)."""
-    whole = spark.read.option("wholetext", True).text(path).select(
+    whole = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value"))
     lines = whole.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""),
                                                      r"\r?\n")).alias("line_no", "text"))
