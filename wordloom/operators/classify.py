@@ -4,7 +4,7 @@ DataFrames.  The model is two small tables -- per class and per
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,98 +18,126 @@ def _safe_ln(x) -> F.Column:
 
 
 def class_priors(docs: DataFrame, label="label",
-                 class_prior: Mapping[str, float] | None = None) -> DataFrame:
-    """Class share of training documents, or supplied weights normalised."""
-    counts = docs.groupBy(label).agg(F.count("*").alias("n_docs"))
+                 class_prior: Mapping[str, float] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Class share of training documents (per ``by`` group), or supplied
+    weights normalised."""
+    by = list(by)
+    counts = docs.groupBy(*by, label).agg(F.count("*").alias("n_docs"))
     if class_prior is None:
-        total = counts.select(F.sum("n_docs")).scalar()
-        prior = F.col("n_docs") / total
+        if by:
+            totals = counts.groupBy(*by).agg(F.sum("n_docs").alias("_all"))
+            counts = counts.join(totals, by)
+            prior = F.col("n_docs") / F.col("_all")
+        else:
+            prior = F.col("n_docs") / counts.select(F.sum("n_docs")).scalar()
     else:
         weights = F.create_map(*[x for k, v in class_prior.items() for x in (F.lit(k), F.lit(float(v)))])
-        wsum = float(sum(class_prior.values()))
-        prior = weights[F.col(label).cast("string")] / F.lit(wsum)
-    return counts.select(label, "n_docs", prior.alias("prior"),
+        prior = weights[F.col(label).cast("string")] / F.lit(float(sum(class_prior.values())))
+    return counts.select(*by, label, "n_docs", prior.alias("prior"),
                          _safe_ln(prior).alias("log_prior"))
 
 
-def class_term_totals(td: DataFrame, label="label", term="term", n="n"):
+def class_term_totals(td: DataFrame, label="label", term="term", n="n", by: Sequence[str] = ()):
     """Tokens per (class, term) and per class."""
-    ct = td.groupBy(label, term).agg(F.sum(n).alias("count"))
-    tot = ct.groupBy(label).agg(F.sum("count").alias("total"))
+    ct = td.groupBy(*by, label, term).agg(F.sum(n).alias("count"))
+    tot = ct.groupBy(*by, label).agg(F.sum("count").alias("total"))
     return ct, tot
 
 
-def nb_fit(td: DataFrame, docs: DataFrame, alpha: float = 1.0, label="label",
-           term="term", n="n", class_prior=None) -> dict[str, DataFrame]:
-    """Fit on training counts ``td (doc_id, label, term, n)`` and training
-    documents ``docs (doc_id, label)``.
+def nb_fit(td: DataFrame, docs: DataFrame, alpha: float | DataFrame = 1.0, label="label",
+           term="term", n="n", class_prior=None, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Fit on training counts ``td (by..., doc_id, label, term, n)`` and
+    training documents ``docs (by..., doc_id, label)``.
 
-    Returns ``classes (label, log_prior, log_default, total)``,
-    ``likelihood (label, term, log_lik)`` for observed pairs and
-    ``vocab (term)``.  log_lik = ln((count + alpha) / (total + alpha * V));
+    Returns ``classes (by..., label, log_prior, log_default, total)``,
+    ``likelihood (by..., label, term, log_lik)`` for observed pairs and
+    ``vocab (by..., term)``.  log_lik = ln((count + alpha) / (total + alpha V));
     ``log_default`` is the same with count 0 (-infinity when alpha = 0).
+
+    ``by`` fits one model per group in the same plan (e.g. a grid of
+    settings as data); ``alpha`` is then a number or a DataFrame
+    ``(by..., alpha)``.
     """
-    ct, tot = class_term_totals(td, label, term, n)
-    vocab = td.select(term).distinct()
-    v_size = vocab.select(F.count("*")).scalar()
-    a = F.lit(float(alpha))
-    denom = F.col("total") + a * v_size
-    pri = class_priors(docs, label, class_prior)
-    classes = (pri.join(tot, label, "left").fillna(0, ["total"])
-               .select(label, "log_prior", "n_docs", "total",
-                       _safe_ln(a / denom).alias("log_default")))
-    lik = (ct.join(tot, label)
-             .select(label, term, _safe_ln((F.col("count") + a) / denom).alias("log_lik")))
-    return {"classes": classes, "likelihood": lik, "vocab": vocab}
+    by = list(by)
+    ct, tot = class_term_totals(td, label, term, n, by)
+    vocab = td.select(*by, term).distinct()
+    pri = class_priors(docs, label, class_prior, by)
+    classes = pri.join(tot, [*by, label], "left").fillna(0, ["total"])
+    if by:
+        classes = classes.join(vocab.groupBy(*by).agg(F.count("*").alias("_v")), by, "left")
+        v_size = F.coalesce(F.col("_v"), F.lit(0))
+    else:
+        v_size = vocab.select(F.count("*")).scalar()
+    if isinstance(alpha, DataFrame):
+        classes = classes.join(alpha.select(*by, F.col("alpha").cast("double").alias("_alpha")), by)
+        a = F.col("_alpha")
+    else:
+        classes = classes.withColumn("_alpha", F.lit(float(alpha)))
+        a = F.col("_alpha")
+    classes = classes.withColumn("_denom", F.col("total") + a * v_size)
+    classes = classes.select(*by, label, "log_prior", "n_docs", "total", "_alpha", "_denom",
+                             _safe_ln(a / F.col("_denom")).alias("log_default"))
+    lik = (ct.join(classes.select(*by, label, "_alpha", "_denom"), [*by, label])
+             .select(*by, label, term,
+                     _safe_ln((F.col("count") + F.col("_alpha")) / F.col("_denom")).alias("log_lik")))
+    return {"classes": classes.drop("_alpha", "_denom"), "likelihood": lik, "vocab": vocab}
 
 
 def nb_predict_proba(td: DataFrame, docs: DataFrame, model: dict[str, DataFrame],
-                     id_col="doc_id", label="label", term="term", n="n") -> DataFrame:
+                     id_col="doc_id", label="label", term="term", n="n",
+                     by: Sequence[str] = ()) -> DataFrame:
     """Per (document, class): ``log_score`` and ``prob``.
 
     Only terms present in the document are summed (out-of-vocabulary terms
     ignored); a term unseen in a class contributes ``log_default``.  Scores
     are shifted by the document maximum before exponentiating; when every
     class is -infinity the probabilities are null (Q2).  Documents without
-    known terms keep the prior.  Every class is attached to every document
-    through a scalar subquery holding the (few) classes, not a join.
+    known terms keep the prior.  Without ``by``, every class is attached to
+    every document through a scalar subquery holding the (few) classes, not
+    a join; with ``by`` through an equi-join on the group.
     """
+    by = list(by)
     classes = model["classes"]
-    tv = td.join(model["vocab"], term, "left_semi")
-    n_in = tv.groupBy(id_col).agg(F.sum(n).alias("_nin"))
-    matched = (tv.join(model["likelihood"], term)
-                 .groupBy(id_col, label)
+    tv = td.join(model["vocab"], [*by, term], "left_semi")
+    n_in = tv.groupBy(*by, id_col).agg(F.sum(n).alias("_nin"))
+    matched = (tv.join(model["likelihood"], [*by, term])
+                 .groupBy(*by, id_col, label)
                  .agg(F.sum(F.col(n) * F.col("log_lik")).alias("_s"),
                       F.sum(n).alias("_m")))
-    cls_arr = classes.select(F.array_sort(F.collect_list(
-        F.struct(F.col(label).alias("label"), "log_prior", "log_default")))).scalar()
-    grid = (docs.select(id_col).distinct()
-                .select(id_col, F.explode(cls_arr).alias("c"))
-                .select(id_col, F.col("c.label").alias(label), "c.log_prior", "c.log_default"))
+    if by:
+        grid = (docs.select(*by, id_col).distinct()
+                    .join(classes.select(*by, label, "log_prior", "log_default"), by))
+    else:
+        cls_arr = classes.select(F.array_sort(F.collect_list(
+            F.struct(F.col(label).alias("label"), "log_prior", "log_default")))).scalar()
+        grid = (docs.select(id_col).distinct()
+                    .select(id_col, F.explode(cls_arr).alias("c"))
+                    .select(id_col, F.col("c.label").alias(label), "c.log_prior", "c.log_default"))
     unseen = F.coalesce(F.col("_nin"), F.lit(0)) - F.coalesce(F.col("_m"), F.lit(0))
     score = (F.col("log_prior") + F.coalesce(F.col("_s"), F.lit(0.0))
              + F.when(unseen > 0, unseen * F.col("log_default")).otherwise(F.lit(0.0)))
-    scored = (grid.join(n_in, id_col, "left").join(matched, [id_col, label], "left")
-                  .select(id_col, label, score.alias("log_score")))
-    w = Window.partitionBy(id_col)
+    scored = (grid.join(n_in, [*by, id_col], "left").join(matched, [*by, id_col, label], "left")
+                  .select(*by, id_col, label, score.alias("log_score")))
+    w = Window.partitionBy(*by, id_col)
     shifted = F.when(F.col("_mx") > F.lit(NEG_INF), F.col("log_score") - F.col("_mx"))
-    e = F.exp(shifted)
     return (scored.withColumn("_mx", F.max("log_score").over(w))
-                  .withColumn("_e", e)
+                  .withColumn("_e", F.exp(shifted))
                   .withColumn("prob", F.col("_e") / F.sum("_e").over(w))
                   .drop("_mx", "_e"))
 
 
 def nb_argmax(proba: DataFrame, id_col="doc_id", label="label", score="log_score",
-              out="prediction") -> DataFrame:
+              out="prediction", by: Sequence[str] = ()) -> DataFrame:
     """Class with the largest score per document; smallest class on ties."""
-    w = Window.partitionBy(id_col).orderBy(F.desc(score), F.asc(label))
+    w = Window.partitionBy(*by, id_col).orderBy(F.desc(score), F.asc(label))
     return (proba.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
-                 .select(id_col, F.col(label).alias(out)))
+                 .select(*by, id_col, F.col(label).alias(out)))
 
 
-def nb_predict(td, docs, model, id_col="doc_id", label="label", **kw) -> DataFrame:
-    return nb_argmax(nb_predict_proba(td, docs, model, id_col, label, **kw), id_col, label)
+def nb_predict(td, docs, model, id_col="doc_id", label="label", by: Sequence[str] = (),
+               **kw) -> DataFrame:
+    return nb_argmax(nb_predict_proba(td, docs, model, id_col, label, by=by, **kw),
+                     id_col, label, by=by)
 
 
 def predictions_vs_gold(pred: DataFrame, gold: DataFrame, id_col="doc_id") -> DataFrame:
@@ -117,9 +145,9 @@ def predictions_vs_gold(pred: DataFrame, gold: DataFrame, id_col="doc_id") -> Da
     return pred.join(gold, id_col)
 
 
-def accuracy(df: DataFrame, pred="prediction", gold="label") -> DataFrame:
+def accuracy(df: DataFrame, pred="prediction", gold="label", by: Sequence[str] = ()) -> DataFrame:
     """Share of equal labels (a fraction, not a percentage)."""
-    return df.agg(F.avg((F.col(pred) == F.col(gold)).cast("double")).alias("accuracy"),
+    return df.groupBy(*by).agg(F.avg((F.col(pred) == F.col(gold)).cast("double")).alias("accuracy"),
                   F.count("*").alias("n"))
 
 

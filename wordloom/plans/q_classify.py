@@ -180,18 +180,36 @@ def _nb_experiment_sql():
 
 @query("nb_experiment", _nb_experiment_sql())
 def q_nb_experiment(spark, sf):
-    """Accuracy and vocabulary size under each setting; one plan per setting,
-    results unioned (the token scan is shared through the exchange reuse)."""
-    out = None
+    """Accuracy and vocabulary size under each setting, all settings in one
+    plan: the corpus is scanned once, each setting's tokens are a labelled
+    arm of one token table, and the model is fitted and scored per setting
+    (``by=["setting"]``) with alpha as per-setting data."""
+    docs = table(spark, sf, "documents", "doc_id").withColumnRenamed("lang", "label")
+    from ..functions import columns as C
+    arr = docs.select("doc_id", "label",
+                      C.regex_tokens("text", T.TOKENIZERS["word"], True).alias("low"),
+                      C.regex_tokens("text", T.TOKENIZERS["word"], False).alias("cased"))
+    arms = []
     for name, s in NB_SETTINGS:
-        s = dict(s)
-        alpha = s.pop("alpha")
-        d, model, p = nb_run(spark, sf, alpha, **s)
-        acc = CL.accuracy(CL.nb_argmax(p).join(d["test_docs"], "doc_id"))
-        v = model["vocab"].select(F.count("*")).scalar()
-        row = acc.select(F.lit(name).alias("setting"), v.alias("vocab_size"), "accuracy")
-        out = row if out is None else out.unionByName(row)
-    return out
+        src = "low" if s.get("lower", True) else "cased"
+        arms.append(F.struct(F.lit(name).alias("setting"),
+                             C.ngram_array(src, s.get("n", 1)).alias("toks")))
+    long = C.explode_rows(arr, ["doc_id", "label"], F.array(*arms), "a").select(
+        "doc_id", "label", "a.setting", "a.toks")
+    toks = C.explode_rows(long, ["setting", "doc_id", "label"], F.col("toks"), "term")
+    stop_settings = [name for name, s in NB_SETTINGS if s.get("stop")]
+    toks = toks.filter(~(F.col("setting").isin(stop_settings) & F.col("term").isin(ENGLISH_STOPWORDS)))
+    td = cut_lineage(toks.groupBy("setting", "doc_id", "label", "term").agg(F.count("*").alias("n")))
+    names = F.array(*[F.lit(name) for name, _ in NB_SETTINGS])
+    all_docs = docs.select("doc_id", "label", F.explode(names).alias("setting"))
+    alpha = spark.createDataFrame([(name, float(s["alpha"])) for name, s in NB_SETTINGS],
+                                  "setting string, alpha double")
+    by = ["setting"]
+    model = CL.nb_fit(td.filter(~_test()), all_docs.filter(~_test()), alpha, by=by)
+    pred = CL.nb_predict(td.filter(_test()).drop("label"), all_docs.filter(_test()), model, by=by)
+    acc = CL.accuracy(pred.join(all_docs.filter(_test()), ["setting", "doc_id"]), by=by)
+    vs = model["vocab"].groupBy("setting").agg(F.count("*").alias("vocab_size"))
+    return acc.join(vs, "setting").select("setting", "vocab_size", "accuracy")
 
 
 @query("train_eval_split", """
