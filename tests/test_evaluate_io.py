@@ -235,3 +235,39 @@ def test_streaming_equals_batch_on_closed_windows(spark, tmp_path):
     for i in range(2):
         SJ.stream_append_results(stream, tgt, f"{tgt}-c{i}", ["id"]).awaitTermination()
     assert spark.read.parquet(tgt).count() == 120
+
+
+def test_small_helpers_and_writers(spark, tmp_path):
+    from wordloom.functions import columns as C
+    from wordloom.operators import text as T
+    tags = spark.createDataFrame([("JJ",), ("VBD",), ("NNS",), ("RB",), ("DT",)], "tag string")
+    assert [r.c for r in tags.select(C.wordnet_class("tag").alias("c")).collect()] == ["a", "v", "n", "r", "n"]
+    lex = spark.createDataFrame([("fans", "Noun"), (" ", "Noun"), ("like", "Verb")], "word string, cat string")
+    assert [r.word for r in T.keep_categories(lex, ["Noun"]).collect()] == ["fans"]
+    a = spark.createDataFrame([("x",), ("y",)], "term string")
+    b = spark.createDataFrame([("y",), ("z",)], "term string")
+    assert sorted(r.term for r in a.union(b).distinct().collect()) == ["x", "y", "z"]  # vocab_union
+    out = _tmp(spark)
+    SNK.write_lexicon(spark.createDataFrame([("fans", "Noun"), ("costs", "Noun"), ("fans", "Noun")],
+                                            "word string, cat string"), out)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.startswith("part"))
+    assert text == "\\w costs\n\\c Noun\n\n\\w fans\n\\c Noun\n\n"
+    cor = _tmp(spark)
+    SNK.write_corpus(spark.createDataFrame([("f1.txt", "SO gOd")], "file string, text string"), cor)
+    assert os.path.isdir(os.path.join(cor, "file=f1.txt"))
+
+
+def test_stream_telemetry_ticks(spark, tmp_path):
+    rows = [(f"2024-01-01 00:{m:02d}:00", "g" + str(m % 2), float(m)) for m in range(30)]
+    batch = (spark.createDataFrame(rows, "ts string, device string, reading double")
+             .withColumn("event_time", F.to_timestamp("ts")))
+    src = tmp_path / "in"
+    batch.write.parquet(str(src))
+    stream = spark.readStream.schema(batch.schema).parquet(str(src))
+    agg = SJ.stream_telemetry(stream, "10 minutes", "0 seconds")
+    out = _tmp(spark)
+    q = (agg.writeStream.outputMode("append").format("parquet").option("path", out + "/d")
+         .option("checkpointLocation", out + "/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.w.start: (r.peak, r.n_ticks) for r in spark.read.schema(agg.schema).parquet(out + "/d").collect()}
+    assert got and all(v[1] == 10 for v in got.values())

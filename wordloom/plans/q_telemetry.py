@@ -105,9 +105,9 @@ def _drain(spark, stream_df, name):
 def q_stream_telemetry(spark, sf):
     s = _event_stream(spark, sf).select("event_time", F.col("event_type").alias("device"),
                                         F.col("value").alias("reading"))
-    out = _drain(spark, SJ.stream_telemetry_flat(s, "1 hour", "0 seconds", ["click", "view"]),
+    out = _drain(spark, SJ.stream_telemetry(s, "1 day", "0 seconds", ["click", "view"]),
                  "telemetry")
-    return out.select(F.col("w.start").cast("string").alias("window_start"), "peak", "p90", "n_samples")
+    return out.select(F.col("w.start").cast("string").alias("window_start"), "peak", "p90", "n_ticks")
 
 
 @query("stream_request_latency")

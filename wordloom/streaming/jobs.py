@@ -29,9 +29,9 @@ def stream_telemetry(stream: DataFrame, width: str, lateness: str,
     emitted once the watermark passes its end; later rows are dropped."""
     s = stream if devices is None else stream.filter(F.col(device).isin(list(devices)))
     ticks = (s.withWatermark(ts, lateness)
-              .groupBy(F.window(ts, width).alias("w"), F.col(ts).alias("tick"))
+              .groupBy(F.col(ts).alias("tick"))
               .agg(F.max(reading).alias("_m")))
-    return ticks.groupBy("w").agg(F.max("_m").alias("peak"),
+    return ticks.groupBy(F.window("tick", width).alias("w")).agg(F.max("_m").alias("peak"),
                                   F.percentile("_m", 0.9).alias("p90"),
                                   F.count("*").alias("n_ticks"))
 
