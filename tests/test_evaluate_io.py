@@ -271,3 +271,27 @@ def test_stream_telemetry_ticks(spark, tmp_path):
     q.awaitTermination()
     got = {r.w.start: (r.peak, r.n_ticks) for r in spark.read.schema(agg.schema).parquet(out + "/d").collect()}
     assert got and all(v[1] == 10 for v in got.values())
+
+
+def test_stream_request_latency_bounded_state(spark, tmp_path):
+    rows = [(1, "2024-01-01 00:00:00", 5), (1, "2024-01-01 00:00:01", 0), (1, "2024-01-01 00:00:03", 0),
+            (2, "2024-01-01 00:00:02", 7), (2, "2024-01-01 00:00:02.5", 0),
+            (1, "2024-01-01 01:00:00", 2), (1, "2024-01-01 01:00:04", 0),
+            (3, "2024-01-01 05:00:00", 1)]
+    batch = (spark.createDataFrame(rows, "user_id long, ts string, k long")
+             .withColumn("event_time", F.to_timestamp("ts")))
+    src = tmp_path / "in"
+    batch.write.parquet(str(src))
+    stream = spark.readStream.schema(batch.schema).parquet(str(src))
+    r = SJ.stream_request_latency(stream, "10 minutes", "0 seconds", ["user_id"], input_tokens=F.col("k"))
+    out = _tmp(spark)
+    q = (r.writeStream.outputMode("append").format("parquet").option("path", out + "/d")
+         .option("checkpointLocation", out + "/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(x.user_id, x.input_tokens): x for x in spark.read.schema(r.schema).parquet(out + "/d").collect()}
+    a = got[(1, 5)]
+    assert a.total_generation_time == 3.0 and a.time_to_first_token_seconds == 1.0
+    assert a.output_tokens == 2 and a.e2e_latency == 4.0
+    b = got[(2, 7)]
+    assert b.total_generation_time == 0.5 and b.output_tokens == 1
+    assert (1, 2) in got  # the second request of user 1 closed by the watermark

@@ -95,8 +95,10 @@ def test_chart_parse_normal_form_example(spark):
 
 def test_lexicon_sets_and_coverage(spark):
     lex = spark.createDataFrame(LEXICON, "word string, cat string")
-    sets = {r.cat: r.words for r in G.lexicon_sets(lex).collect()}
-    assert sets["Det"] == ["a", "the"] and len(sets["Noun"]) == 12
+    sets = {}
+    for r in G.lexicon_sets(lex).orderBy("cat", "idx").collect():
+        sets.setdefault(r.cat, []).append((r.idx, r.word))
+    assert sets["Det"] == [(0, "a"), (1, "the")] and len(sets["Noun"]) == 12
     toks = spark.createDataFrame([("fans",), ("zebra",)], "term string")
     cov = {r.term: r.n_cats for r in G.lexicon_coverage(toks, lex).collect()}
     assert cov == {"fans": 2, "zebra": 0}

@@ -21,8 +21,17 @@ from ..session import cut_lineage
 
 
 def lexicon_sets(lexicon: DataFrame, word="word", cat="cat") -> DataFrame:
-    """Distinct sorted words per category."""
-    return lexicon.groupBy(cat).agg(F.array_sort(F.collect_set(word)).alias("words"))
+    """Distinct words per category, sorted, as rows ``(cat, word, idx)``
+    with ``idx`` the 0-based position of the word within its category.
+
+    Rows, not one array per category: a category (a language, "Noun") can
+    hold a large share of all words and must not become one group."""
+    from . import ordering
+    d = lexicon.select(cat, word).distinct()
+    before = ordering.exclusive_prefix_sum(d.withColumn("_one", F.lit(1)), [cat, word], "_one", "_b")
+    first = before.groupBy(cat).agg(F.min("_b").alias("_start"))
+    return (before.join(first, cat)
+                  .select(cat, word, (F.col("_b") - F.col("_start")).alias("idx")))
 
 
 def lexicon_coverage(tokens: DataFrame, lexicon: DataFrame, term="term", word="word",

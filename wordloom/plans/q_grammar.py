@@ -20,11 +20,10 @@ def lexicon(spark, sf):
 
 
 @query("lexicon_sets", f"""WITH {_LEX_SQL}
-SELECT cat, count(*) AS n_words, string_agg(word, ' ' ORDER BY word) AS words FROM lex GROUP BY cat""")
+SELECT cat, word, CAST(row_number() OVER (PARTITION BY cat ORDER BY word) - 1 AS BIGINT) AS idx
+FROM lex""")
 def q_lexicon_sets(spark, sf):
-    s = G.lexicon_sets(lexicon(spark, sf))
-    return s.select("cat", F.size("words").cast("long").alias("n_words"),
-                    F.array_join("words", " ").alias("words"))
+    return G.lexicon_sets(lexicon(spark, sf))
 
 
 @query("lexicon_coverage", f"""WITH {_LEX_SQL},

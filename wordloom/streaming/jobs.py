@@ -48,25 +48,93 @@ def stream_telemetry_flat(stream: DataFrame, width: str, lateness: str,
                   F.count("*").alias("n_samples")))
 
 
+_REQ_STATE = "t1 long, t2 long, tmax long, n long, inp long"
+
+
+def _request_sessions(gap_us: int, req: list, ts: str, inp_col: str | None):
+    """Bounded per-request state: the two earliest times, the latest time,
+    the count and the prompt length -- five numbers, whatever the request's
+    size.  A request closes when an event arrives more than ``gap`` after the
+    latest one, or when the watermark passes latest + gap (timeout)."""
+    import pandas as pd
+
+    def emit(key, st):
+        t1, t2, tmax, n, inp = st
+        row = dict(zip(req, key))
+        row.update({"_start": t1, "_first_tok": t2, "_end": tmax, "_n": n, "_inp": inp})
+        return row
+
+    def fn(key, pdfs, state):
+        out = []
+        if state.hasTimedOut:
+            out.append(emit(key, state.get))
+            state.remove()
+        else:
+            st = state.get if state.exists else None
+            frames = list(pdfs)
+            batch = pd.concat(frames) if frames else pd.DataFrame()
+            if len(batch):
+                times = (pd.to_datetime(batch[ts]).astype("int64") // 1000).to_numpy()
+                inps = (batch[inp_col].to_numpy() if inp_col else [0] * len(batch))
+                for t, ip in sorted(zip(times.tolist(), list(inps)), key=lambda x: x[0]):
+                    ip = 0 if ip is None or ip != ip else int(ip)
+                    if st is not None and t - st[2] > gap_us:
+                        out.append(emit(key, st))
+                        st = None
+                    if st is None:
+                        st = (t, None, t, 1, ip)
+                        continue
+                    t1, t2, tmax, n, inp = st
+                    if t < t1:
+                        t1, t2, inp = t, t1, ip
+                    elif t2 is None or t < t2:
+                        t2 = t
+                    st = (t1, t2, max(tmax, t), n + 1, inp)
+            if st is not None:
+                state.update(st)
+                state.setTimeoutTimestamp(st[2] // 1000 + gap_us // 1000 + 1)
+        if out:
+            yield pd.DataFrame(out)
+
+    return fn
+
+
 def stream_request_latency(stream: DataFrame, gap: str, lateness: str,
                            request: Sequence[str] = ("user_id",), ts="event_time",
                            input_tokens=None) -> DataFrame:
-    """First-token and total time per request as tokens arrive: a request is
-    a session of events closed after ``gap`` of silence.  The second event
-    is the second smallest time of the session (no row_number in a stream);
-    a session's events are a bounded burst, not a table-sized group."""
-    inp = input_tokens if input_tokens is not None else F.lit(0)
-    s = stream.withWatermark(ts, lateness)
-    agg = s.groupBy(F.session_window(ts, gap).alias("session"), *request).agg(
-        F.min(ts).alias("_start"), F.max(ts).alias("_end"), F.count("*").alias("_n"),
-        F.get(F.array_sort(F.collect_list(ts)), 1).alias("_first_tok"),
-        F.min_by(inp, F.col(ts)).alias("_inp"))
-    return agg.filter(F.col("_n") >= 2).select(
-        "session", *request, F.col("_start").alias("start_ts"),
-        *latency_columns(F.col("_start"), F.col("_first_tok"), F.col("_end"),
+    """First-token and total time per request as tokens arrive.  A request
+    is a burst of events closed after ``gap`` of silence, tracked by a
+    custom stateful operator with five numbers of state per open request
+    (no event list is ever gathered); the latency columns are the batch
+    operator's expressions."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    req = list(request)
+    gap_us = _interval_micros(stream, gap)
+    src = stream.withWatermark(ts, lateness)
+    inp_col = None
+    if input_tokens is not None:
+        src = src.withColumn("_inp_src", input_tokens.cast("long"))
+        inp_col = "_inp_src"
+    keys = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in req)
+    out_schema = f"{keys}, _start long, _first_tok long, _end long, _n long, _inp long"
+    sessions = src.select(*req, ts, *([inp_col] if inp_col else [])).groupBy(*req).applyInPandasWithState(
+        _request_sessions(gap_us, req, ts, inp_col), out_schema, _REQ_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
+    as_ts = lambda c: F.timestamp_micros(F.col(c))
+    return sessions.filter(F.col("_n") >= 2).select(
+        *req, as_ts("_start").alias("start_ts"),
+        *latency_columns(as_ts("_start"), as_ts("_first_tok"), as_ts("_end"),
                          F.col("_n"), F.col("_inp")))
 
 
+def _interval_micros(df: DataFrame, gap: str) -> int:
+    """Microseconds of an interval literal such as ``30 minutes``."""
+    units = {"microsecond": 1, "millisecond": 1000, "second": 10**6, "minute": 60 * 10**6,
+             "hour": 3600 * 10**6, "day": 86400 * 10**6}
+    num, unit = gap.split()
+    return int(float(num) * units[unit.rstrip("s").lower()])
+
+
 def stream_append_results(stream: DataFrame, path: str, checkpoint: str,
                           keys: Sequence[str], fmt: str = "parquet",
                           trigger_once: bool = True) -> StreamingQuery:
