@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -385,4 +384,3 @@ def mean_scores(scores: DataFrame, cols: Sequence[str]) -> DataFrame:
     return scores.agg(*[F.avg(c).alias(c) for c in cols])
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["np"]

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import cut_lineage
 
 
 def read_vectors(df: DataFrame, word="vec_id", vector="embedding") -> DataFrame:
@@ -154,16 +155,18 @@ def solve_analogies(questions: DataFrame, vectors: DataFrame,
         questions = questions.select("qid", "section", *[F.upper(x).alias(x) for x in "abcd"])
     if restrict_vocab is not None:
         v = v.orderBy("rank" if "rank" in v.columns else "word").limit(restrict_vocab)
-    u = v.select("word", C.unit_vector("vector").alias("u"))
+    # unit vectors and the joined questions are each used several times:
+    # written once to the shared checkpoint folder instead of re-scanned
+    u = cut_lineage(v.select("word", C.unit_vector("vector").alias("u")))
     ua = u.select(F.col("word").alias("a"), F.col("u").alias("ua"))
     ub = u.select(F.col("word").alias("b"), F.col("u").alias("ub"))
     uc = u.select(F.col("word").alias("c"), F.col("u").alias("uc"))
     known = u.select(F.col("word").alias("d")).withColumn("_dk", F.lit(True))
-    q = (questions.join(ua, "a").join(ub, "b").join(uc, "c").join(known, "d", "left")
-                  .filter(F.col("_dk").isNotNull()))
+    q = cut_lineage(questions.join(ua, "a").join(ub, "b").join(uc, "c").join(known, "d", "left")
+                    .filter(F.col("_dk").isNotNull()))
     qvec = F.zip_with(F.zip_with("ub", "uc", lambda x, y: x + y), "ua", lambda s, x: (s - x) / 3.0)
     qs = q.select("qid", qvec.alias("qvec"), F.array("a", "b", "c").alias("exclude"))
-    best = nearest_words(qs, v.select("word", "vector"), k=1)
+    best = nearest_words(qs, u.select("word", F.col("u").alias("vector")), k=1)
     return (q.select("qid", "section", "a", "b", "c", "d")
              .join(best.select("qid", F.col("word").alias("predicted"), "similarity"), "qid", "left")
              .withColumn("correct", F.coalesce(F.col("predicted") == F.col("d"), F.lit(False))))

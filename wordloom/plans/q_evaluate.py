@@ -274,3 +274,83 @@ def q_relative_change(spark, sf):
     ev = table(spark, sf, "events", "event_type")
     c = ev.groupBy("event_type", F.dayofmonth("ts").alias("day")).agg(F.avg("value").alias("value"))
     return EV.relative_change(c, ["event_type"], "day", "value", decimals=None)
+
+
+# ------------------------------------------------------------ grid and resume
+TASKS = ["classification", "question_answering"]
+KS = [0, 5, 10, 25]
+STRATEGIES = ["default", "greedy", "beam", "top_p"]
+
+
+def _grid(spark, sf):
+    ev = table(spark, sf, "events", "event_type")
+    models = ev.select(F.col("event_type").alias("model_id")).distinct()
+    adapters = models.select("model_id", F.concat("model_id", F.lit("-lora")).alias("adapter_id"))
+    return EV.experiment_grid(models, adapters, TASKS, KS, STRATEGIES)
+
+
+_GRID_SQL = f"""m AS (SELECT DISTINCT event_type AS model_id FROM events),
+b AS (SELECT model_id, CAST(NULL AS VARCHAR) AS adapter_id FROM m
+      UNION ALL SELECT model_id, model_id || '-lora' FROM m),
+g AS (SELECT b.model_id, b.adapter_id, t.task_type, CAST(k.n_shot AS INTEGER) AS n_shot,
+             s.decoding_strategy
+      FROM b, (VALUES {', '.join(f"('{t}')" for t in TASKS)}) t(task_type),
+      (VALUES {', '.join(f'({k})' for k in KS)}) k(n_shot),
+      (VALUES {', '.join(f"('{s}')" for s in STRATEGIES)}) s(decoding_strategy))"""
+
+
+@query("experiment_grid", f"WITH {_GRID_SQL} SELECT * FROM g")
+def q_experiment_grid(spark, sf):
+    return _grid(spark, sf)
+
+
+def _done(spark, sf):
+    """Stored results derived from events, keys padded with blanks (Q25)."""
+    ev = table(spark, sf, "events", "event_id")
+    ks = F.array(*[F.lit(k) for k in KS])
+    st = F.array(*[F.lit(s) for s in STRATEGIES])
+    return ev.select(
+        F.concat(F.lit(" "), "event_type", F.lit(" ")).alias("model_id"),
+        F.when(F.col("user_id") % 2 == 0, F.concat("event_type", F.lit("-lora"))).alias("adapter_id"),
+        F.when(F.col("value") > 300, F.lit("classification"))
+         .otherwise(F.lit("question_answering ")).alias("task_type"),
+        F.element_at(ks, (F.col("user_id") % 4 + 1).cast("int")).cast("string").alias("n_shot"),
+        F.element_at(st, (F.hour("ts") % 4 + 1).cast("int")).alias("decoding_strategy"))
+
+
+@query("pending_runs", f"""WITH {_GRID_SQL},
+d AS (SELECT DISTINCT trim(' ' || event_type || ' ') AS k0,
+        coalesce(CASE WHEN user_id % 2 = 0 THEN event_type || '-lora' END, '') AS k1,
+        trim(CASE WHEN value > 300 THEN 'classification' ELSE 'question_answering ' END) AS k2,
+        CAST([{', '.join(str(k) for k in KS)}][user_id % 4 + 1] AS VARCHAR) AS k3,
+        [{', '.join(f"'{s}'" for s in STRATEGIES)}][hour(ts) % 4 + 1] AS k4 FROM events)
+SELECT g.* FROM g WHERE NOT EXISTS (
+  SELECT 1 FROM d WHERE d.k0 = g.model_id AND d.k1 = coalesce(g.adapter_id, '')
+    AND d.k2 = g.task_type AND d.k3 = CAST(g.n_shot AS VARCHAR) AND d.k4 = g.decoding_strategy)""")
+def q_pending_runs(spark, sf):
+    return EV.pending_runs(_grid(spark, sf), _done(spark, sf))
+
+
+@query("to_conversation_qa", f"""
+WITH s AS (SELECT conv_id, text AS sys FROM conversations WHERE role = 'system'),
+q AS (SELECT u.conv_id, u.turn, u.text AS question, coalesce(s.sys, '') AS context, a.text AS answer
+      FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+      LEFT JOIN s ON s.conv_id = u.conv_id
+      WHERE u.role = 'user' AND a.role = 'assistant')
+SELECT conv_id, turn, {_lit(PR.QA_SYSTEM)} AS system,
+  {_lit(PR.QA_USER_PREFIX)} || context || chr(10) || chr(10) || 'Question: ' || question AS "user",
+  answer AS assistant FROM q""")
+def q_to_conversation_qa(spark, sf):
+    c = table(spark, sf, "conversations", "conv_id")
+    sys_ = c.filter(F.col("role") == "system").select("conv_id", F.col("text").alias("_sys"))
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+    a = c.filter(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("_ans"))
+    rows = (u.join(a, ["conv_id", "turn"]).join(sys_, "conv_id", "left")
+             .select("conv_id", "turn", "question", F.col("_sys").alias("context"),
+                     F.struct(F.array("_ans").alias("text"),
+                              F.lit(None).cast("string").alias("value")).alias("answers")))
+    conv = EV.to_conversation(rows)
+    return conv.select("conv_id", "turn", F.col("conversation")[0]["content"].alias("system"),
+                       F.col("conversation")[1]["content"].alias("user"),
+                       F.col("conversation")[2]["content"].alias("assistant"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
+from ..functions.patterns import ENGLISH_STOPWORDS
 from ..operators import features as FE
 from ..operators import text as T
 from ..session import table
@@ -73,12 +73,7 @@ SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS idx FROM a
 def q_vocabulary(spark, sf):
     # construct_vocabulary: rule tokens, letters only, stop words removed, sorted
     toks = T.tokenize(_docs(spark, sf), "text", "doc_id", "rule", alpha_only=True)
-    return FE.vocabulary(toks, stopwords=list(FX_STOP()))
-
-
-def FX_STOP():
-    from ..functions.patterns import ENGLISH_STOPWORDS
-    return ENGLISH_STOPWORDS
+    return FE.vocabulary(toks, stopwords=ENGLISH_STOPWORDS)
 
 
 @query("tfidf", f"WITH {_TFIDF} SELECT doc_id, term, round(w, 9) AS tfidf FROM tf")

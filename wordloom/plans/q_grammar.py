@@ -45,3 +45,9 @@ def q_missing_words(spark, sf):
     b = table(spark, sf, "benchmark", "item_id")
     toks = T.tokenize(b, "text", "item_id", "default")
     return G.missing_words(toks, lexicon(spark, sf)).select("term").distinct()
+
+
+@query("keep_categories", f"""WITH {_LEX_SQL}
+SELECT word, cat FROM lex WHERE cat IN ('en', 'fr') AND trim(word) <> ''""")
+def q_keep_categories(spark, sf):
+    return T.keep_categories(lexicon(spark, sf), ["en", "fr"])

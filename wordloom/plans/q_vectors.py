@@ -33,7 +33,7 @@ def _vec(spark, sf):
 
 def gold_pairs(spark, sf):
     e = _emb(spark, sf)
-    n = e.select(F.count("*")).scalar()
+    n = e.count()
     lab = e.select(F.col("vec_id").alias("_j"), F.col("label").alias("_lj"))
     p = e.select(F.col("vec_id"), F.pmod(7 * F.col("vec_id") + 3, n).alias("_j"), "label")
     p = p.join(lab, "_j", "left")
@@ -117,7 +117,7 @@ def q_compare_models(spark, sf):
 
 def questions(spark, sf):
     e = _emb(spark, sf)
-    n = e.select(F.count("*")).scalar()
+    n = e.count()
     w = lambda d: F.pmod(F.col("vec_id") + d, n).cast("string")
     return e.select(F.col("vec_id").alias("qid"), F.col("label").cast("string").alias("section"),
                     w(0).alias("a"), w(1).alias("b"), w(2).alias("c"), w(3).alias("d"))

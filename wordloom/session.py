@@ -63,8 +63,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     session has cores (one row group, one task) is hash-partitioned on
     ``keys`` (round-robin without keys); a scan that already has enough
     partitions -- the normal case on a cluster -- is left alone, no shuffle."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 

@@ -86,7 +86,6 @@ def read_results(spark: SparkSession, path: str, schema: str | None = None,
                  keys=("model_id", "adapter_id", "task_type", "n_shot", "decoding_strategy")) -> DataFrame:
     """Stored result log (CSV with header) with blank-trimmed string keys; a
     missing file is an empty table."""
-    from ..operators.evaluate import RESULT_KEYS  # noqa: F401
     try:
         r = spark.read.option("header", True)
         df = r.schema(schema).csv(path) if schema else r.csv(path)
