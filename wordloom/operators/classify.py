@@ -154,11 +154,13 @@ def accuracy(df: DataFrame, pred="prediction", gold="label", by: Sequence[str] =
 def classification_f1(df: DataFrame, pred="prediction", gold="label") -> DataFrame:
     """Per-class precision, recall and F1, plus a ``macro`` row (mean over
     classes).  Confusion counts come from one grouped pass."""
-    p = df.select(F.col(pred).cast("string").alias("cls"), F.lit(1).alias("_p"),
-                  F.lit(0).alias("_g"), (F.col(pred) == F.col(gold)).cast("int").alias("_tp"))
-    g = df.select(F.col(gold).cast("string").alias("cls"), F.lit(0).alias("_p"),
-                  F.lit(1).alias("_g"), F.lit(0).alias("_tp"))
-    c = p.unionByName(g).groupBy("cls").agg(F.sum("_tp").alias("tp"),
+    # one pass: each row counts once as predicted and once as gold
+    roles = F.array(
+        F.struct(F.col(pred).cast("string").alias("cls"), F.lit(1).alias("_p"), F.lit(0).alias("_g"),
+                 (F.col(pred) == F.col(gold)).cast("int").alias("_tp")),
+        F.struct(F.col(gold).cast("string").alias("cls"), F.lit(0).alias("_p"), F.lit(1).alias("_g"),
+                 F.lit(0).alias("_tp")))
+    c = df.select(F.explode(roles).alias("_r")).select("_r.*").groupBy("cls").agg(F.sum("_tp").alias("tp"),
                                             F.sum("_p").alias("n_pred"),
                                             F.sum("_g").alias("n_gold"))
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred")), F.lit(0.0))

@@ -123,8 +123,12 @@ def cooccurrence(docs: DataFrame, window: int, text="text", id_col="doc_id",
     if binary:
         p = p.distinct()
     half = p.groupBy("t1", "t2").agg(F.count("*").alias("n"))
-    mirror = half.select(F.col("t2").alias("t1"), F.col("t1").alias("t2"), "n")
-    return half.unionByName(mirror)
+    # mirrored by a narrow explode of each aggregated pair, not a second
+    # read of the aggregate (which would tokenise the corpus again)
+    both = F.array(F.struct(F.col("t1").alias("a"), F.col("t2").alias("b")),
+                   F.struct(F.col("t2").alias("a"), F.col("t1").alias("b")))
+    return half.select(F.explode(both).alias("_m"), "n").select(
+        F.col("_m.a").alias("t1"), F.col("_m.b").alias("t2"), "n")
 
 
 # ---------------------------------------------------------------- similarity
@@ -162,8 +166,7 @@ def pair_similarity(weights: DataFrame, pairs: DataFrame, id_col="doc_id", term=
                     w="w", best: int | None = None) -> DataFrame:
     """Cosine for listed (w1, w2) pairs over documents; null when a word is
     missing.  Postings are restricted to listed words before any join."""
-    words = (pairs.select(F.col("w1").alias(term))
-             .union(pairs.select(F.col("w2").alias(term))).distinct())
+    words = pairs.select(F.explode(F.array("w1", "w2")).alias(term)).distinct()
     post = weights.join(words, term, "left_semi").select(id_col, term, w)
     norms = term_norms(post, term, w)
     p1 = post.select(F.col(term).alias("w1"), id_col, F.col(w).alias("x1"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import ENGLISH_STOPWORDS
 from ..operators import features as FE
 from ..operators import text as T
-from ..session import table
+from ..session import cut_lineage, table
 from . import fixtures as FX
 from .registry import query, r6
 
@@ -35,8 +35,10 @@ def _td(spark, sf):
 
 
 def _tfidf(spark, sf):
+    """TF-IDF weights, materialised once: the similarity queries read them
+    three times (target postings, all postings, target norm)."""
     docs = _docs(spark, sf)
-    return FE.tfidf(FE.doc_term_counts(docs), docs).withColumnRenamed("tfidf", "w")
+    return cut_lineage(FE.tfidf(FE.doc_term_counts(docs), docs).withColumnRenamed("tfidf", "w"))
 
 
 def target_word(spark, sf):
@@ -143,7 +145,7 @@ SELECT p.item_id, p.w1, p.w2,
 FROM pairs p LEFT JOIN nrm n1 ON n1.term = p.w1 LEFT JOIN nrm n2 ON n2.term = p.w2
 LEFT JOIN dt ON dt.w1 = p.w1 AND dt.w2 = p.w2""")
 def q_pair_similarity(spark, sf):
-    r = FE.pair_similarity(_tfidf(spark, sf), _pairs(spark, sf))
+    r = FE.pair_similarity(_tfidf(spark, sf), cut_lineage(_pairs(spark, sf)))
     return r.select("item_id", "w1", "w2", F.round("similarity", 9).alias("similarity"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..functions import patterns as P
 from ..operators import text as T
 from ..session import table
@@ -59,13 +60,13 @@ g AS (
   FROM t, range(1, CAST(len(tok) AS BIGINT) - 1) r(i))
 SELECT n, term, count(*) AS cnt FROM g GROUP BY n, term""")
 def q_ngrams(spark, sf):
+    # one scan: bigram and trigram arrays are two labelled arms of each row
     docs = T.token_arrays(_docs(spark, sf), "text", "tokens", "default")
-    out = None
-    for n in (2, 3):
-        g = (T.ngrams(docs, n, "tokens", "doc_id").groupBy("term")
-             .agg(F.count("*").alias("cnt")).withColumn("n", F.lit(n)))
-        out = g if out is None else out.unionByName(g)
-    return out.select("n", "term", "cnt")
+    arms = F.array(*[F.struct(F.lit(n).alias("n"), C.ngram_array("tokens", n).alias("g"))
+                     for n in (2, 3)])
+    long = C.explode_rows(docs, ["doc_id"], arms, "a").select("doc_id", "a.n", "a.g")
+    grams = C.explode_rows(long, ["n"], F.col("g"), "term")
+    return grams.groupBy("n", "term").agg(F.count("*").alias("cnt"))
 
 
 @query("term_counts", f"""
@@ -169,10 +170,13 @@ FROM (SELECT unnest(regexp_extract_all(text, '{R1_RE2}')) FROM documents)
 UNION ALL
 SELECT 'R2', count(*) FROM (SELECT unnest(regexp_extract_all(text, '{LEN2}')) FROM documents)""")
 def q_match_totals(spark, sf):
+    # one scan: both patterns' matches are labelled arms of each document
     d = _docs(spark, sf)
-    a = T.vowel_cluster_words(d).withColumn("pattern", F.lit("R1"))
-    b = T.elongated_words(d, min_run=2).withColumn("pattern", F.lit("R2"))
-    return T.match_totals(a.unionByName(b), "pattern")
+    arms = F.array(*[F.struct(F.lit(name).alias("pattern"),
+                              F.regexp_extract_all("text", F.lit(pat), 0).alias("m"))
+                     for name, pat in (("R1", P.vowel_cluster()), ("R2", P.elongated(2)))])
+    long = C.explode_rows(d, [], arms, "a").select("a.pattern", "a.m")
+    return T.match_totals(C.explode_rows(long, ["pattern"], F.col("m"), "word"), "pattern")
 
 
 @query("symmetric_difference", f"""
