@@ -295,3 +295,12 @@ def test_stream_request_latency_bounded_state(spark, tmp_path):
     b = got[(2, 7)]
     assert b.total_generation_time == 0.5 and b.output_tokens == 1
     assert (1, 2) in got  # the second request of user 1 closed by the watermark
+
+
+def test_approximate_percentiles_close_to_exact(spark):
+    cols = list(TL.LATENCY_METRICS.values())
+    df = spark.range(1000).select(*[(F.col("id") / 10.0).alias(c) for c in cols])
+    ex = TL.latency_percentiles(df, decimals=None).first()
+    ap = TL.latency_percentiles(df, decimals=None, exact=False).first()
+    assert abs(ex.p50_ttft_seconds - ap.p50_ttft_seconds) <= 0.2
+    assert abs(ex.p90_decode_tps - ap.p90_decode_tps) <= 0.2

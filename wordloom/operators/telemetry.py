@@ -68,19 +68,27 @@ def request_latency(events: DataFrame, request: Sequence[str], ts="ts",
                                      F.col("_n"), F.col("_inp")))
 
 
+def quantiles(col: str, probs, exact: bool = True, accuracy: int = 10000):
+    """Exact linear percentiles (numpy's default) or, for very large groups,
+    the bounded-memory approximate ones: exact ``percentile`` keeps a count
+    per distinct value of the group."""
+    ps = F.array(*[F.lit(float(p)) for p in probs]) if isinstance(probs, (list, tuple)) else F.lit(float(probs))
+    return F.percentile(col, ps) if exact else F.percentile_approx(col, ps, accuracy)
+
+
 def latency_percentiles(req: DataFrame, by: Sequence[str] = (),
                         decimals: int | None = 3,
-                        gpu: Sequence[str] = ()) -> DataFrame:
+                        gpu: Sequence[str] = (), exact: bool = True,
+                        accuracy: int = 10000) -> DataFrame:
     """p50 / p90 of first-token, per-token, total, end-to-end times and
-    decode rate (exact, linear like numpy); max and p90 of any device
-    columns.  Rounded half-to-even to ``decimals`` (Q23) when given."""
+    decode rate (exact and linear like numpy, or approximate with
+    ``exact=False``); max and p90 of any device columns.  Rounded
+    half-to-even to ``decimals`` (Q23) when given."""
     aggs = []
     for short, colname in LATENCY_METRICS.items():
-        unit = "" if short == "decode_tps" else "_seconds"
-        p = F.percentile(colname, F.array(F.lit(0.5), F.lit(0.9)))
-        aggs.append(p.alias(f"_p_{short}"))
+        aggs.append(quantiles(colname, [0.5, 0.9], exact, accuracy).alias(f"_p_{short}"))
     for g in gpu:
-        aggs += [F.max(g).alias(f"max_{g}"), F.percentile(g, 0.9).alias(f"p90_{g}")]
+        aggs += [F.max(g).alias(f"max_{g}"), quantiles(g, 0.9, exact, accuracy).alias(f"p90_{g}")]
     a = req.groupBy(*by).agg(*aggs)
     cols = [*by]
     rnd = (lambda c: F.bround(c, decimals)) if decimals is not None else (lambda c: c)
@@ -94,13 +102,14 @@ def latency_percentiles(req: DataFrame, by: Sequence[str] = (),
 
 
 def telemetry_summary(samples: DataFrame, devices: Sequence[str] | None, tick: str,
-                      by: Sequence[str] = (), device="device", reading="reading") -> DataFrame:
+                      by: Sequence[str] = (), device="device", reading="reading",
+                      exact: bool = True) -> DataFrame:
     """Keep the selected devices, take the maximum over devices per tick,
     then the peak and p90 over ticks (0 when there is no tick, Q24)."""
     s = samples if devices is None else samples.filter(F.col(device).isin(list(devices)))
     per_tick = s.groupBy(*by, tick).agg(F.max(reading).alias("_tick_max"))
     agg = per_tick.groupBy(*by).agg(F.max("_tick_max").alias("peak"),
-                                    F.percentile("_tick_max", 0.9).alias("p90"),
+                                    quantiles("_tick_max", 0.9, exact).alias("p90"),
                                     F.count("*").alias("n_ticks"))
     return agg.select(*by, F.coalesce("peak", F.lit(0.0)).alias("peak"),
                       F.coalesce("p90", F.lit(0.0)).alias("p90"), "n_ticks")
