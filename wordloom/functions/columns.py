@@ -113,7 +113,7 @@ def last_segment(path) -> Column:
 
 
 def seconds_between(later, earlier) -> Column:
-    """Seconds between two timestamps (with or without zone), microsecond exact."""
-    a = F.unix_micros(col(later).cast("timestamp"))
-    b = F.unix_micros(col(earlier).cast("timestamp"))
-    return (a - b) / F.lit(1e6)
+    """Seconds between two timestamps (with or without zone), microsecond
+    exact and independent of the session time zone (no cast of a zone-less
+    timestamp, which would shift across daylight-saving changes)."""
+    return F.timestamp_diff("MICROSECOND", col(earlier), col(later)) / F.lit(1e6)
