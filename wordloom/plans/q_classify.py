@@ -92,7 +92,8 @@ WITH cd AS (SELECT lang AS label, count(*) AS n_docs FROM documents WHERE doc_id
 SELECT label, n_docs, n_docs / (SELECT sum(n_docs) FROM cd) AS prior,
        ln(n_docs / (SELECT sum(n_docs) FROM cd)) AS log_prior FROM cd""")
 def q_class_priors(spark, sf):
-    return CL.class_priors(nb_inputs(spark, sf)["train_docs"])
+    docs = table(spark, sf, "documents", "doc_id").select("doc_id", F.col("lang").alias("label"))
+    return CL.class_priors(docs.filter(~_test()))
 
 
 @query("class_term_totals", f"""WITH {nb_sql()}
