@@ -103,3 +103,14 @@ def test_lexicon_sets_and_coverage(spark):
     cov = {r.term: r.n_cats for r in G.lexicon_coverage(toks, lex).collect()}
     assert cov == {"fans": 2, "zebra": 0}
     assert [r.term for r in G.missing_words(toks, lex).collect()] == ["zebra"]
+
+
+def test_word2vec_deterministic_with_seed_and_one_partition(spark):
+    sents = spark.createDataFrame([(["warm", "sun", "cold", "snow", "warm", "fire"],),
+                                   (["cold", "wind", "warm", "towel"],)] * 15, "tokens array<string>")
+    a = {r.word: r.vector for r in VE.word2vec_fit(sents, vector_size=6, min_count=1, seed=7,
+                                                   num_partitions=1).collect()}
+    b = {r.word: r.vector for r in VE.word2vec_fit(sents, vector_size=6, min_count=1, seed=7,
+                                                   num_partitions=1).collect()}
+    assert a.keys() == {"warm", "sun", "cold", "snow", "fire", "wind", "towel"}
+    assert all(np.allclose(a[w], b[w]) and np.all(np.isfinite(a[w])) for w in a)
