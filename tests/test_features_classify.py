@@ -146,3 +146,12 @@ def test_metrics_and_split(spark):
     ev = set(s[s.split == "eval"].doc_id)
     assert ev == set(range(5)) and len(s) == 57
     assert not ev & set(s[s.split == "train"].doc_id)
+
+
+def test_cluster_settings_scale_with_input():
+    from wordloom.session import cluster_settings
+    small = cluster_settings(10 << 30, executors=10)
+    big = cluster_settings(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # floor at the core count
+    assert int(big["spark.sql.shuffle.partitions"]) == 2 * (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -77,3 +77,29 @@ def table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
     """One of the driver tables, ``{sf_dir}/{name}.parquet``, spread over
     the session's cores when the file is a single split."""
     return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")), *keys)
+
+
+def cluster_settings(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume.
+
+    Scan splits of ``target_partition_bytes``; shuffle partitions so that a
+    shuffle of about the input size lands near the same size per task (never
+    below the cluster's core count, so every core has work); AQE coalescing
+    and skew splitting on, with the skew threshold at four times the target.
+    Token tables are several times the raw text, so the shuffle count is
+    sized from twice the input.
+    """
+    cores = executors * cores_per_executor
+    shuffle = max(cores, -(-2 * input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    }
