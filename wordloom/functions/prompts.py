@@ -41,8 +41,8 @@ QA_USER_PREFIX = "Answer the following question based on the context:\n\n"
 CLS_SYSTEM = "You are a helpful assistant that performs text classification tasks."
 CLS_USER_PREFIX = "Classify the sentiment or topic of the following text:\n\n"
 
-# ---- fixed values: chat template of the fine-tuned model family ----
-GEMMA_TEMPLATE = {
+# ---- fixed values: turn-marker chat template used for training text ----
+TURN_TEMPLATE = {
     "roles": {"user": "user", "assistant": "model", "model": "model"},
     "turn_start": "<start_of_turn>",
     "turn_end": "<end_of_turn>\n",

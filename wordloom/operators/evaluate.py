@@ -116,7 +116,7 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def render_chat(conv: str | Column, template: Mapping = PR.GEMMA_TEMPLATE,
+def render_chat(conv: str | Column, template: Mapping = PR.TURN_TEMPLATE,
                 add_generation_prompt: bool = False) -> Column:
     """Conversation array to training text with a chat template.  A leading
     system message is folded into the first user turn (as the template the
