@@ -169,9 +169,14 @@ def classification_f1(df: DataFrame, pred="prediction", gold="label") -> DataFra
     per = per.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
                                       2 * F.col("precision") * F.col("recall")
                                       / (F.col("precision") + F.col("recall"))).otherwise(0.0))
-    macro = per.agg(F.lit("macro").alias("cls"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"))
-    return per.unionByName(macro)
+    # per-class rows and the macro row from one rollup: each class group
+    # averages its single row, the grand total averages the classes (a union
+    # with a separate aggregate would evaluate the predictions twice)
+    r = per.rollup("cls").agg(F.avg("precision").alias("precision"),
+                              F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
+                              F.grouping("cls").alias("_g"))
+    return r.select(F.when(F.col("_g") == 1, F.lit("macro")).otherwise(F.col("cls")).alias("cls"),
+                    "precision", "recall", "f1")
 
 
 def train_eval_split(df: DataFrame, order: str, n_train: int | None = None,
