@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import WHITE, map_texts, pieces
+from wordloom.llm.common import WHITE, broadcast_if_small, map_texts, pieces, written
 
 
 def line_keys(text: str | None, min_chars: int) -> list[tuple[str, bytes | None]]:
@@ -60,7 +60,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         common = (held.groupBy("_k").agg(F.min("_id").alias("_first"), F.count_distinct("_id").alias("_n"))
                   .filter(F.col("_n") >= threshold))
-    lost = (held.join(common.select("_k", "_first"), "_k").filter("_id <> _first")
+    common = broadcast_if_small(written(common.select("_k", "_first")), 200_000)
+    lost = (held.join(common, "_k").filter("_id <> _first")
             .groupBy(F.col("_id").alias("__ld_id")).agg(F.collect_set("_k").alias("__ld_lost")))  # at most the document's own lines
     return _reassemble(docs.join(lost, docs[id_col] == lost["__ld_id"], "left").drop("__ld_id"), text_col, min_chars)
 
