@@ -4,9 +4,10 @@ hash, drop the lines over the threshold and reassemble by position.
 Plan: one Python pass emits the distinct 128-bit line keys of each document;
 one aggregate per key (map-side combined, so a line that a third of all
 documents hold leaves each task as one row) keeps the keys held by enough
-documents; a join with the keys finds, per document, the keys it loses; one
-join by document brings that list to the text, and the kept lines are put
-together in their order.  Only keys and document ids are shuffled by key,
+documents, written as a table; a join with it (a broadcast only after its
+rows are counted, else a shuffle whose hot keys AQE can split) finds, per
+document, the keys it loses; one join by document brings that list to the
+text, and the kept lines are put together in their order.  Only keys and document ids are shuffled by key,
 texts move once, by document id.
 """
 

@@ -85,6 +85,56 @@ def op2(spark, sf_dir):
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query("op3_toxicity_chain")
+def op3(spark, sf_dir):
+    from wordloom.llm.toxicity import fit_chain, predict_chain
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = fit_chain(docs, read(spark, sf_dir, "labels"), {"low_quality": "quality = 0", "toxic": "toxic = 1"})
+    return predict_chain(docs, chain).select("doc_id", "low_quality_prob", "low_quality", "toxic_prob", "toxic")
+
+
+@query("op4_sentence_pieces")
+def op4(spark, sf_dir):
+    from wordloom.llm.sentence_pieces import encode_texts
+    out = encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
+                      F.xxhash64("piece_ids").alias("ids_hash"), "round_trip")
+
+
+#: The rules of op5.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query("op5_url_filter")
+def op5(spark, sf_dir):
+    from wordloom.llm.url_filter import filter_urls
+    return filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_license_scan")
+def op6(spark, sf_dir):
+    from wordloom.llm.license_scan import scan_licenses
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
+OP7 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id) WHERE rank <= 10"""
+
+
+@query("op7_vector_file", OP7)
+def op7(spark, sf_dir):
+    from wordloom.llm.vector_file import exact_top_k
+    rows = read(spark, sf_dir, "embeddings")
+    return exact_top_k(rows, rows.filter("vec_id % 100 = 0"))
+
+
 OP9 = f"""
 WITH l AS (SELECT doc_id, generate_subscripts(s, 1) AS pos, unnest(s) AS line
            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
