@@ -135,6 +135,24 @@ def op7(spark, sf_dir):
     return exact_top_k(rows, rows.filter("vec_id % 100 = 0"))
 
 
+OP8 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, {SQL_WORD}) AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+2], ' ') AS g
+      FROM w, range(1, greatest(1, CAST(len(w) AS BIGINT) - 2) + 1) r(i) WHERE len(w) > 0),
+s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (SELECT a AS doc_id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(min(r.root), w.doc_id) AS component_id
+FROM w LEFT JOIN s USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY w.doc_id, s.n"""
+
+
+@query("op8_ngram_join", OP8)
+def op8(spark, sf_dir):
+    from wordloom.llm.ngram_join import jaccard_components
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 OP9 = f"""
 WITH l AS (SELECT doc_id, generate_subscripts(s, 1) AS pos, unnest(s) AS line
            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
