@@ -32,16 +32,33 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 CACHE = 400_000
 
 
-def word_features(word: str) -> list[int]:
-    """64-bit hashes of a lower-cased word without punctuation at its ends,
-    and of its first 4, 5 and 6 characters where it is longer."""
+def _hash(name: str) -> int:
     import xxhash
 
+    return xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def word_features(word: str) -> list[int]:
+    """64-bit hashes of a word in lower case without punctuation at its ends,
+    of its first 4, 5 and 6 characters where it is longer, and of its shape:
+    the marks at its end, and whether it is all capitals."""
     core = _EDGE.sub("", word)
-    if not core:
-        return []
-    names = [f"w:{core}"] + [f"p:{core[:n]}" for n in PREFIXES if len(core) > n]
-    return [xxhash.xxh3_64_intdigest(n.encode("utf-8", "surrogatepass")) - (1 << 63) for n in names]
+    low = core.lower()
+    names = [f"w:{low}"] + [f"p:{low[:n]}" for n in PREFIXES if len(low) > n] if core else ["w:"]
+    end = word[len(word.rstrip("".join({c for c in word if not (c.isalnum() or c == "_")}))):] if word != core else ""
+    if end not in ("", ".", ","):
+        names.append(f"e:{end[:8]}")
+    if len(core) > 1 and core.isupper():
+        names.append("caps")
+    return [_hash(n) for n in names]
+
+
+def text_features(words: list[str]) -> list[int]:
+    """Hashes of what a text's words look like together: their number (by
+    powers of two) and the share of different ones (in tenths)."""
+    if not words:
+        return [_hash("empty")]
+    return [_hash(f"n:{len(words).bit_length()}"), _hash(f"u:{10 * len(set(words)) // len(words)}")]
 
 
 class Lookup(dict):
@@ -65,8 +82,10 @@ class Lookup(dict):
         """The selected features of a whole text, each once."""
         if not text:
             return []
-        codes = set(map(self.__getitem__, text.lower().split()))
-        return sorted({i for c in codes for i in self.sets[c]})
+        words = text.split()
+        codes = set(map(self.__getitem__, words))
+        whole = (self.place[f] for f in text_features(words) if f in self.place)
+        return sorted({*whole, *(i for c in codes for i in self.sets[c])})
 
 
 class Linear:
@@ -127,10 +146,11 @@ class Linear:
 
 
 class Chain:
-    """Selected features and one linear model per category, in order."""
+    """Selected features, one linear model per category, in order, and the
+    probability from which a category is predicted."""
 
-    def __init__(self, categories: list[str], selected: np.ndarray, models: list[Linear]):
-        self.categories, self.selected, self.models = categories, selected, models
+    def __init__(self, categories: list[str], selected: np.ndarray, models: list[Linear], thresholds: list[float]):
+        self.categories, self.selected, self.models, self.thresholds = categories, selected, models, thresholds
 
     def margins(self, rows, cols, n) -> np.ndarray:
         extra = np.zeros((n, 0))
@@ -147,7 +167,7 @@ def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id",
               text_col: str = "text", max_train: int = 20_000, max_features: int = 2048,
-              folds: int = 5, l2: float = 1.0, min_docs: int = 3) -> Chain:
+              folds: int = 5, l2: float = 0.1, min_docs: int = 3) -> Chain:
     """Fit the chain on at most ``max_train`` labelled rows.
 
     ``categories`` maps each category, in chain order, to a SQL condition on
@@ -165,7 +185,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id
 
     def make():
         def step(texts):
-            return [[sorted({f for w in set(t.lower().split()) for f in word_features(w)}) for t in texts]]
+            split = [t.split() for t in texts]
+            return [[sorted({*text_features(w), *(f for x in set(w) for f in word_features(x))}) for w in split]]
         return step
 
     # at most max_train rows: broadcast by that bound, the texts are not shuffled
@@ -207,7 +228,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id
     rows, cols = flat(matrix.column("features").to_pylist())
     n = matrix.num_rows
     fold = np.array([_fold(i, folds) for i in matrix.column("id").to_pylist()], np.int64)
-    extra, models = np.zeros((n, 0)), []
+    extra, models, thresholds = np.zeros((n, 0)), [], []
     for i in range(len(names)):
         y = matrix.column(f"y{i}").to_numpy().astype(float)
         held = np.zeros(n)
@@ -221,7 +242,21 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id
             held[out] = part.margin(number[rows[take]], cols[take], int(out.sum()), extra[out])
         models.append(Linear.fit(rows, cols, n, len(selected), extra, y, l2))
         extra = np.column_stack([extra, held])
-    return Chain(names, selected, models)
+        thresholds.append(best_threshold(1 / (1 + np.exp(-np.clip(held, -700, 700))), y))
+    return Chain(names, selected, models, thresholds)
+
+
+def best_threshold(prob: np.ndarray, y: np.ndarray) -> float:
+    """The probability between two out-of-fold predictions that gives the
+    best F1; 0.5 without both classes."""
+    if not 0 < y.sum() < len(y):
+        return 0.5
+    order = np.argsort(-prob, kind="stable")
+    p, hits = prob[order], np.cumsum(y[order])
+    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    f1[:-1][p[:-1] == p[1:]] = -1  # equal predictions can't be told apart
+    i = int(f1.argmax())
+    return float((p[i] + (p[i + 1] if i + 1 < len(p) else 0.0)) / 2)
 
 
 def _fold(value, folds: int) -> int:
@@ -230,9 +265,9 @@ def _fold(value, folds: int) -> int:
     return zlib.crc32(str(value).encode()) % folds
 
 
-def predict_chain(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def predict_chain(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
     """``docs`` with ``<category>_prob`` (double) and ``<category>``
-    (boolean: at least ``threshold``) added per category; input columns of
+    (boolean: at least the chain's threshold) added per category; input columns of
     these names are replaced.  A null or empty text has no features and gets
     the chain's prior; a row's result depends on its whole text alone.
     """
@@ -248,7 +283,7 @@ def predict_chain(docs: DataFrame, chain: Chain, text_col: str = "text", thresho
             rows, cols = flat([lookup.of(t) for t in texts])
             margins = chain.margins(rows, cols, len(texts))
             prob = 1 / (1 + np.exp(-np.clip(margins, -700, 700)))
-            return [x for j in range(prob.shape[1]) for x in (prob[:, j], prob[:, j] >= threshold)]
+            return [x for j in range(prob.shape[1]) for x in (prob[:, j], prob[:, j] >= chain.thresholds[j])]
         return step
 
     return map_texts(docs, text_col, fields, make)
