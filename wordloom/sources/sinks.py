@@ -4,7 +4,7 @@ reference's temp-file-and-rename."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +51,10 @@ def save_result_docs(df: DataFrame, path: str,
     keys with a path-safe model key (``/`` to ``_``); the model is part of
     the path (Q20)."""
     out = df.withColumn(keys[0], C.result_key(keys[0]))
-    out.write.mode("overwrite").partitionBy(*keys).json(path)
+    # dynamic: only the partitions that are written now are replaced, the
+    # documents of earlier runs stay
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).json(path))
 
 
 def write_corpus(df: DataFrame, path: str, file="file", text="text") -> None:
@@ -59,6 +62,17 @@ def write_corpus(df: DataFrame, path: str, file="file", text="text") -> None:
     df.select(file, text).write.mode("overwrite").partitionBy(file).text(path)
 
 
+def match_report(df: DataFrame, patterns: Mapping[str, str], file="file", text="text") -> DataFrame:
+    """``(file, report)``: per file, under each pattern's name, its matches
+    one per line in text order; sections are two blank lines apart.  Written
+    with :func:`write_corpus` it is one report per file."""
+    parts = []
+    for name, pattern in patterns.items():
+        found = F.array_join(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), "\n")
+        parts.append(F.concat(F.lit(f"{name}\n"), F.coalesce(found, F.lit(""))))
+    return df.select(F.col(file), F.concat_ws("\n\n\n", *parts).alias("report"))
+
+
 def write_lexicon(lexicon: DataFrame, path: str, word="word", cat="cat") -> None:
     """Sorted distinct words per category as ``\\w`` / ``\\c`` records.
     Range-partitioned and sorted: the part files, read in name order, are
