@@ -114,3 +114,48 @@ def test_word2vec_deterministic_with_seed_and_one_partition(spark):
                                                    num_partitions=1).collect()}
     assert a.keys() == {"warm", "sun", "cold", "snow", "fire", "wind", "towel"}
     assert all(np.allclose(a[w], b[w]) and np.all(np.isfinite(a[w])) for w in a)
+
+
+def test_words_in_both_cases_count_once(spark):
+    from wordloom.operators import vectors as VE
+    rows = [("The", [1.0, 0.1]), ("the", [-1.0, 0.5]), ("cat", [0.2, 1.0]), ("Dog", [0.9, 0.3]), ("dog", [0.0, -1.0]), ("sun", [0.5, 0.5])]
+    v = spark.createDataFrame(rows, "word string, vector array<double>")
+    pairs = spark.createDataFrame([("the", "CAT", 1.0), ("dog", "sun", 2.0), ("Cat", "sun", 3.0), ("cat", "none", 4.0)],
+                                  "w1 string, w2 string, score double")
+    r = VE.word_pair_eval(pairs, v).first()
+    assert r.n_pairs == 3 and r.oov_ratio == 25.0
+    q = spark.createDataFrame([(1, "s", "the", "cat", "dog", "sun"), (2, None, "sun", "The", "cat", "dog")],
+                              "qid long, section string, a string, b string, c string, d string")
+    got = VE.solve_analogies(q, v).collect()
+    assert len(got) == 2
+    assert all(x.predicted not in (x.a, x.b, x.c) for x in got)
+    acc = {x.section: x.n_correct + x.n_incorrect for x in VE.analogy_accuracy(VE.solve_analogies(q, v)).collect()}
+    assert acc == {"s": 1, None: 1, "Total": 2}
+
+
+def test_missing_input_word_is_an_error(spark):
+    import pytest
+    from wordloom.operators import vectors as VE
+    v = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "word string, vector array<double>")
+    with pytest.raises(KeyError):
+        VE.most_similar(v, ["a", "zz"])
+
+
+def test_long_unary_chains(spark):
+    from wordloom.operators import grammar as G
+    rules = spark.createDataFrame([(f"N{i}", [f"N{i + 1}"]) for i in range(40)] + [("S", ["N0"])], "lhs string, rhs array<string>")
+    lex = spark.createDataFrame([("w", "N40")], "word string, cat string")
+    sent = spark.createDataFrame([(1, "w")], "sent_id long, text string")
+    assert G.chart_parse(sent, lex, rules).first().n_parses == 1
+
+
+def test_projection_equals_principal_components(spark):
+    import numpy as np
+    from wordloom.operators import vectors as VE
+    x = np.random.default_rng(0).normal(size=(40, 5)) * [5, 3, 1, 1, 1]
+    v = spark.createDataFrame([(f"w{i:02d}", r.tolist()) for i, r in enumerate(x)], "word string, vector array<double>")
+    got = np.array([(r.x, r.y) for r in VE.project_2d(v).orderBy("word").collect()])
+    _, _, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    want = x @ vt[:2].T
+    for j in range(2):
+        assert np.allclose(got[:, j], want[:, j], atol=1e-6) or np.allclose(got[:, j], -want[:, j], atol=1e-6)

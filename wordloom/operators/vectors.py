@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..session import cut_lineage
+from ..session import broadcast_checked, cut_lineage
 
 
 def read_vectors(df: DataFrame, word="vec_id", vector="embedding") -> DataFrame:
@@ -30,9 +30,12 @@ def read_vectors(df: DataFrame, word="vec_id", vector="embedding") -> DataFrame:
                      F.transform(vector, lambda x: x.cast("double")).alias("vector"))
 
 
-def vector_of(vectors: DataFrame, word: str):
-    """The vector of one word as a scalar-subquery column (null if absent)."""
-    return vectors.filter(F.col("word") == F.lit(word)).select(F.first("vector")).scalar()
+def folded(vectors: DataFrame) -> DataFrame:
+    """One row per upper-cased word: the first one that folds to it (smallest
+    ``rank`` where the table has that column, then the smallest word)."""
+    first = F.struct("rank", "word") if "rank" in vectors.columns else F.struct("word")
+    return (vectors.groupBy(F.upper("word").alias("_upper")).agg(F.min_by(F.struct("*"), first).alias("_v"))
+            .select(F.col("_upper").alias("word"), *[f"_v.{c}" for c in vectors.columns if c != "word"]))
 
 
 def cosine_distance(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -53,18 +56,21 @@ def _query_vector(vectors: DataFrame, positive: Sequence[str], negative: Sequenc
     unit = sel.select(F.posexplode(C.unit_vector("vector")).alias("i", "x"), sign.alias("s"))
     comp = unit.groupBy("i").agg(F.sum(F.col("x") * F.col("s")).alias("x"))
     n_words = len(positive) + len(negative)
+    known = {r[0] for r in sel.select("word").distinct().collect()}  # at most the input words
+    missing = [w for w in [*positive, *negative] if w not in known]
+    if missing:
+        raise KeyError(f"{missing} not in the vocabulary")
     row = comp.select(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))),
                                   lambda e: e["x"] / n_words)).first()
-    if row is None or row[0] is None or len(row[0]) == 0:
-        raise KeyError(f"none of {list(positive) + list(negative)} is in the vocabulary")
     return F.array(*[F.lit(float(x)) for x in row[0]])
 
 
 def most_similar(vectors: DataFrame, positive: Sequence[str], negative: Sequence[str] = (),
                  n: int | None = 10) -> DataFrame:
     """Words nearest to the mean of signed unit vectors, inputs excluded,
-    best first (the library default is 10).  The query vector is a scalar
-    subquery; cosines run in generated code; top-n is a take-ordered."""
+    best first (the library default is 10).  An input word that is not in the
+    table is an error.  The query vector (one row, as long as a vector) is
+    fetched and becomes a literal; top-n is a take-ordered."""
     q = _query_vector(vectors, positive, negative)
     res = (vectors.filter(~F.col("word").isin(list(positive) + list(negative)))
                   .select("word", C.cosine("vector", q).alias("similarity")))
@@ -77,8 +83,10 @@ def compare_models(models: DataFrame, word: str, n: int = 10) -> DataFrame:
     """Neighbours of one word under several vector tables ``(model, word,
     vector)``: cosine to that model's own vector of the word, top n per model
     (partial window-group limit before the shuffle)."""
-    own = models.filter(F.col("word") == F.lit(word)).select(
-        "model", F.col("vector").alias("_q"))
+    # one row per model; the other side has few distinct models, so its rows
+    # must not be dealt by them
+    own = broadcast_checked(models.filter(F.col("word") == F.lit(word)).select(
+        "model", F.col("vector").alias("_q")))
     sims = (models.filter(F.col("word") != F.lit(word)).join(own, "model")
                   .select("model", "word", C.cosine("vector", "_q").alias("similarity")))
     w = Window.partitionBy("model").orderBy(F.desc("similarity"), F.asc("word"))
@@ -108,29 +116,42 @@ def _block_topk(k: int):
             if ex is not None:
                 cols = [index[w] for w in ex if w in index]
                 sims[r, cols] = np.nan
-        sims = np.where(np.isnan(sims), -np.inf, sims)
+        sims[np.isnan(sims)] = -np.inf
         kk = min(k, sims.shape[1])
-        out_q, out_w, out_s = [], [], []
-        for r in range(sims.shape[0]):
-            row = sims[r]
-            order = np.argsort(-row, kind="stable")[:kk]
-            order = order[np.isfinite(row[order])]
-            out_q.extend([q["qid"].iloc[r]] * len(order))
-            out_w.extend(words[order])
-            out_s.extend(row[order])
-        return pd.DataFrame({"qid": np.asarray(out_q, dtype="int64"), "word": out_w,
-                             "similarity": np.asarray(out_s, dtype="float64")})
+        # words are sorted, so the first of equal similarities is the smallest word
+        if kk == 1:
+            order = sims.argmax(axis=1)[:, None]
+        else:
+            least = np.partition(sims, -kk, axis=1)[:, -kk]
+            order = [np.flatnonzero(row >= t) for row, t in zip(sims, least)]
+            order = [c[np.argsort(-row[c], kind="stable")][:kk] for row, c in zip(sims, order)]
+        rows = np.repeat(np.arange(len(sims)), [len(c) for c in order])
+        cols = np.concatenate([np.zeros(0, int), *order]).astype(int)
+        keep = np.isfinite(sims[rows, cols])
+        rows, cols = rows[keep], cols[keep]
+        return pd.DataFrame({"qid": q["qid"].to_numpy().astype("int64")[rows], "word": words[cols],
+                             "similarity": sims[rows, cols]})
     return fn
 
 
+#: Cells of the similarity matrix that one task holds at once (64 MB).
+BLOCK_CELLS = 8 << 20
+
+
 def nearest_words(queries: DataFrame, vectors: DataFrame, k: int = 1,
-                  query_block: int = 2048, candidate_block: int = 50000) -> DataFrame:
+                  query_block: int | None = None, candidate_block: int | None = None) -> DataFrame:
     """Top-k words by cosine for every query ``(qid long, qvec array<double>,
-    exclude array<string>)`` over ``vectors (word, vector)``; ties by word."""
+    exclude array<string>)`` over ``vectors (word, vector)``; ties by word.
+
+    Blocks are cut so that a (query block, candidate block) pair stays within
+    a fixed number of cells and there are at least as many pairs as cores."""
     nq = queries.count()
     nv = vectors.count()
-    qb = max(1, math.ceil(nq / query_block))
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    query_block = query_block or 512
+    candidate_block = candidate_block or BLOCK_CELLS // query_block
     cb = max(1, math.ceil(nv / candidate_block))
+    qb = max(1, math.ceil(nq / query_block), min(math.ceil(cores / cb), nq))
     qx = (queries.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
                  .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
     cx = (vectors.withColumn("_cb", F.pmod(F.xxhash64("word"), F.lit(cb)))
@@ -151,10 +172,11 @@ def solve_analogies(questions: DataFrame, vectors: DataFrame,
     the first n words in ``vectors`` order (column ``rank`` when present)."""
     v = vectors
     if case_insensitive:
-        v = v.withColumn("word", F.upper("word"))
         questions = questions.select("qid", "section", *[F.upper(x).alias(x) for x in "abcd"])
     if restrict_vocab is not None:
         v = v.orderBy("rank" if "rank" in v.columns else "word").limit(restrict_vocab)
+    if case_insensitive:
+        v = folded(v)
     # unit vectors and the joined questions are each used several times:
     # written once to the shared checkpoint folder instead of re-scanned
     u = cut_lineage(v.select("word", C.unit_vector("vector").alias("u")))
@@ -177,8 +199,9 @@ def analogy_accuracy(results: DataFrame, section="section", correct="correct") -
     (rollup); an empty section gives a null accuracy (Q14)."""
     r = results.rollup(section).agg(
         F.sum(F.col(correct).cast("long")).alias("n_correct"),
-        F.sum((~F.col(correct)).cast("long")).alias("n_incorrect"))
-    return r.select(F.coalesce(F.col(section).cast("string"), F.lit("Total")).alias("section"),
+        F.sum((~F.col(correct)).cast("long")).alias("n_incorrect"),
+        F.grouping(section).alias("_all"))  # a null section is not the total
+    return r.select(F.when(F.col("_all") == 1, F.lit("Total")).otherwise(F.col(section).cast("string")).alias("section"),
                     "n_correct", "n_incorrect",
                     F.try_divide(F.col("n_correct").cast("double"),
                                  F.col("n_correct") + F.col("n_incorrect")).alias("accuracy"))
@@ -192,9 +215,11 @@ def word_pair_eval(pairs: DataFrame, vectors: DataFrame, case_insensitive=True)
     v = vectors
     p = pairs
     if case_insensitive:
-        v = v.withColumn("word", F.upper("word"))
+        v = folded(v)
         p = p.withColumn("w1", F.upper("w1")).withColumn("w2", F.upper("w2"))
-    sims = cosine_distance(v, p.withColumn("_pid", F.monotonically_increasing_id()))
+    # written once: the ranks, the statistics and the share of unknown words
+    # all read it
+    sims = cut_lineage(cosine_distance(v, p).select("score", "cosine"))
     known = sims.filter(F.col("cosine").isNotNull())
     r = ordering.average_rank(known, "score", "_rs")
     r = ordering.average_rank(r, "cosine", "_rc")
@@ -209,10 +234,15 @@ def word_pair_eval(pairs: DataFrame, vectors: DataFrame, case_insensitive=True)
 # ---------------------------------------------------------------- training
 def word2vec_fit(sentences: DataFrame, tokens="tokens", vector_size=100, window=5,
                  min_count=5, sg=1, negative=None, max_iter=1, seed=42,
-                 num_partitions=1) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Skip-gram vectors with Spark ML.  CBOW (``sg=0``) and negative
-    sampling are not offered by Spark's trainer and are rejected."""
+    sampling are not offered by Spark's trainer and are rejected.  The corpus
+    is dealt over ``num_partitions`` tasks (as many as cores by default); the
+    trainer keeps vocabulary and weights on the driver, so their product must
+    fit there."""
     from pyspark.ml.feature import Word2Vec
+    if num_partitions is None:
+        num_partitions = sentences.sparkSession.sparkContext.defaultParallelism
     if sg != 1:
         raise ValueError("only skip-gram (sg=1) is available")
     if negative not in (None, 0):

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import evaluate as EV
 from ..operators import text as T
 from ..operators import vectors as VE
 from ..session import table
@@ -24,7 +23,7 @@ def _cos_sql(a, b):
 
 
 def _emb(spark, sf):
-    return table(spark, sf, "embeddings", "vec_id")
+    return table(spark, sf, "embeddings")
 
 
 def _vec(spark, sf):
@@ -100,17 +99,19 @@ def q_most_similar_analogy(spark, sf):
 
 
 @query("compare_models", f"""WITH {_U},
-m AS (SELECT 'full' AS model, word, v FROM u UNION ALL SELECT 'half', word, v[1:32] FROM u),
+m AS (SELECT 'plain' AS model, word, v FROM u
+      UNION ALL SELECT 'weighted', word, list_transform(v, lambda x, i: x * i) FROM u),
 q AS (SELECT model, v AS qv FROM m WHERE word = '0'),
 s AS (SELECT m.model, m.word, {_cos_sql('m.v', 'q.qv')} AS similarity
       FROM m JOIN q USING (model) WHERE m.word <> '0'),
 r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY similarity DESC, word) AS rk FROM s)
 SELECT model, word, round(similarity, 9) AS similarity, CAST(rk AS INTEGER) AS rank FROM r WHERE rk <= 5""")
 def q_compare_models(spark, sf):
+    """Two vector tables: the vectors, and all their entries weighted by position."""
     v = _vec(spark, sf)
-    models = (v.select(F.lit("full").alias("model"), "word", "vector")
-              .unionByName(v.select(F.lit("half").alias("model"), "word",
-                                    F.slice("vector", 1, 32).alias("vector"))))
+    models = (v.select(F.lit("plain").alias("model"), "word", "vector")
+              .unionByName(v.select(F.lit("weighted").alias("model"), "word",
+                                    F.transform("vector", lambda x, i: x * (i + 1)).alias("vector"))))
     r = VE.compare_models(models, "0", 5)
     return r.select("model", "word", F.round("similarity", 9).alias("similarity"), "rank")
 
@@ -173,12 +174,42 @@ def q_word_pair_eval(spark, sf):
     return VE.word_pair_eval(gold_pairs(spark, sf), _vec(spark, sf))
 
 
+_MIXED_SQL = f"""m AS (SELECT 'w' || vec_id AS word, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+      UNION ALL SELECT 'W' || vec_id, list_reverse(CAST(embedding AS DOUBLE[])) FROM embeddings WHERE vec_id % 3 = 0),
+fd AS (SELECT upper(word) AS word, arg_min(v, word) AS v FROM m GROUP BY 1),
+mp AS (SELECT i, j, score FROM (SELECT p.i, p.j, CAST(10 - abs(p.label - e2.label) AS DOUBLE) AS score
+       FROM (SELECT vec_id AS i, (7 * vec_id + 3) % {_N} AS j, label FROM embeddings) p JOIN embeddings e2 ON e2.vec_id = p.j)),
+cs AS (SELECT score, {_cos_sql('a.v', 'b.v')} AS cosine
+       FROM mp LEFT JOIN fd a ON a.word = 'W' || i LEFT JOIN fd b ON b.word = 'W' || j)"""
+
+
+@query("word_pair_eval_mixed", f"""WITH {_MIXED_SQL},
+k AS (SELECT score, cosine FROM cs WHERE cosine IS NOT NULL),
+r AS (SELECT score, cosine,
+        rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rs,
+        rank() OVER (ORDER BY cosine) + (count(*) OVER (PARTITION BY cosine) - 1) / 2.0 AS rc FROM k)
+SELECT corr(score, cosine) AS pearson, corr(rs, rc) AS spearman, count(*) AS n_pairs,
+       (SELECT count(*) FILTER (WHERE cosine IS NULL) * 100.0 / count(*) FROM cs) AS oov_ratio
+FROM r""")
+def q_word_pair_eval_mixed(spark, sf):
+    """Words in both cases (``w7``, ``W6`` and ``w6``), pairs in mixed case:
+    each folded word counts once, with its first vector."""
+    e = _emb(spark, sf)
+    rows = e.select(F.concat(F.lit("w"), "vec_id").alias("vec_id"), "embedding").unionByName(
+        e.filter("vec_id % 3 = 0").select(F.concat(F.lit("W"), "vec_id").alias("vec_id"), F.reverse("embedding").alias("embedding")))
+    pairs = gold_pairs(spark, sf).select(F.concat(F.lit("W"), "w1").alias("w1"), F.concat(F.lit("w"), "w2").alias("w2"), "score")
+    return VE.word_pair_eval(pairs, VE.read_vectors(rows))
+
+
 def _sentences(spark, sf):
-    d = table(spark, sf, "documents", "doc_id")
+    d = table(spark, sf, "documents")
     return T.token_arrays(d, "text", "tokens", "default").select("doc_id", "tokens")
 
 
-@query("word2vec_fit")
+@query("word2vec_fit", """
+SELECT term AS word, CAST(16 AS INTEGER) AS dims FROM (
+  SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents)
+GROUP BY term HAVING count(*) >= 5""")
 def q_word2vec_fit(spark, sf):
     par = spark.sparkContext.defaultParallelism
     return VE.word2vec_fit(_sentences(spark, sf), vector_size=16, window=5, min_count=5,
@@ -186,16 +217,13 @@ def q_word2vec_fit(spark, sf):
 
 
 def _grid(spark, sf):
-    bench = table(spark, sf, "benchmark", "item_id")
+    bench = table(spark, sf, "benchmark")
     toks = T.tokenize(bench, "text", "item_id", "default")
     t2 = toks.select("item_id", F.col("pos").alias("p0"), F.col("term").alias("t0"))
-    quads = toks
-    for i, c in enumerate("abcd"):
-        quads = quads if i == 0 else quads
     q = (t2.join(toks.select("item_id", (F.col("pos") - 1).alias("p0"), F.col("term").alias("b")), ["item_id", "p0"])
            .join(toks.select("item_id", (F.col("pos") - 2).alias("p0"), F.col("term").alias("c")), ["item_id", "p0"])
            .join(toks.select("item_id", (F.col("pos") - 3).alias("p0"), F.col("term").alias("d")), ["item_id", "p0"])
-           .select((F.col("item_id") * 100000 + F.col("p0")).alias("qid"),
+           .select(F.xxhash64("item_id", "p0").alias("qid"),
                    F.col("item_id").cast("string").alias("section"), F.col("t0").alias("a"), "b", "c", "d"))
     pairs = (t2.join(toks.select("item_id", (F.col("pos") - 1).alias("p0"), F.col("term").alias("w2")),
                      ["item_id", "p0"])
@@ -211,11 +239,6 @@ def q_word2vec_grid(spark, sf):
     return _grid(spark, sf).drop("train_seconds")
 
 
-@query("best_params")
-def q_best_params(spark, sf):
-    return EV.best_params(_grid(spark, sf)).select("criterion", "grid_idx")
-
-
 @query("project_2d")
 def q_project_2d(spark, sf):
     return VE.project_2d(_vec(spark, sf))
