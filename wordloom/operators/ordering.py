@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_checked, cut_lineage
 
 
 def _tagged(df: DataFrame, order_cols: Sequence) -> DataFrame:
@@ -59,3 +59,33 @@ def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     ranked = exclusive_prefix_sum(counts, [value], "_c", "_b")
     ranks = ranked.select(value, (F.col("_b") + (F.col("_c") + 1) / 2.0).alias(out))
     return df.join(ranks, value, "left")
+
+
+def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequence[float]) -> DataFrame:
+    """Exact linear percentiles (numpy's default) per group: ``(by...,
+    name_prob...)`` with one column ``f"{name}_{prob}"`` per entry of
+    ``columns`` (name to column) and probability; nulls are left out.
+
+    All values get a position in one distributed sort by (group, name,
+    value); a group's percentiles are the values at two positions.  No group
+    is ever held by one task, as a percentile aggregate would."""
+    by = list(by)
+    arms = F.array(*[F.struct(F.lit(n).alias("_m"), c.cast("double").alias("_v")) for n, c in columns.items()])
+    long = df.select(*by, F.explode(arms).alias("_a")).select(*by, "_a.*").filter(F.col("_v").isNotNull())
+    placed = dense_index(long, [*by, "_m", "_v"], "_i")
+    groups = placed.groupBy(*by, "_m").agg(F.min("_i").alias("_first"), F.count("*").alias("_n"))
+    want = groups.select(*by, "_m", "_first", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
+    at = F.col("_p") * (F.col("_n") - 1)
+    want = want.select(*by, "_m", "_p", (at - F.floor(at)).alias("_part"), F.explode(F.array(
+        F.struct((F.col("_first") + F.floor(at)).alias("_i"), F.lit(0).alias("_hi")),
+        F.struct((F.col("_first") + F.ceil(at)).alias("_i"), F.lit(1).alias("_hi")))).alias("_x"))
+    want = want.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_m").alias("_name"),
+                       "_p", "_part", "_x._i", "_x._hi")
+    found = broadcast_checked(cut_lineage(want)).join(placed.select("_i", "_v"), "_i")
+    lo = F.max(F.when(F.col("_hi") == 0, F.col("_v")))
+    hi = F.max(F.when(F.col("_hi") == 1, F.col("_v")))
+    keys = [f"_by{i}" for i in range(len(by))]
+    value = found.groupBy(*keys, "_name", "_p").agg((lo + (hi - lo) * F.max("_part")).alias("_q"))
+    return value.groupBy(*keys).agg(*[
+        F.max(F.when((F.col("_name") == n) & (F.col("_p") == float(p)), F.col("_q"))).alias(f"{n}_{p}")
+        for n in columns for p in probs]).withColumnsRenamed({f"_by{i}": c for i, c in enumerate(by)})

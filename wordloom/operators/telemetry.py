@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import broadcast_checked, cut_lineage
+from . import ordering
 
 LATENCY_METRICS = {
     "ttft": "time_to_first_token_seconds",
@@ -52,28 +54,45 @@ def request_latency(events: DataFrame, request: Sequence[str], ts="ts",
     """Per request: the first event starts generation, the second is the
     first token, the last ends it; every event after the first is an output
     token.  Requests with no token are dropped (the reference returns
-    nothing for them).  Rows are grouped by request; the second event comes
-    from ``min_by`` over the events after the first -- no sort of a request."""
+    nothing for them).  Start, end and count are one map-side combined
+    aggregate; the second distinct time comes from a window that a group
+    limit cuts to two rows per request and task before the shuffle, so a
+    request with a large share of the events is never one task's group."""
     req = list(request)
     inp = input_tokens if input_tokens is not None else F.lit(0)
-    first = events.groupBy(*req).agg(F.min(ts).alias("_start"), F.max(ts).alias("_end"),
+    stats = events.groupBy(*req).agg(F.min(ts).alias("_start"), F.max(ts).alias("_end"),
                                      F.count("*").alias("_n"),
-                                     F.min_by(inp, F.col(ts)).alias("_inp"))
-    second = (events.join(first.select(*req, "_start"), req)
-                    .filter(F.col(ts) > F.col("_start"))
-                    .groupBy(*req).agg(F.min(ts).alias("_first_tok")))
-    j = first.filter(F.col("_n") >= 2).join(second, req, "left")
+                                     F.min_by(inp, F.col(ts)).alias("_inp")).filter("_n >= 2")
+    times = events.select(*req, F.col(ts).alias("_t")).distinct()
+    early = (times.withColumn("_r", F.row_number().over(Window.partitionBy(*req).orderBy("_t")))
+                  .filter(F.col("_r") <= 2).filter(F.col("_r") == 2)
+                  .select(*req, F.col("_t").alias("_first_tok")))
+    j = stats.join(early, req, "left")
     return j.select(*req, F.col("_start").alias("start_ts"),
                     *latency_columns(F.col("_start"), F.col("_first_tok"), F.col("_end"),
                                      F.col("_n"), F.col("_inp")))
 
 
-def quantiles(col: str, probs, exact: bool = True, accuracy: int = 10000):
-    """Exact linear percentiles (numpy's default) or, for very large groups,
-    the bounded-memory approximate ones: exact ``percentile`` keeps a count
-    per distinct value of the group."""
-    ps = F.array(*[F.lit(float(p)) for p in probs]) if isinstance(probs, (list, tuple)) else F.lit(float(probs))
-    return F.percentile(col, ps) if exact else F.percentile_approx(col, ps, accuracy)
+def approx_quantile(col: str, prob: float, accuracy: int = 10000):
+    """A percentile with bounded memory (an element of the group whose rank
+    is off by at most a 1 / accuracy share)."""
+    return F.percentile_approx(col, F.lit(float(prob)), accuracy)
+
+
+def _quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs, exact: bool, accuracy: int) -> DataFrame:
+    if exact:
+        return ordering.group_quantiles(df, by, columns, probs)
+    named = df.select(*by, *[c.alias(n) for n, c in columns.items()])
+    return named.groupBy(*by).agg(*[approx_quantile(n, p, accuracy).alias(f"{n}_{p}") for n in columns for p in probs])
+
+
+def _on_group(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group from two aggregates of the same rows, null-safe."""
+    b = b.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(by)})
+    cond = F.lit(True)
+    for i, c in enumerate(by):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return a.join(broadcast_checked(b), cond, "left").drop(*[f"_g{i}" for i in range(len(by))])
 
 
 def latency_percentiles(req: DataFrame, by: Sequence[str] = (),
@@ -81,23 +100,21 @@ def latency_percentiles(req: DataFrame, by: Sequence[str] = (),
                         gpu: Sequence[str] = (), exact: bool = True,
                         accuracy: int = 10000) -> DataFrame:
     """p50 / p90 of first-token, per-token, total, end-to-end times and
-    decode rate (exact and linear like numpy, or approximate with
-    ``exact=False``); max and p90 of any device columns.  Rounded
-    half-to-even to ``decimals`` (Q23) when given."""
-    aggs = []
-    for short, colname in LATENCY_METRICS.items():
-        aggs.append(quantiles(colname, [0.5, 0.9], exact, accuracy).alias(f"_p_{short}"))
-    for g in gpu:
-        aggs += [F.max(g).alias(f"max_{g}"), quantiles(g, 0.9, exact, accuracy).alias(f"p90_{g}")]
-    a = req.groupBy(*by).agg(*aggs)
-    cols = [*by]
+    decode rate; max and p90 of any device columns.  Exact and linear like
+    numpy, from one distributed sort, or approximate in one aggregate with
+    ``exact=False``.  Rounded half-to-even to ``decimals`` (Q23) when given."""
+    by = list(by)
+    metrics = {short: F.col(c) for short, c in LATENCY_METRICS.items()} | {g: F.col(g) for g in gpu}
+    a = _quantiles(req, by, metrics, [0.5, 0.9], exact, accuracy)
+    if gpu:
+        a = _on_group(a, req.groupBy(*by).agg(*[F.max(g).alias(f"max_{g}") for g in gpu]), by)
     rnd = (lambda c: F.bround(c, decimals)) if decimals is not None else (lambda c: c)
+    cols = [*by]
     for short in LATENCY_METRICS:
         unit = "" if short == "decode_tps" else "_seconds"
-        cols += [rnd(F.col(f"_p_{short}")[0]).alias(f"p50_{short}{unit}"),
-                 rnd(F.col(f"_p_{short}")[1]).alias(f"p90_{short}{unit}")]
+        cols += [rnd(F.col(f"`{short}_{p}`")).alias(f"p{int(100 * p)}_{short}{unit}") for p in (0.5, 0.9)]
     for g in gpu:
-        cols += [rnd(F.col(f"max_{g}")).alias(f"max_{g}"), rnd(F.col(f"p90_{g}")).alias(f"p90_{g}")]
+        cols += [rnd(F.col(f"max_{g}")).alias(f"max_{g}"), rnd(F.col(f"`{g}_0.9`")).alias(f"p90_{g}")]
     return a.select(*cols)
 
 
@@ -106,10 +123,11 @@ def telemetry_summary(samples: DataFrame, devices: Sequence[str] | None, tick: s
                       exact: bool = True) -> DataFrame:
     """Keep the selected devices, take the maximum over devices per tick,
     then the peak and p90 over ticks (0 when there is no tick, Q24)."""
+    by = list(by)
     s = samples if devices is None else samples.filter(F.col(device).isin(list(devices)))
-    per_tick = s.groupBy(*by, tick).agg(F.max(reading).alias("_tick_max"))
-    agg = per_tick.groupBy(*by).agg(F.max("_tick_max").alias("peak"),
-                                    quantiles("_tick_max", 0.9, exact).alias("p90"),
-                                    F.count("*").alias("n_ticks"))
-    return agg.select(*by, F.coalesce("peak", F.lit(0.0)).alias("peak"),
-                      F.coalesce("p90", F.lit(0.0)).alias("p90"), "n_ticks")
+    per_tick = cut_lineage(s.groupBy(*by, tick).agg(F.max(reading).alias("_tick_max")))
+    agg = per_tick.groupBy(*by).agg(F.max("_tick_max").alias("peak"), F.count("*").alias("n_ticks"))
+    p90 = _quantiles(per_tick, by, {"tick": F.col("_tick_max")}, [0.9], exact, 10000)
+    return _on_group(agg, p90, by).select(
+        *by, F.coalesce("peak", F.lit(0.0)).alias("peak"),
+        F.coalesce(F.col("`tick_0.9`"), F.lit(0.0)).alias("p90"), "n_ticks")

@@ -39,7 +39,7 @@ req AS (SELECT user_id, day, total AS total_generation_time, ttft AS time_to_fir
 
 
 def _events(spark, sf):
-    return table(spark, sf, "events", "user_id")
+    return table(spark, sf, "events")
 
 
 def requests(spark, sf):
@@ -81,7 +81,7 @@ def q_telemetry_summary(spark, sf):
 
 # ------------------------------------------------------------------ streams
 def _scratch(spark, name):
-    return os.path.join(checkpoint_dir(spark).replace("file:", ""), f"{name}-{uuid.uuid4().hex}")
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _event_stream(spark, sf):
@@ -101,8 +101,14 @@ def _drain(spark, stream_df, name):
     return spark.read.schema(stream_df.schema).parquet(out + "/data")
 
 
-@query("stream_telemetry")
+@query("stream_telemetry", """
+WITH t AS (SELECT ts, max(value) AS m FROM events WHERE event_type IN ('click', 'view') GROUP BY ts),
+w AS (SELECT date_trunc('day', ts) AS d, m FROM t)
+SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, max(m) AS peak, quantile_disc(m, 0.9) AS p90,
+       count(*) AS n_ticks FROM w
+WHERE d + INTERVAL 1 DAY <= (SELECT max(ts) FROM events WHERE event_type IN ('click', 'view')) GROUP BY d""")
 def q_stream_telemetry(spark, sf):
+    """All days that have closed, i.e. all but the last."""
     s = _event_stream(spark, sf).select("event_time", F.col("event_type").alias("device"),
                                         F.col("value").alias("reading"))
     out = _drain(spark, SJ.stream_telemetry(s, "1 day", "0 seconds", ["click", "view"]),
@@ -110,22 +116,39 @@ def q_stream_telemetry(spark, sf):
     return out.select(F.col("w.start").cast("string").alias("window_start"), "peak", "p90", "n_ticks")
 
 
-@query("stream_request_latency")
+@query("stream_request_latency", """
+WITH e AS (SELECT user_id, ts, CAST(props->>'$.k' AS BIGINT) AS k FROM events),
+g AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE, true) AS new FROM e),
+s AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+f AS (SELECT user_id, sid, min(ts) AS s, max(ts) AS e, count(*) AS n, arg_min(k, ts) AS inp FROM s
+      GROUP BY ALL HAVING count(*) >= 2 AND max(ts) + INTERVAL 30 MINUTE < (SELECT max(ts) FROM events)),
+sec AS (SELECT s.user_id, s.sid, min(s.ts) AS ft FROM s JOIN f USING (user_id, sid) WHERE s.ts > f.s GROUP BY ALL),
+m AS (SELECT f.user_id, f.n - 1 AS out_tokens, f.inp, (epoch_us(f.e) - epoch_us(f.s)) / 1e6 AS total,
+        coalesce((epoch_us(sec.ft) - epoch_us(f.s)) / 1e6, 0.001) AS ttft,
+        coalesce((epoch_us(f.e) - epoch_us(sec.ft)) / 1e6, 0.0) AS dec0 FROM f LEFT JOIN sec USING (user_id, sid)),
+m2 AS (SELECT *, CASE WHEN dec0 <= 0 THEN 0.001 ELSE dec0 END AS decode FROM m)
+SELECT user_id, total AS total_generation_time, ttft AS time_to_first_token_seconds,
+  decode AS token_generation_time,
+  CASE WHEN out_tokens / decode > 0 THEN 1.0 / (out_tokens / decode) ELSE 0.0 END AS time_per_output_token,
+  CAST(inp AS BIGINT) AS input_tokens, CAST(out_tokens AS BIGINT) AS output_tokens,
+  CAST(inp + out_tokens AS BIGINT) AS total_tokens,
+  CASE WHEN total > 0 THEN (inp + out_tokens) / total ELSE 0.0 END AS tokens_per_second,
+  out_tokens / decode AS output_decode_tokens_per_second, ttft + total AS e2e_latency,
+  total AS total_latency FROM m2""")
 def q_stream_request_latency(spark, sf):
     s = _event_stream(spark, sf)
     r = SJ.stream_request_latency(s, "30 minutes", "0 seconds", ["user_id"],
                                   input_tokens=F.get_json_object("props", "$.k").cast("long"))
-    out = _drain(spark, r, "sessions")
-    return out.drop("session", "start_ts")
+    return _drain(spark, r, "sessions").drop("start_ts")
 
 
-@query("stream_append_results")
+@query("stream_append_results", "SELECT DISTINCT event_id, user_id, event_type, value FROM events")
 def q_stream_append_results(spark, sf):
     """Idempotent append: the same input appended twice (a restart on a new
     checkpoint) stores each key once."""
     s = _event_stream(spark, sf).select("event_id", "user_id", "event_type", "value")
     target = _scratch(spark, "results")
     for i in range(2):
-        q = SJ.stream_append_results(s, target, f"{target}-ckpt{i}", ["event_id"])
+        q = SJ.stream_append_results(s, target, f"{target}-ckpt{i}", ["event_id"], partition="event_type")
         q.awaitTermination()
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value")

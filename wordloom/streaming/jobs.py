@@ -6,11 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.telemetry import latency_columns, quantiles
+from ..operators.telemetry import approx_quantile, latency_columns
+from ..session import path_missing
 
 
 def with_event_time(stream: DataFrame, ts="ts", out="event_time") -> DataFrame:
@@ -21,80 +23,92 @@ def with_event_time(stream: DataFrame, ts="ts", out="event_time") -> DataFrame:
 
 def stream_telemetry(stream: DataFrame, width: str, lateness: str,
                      devices: Sequence[str] | None = None, ts="event_time",
-                     device="device", reading="reading", exact: bool = True) -> DataFrame:
+                     device="device", reading="reading", accuracy: int = 10000) -> DataFrame:
     """Peak and p90 of device readings per tumbling window, continuously.
 
     The maximum over devices is taken per sample time first (a tick), then
-    peak and p90 over the ticks in the window.  Append mode: a window is
-    emitted once the watermark passes its end; later rows are dropped."""
+    peak and p90 over the ticks in the window.  The p90 is a value of the
+    window from a sketch of bounded size (exact up to ``accuracy`` ticks), so
+    the state doesn't grow with the stream.  Append mode: a window is emitted
+    once the watermark passes its end; later rows are dropped."""
     s = stream if devices is None else stream.filter(F.col(device).isin(list(devices)))
     ticks = (s.withWatermark(ts, lateness)
               .groupBy(F.col(ts).alias("tick"))
               .agg(F.max(reading).alias("_m")))
     return ticks.groupBy(F.window("tick", width).alias("w")).agg(F.max("_m").alias("peak"),
-                                  quantiles("_m", 0.9, exact).alias("p90"),
+                                  approx_quantile("_m", 0.9, accuracy).alias("p90"),
                                   F.count("*").alias("n_ticks"))
 
 
-def stream_telemetry_flat(stream: DataFrame, width: str, lateness: str,
-                          devices: Sequence[str] | None = None, ts="event_time",
-                          device="device", reading="reading") -> DataFrame:
-    """Single-aggregation form (one stateful operator, supported in append
-    mode on every Spark version): peak and p90 of readings per window."""
-    s = stream if devices is None else stream.filter(F.col(device).isin(list(devices)))
-    return (s.withWatermark(ts, lateness)
-             .groupBy(F.window(ts, width).alias("w"))
-             .agg(F.max(reading).alias("peak"), F.percentile(reading, 0.9).alias("p90"),
-                  F.count("*").alias("n_samples")))
-
-
-_REQ_STATE = "t1 long, t2 long, tmax long, n long, inp long"
+_REQ_STATE = "t1 array<long>, t2 array<long>, tmax array<long>, n array<long>, inp array<long>"
 
 
-def _request_sessions(gap_us: int, req: list, ts: str, inp_col: str | None):
-    """Bounded per-request state: the two earliest times, the latest time,
-    the count and the prompt length -- five numbers, whatever the request's
-    size.  A request closes when an event arrives more than ``gap`` after the
-    latest one, or when the watermark passes latest + gap (timeout)."""
+def merge_sessions(parts: list, gap: int) -> list:
+    """Sessions ``(first, second, last, count, prompt)`` in micros, merged
+    where the next starts within ``gap`` of the last end.  ``second`` is the
+    second distinct time (None for one); the prompt is that of the earliest."""
+    out: list = []
+    for s in sorted(parts, key=lambda s: (s[0], s[2])):
+        if out and s[0] - out[-1][2] <= gap:
+            a = out[-1]
+            times = sorted({t for t in (a[0], a[1], s[0], s[1]) if t is not None})
+            out[-1] = (a[0], times[1] if len(times) > 1 else None, max(a[2], s[2]), a[3] + s[3],
+                       a[4] if a[0] <= s[0] else s[4])
+        else:
+            out.append(s)
+    return out
+
+
+def batch_sessions(times, prompts, gap: int) -> list:
+    """The sessions among the events of one micro-batch (vectorised)."""
+    import numpy as np
+
+    order = np.argsort(times, kind="stable")
+    t, p = times[order], prompts[order]
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(t) > gap]))
+    ends = np.concatenate([starts[1:], [len(t)]])
+    later = np.where(np.concatenate([[False], np.diff(t) > 0]), t, np.iinfo(np.int64).max)
+    later[starts] = np.iinfo(np.int64).max  # a session's first time is not its second
+    second = np.minimum.reduceat(later, starts)
+    return [(int(t[a]), None if s == np.iinfo(np.int64).max else int(s), int(t[z - 1]), int(z - a), int(p[a]))
+            for a, z, s in zip(starts, ends, second)]
+
+
+def _request_sessions(gap: int, req: list, ts: str, inp_col: str | None):
+    """State per request: its open sessions, five numbers each.  A session is
+    emitted when the watermark has passed its end by the gap, so an event
+    that is late but not too late joins, or bridges, the sessions it belongs
+    to; at most lateness / gap + 1 sessions are open at a time."""
     import pandas as pd
 
-    def emit(key, st):
-        t1, t2, tmax, n, inp = st
-        row = dict(zip(req, key))
-        row.update({"_start": t1, "_first_tok": t2, "_end": tmax, "_n": n, "_inp": inp})
-        return row
-
     def fn(key, pdfs, state):
-        out = []
-        if state.hasTimedOut:
-            out.append(emit(key, state.get))
-            state.remove()
-        else:
-            st = state.get if state.exists else None
-            frames = list(pdfs)
-            batch = pd.concat(frames) if frames else pd.DataFrame()
+        import numpy as np
+
+        parts = []
+        if state.exists:
+            t1, t2, tmax, n, inp = state.get
+            parts = [(a, None if b < 0 else b, c, d, e) for a, b, c, d, e in zip(t1, t2, tmax, n, inp)]
+        for batch in pdfs:
             if len(batch):
-                times = (pd.to_datetime(batch[ts]).astype("int64") // 1000).to_numpy()
-                inps = (batch[inp_col].to_numpy() if inp_col else [0] * len(batch))
-                for t, ip in sorted(zip(times.tolist(), list(inps)), key=lambda x: x[0]):
-                    ip = 0 if ip is None or ip != ip else int(ip)
-                    if st is not None and t - st[2] > gap_us:
-                        out.append(emit(key, st))
-                        st = None
-                    if st is None:
-                        st = (t, None, t, 1, ip)
-                        continue
-                    t1, t2, tmax, n, inp = st
-                    if t < t1:
-                        t1, t2, inp = t, t1, ip
-                    elif t2 is None or t < t2:
-                        t2 = t
-                    st = (t1, t2, max(tmax, t), n + 1, inp)
-            if st is not None:
-                state.update(st)
-                state.setTimeoutTimestamp(st[2] // 1000 + gap_us // 1000 + 1)
-        if out:
-            yield pd.DataFrame(out)
+                times = batch[ts].to_numpy().astype("datetime64[us]").astype(np.int64)
+                prompts = batch[inp_col].fillna(0).to_numpy().astype(np.int64) if inp_col else np.zeros(len(batch), np.int64)
+                parts += batch_sessions(times, prompts, gap)
+        sessions = merge_sessions(parts, gap)
+        passed = state.getCurrentWatermarkMs()
+        closes = lambda s: (s[2] + gap) // 1000 + 1
+        done = [s for s in sessions if closes(s) < passed]
+        open_ = [s for s in sessions if closes(s) >= passed]
+        if open_:
+            state.update(tuple([(-1 if s[i] is None else s[i]) for s in open_] for i in range(5)))
+            state.setTimeoutTimestamp(max(min(map(closes, open_)), passed + 1))
+        elif state.exists:
+            state.remove()
+        if done:
+            rows = pd.DataFrame(done, columns=["_start", "_first_tok", "_end", "_n", "_inp"])
+            rows["_first_tok"] = rows["_first_tok"].astype("Int64")
+            for c, v in zip(req, key):
+                rows[c] = v
+            yield rows[[*req, "_start", "_first_tok", "_end", "_n", "_inp"]]
 
     return fn
 
@@ -104,9 +118,10 @@ def stream_request_latency(stream: DataFrame, gap: str, lateness: str,
                            input_tokens=None) -> DataFrame:
     """First-token and total time per request as tokens arrive.  A request
     is a burst of events closed after ``gap`` of silence, tracked by a
-    custom stateful operator with five numbers of state per open request
-    (no event list is ever gathered); the latency columns are the batch
-    operator's expressions."""
+    custom stateful operator with five numbers of state per open session
+    (no event list is ever gathered).  Events may come out of order by up to
+    ``lateness``; the result is that of the batch on the same events.  The
+    latency columns are the batch operator's expressions."""
     from pyspark.sql.streaming.state import GroupStateTimeout
     req = list(request)
     gap_us = _interval_micros(stream, gap)
@@ -137,20 +152,34 @@ def _interval_micros(df: DataFrame, gap: str) -> int:
 
 def stream_append_results(stream: DataFrame, path: str, checkpoint: str,
                           keys: Sequence[str], fmt: str = "parquet",
-                          trigger_once: bool = True) -> StreamingQuery:
+                          trigger_once: bool = True, partition: str | None = None) -> StreamingQuery:
     """Append only rows whose keys are not stored yet; safe to restart (the
-    checkpoint records processed input, the anti join skips stored keys)."""
+    checkpoint records processed input, the anti join skips stored keys).
+
+    With ``partition`` (a column that a key determines, with few values per
+    micro-batch) the result is stored partitioned by it, and a micro-batch
+    reads only the stored partitions it touches."""
     keys = list(keys)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.dropDuplicates(keys)
+        b = batch.dropDuplicates(keys).persist()
         try:
-            stored = spark.read.format(fmt).load(path).select(*keys).distinct()
-            b = b.join(stored, keys, "left_anti")
-        except Exception:  # noqa: BLE001 - nothing stored yet
-            pass
-        b.write.mode("append").format(fmt).save(path)
+            stored = spark.read.format(fmt).load(path)
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
+            stored = None
+        out = b
+        if stored is not None:
+            if partition is not None:
+                touched = [r[0] for r in b.select(partition).distinct().collect()]
+                here = F.col(partition).isin([v for v in touched if v is not None])
+                stored = stored.filter(here | F.col(partition).isNull() if None in touched else here)
+            out = b.join(stored.select(*keys).distinct(), keys, "left_anti")
+        w = out.write.mode("append").format(fmt)
+        (w.partitionBy(partition) if partition is not None else w).save(path)
+        b.unpersist()
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
