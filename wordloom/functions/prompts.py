@@ -35,6 +35,18 @@ CLASSIFICATION_EXAMPLES = [
      "World"),
 ]
 
+# ---- fixed values: the reference's question-answering examples ----
+QA_EXAMPLES = [
+    ("Machine learning is a subfield of artificial intelligence that focuses on enabling systems to learn "
+     "from data without being explicitly programmed.",
+     "What does machine learning focus on?",
+     "enabling systems to learn from data without being explicitly programmed."),
+    ("The Eiffel Tower is located in Paris, France, and was completed in 1889.",
+     "Where is the Statue of Liberty located?", "unanswerable"),
+    ("Water boils at 100 degrees Celsius under standard atmospheric pressure.",
+     "At what temperature does water boil?", "100 degrees Celsius."),
+]
+
 # ---- fixed values: conversation texts ----
 QA_SYSTEM = "You are a knowledgeable assistant that answers factual questions."
 QA_USER_PREFIX = "Answer the following question based on the context:\n\n"

@@ -9,6 +9,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_checked, cut_lineage
+from . import ordering
+
 NEG_INF = float("-inf")
 
 
@@ -24,12 +27,9 @@ def class_priors(docs: DataFrame, label="label",
     by = list(by)
     counts = docs.groupBy(*by, label).agg(F.count("*").alias("n_docs"))
     if class_prior is None:
-        if by:
-            totals = counts.groupBy(*by).agg(F.sum("n_docs").alias("_all"))
-            counts = counts.join(totals, by)
-            prior = F.col("n_docs") / F.col("_all")
-        else:
-            prior = F.col("n_docs") / counts.select(F.sum("n_docs")).scalar()
+        # one row per class (and group): a window over these few rows, not a
+        # second pass over the documents
+        prior = F.col("n_docs") / F.sum("n_docs").over(Window.partitionBy(*by))
     else:
         weights = F.create_map(*[x for k, v in class_prior.items() for x in (F.lit(k), F.lit(float(v)))])
         prior = weights[F.col(label).cast("string")] / F.lit(float(sum(class_prior.values())))
@@ -77,7 +77,10 @@ def nb_fit(td: DataFrame, docs: DataFrame, alpha: float | DataFrame = 1.0, label
     classes = classes.withColumn("_denom", F.col("total") + a * v_size)
     classes = classes.select(*by, label, "log_prior", "n_docs", "total", "_alpha", "_denom",
                              _safe_ln(a / F.col("_denom")).alias("log_default"))
-    lik = (ct.join(classes.select(*by, label, "_alpha", "_denom"), [*by, label])
+    # one row per class: broadcast after that is checked, so the few labels
+    # never decide how the (class, term) rows are dealt
+    classes = cut_lineage(classes)
+    lik = (ct.join(broadcast_checked(classes.select(*by, label, "_alpha", "_denom")), [*by, label])
              .select(*by, label, term,
                      _safe_ln((F.col("count") + F.col("_alpha")) / F.col("_denom")).alias("log_lik")))
     return {"classes": classes.drop("_alpha", "_denom"), "likelihood": lik, "vocab": vocab}
@@ -98,25 +101,27 @@ def nb_predict_proba(td: DataFrame, docs: DataFrame, model: dict[str, DataFrame]
     """
     by = list(by)
     classes = model["classes"]
-    tv = td.join(model["vocab"], [*by, term], "left_semi")
-    n_in = tv.groupBy(*by, id_col).agg(F.sum(n).alias("_nin"))
-    matched = (tv.join(model["likelihood"], [*by, term])
-                 .groupBy(*by, id_col, label)
-                 .agg(F.sum(F.col(n) * F.col("log_lik")).alias("_s"),
-                      F.sum(n).alias("_m")))
+    # one join brings the likelihoods; a term's first class also counts it as
+    # known, so the vocabulary needs no join of its own
+    first = F.row_number().over(Window.partitionBy(*by, term).orderBy(label)) == 1
+    lik = model["likelihood"].withColumn("_first", first.cast("long"))
+    matched = (td.join(lik, [*by, term]).groupBy(*by, id_col, label)
+                 .agg(F.sum(F.col(n) * F.col("log_lik")).alias("_s"), F.sum(n).alias("_m"),
+                      F.sum(F.col(n) * F.col("_first")).alias("_f")))
     if by:
-        grid = (docs.select(*by, id_col).distinct()
-                    .join(classes.select(*by, label, "log_prior", "log_default"), by))
+        few = broadcast_checked(classes.select(*by, label, "log_prior", "log_default"))
+        grid = docs.select(*by, id_col).distinct().join(few, by)
     else:
         cls_arr = classes.select(F.array_sort(F.collect_list(
             F.struct(F.col(label).alias("label"), "log_prior", "log_default")))).scalar()
         grid = (docs.select(id_col).distinct()
                     .select(id_col, F.explode(cls_arr).alias("c"))
                     .select(id_col, F.col("c.label").alias(label), "c.log_prior", "c.log_default"))
-    unseen = F.coalesce(F.col("_nin"), F.lit(0)) - F.coalesce(F.col("_m"), F.lit(0))
+    of_doc = Window.partitionBy(*by, id_col)
+    unseen = F.coalesce(F.sum("_f").over(of_doc), F.lit(0)) - F.coalesce(F.col("_m"), F.lit(0))
     score = (F.col("log_prior") + F.coalesce(F.col("_s"), F.lit(0.0))
              + F.when(unseen > 0, unseen * F.col("log_default")).otherwise(F.lit(0.0)))
-    scored = (grid.join(n_in, [*by, id_col], "left").join(matched, [*by, id_col, label], "left")
+    scored = (grid.join(matched, [*by, id_col, label], "left")
                   .select(*by, id_col, label, score.alias("log_score")))
     w = Window.partitionBy(*by, id_col)
     shifted = F.when(F.col("_mx") > F.lit(NEG_INF), F.col("log_score") - F.col("_mx"))
@@ -187,23 +192,26 @@ def train_eval_split(df: DataFrame, order: str, n_train: int | None = None,
     With ``eval_df`` the evaluation part is its first ``n_eval`` rows (500 by
     default) and training is the first ``n_train`` rows of ``df``.  Without
     it, evaluation is the head ``min(max_eval, total div 10)`` of ``df`` and
-    training the rest.  Heads are take-ordered limits and the rest is a
-    left-anti join, so no global window runs in one task.
+    training the rest.  Rows get a distributed dense position (ties in
+    ``order`` are broken by the rest of the row), so neither a limit nor a
+    window holds a split in one task and rows with equal ``order`` stay.
     """
+    placed = _placed(df, order)
+    if n_train is not None:
+        placed = placed.filter(F.col("_place") < n_train)
     if eval_df is not None:
-        tr = df.orderBy(order).limit(n_train) if n_train is not None else df
-        ev = eval_df.orderBy(order).limit(n_eval if n_eval is not None else max_eval)
-        return (tr.withColumn("split", F.lit("train"))
-                  .unionByName(ev.withColumn("split", F.lit("eval"))))
-    base = df.orderBy(order).limit(n_train) if n_train is not None else df
-    total = base.count()
-    size = min(max_eval, total // 10)
-    ev = base.orderBy(order).limit(size)
-    tr = base.join(ev.select(order), order, "left_anti")
-    return (tr.withColumn("split", F.lit("train"))
-              .unionByName(ev.withColumn("split", F.lit("eval"))))
+        ev = _placed(eval_df, order).filter(F.col("_place") < (n_eval if n_eval is not None else max_eval))
+        return (placed.drop("_place").withColumn("split", F.lit("train"))
+                      .unionByName(ev.drop("_place").withColumn("split", F.lit("eval"))))
+    size = min(max_eval, placed.count() // 10)
+    return (placed.withColumn("split", F.when(F.col("_place") < size, "eval").otherwise("train"))
+                  .drop("_place"))
+
+
+def _placed(df: DataFrame, order: str) -> DataFrame:
+    return ordering.dense_index(df, [F.col(order), F.xxhash64(*df.columns)], "_place")
 
 
 def read_split(df: DataFrame, n: int, order: str) -> DataFrame:
     """First n rows of a named split in a stable order."""
-    return df.orderBy(order).limit(n)
+    return _placed(df, order).filter(F.col("_place") < n).drop("_place")

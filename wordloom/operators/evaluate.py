@@ -12,23 +12,25 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions import prompts as PR
+from ..session import broadcast_checked
 
 
 # ------------------------------------------------------------------ prompts
 def few_shot_prompt(queries: DataFrame, examples: DataFrame, k, task: str,
-                    text="text", order="ex_id", max_k: int = 64) -> DataFrame:
+                    text="text", order="ex_id") -> DataFrame:
     """Base instruction + the first ``min(k, n_examples)`` numbered examples +
     the query block.  ``k`` is an int or a column; ``k_effective`` records
-    the cap (Q17); an unknown task is an error (Q18).
+    that only so many examples exist (Q17); an unknown task is an error (Q18).
 
-    At most ``max_k`` examples are used: their cumulative prefixes form a
-    table of at most ``max_k + 1`` rows (a proven bound), broadcast and
-    joined on ``k_effective``."""
+    The examples' cumulative texts form a table with one row per example up
+    to the largest k asked for, joined on ``k_effective``; it is broadcast
+    only if it has few rows."""
     layout = PR.TASK_LAYOUTS.get(task)
     if layout is None:
         raise ValueError(f"unknown task {task!r}; use one of {sorted(PR.TASK_LAYOUTS)}")
     fields = layout["fields"]
-    ex = examples.orderBy(order).limit(max_k)
+    largest = queries.select(F.max(k)).first()[0] if isinstance(k, Column) else int(k)
+    ex = examples.orderBy(order).limit(max(0, int(largest or 0)))
     n_ex = ex.select(F.count("*")).scalar()
     num = Window.orderBy(order)
     blocks = ex.select(F.row_number().over(num).alias("ke"), *fields).select(
@@ -43,7 +45,7 @@ def few_shot_prompt(queries: DataFrame, examples: DataFrame, k, task: str,
     base = queries.withColumn("k_effective", F.greatest(F.least(kcol, n_ex), F.lit(0)).cast("int"))
     query_block = (F.format_string(layout["query"], *[F.col(c) for c in layout["query_cols"]])
                    if layout["query_cols"] else F.lit(layout["query"]))
-    j = base.join(F.broadcast(prefixes), F.col("k_effective") == F.col("ke"), "left")
+    j = base.join(broadcast_checked(prefixes, 64), F.col("k_effective") == F.col("ke"), "left")
     return (j.withColumn("prompt", F.concat(F.lit(layout["base"]),
                                             F.coalesce("_examples", F.lit("")), query_block))
              .drop("ke", "_examples"))
@@ -71,10 +73,17 @@ def prompt_variants(tasks: DataFrame, variants: Sequence[Mapping], text="text")
     return x.withColumn("variant", F.col("_v.name")).withColumn("messages", msgs).drop("_v")
 
 
-def answer_text(answers: str = "answers") -> Column:
-    """First of ``answers.text``, else ``answers.value``, else empty."""
+def answer_text(answers: str = "answers", kind: T.DataType | None = None) -> Column:
+    """The first of ``answers.text``, else ``answers.value``, else empty, if
+    the column is a struct; the value as text if it is a scalar (``kind`` is
+    the column's type; without it a struct is assumed)."""
     a = F.col(answers)
-    return F.coalesce(F.get(a["text"], 0), a["value"], F.lit(""))
+    if kind is not None and not isinstance(kind, T.StructType):
+        return a.cast("string")
+    names = kind.names if kind is not None else ["text", "value"]
+    found = [F.get(a["text"], 0)] if "text" in names else []
+    found += [a["value"].cast("string")] if "value" in names else []
+    return F.coalesce(*found, F.lit(""))
 
 
 def label_name(label: str | Column, names) -> Column:
@@ -88,7 +97,10 @@ def to_conversation(df: DataFrame, question="question", context="context",
                     label_names="label_names") -> DataFrame:
     """Question-answer or classification rows to system / user / assistant
     messages (``conversation``).  Rows matching neither layout get a null
-    conversation and ``reject = true`` (Q21) instead of failing."""
+    conversation and ``reject = true`` (Q21) instead of failing.
+
+    ``label_names`` is the list of class names, which a class id picks from,
+    or the class name itself as text; without it the label is used as text."""
     cols = set(df.columns)
     msg = lambda r, c: F.struct(F.lit(r).alias("role"), c.alias("content"))
     conv = None
@@ -96,11 +108,13 @@ def to_conversation(df: DataFrame, question="question", context="context",
         ctx = F.coalesce(F.col(context), F.lit("")) if context in cols else F.lit("")
         user = F.concat(F.lit(PR.QA_USER_PREFIX), ctx, F.lit("\n\nQuestion: "), F.col(question))
         qa = F.array(msg("system", F.lit(PR.QA_SYSTEM)), msg("user", user),
-                     msg("assistant", answer_text(answers)))
+                     msg("assistant", answer_text(answers, df.schema[answers].dataType)))
         conv = F.when(F.col(question).isNotNull() & F.col(answers).isNotNull(), qa)
     if {text, label} <= cols:
-        ans = (F.coalesce(label_name(label, F.col(label_names)), F.col(label).cast("string"))
-               if label_names in cols else F.col(label).cast("string"))
+        ans = F.col(label).cast("string")
+        if label_names in cols:
+            listed = isinstance(df.schema[label_names].dataType, T.ArrayType)
+            ans = F.coalesce(label_name(label, F.col(label_names)) if listed else F.col(label_names).cast("string"), ans)
         user = F.concat(F.lit(PR.CLS_USER_PREFIX), F.col(text), F.lit("\n\nLabel:"))
         cl = F.array(msg("system", F.lit(PR.CLS_SYSTEM)), msg("user", user), msg("assistant", ans))
         cond = F.col(text).isNotNull() & F.col(label).isNotNull()
@@ -156,6 +170,7 @@ def experiment_grid(models: DataFrame, adapters: DataFrame | None, tasks: Sequen
                             F.explode(F.array(*[F.lit(s) for s in strategies]))))
 
 
+# ---- fixed values: the columns that identify a stored run ----
 RESULT_KEYS = ("model_id", "adapter_id", "task_type", "n_shot", "decoding_strategy")
 
 
@@ -209,17 +224,17 @@ def best_k_shot(results: DataFrame, metric_keys: Mapping[str, Sequence[str]],
 
 def best_params(grid_results: DataFrame, order="grid_idx") -> DataFrame:
     """Three winners, one row each: least time, best analogy accuracy, best
-    Spearman; the first grid row wins ties (Q13)."""
-    def winner(name, metric, asc):
-        o = F.asc(metric) if asc else F.desc(metric)
-        w = Window.orderBy(o, F.asc(order))
-        return (grid_results.filter(F.col(metric).isNotNull())
-                .withColumn("_r", F.row_number().over(w)).filter("_r = 1")
-                .withColumn("criterion", F.lit(name))
-                .withColumn("value", F.col(metric).cast("double")).drop("_r"))
-    return (winner("time", "train_seconds", True)
-            .unionByName(winner("analogy", "analogy_accuracy", False))
-            .unionByName(winner("word_pairs", "spearman", False)))
+    Spearman; the first grid row wins ties (Q13).  Each is one aggregate: the
+    smallest (metric, position) with its row."""
+    out = None
+    for name, metric, sign in (("time", "train_seconds", 1.0), ("analogy", "analogy_accuracy", -1.0),
+                               ("word_pairs", "spearman", -1.0)):
+        rank = F.struct((F.col(metric).cast("double") * sign).alias("m"), F.col(order).alias("o"))
+        best = (grid_results.filter(F.col(metric).isNotNull())
+                .agg(F.min_by(F.struct("*"), rank).alias("_b")).filter("_b is not null").select("_b.*")
+                .withColumn("criterion", F.lit(name)).withColumn("value", F.col(metric).cast("double")))
+        out = best if out is None else out.unionByName(best)
+    return out
 
 
 def score_pivot(df: DataFrame, rows: Sequence[str], column: str, value: str,
@@ -267,24 +282,30 @@ def squad_normalize(text) -> Column:
     return F.array_join(squad_tokens(text), " ")
 
 
-def _bag(df, id_cols, toks_col, side):
-    return (C.explode_rows(df, list(id_cols), toks_col, "_tok")
-              .groupBy(*id_cols, "_tok").agg(F.count("*").alias(f"_c{side}")))
+def _overlap_counts(df, id_cols, arms):
+    """Bag overlap per id and arm in one pass: every token becomes a row with
+    its arm and side, one aggregate per (id, arm, token) counts both sides,
+    a second one sums the smaller counts.  No join.
+
+    ``arms`` maps an int to the (prediction, reference) token arrays."""
+    sides = [F.struct(F.lit(n).alias("_arm"), F.lit(side).alias("_side"), toks.alias("_toks"))
+             for n, pair in arms.items() for side, toks in enumerate(pair)]
+    x = df.select(*id_cols, F.explode(F.array(*sides)).alias("_a")).select(*id_cols, "_a.*")
+    # outer: a side without tokens keeps its id
+    toks = x.select(*id_cols, "_arm", "_side", F.explode_outer("_toks").alias("_tok"))
+    known = F.col("_tok").isNotNull()
+    bags = toks.groupBy(*id_cols, "_arm", "_tok").agg(
+        F.sum((known & (F.col("_side") == 0)).cast("long")).alias("_cp"),
+        F.sum((known & (F.col("_side") == 1)).cast("long")).alias("_cg"))
+    return bags.groupBy(*id_cols, "_arm").agg(
+        F.sum(F.least("_cp", "_cg")).alias("_common"), F.sum("_cp").alias("_np"), F.sum("_cg").alias("_ng"))
 
 
-def _overlap_scores(df, id_cols, pred_toks, gold_toks, prefix):
-    """Bag overlap by join on (id, token), summed as least(count, count)."""
-    base = df.select(*id_cols, F.size(pred_toks).alias("_np"), F.size(gold_toks).alias("_ng"))
-    common = (_bag(df, id_cols, pred_toks, "p").join(_bag(df, id_cols, gold_toks, "g"),
-                                                    [*id_cols, "_tok"])
-              .groupBy(*id_cols).agg(F.sum(F.least("_cp", "_cg")).alias("_common")))
-    j = base.join(common, list(id_cols), "left").fillna(0, ["_common"])
-    p = F.try_divide(F.col("_common").cast("double"), F.col("_np"))
-    r = F.try_divide(F.col("_common").cast("double"), F.col("_ng"))
-    f = F.when(F.col("_common") > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-    return j.select(*id_cols, F.coalesce(p, F.lit(0.0)).alias(f"{prefix}_precision"),
-                    F.coalesce(r, F.lit(0.0)).alias(f"{prefix}_recall"),
-                    f.alias(f"{prefix}_f1"))
+def _prf(counts):
+    """(precision, recall, f1) columns from the overlap counts."""
+    p = F.coalesce(F.try_divide(F.col("_common").cast("double"), F.col("_np")), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("_common").cast("double"), F.col("_ng")), F.lit(0.0))
+    return p, r, F.when(F.col("_common") > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
 def exact_match(df: DataFrame, pred="prediction", gold="reference", id_cols=("id",)) -> DataFrame:
@@ -311,11 +332,10 @@ def token_f1(df: DataFrame, pred="prediction", gold="reference", id_cols=("id",)
     else:
         x, key = df, ids
     toks = x.select(*key, squad_tokens(pred).alias("_pt"), squad_tokens(gold).alias("_gt"))
-    sc = _overlap_scores(toks, key, F.col("_pt"), F.col("_gt"), "tok")
-    sizes = toks.select(*key, F.size("_pt").alias("_np"), F.size("_gt").alias("_ng"))
+    counts = _overlap_counts(toks, key, {1: (F.col("_pt"), F.col("_gt"))})
     f1 = F.when((F.col("_np") == 0) | (F.col("_ng") == 0),
-                ((F.col("_np") == 0) & (F.col("_ng") == 0)).cast("double")).otherwise(F.col("tok_f1"))
-    return sc.join(sizes, key).groupBy(*ids).agg(F.max(f1).alias("f1"))
+                ((F.col("_np") == 0) & (F.col("_ng") == 0)).cast("double")).otherwise(_prf(counts)[2])
+    return counts.groupBy(*ids).agg(F.max(f1).alias("f1"))
 
 
 def rouge_tokens(text) -> Column:
@@ -323,14 +343,23 @@ def rouge_tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(C.col(text)), F.lit("[a-z0-9]+"), 0)
 
 
-def rouge_n(df: DataFrame, n: int, pred="prediction", gold="reference", id_cols=("id",)) -> DataFrame:
-    """ROUGE-n precision / recall / F1 per row (n-gram bag overlap)."""
+def rouge_ns(df: DataFrame, ns: Sequence[int], pred="prediction", gold="reference",
+             id_cols=("id",)) -> DataFrame:
+    """ROUGE-n for several n in one pass: ``(id..., n, precision, recall, f1)``
+    (n-gram bag overlap)."""
     ids = list(id_cols)
     # tokens first, in their own projection: an expression used inside the
     # n-gram lambda would be re-evaluated for every element
     t = df.select(*ids, rouge_tokens(pred).alias("_pt"), rouge_tokens(gold).alias("_gt"))
-    x = t.select(*ids, C.ngram_array("_pt", n).alias("_pg"), C.ngram_array("_gt", n).alias("_gg"))
-    return _overlap_scores(x, ids, F.col("_pg"), F.col("_gg"), f"rouge{n}")
+    counts = _overlap_counts(t, ids, {n: (C.ngram_array("_pt", n), C.ngram_array("_gt", n)) for n in ns})
+    p, r, f = _prf(counts)
+    return counts.select(*ids, F.col("_arm").alias("n"), p.alias("precision"), r.alias("recall"), f.alias("f1"))
+
+
+def rouge_n(df: DataFrame, n: int, pred="prediction", gold="reference", id_cols=("id",)) -> DataFrame:
+    """ROUGE-n precision / recall / F1 per row (n-gram bag overlap)."""
+    r = rouge_ns(df, [n], pred, gold, id_cols)
+    return r.select(*id_cols, *[F.col(c).alias(f"rouge{n}_{c}") for c in ("precision", "recall", "f1")])
 
 
 def lcs_length(a: Sequence, b: Sequence) -> int:

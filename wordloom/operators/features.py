@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..session import cut_lineage
+from ..session import broadcast_checked, cut_lineage
 from . import ordering
 from . import text as T
 
@@ -47,6 +47,18 @@ def vocabulary(tokens: DataFrame, term="term", stopwords=None, index=True) -> Da
     return ordering.dense_index(v, [term], "idx") if index else v
 
 
+def vocabulary_from_text(docs: DataFrame, mode="none", dictionary: DataFrame | None = None,
+                         lowercase=True, stopwords=T.P.ENGLISH_STOPWORDS, text="text", id_col="doc_id",
+                         index=True) -> DataFrame:
+    """The vocabulary of a corpus in one call: rule tokens (lower-cased if
+    asked), letters only, then normalised (``lemma``, ``stem`` or ``none``),
+    then stop words removed (``None`` keeps them), sorted, indexed.  Distinct
+    words are normalised, not tokens."""
+    toks = T.tokenize(docs, text, id_col, "rule", lowercase, alpha_only=True)
+    words = T.normalize_terms(toks.select("term").distinct(), dictionary, mode)
+    return vocabulary(words, stopwords=stopwords, index=index)
+
+
 def document_frequency(td: DataFrame, term="term", id_col="doc_id") -> DataFrame:
     """Documents holding each term (td has one row per (doc, term))."""
     return td.groupBy(term).agg(F.count(id_col).alias("df"))
@@ -92,6 +104,10 @@ def max_cell(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- co-occurrence
+#: Widest window: a row of n tokens makes n * window pairs.
+MAX_WINDOW = 1000
+
+
 def cooccurrence(docs: DataFrame, window: int, text="text", id_col="doc_id",
                  tokenizer="default", lowercase=True, tokens: str | None = None,
                  binary=False) -> DataFrame:
@@ -101,11 +117,12 @@ def cooccurrence(docs: DataFrame, window: int, text="text", id_col="doc_id",
     Each unordered position pair is produced once inside its document's row
     (``n_tokens * window`` pairs, never all pairs of a document), pairs are
     reduced map-side on (least, greatest), and mirrored last.  With
-    ``binary`` a pair counts once per document.  A whole-document context is
-    ``window >= longest document``.
+    ``binary`` a pair counts once per document.  A window as long as a
+    document would pair all its tokens in one row; for a wider context use
+    :func:`sentence_cooccurrence`.
     """
-    if window < 1:
-        raise ValueError("window must be a positive number of positions")
+    if not 1 <= window <= MAX_WINDOW:
+        raise ValueError(f"window must be between 1 and {MAX_WINDOW} positions")
     toks = F.col(tokens) if tokens else C.regex_tokens(text, T._pattern(tokenizer), lowercase)
     base = docs.select(id_col, toks.alias("_t"))
     t = F.col("_t")
@@ -131,6 +148,33 @@ def cooccurrence(docs: DataFrame, window: int, text="text", id_col="doc_id",
         F.col("_m.a").alias("t1"), F.col("_m.b").alias("t2"), "n")
 
 
+def sentence_cooccurrence(docs: DataFrame, text="text", id_col="doc_id", tokenizer="default",
+                          lowercase=True, max_terms: int = 10_000) -> DataFrame:
+    """Term-term co-occurrence with sentences (runs without ``.``, ``!``,
+    ``?`` or a line break) as context, zero diagonal, symmetric ``(t1, t2,
+    n)``: the sum over sentences of the product of the two terms' counts.
+
+    A sentence is a bounded context: its distinct terms are paired inside its
+    own row, and one with more than ``max_terms`` of them is an error (not
+    cut, not skipped).  Pairs are reduced map-side and mirrored last."""
+    sents = C.explode_rows(docs, [], F.split(F.col(text), r"[.!?\n]+"), "s")
+    toks = sents.select(C.regex_tokens("s", T._pattern(tokenizer), lowercase).alias("t")).filter(F.size("t") > 1)
+    u = toks.select("t", F.array_sort(F.array_distinct("t")).alias("u"))
+    u = u.filter(F.assert_true(F.size("u") <= max_terms, F.lit(
+        f"a sentence has more than {max_terms} different terms")).isNull() & (F.size("u") > 1))
+    counted = u.select(F.transform("u", lambda w: F.struct(
+        w.alias("w"), F.size(F.filter("t", lambda x: x == w)).cast("long").alias("c"))).alias("u"))
+    # the pairs of one term at a time, so that a row never holds all pairs
+    first = counted.select("u", F.posexplode("u").alias("i", "a"))
+    pair = first.select("a", F.explode(F.slice("u", F.col("i") + 2, F.size("u"))).alias("b"))
+    half = pair.groupBy(F.col("a.w").alias("t1"), F.col("b.w").alias("t2")).agg(
+        F.sum(F.col("a.c") * F.col("b.c")).alias("n"))
+    both = F.array(F.struct(F.col("t1").alias("a"), F.col("t2").alias("b")),
+                   F.struct(F.col("t2").alias("a"), F.col("t1").alias("b")))
+    return half.select(F.explode(both).alias("_m"), "n").select(
+        F.col("_m.a").alias("t1"), F.col("_m.b").alias("t2"), "n")
+
+
 # ---------------------------------------------------------------- similarity
 def term_norms(weights: DataFrame, term="term", w="w") -> DataFrame:
     return weights.groupBy(term).agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("norm"))
@@ -169,10 +213,12 @@ def pair_similarity(weights: DataFrame, pairs: DataFrame, id_col="doc_id", term=
     words = pairs.select(F.explode(F.array("w1", "w2")).alias(term)).distinct()
     post = weights.join(words, term, "left_semi").select(id_col, term, w)
     norms = term_norms(post, term, w)
-    p1 = post.select(F.col(term).alias("w1"), id_col, F.col(w).alias("x1"))
-    p2 = post.select(F.col(term).alias("w2"), id_col, F.col(w).alias("x2"))
-    dist_pairs = pairs.select("w1", "w2").distinct()
-    dots = (dist_pairs.join(p1, "w1").join(p2, ["w2", id_col])
+    # the listed pairs go to the postings (broadcast if they are few), and the
+    # two sides meet on (pair, document): no word's postings are one key
+    few = broadcast_checked(pairs.select("w1", "w2").distinct())
+    p1 = post.join(few, post[term] == F.col("w1")).select("w1", "w2", id_col, F.col(w).alias("x1"))
+    p2 = post.join(few, post[term] == F.col("w2")).select("w1", "w2", id_col, F.col(w).alias("x2"))
+    dots = (p1.join(p2, ["w1", "w2", id_col])
             .groupBy("w1", "w2").agg(F.sum(F.col("x1") * F.col("x2")).alias("_dot")))
     n1 = norms.select(F.col(term).alias("w1"), F.col("norm").alias("_n1"))
     n2 = norms.select(F.col(term).alias("w2"), F.col("norm").alias("_n2"))

@@ -5,8 +5,8 @@ grammar as a span-join job (CKY with counts): spans ``(sent, i, j, cat, n)``
 are seeded from the lexicon, and for each span length the left and right
 spans meet in an equi-join on (sentence, split point) and the binary rules
 in an equi-join on (left, right) category.  Unary chains are applied through
-their closure with path counts.  Lineage is cut into the shared checkpoint
-folder every few lengths.
+their closure with path counts.  The new spans of each length are written to
+the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..session import cut_lineage
+from ..session import broadcast_checked, cut_lineage
 
 
 def lexicon_sets(lexicon: DataFrame, word="word", cat="cat") -> DataFrame:
@@ -67,14 +67,15 @@ def binarize(rules: DataFrame) -> DataFrame:
     return short.unionByName(split).distinct()
 
 
-def unary_closure(unary: DataFrame, max_depth: int = 32) -> DataFrame:
+def unary_closure(unary: DataFrame) -> DataFrame:
     """``(top, bottom, paths)``: number of unary derivations top =>+ bottom
     of one step or more (identity is added by the caller).  A cycle is
-    rejected."""
+    rejected; without one, a chain has no more steps than there are symbols,
+    so the loop ends."""
     u = unary.select(F.col("lhs").alias("top"), F.col("b").alias("bottom"))
     total = None
     frontier = u.groupBy("top", "bottom").agg(F.count("*").cast("long").alias("paths"))
-    for _ in range(max_depth):
+    while True:
         if frontier.isEmpty():
             if total is None:
                 return frontier
@@ -84,7 +85,7 @@ def unary_closure(unary: DataFrame, max_depth: int = 32) -> DataFrame:
                     .groupBy("top", F.col("nb").alias("bottom")).agg(F.sum("paths").alias("paths")))
         if frontier.filter(F.col("top") == F.col("bottom")).limit(1).count() > 0:
             raise ValueError("unary cycle in grammar")
-    raise ValueError("unary chains deeper than max_depth")
+        frontier = cut_lineage(frontier)
 
 
 def _close(spans: DataFrame, closure: DataFrame) -> DataFrame:
@@ -98,31 +99,32 @@ def _close(spans: DataFrame, closure: DataFrame) -> DataFrame:
 
 
 def chart_parse(sentences: DataFrame, lexicon: DataFrame, rules: DataFrame, start="S",
-                sent="sent_id", text="text", checkpoint_every: int = 4) -> DataFrame:
+                sent="sent_id", text="text") -> DataFrame:
     """Number of parses per sentence (0 when none): ``(sent_id, n_words, n_parses)``."""
-    toks = C.posexplode_rows(sentences.withColumn("sent", F.col(sent)), ["sent"],
-                             F.split(F.trim(F.col(text)), r"\s+"), "i", "w")
-    lengths = toks.groupBy("sent").agg(F.count("*").alias("len"))
+    toks = cut_lineage(C.posexplode_rows(sentences.withColumn("sent", F.col(sent)), ["sent"],
+                                         F.split(F.trim(F.col(text)), r"\s+"), "i", "w"))
+    lengths = cut_lineage(toks.groupBy("sent").agg(F.count("*").alias("len")))
     max_len = lengths.select(F.max("len")).first()[0] or 0
     b = binarize(rules)
-    unary = b.filter(F.col("c").isNull())
-    binary = b.filter(F.col("c").isNotNull())
-    closure = unary_closure(unary)
-    seed = (toks.join(lexicon.select(F.col("word").alias("w"), "cat").distinct(), "w")
-                .select("sent", "i", (F.col("i") + 1).alias("j"), "cat", F.lit(1).cast("long").alias("n")))
+    binary = broadcast_checked(cut_lineage(b.filter(F.col("c").isNotNull())))
+    closure = broadcast_checked(cut_lineage(unary_closure(b.filter(F.col("c").isNull()))))
+    few = broadcast_checked(lexicon.select(F.col("word").alias("w"), "cat").distinct())
+    seed = (toks.join(few, "w").select("sent", "i", (F.col("i") + 1).alias("j"), "cat",
+                                       F.lit(1).cast("long").alias("n")))
     chart = cut_lineage(_close(seed, closure))
     for length in range(2, max_len + 1):
+        # the right part's length is in the join key, so each pair of spans
+        # meets once, in the round of its length; a sentence takes part only
+        # in the rounds it is long enough for
         left = chart.select("sent", "i", F.col("j").alias("k"), F.col("cat").alias("b"),
-                            F.col("n").alias("n1"))
+                            F.col("n").alias("n1"), (F.lit(length) - (F.col("j") - F.col("i"))).alias("rest"))
         right = chart.select("sent", F.col("i").alias("k"), "j", F.col("cat").alias("c"),
-                             F.col("n").alias("n2"))
-        new = (left.join(right, ["sent", "k"]).filter(F.col("j") - F.col("i") == length)
-                   .join(binary, ["b", "c"])
+                             F.col("n").alias("n2"), (F.col("j") - F.col("i")).alias("rest"))
+        new = (left.join(right, ["sent", "k", "rest"]).join(binary, ["b", "c"])
                    .groupBy("sent", "i", "j", F.col("lhs").alias("cat"))
                    .agg(F.sum(F.col("n1") * F.col("n2")).alias("n")))
-        chart = chart.unionByName(_close(new, closure))
-        if length % checkpoint_every == 0:
-            chart = cut_lineage(chart)
+        # only the new spans are computed and written in a round
+        chart = chart.unionByName(cut_lineage(_close(new, closure)))
     full = (chart.filter(F.col("cat") == start).filter(F.col("i") == 0)
                  .join(lengths, "sent").filter(F.col("j") == F.col("len"))
                  .select("sent", F.col("n").alias("n_parses")))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import patterns as P
+from ..session import broadcast_checked
 
 TOKENIZERS = {
     "word": P.word_token(1),      # R5, Unicode
@@ -133,6 +134,9 @@ def normalize_terms(tokens: DataFrame, dictionary: DataFrame | None, mode="lemma
 
     ``dictionary`` has ``word``, optional ``cat`` and ``lemma`` (mode
     ``lemma``) or ``stem`` (mode ``stem``).  Left join: every token stays.
+    Of several entries for a word the smallest value counts.  A dictionary
+    with few rows is broadcast, so frequent words are not dealt by word; for
+    a large one, normalise counts (:func:`normalize_counts`), not tokens.
     """
     if mode not in NORMALIZE_MODES:
         raise ValueError(f"unknown normalisation mode {mode!r}; use one of {NORMALIZE_MODES}")
@@ -148,12 +152,20 @@ def normalize_terms(tokens: DataFrame, dictionary: DataFrame | None, mode="lemma
         keys.append(t_cat == F.col("_d_cat"))
     else:
         d = d.select(F.col("word").alias("_d_word"), F.col(value).alias("_d_val"))
-    d = d.dropDuplicates([c for c in d.columns if c != "_d_val"])
-    joined = tokens.join(d, keys, "left")
+    d = d.groupBy(*[c for c in d.columns if c != "_d_val"]).agg(F.min("_d_val").alias("_d_val"))
+    joined = tokens.join(broadcast_checked(d), keys, "left")
     return (joined.withColumn(out, F.coalesce(F.col("_d_val"), F.col(term)))
                   .drop(*[c for c in d.columns]))
 
 
+def normalize_counts(counts: DataFrame, dictionary: DataFrame | None, mode="lemma", term="term",
+                     n="n", **kw) -> DataFrame:
+    """Counts per normalised term from counts per term: each distinct term
+    meets the dictionary once, however frequent it is."""
+    return (normalize_terms(counts, dictionary, mode, term, **kw)
+            .groupBy(term).agg(F.sum(n).alias(n)))
+
+
 def remove_stopwords(tokens: DataFrame, stopwords=None, term="term") -> DataFrame:
     """Drop listed words (duplicates of other words kept).  A Python list
     becomes a hash-set membership test in generated code -- no join; a

@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..functions.patterns import ENGLISH_STOPWORDS
 from ..operators import classify as CL
 from ..operators import text as T
-from ..session import cut_lineage, table
+from ..session import broadcast_checked, cut_lineage, table
 from . import fixtures as FX
 from .registry import query
 
@@ -19,7 +20,7 @@ def _test():
 
 
 def nb_inputs(spark, sf, n=1, stop=False, lower=True):
-    docs = table(spark, sf, "documents", "doc_id").withColumnRenamed("lang", "label")
+    docs = table(spark, sf, "documents").withColumnRenamed("lang", "label")
     arr = T.token_arrays(docs, "text", "tokens", "word", lowercase=lower)
     toks = T.ngrams(arr, n, "tokens", "doc_id", keep=["label"])
     if stop:
@@ -92,7 +93,7 @@ WITH cd AS (SELECT lang AS label, count(*) AS n_docs FROM documents WHERE doc_id
 SELECT label, n_docs, n_docs / (SELECT sum(n_docs) FROM cd) AS prior,
        ln(n_docs / (SELECT sum(n_docs) FROM cd)) AS log_prior FROM cd""")
 def q_class_priors(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id").select("doc_id", F.col("lang").alias("label"))
+    docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("label"))
     return CL.class_priors(docs.filter(~_test()))
 
 
@@ -101,7 +102,7 @@ SELECT ct.label, ct.term, CAST(ct.c AS BIGINT) AS count, CAST(tot.total AS BIGIN
 FROM ct JOIN tot USING (label)""")
 def q_class_term_totals(spark, sf):
     ct, tot = CL.class_term_totals(nb_inputs(spark, sf)["train_td"])
-    return ct.join(tot, "label")
+    return ct.join(broadcast_checked(tot), "label")  # one row per class
 
 
 @query("nb_fit", f"WITH {nb_sql()} SELECT label, term, round(ll, 9) AS log_lik FROM lik")
@@ -181,33 +182,41 @@ def _nb_experiment_sql():
 
 @query("nb_experiment", _nb_experiment_sql())
 def q_nb_experiment(spark, sf):
-    """Accuracy and vocabulary size under each setting, all settings in one
-    plan: the corpus is scanned once, each setting's tokens are a labelled
-    arm of one token table, and the model is fitted and scored per setting
-    (``by=["setting"]``) with alpha as per-setting data."""
-    docs = table(spark, sf, "documents", "doc_id").withColumnRenamed("lang", "label")
-    from ..functions import columns as C
+    """Accuracy and vocabulary size under each setting.  The corpus is
+    scanned once and counted once per token view (cased or lower-cased words,
+    bigrams, trigrams); settings that share a view differ only in data: alpha
+    and the stop list are applied to its counts, and one model per setting is
+    fitted and scored in one plan (``by=["setting"]``)."""
+    docs = table(spark, sf, "documents").withColumnRenamed("lang", "label")
+    view_of = {name: (s.get("lower", True), s.get("n", 1)) for name, s in NB_SETTINGS}
+    views = {v: f"v{i}" for i, v in enumerate(dict.fromkeys(view_of.values()))}
     arr = docs.select("doc_id", "label",
                       C.regex_tokens("text", T.TOKENIZERS["word"], True).alias("low"),
                       C.regex_tokens("text", T.TOKENIZERS["word"], False).alias("cased"))
-    arms = []
-    for name, s in NB_SETTINGS:
-        src = "low" if s.get("lower", True) else "cased"
-        arms.append(F.struct(F.lit(name).alias("setting"),
-                             C.ngram_array(src, s.get("n", 1)).alias("toks")))
+    arms = [F.struct(F.lit(key).alias("view"), C.ngram_array("low" if lower else "cased", n).alias("toks"))
+            for (lower, n), key in views.items()]
     long = C.explode_rows(arr, ["doc_id", "label"], F.array(*arms), "a").select(
-        "doc_id", "label", "a.setting", "a.toks")
-    toks = C.explode_rows(long, ["setting", "doc_id", "label"], F.col("toks"), "term")
-    stop_settings = [name for name, s in NB_SETTINGS if s.get("stop")]
-    toks = toks.filter(~(F.col("setting").isin(stop_settings) & F.col("term").isin(ENGLISH_STOPWORDS)))
-    td = cut_lineage(toks.groupBy("setting", "doc_id", "label", "term").agg(F.count("*").alias("n")))
+        "doc_id", "label", "a.view", "a.toks")
+    toks = C.explode_rows(long, ["view", "doc_id", "label"], F.col("toks"), "term")
+    td = cut_lineage(toks.groupBy("view", "doc_id", "label", "term").agg(F.count("*").alias("n")))
+    # the settings of each view, exploded per row (no join on a few-valued key)
+    settings = F.create_map(*[x for key in views.values() for x in (
+        F.lit(key), F.array(*[F.lit(n) for n, v in view_of.items() if views[v] == key]))])
+    stop = [name for name, s in NB_SETTINGS if s.get("stop")]
+
+    def per_setting(counts, *keep):
+        x = counts.select(F.explode(settings[F.col("view")]).alias("setting"), *keep)
+        return x.filter(~(F.col("setting").isin(stop) & F.col("term").isin(ENGLISH_STOPWORDS)))
+
+    totals = cut_lineage(td.filter(~_test()).groupBy("view", "label", "term").agg(F.sum("n").alias("n")))
     names = F.array(*[F.lit(name) for name, _ in NB_SETTINGS])
     all_docs = docs.select("doc_id", "label", F.explode(names).alias("setting"))
     alpha = spark.createDataFrame([(name, float(s["alpha"])) for name, s in NB_SETTINGS],
                                   "setting string, alpha double")
     by = ["setting"]
-    model = CL.nb_fit(td.filter(~_test()), all_docs.filter(~_test()), alpha, by=by)
-    pred = CL.nb_predict(td.filter(_test()).drop("label"), all_docs.filter(_test()), model, by=by)
+    model = CL.nb_fit(per_setting(totals, "label", "term", "n"), all_docs.filter(~_test()), alpha, by=by)
+    pred = CL.nb_predict(per_setting(td.filter(_test()), "doc_id", "term", "n"),
+                         all_docs.filter(_test()), model, by=by)
     acc = CL.accuracy(pred.join(all_docs.filter(_test()), ["setting", "doc_id"]), by=by)
     vs = model["vocab"].groupBy("setting").agg(F.count("*").alias("vocab_size"))
     return acc.join(vs, "setting").select("setting", "vocab_size", "accuracy")
@@ -218,11 +227,11 @@ WITH n AS (SELECT least(500, count(*) // 10) AS m FROM documents),
 o AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents)
 SELECT doc_id, CASE WHEN r <= (SELECT m FROM n) THEN 'eval' ELSE 'train' END AS split FROM o""")
 def q_train_eval_split(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id").select("doc_id")
+    docs = table(spark, sf, "documents").select("doc_id")
     return CL.train_eval_split(docs, "doc_id")
 
 
 @query("read_split", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100")
 def q_read_split(spark, sf):
-    return CL.read_split(table(spark, sf, "documents", "doc_id").select("doc_id", "lang"),
+    return CL.read_split(table(spark, sf, "documents").select("doc_id", "lang"),
                          100, "doc_id")

@@ -28,7 +28,7 @@ def _norm_sql(x: str) -> str:
 
 
 def pred_pairs(spark, sf):
-    c = table(spark, sf, "conversations", "conv_id")
+    c = table(spark, sf, "conversations")
     a = c.select("conv_id", "turn", F.col("text").alias("prediction"))
     b = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference"))
     return a.join(b, ["conv_id", "turn"])
@@ -92,27 +92,44 @@ r{n} AS (SELECT conv_id, turn, {n} AS n,
 @query("rouge_n", f"""WITH {PAIRS_SQL}, {_rouge_sql(1)}, {_rouge_sql(2)}
 SELECT * FROM r1 UNION ALL SELECT * FROM r2""")
 def q_rouge_n(spark, sf):
-    p = pred_pairs(spark, sf)
-    out = None
-    for n in (1, 2):
-        r = EV.rouge_n(p, n, id_cols=IDS).select(
-            *IDS, F.lit(n).alias("n"), F.col(f"rouge{n}_precision").alias("precision"),
-            F.col(f"rouge{n}_recall").alias("recall"), F.col(f"rouge{n}_f1").alias("f1"))
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
-@query("rouge_l")
+    return EV.rouge_ns(pred_pairs(spark, sf), (1, 2), id_cols=IDS)
+
+
+# longest common subsequence: after each token of the prediction, cell j holds
+# the longest one with the first j tokens of the reference, as a running maximum
+_LCS_SQL = f"""{PAIRS_SQL},
+tk AS (SELECT conv_id, turn, regexp_extract_all(lower(prediction), '[a-z0-9]+') AS p,
+              regexp_extract_all(lower(reference), '[a-z0-9]+') AS g FROM pairs),
+lc(conv_id, turn, i, j, v) AS (
+  SELECT conv_id, turn, 0, CAST(j AS INTEGER), 0 FROM tk, range(0, CAST(len(g) AS BIGINT) + 1) r(j)
+  UNION ALL
+  SELECT conv_id, turn, i, j, max(greatest(v, u)) OVER (PARTITION BY conv_id, turn ORDER BY j) FROM (
+    SELECT lc.conv_id, lc.turn, lc.i + 1 AS i, lc.j, lc.v,
+           CASE WHEN lc.j > 0 AND tk.p[lc.i + 1] = tk.g[lc.j]
+                THEN lag(lc.v) OVER (PARTITION BY lc.conv_id, lc.turn ORDER BY lc.j) + 1 ELSE 0 END AS u
+    FROM lc JOIN tk USING (conv_id, turn) WHERE lc.i < len(tk.p))),
+rl AS (SELECT tk.conv_id, tk.turn, lc.v AS l, len(p) AS np, len(g) AS ng
+       FROM tk JOIN lc ON lc.conv_id = tk.conv_id AND lc.turn = tk.turn AND lc.i = len(p) AND lc.j = len(g)),
+rls AS (SELECT conv_id, turn, CASE WHEN np > 0 THEN l / np ELSE 0.0 END AS precision,
+               CASE WHEN ng > 0 THEN l / ng ELSE 0.0 END AS recall,
+               CASE WHEN l > 0 THEN 2 * (l / np) * (l / ng) / (l / np + l / ng) ELSE 0.0 END AS f1 FROM rl)"""
+
+
+@query("rouge_l", f"""WITH RECURSIVE {_LCS_SQL}
+SELECT conv_id, turn, precision AS "rougeL_precision", recall AS "rougeL_recall", f1 AS "rougeL_f1" FROM rls""")
 def q_rouge_l(spark, sf):
     return EV.rouge_l(pred_pairs(spark, sf), id_cols=IDS)
 
 
-@query("rouge_summary")
+@query("rouge_summary", f"""WITH RECURSIVE {_LCS_SQL}, {_rouge_sql(1)}, {_rouge_sql(2)}
+SELECT (SELECT avg(f1) FROM r1) AS rouge1_f1, (SELECT avg(f1) FROM r2) AS rouge2_f1,
+       (SELECT avg(f1) FROM rls) AS "rougeL_f1"
+""")
 def q_rouge_summary(spark, sf):
     p = pred_pairs(spark, sf)
-    j = (EV.rouge_n(p, 1, id_cols=IDS).join(EV.rouge_n(p, 2, id_cols=IDS), list(IDS))
-         .join(EV.rouge_l(p, id_cols=IDS), list(IDS)))
-    return EV.mean_scores(j, ["rouge1_f1", "rouge2_f1", "rougeL_f1"])
+    scores = (EV.rouge_ns(p, (1, 2), id_cols=IDS).select(F.col("n").cast("string").alias("n"), "f1")
+              .unionByName(EV.rouge_l(p, id_cols=IDS).select(F.lit("L").alias("n"), F.col("rougeL_f1").alias("f1"))))
+    return scores.agg(*[F.avg(F.when(F.col("n") == n, F.col("f1"))).alias(f"rouge{n}_f1") for n in ("1", "2", "L")])
 
 
 def _examples(spark):
@@ -137,12 +154,40 @@ SELECT d.doc_id, CAST(kb.k AS INTEGER) AS k, CAST(kb.ke AS INTEGER) AS k_effecti
   {_BASE} || kb.exs || chr(10) || 'Text: ' || d.text || chr(10) || 'Category:' AS prompt
 FROM documents d, kb""")
 def q_few_shot_prompt(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id").select("doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     q = docs.withColumn("k", F.explode(F.array(*[F.lit(k) for k in (0, 5, 10, 25)])))
     res = EV.few_shot_prompt(q, _examples(spark), F.col("k"), "classification")
     return res.select("doc_id", "k", F.col("k_effective").cast("int"), "prompt")
 
 
+_QA_EX_VALUES = ", ".join(f"({i + 1}, {_lit(c)}, {_lit(q)}, {_lit(a)})"
+                          for i, (c, q, a) in enumerate(PR.QA_EXAMPLES))
+_QA_BASE = _lit(PR.TASK_LAYOUTS["question_answering"]["base"])
+
+
+@query("few_shot_prompt_qa", f"""
+WITH ex(i, context, question, answer) AS (VALUES {_QA_EX_VALUES}),
+ks(k) AS (VALUES (0), (2), (100)),
+kb AS (SELECT k, least(k, (SELECT count(*) FROM ex)) AS ke,
+  coalesce((SELECT string_agg(chr(10) || 'Example ' || i || ':' || chr(10) || 'Context: ' || context || chr(10)
+            || 'Question: ' || question || chr(10) || 'Answer: ' || answer || chr(10), '' ORDER BY i)
+            FROM ex WHERE i <= ks.k), '') AS exs FROM ks)
+SELECT c.conv_id, c.turn, CAST(kb.k AS INTEGER) AS k, CAST(kb.ke AS INTEGER) AS k_effective,
+  {_QA_BASE} || kb.exs || chr(10) || 'Context: ' || b.text || chr(10) || 'Question: ' || c.text || chr(10) || 'Answer:' AS prompt
+FROM conversations c JOIN benchmark b ON b.item_id = c.conv_id, kb WHERE c.role = 'user'""")
+def q_few_shot_prompt_qa(spark, sf):
+    """The user turns of a conversation as questions about the benchmark
+    passage with its number."""
+    ex = spark.createDataFrame([(i + 1, *e) for i, e in enumerate(PR.QA_EXAMPLES)],
+                               "ex_id int, context string, question string, answer string")
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("conv_id"), F.col("text").alias("context"))
+    q = (table(spark, sf, "conversations").filter("role = 'user'").join(b, "conv_id")
+         .select("conv_id", "turn", "context", F.col("text").alias("question"),
+                 F.explode(F.array(*[F.lit(k) for k in (0, 2, 100)])).alias("k")))
+    res = EV.few_shot_prompt(q, ex, F.col("k"), "question_answering")
+    return res.select("conv_id", "turn", "k", F.col("k_effective").cast("int"), "prompt")
+
+
 def _strip_sql(x):
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
@@ -166,14 +211,14 @@ def _variant_sql():
 
 @query("prompt_variants", _variant_sql())
 def q_prompt_variants(spark, sf):
-    tasks = table(spark, sf, "benchmark", "item_id")
+    tasks = table(spark, sf, "benchmark")
     v = EV.prompt_variants(tasks, PR.PROMPT_VARIANTS)
     return v.select("item_id", "variant", F.size("messages").alias("n_messages"),
                     EV.render_chat("messages").alias("rendered"))
 
 
 def _cls_rows(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id")
+    docs = table(spark, sf, "documents")
     names = F.array(*[F.lit(x) for x in LANGS])
     return docs.select("doc_id", "text",
                        (F.array_position(names, F.col("lang")) - 1).cast("int").alias("label"),
@@ -211,7 +256,7 @@ SELECT t.conv_id, string_agg('<start_of_turn>' || CASE role WHEN 'assistant' THE
    || {_strip_sql('t.text')} || '<end_of_turn>' || chr(10), '' ORDER BY turn) AS rendered
 FROM t LEFT JOIN s USING (conv_id) GROUP BY t.conv_id""")
 def q_render_chat(spark, sf):
-    c = table(spark, sf, "conversations", "conv_id")
+    c = table(spark, sf, "conversations")
     conv = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(
         F.struct("turn", "role", F.col("text").alias("content")))).alias("_t"))
     conv = conv.select("conv_id", F.transform("_t", lambda m: F.struct(
@@ -220,7 +265,7 @@ def q_render_chat(spark, sf):
 
 
 def _event_results(spark, sf):
-    ev = table(spark, sf, "events", "user_id")
+    ev = table(spark, sf, "events")
     return ev.select(F.col("event_type").alias("model_id"),
                      F.col("user_id").cast("string").alias("task"),
                      F.lit("classification").alias("task_type"),
@@ -246,7 +291,7 @@ SELECT event_id, coalesce(json_valid(props) AND json_type(props) = 'OBJECT'
   AND list_has_any(json_keys(props), ['acc', 'acc_norm', 'em', 'f1', 'k']), false) AS valid
 FROM events""")
 def q_valid_results(spark, sf):
-    ev = table(spark, sf, "events", "event_id").select("event_id", F.col("props").alias("json"))
+    ev = table(spark, sf, "events").select("event_id", F.col("props").alias("json"))
     return SRC.valid_results(ev, ["acc", "acc_norm", "em", "f1", "k"]).select("event_id", "valid")
 
 
@@ -259,7 +304,7 @@ p AS (SELECT event_type, {', '.join(f"max(CASE WHEN wd = '{d}' THEN v END) AS {d
       FROM c GROUP BY event_type)
 SELECT *, round(({' + '.join(WEEKDAYS)}) / 7.0, 2) AS mean FROM p""")
 def q_score_pivot(spark, sf):
-    ev = table(spark, sf, "events", "event_type")
+    ev = table(spark, sf, "events")
     cells = ev.groupBy("event_type", F.date_format("ts", "E").alias("wd")).agg(
         F.avg("value").alias("v"))
     return EV.score_pivot(cells, ["event_type"], "wd", "v", WEEKDAYS, 2)
@@ -271,7 +316,7 @@ SELECT event_type, day, value,
   100.0 * (value / first_value(value) OVER (PARTITION BY event_type ORDER BY day) - 1.0) AS pct_change
 FROM c""")
 def q_relative_change(spark, sf):
-    ev = table(spark, sf, "events", "event_type")
+    ev = table(spark, sf, "events")
     c = ev.groupBy("event_type", F.dayofmonth("ts").alias("day")).agg(F.avg("value").alias("value"))
     return EV.relative_change(c, ["event_type"], "day", "value", decimals=None)
 
@@ -283,7 +328,7 @@ STRATEGIES = ["default", "greedy", "beam", "top_p"]
 
 
 def _grid(spark, sf):
-    ev = table(spark, sf, "events", "event_type")
+    ev = table(spark, sf, "events")
     models = ev.select(F.col("event_type").alias("model_id")).distinct()
     adapters = models.select("model_id", F.concat("model_id", F.lit("-lora")).alias("adapter_id"))
     return EV.experiment_grid(models, adapters, TASKS, KS, STRATEGIES)
@@ -306,7 +351,7 @@ def q_experiment_grid(spark, sf):
 
 def _done(spark, sf):
     """Stored results derived from events, keys padded with blanks (Q25)."""
-    ev = table(spark, sf, "events", "event_id")
+    ev = table(spark, sf, "events")
     ks = F.array(*[F.lit(k) for k in KS])
     st = F.array(*[F.lit(s) for s in STRATEGIES])
     return ev.select(
@@ -331,26 +376,69 @@ def q_pending_runs(spark, sf):
     return EV.pending_runs(_grid(spark, sf), _done(spark, sf))
 
 
-@query("to_conversation_qa", f"""
+_QA_CONV_SQL = f"""
 WITH s AS (SELECT conv_id, text AS sys FROM conversations WHERE role = 'system'),
 q AS (SELECT u.conv_id, u.turn, u.text AS question, coalesce(s.sys, '') AS context, a.text AS answer
-      FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-      LEFT JOIN s ON s.conv_id = u.conv_id
-      WHERE u.role = 'user' AND a.role = 'assistant')
-SELECT conv_id, turn, {_lit(PR.QA_SYSTEM)} AS system,
-  {_lit(PR.QA_USER_PREFIX)} || context || chr(10) || chr(10) || 'Question: ' || question AS "user",
-  answer AS assistant FROM q""")
-def q_to_conversation_qa(spark, sf):
-    c = table(spark, sf, "conversations", "conv_id")
-    sys_ = c.filter(F.col("role") == "system").select("conv_id", F.col("text").alias("_sys"))
+      FROM conversations u LEFT JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+        AND a.role = 'assistant'
+      LEFT JOIN s ON s.conv_id = u.conv_id WHERE u.role = 'user')
+SELECT conv_id, turn, CASE WHEN answer IS NOT NULL THEN {_lit(PR.QA_SYSTEM)} END AS system,
+  CASE WHEN answer IS NOT NULL THEN {_lit(PR.QA_USER_PREFIX)} || context || chr(10) || chr(10) || 'Question: ' || question END AS "user",
+  answer AS assistant, answer IS NULL AS reject FROM q"""
+
+
+def _qa_rows(spark, sf):
+    """Every user turn with the assistant turn after it, if there is one."""
+    c = table(spark, sf, "conversations")
+    sys_ = c.filter(F.col("role") == "system").select("conv_id", F.col("text").alias("context"))
     u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     a = c.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("_ans"))
-    rows = (u.join(a, ["conv_id", "turn"]).join(sys_, "conv_id", "left")
-             .select("conv_id", "turn", "question", F.col("_sys").alias("context"),
-                     F.struct(F.array("_ans").alias("text"),
-                              F.lit(None).cast("string").alias("value")).alias("answers")))
-    conv = EV.to_conversation(rows)
-    return conv.select("conv_id", "turn", F.col("conversation")[0]["content"].alias("system"),
-                       F.col("conversation")[1]["content"].alias("user"),
-                       F.col("conversation")[2]["content"].alias("assistant"))
+    return u.join(a, ["conv_id", "turn"], "left").join(sys_, "conv_id", "left")
+
+
+def _turns(conv):
+    text = lambda i: F.col("conversation")[i]["content"]
+    return conv.select("conv_id", "turn", text(0).alias("system"), text(1).alias("user"),
+                       text(2).alias("assistant"), "reject")
+
+
+@query("to_conversation_qa", _QA_CONV_SQL)
+def q_to_conversation_qa(spark, sf):
+    """Answers as a struct; questions without an answer are rejected."""
+    answers = F.when(F.col("_ans").isNotNull(), F.struct(
+        F.array("_ans").alias("text"), F.lit(None).cast("string").alias("value")))
+    return _turns(EV.to_conversation(_qa_rows(spark, sf).withColumn("answers", answers)))
+
+
+@query("to_conversation_scalar", _QA_CONV_SQL)
+def q_to_conversation_scalar(spark, sf):
+    """Answers as plain text."""
+    return _turns(EV.to_conversation(_qa_rows(spark, sf).withColumnRenamed("_ans", "answers")))
+
+
+@query("to_conversation_names", f"""
+SELECT doc_id, {_lit(PR.CLS_SYSTEM)} AS system,
+  {_lit(PR.CLS_USER_PREFIX)} || text || chr(10) || chr(10) || 'Label:' AS "user",
+  lang AS assistant, false AS reject FROM documents""")
+def q_to_conversation_names(spark, sf):
+    """The class name carried as text next to the class id."""
+    rows = _cls_rows(spark, sf).withColumn("label_names", EV.label_name("label", F.col("label_names")))
+    c = EV.to_conversation(rows)
+    return c.select("doc_id", F.col("conversation")[0]["content"].alias("system"),
+                    F.col("conversation")[1]["content"].alias("user"),
+                    F.col("conversation")[2]["content"].alias("assistant"), "reject")
+
+
+@query("best_params", """
+WITH g AS (SELECT user_id % 16 AS grid_idx, min(value) AS train_seconds, count(DISTINCT event_type) / 5 AS analogy_accuracy,
+                  max(value) AS spearman FROM events GROUP BY 1)
+SELECT 'time' AS criterion, arg_min(grid_idx, (train_seconds, grid_idx)) AS grid_idx, min(train_seconds) AS value FROM g
+UNION ALL SELECT 'analogy', arg_min(grid_idx, (-analogy_accuracy, grid_idx)), max(analogy_accuracy) FROM g
+UNION ALL SELECT 'word_pairs', arg_min(grid_idx, (-spearman, grid_idx)), max(spearman) FROM g""")
+def q_best_params(spark, sf):
+    """Winners of a score table that is fixed by the events (ties included)."""
+    grid = table(spark, sf, "events").groupBy((F.col("user_id") % 16).alias("grid_idx")).agg(
+        F.min("value").alias("train_seconds"), (F.count_distinct("event_type") / 5).alias("analogy_accuracy"),
+        F.max("value").alias("spearman"))
+    return EV.best_params(grid).select("criterion", "grid_idx", "value")

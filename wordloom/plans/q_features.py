@@ -27,7 +27,7 @@ _TARGET = """(SELECT term FROM (SELECT term, count(*) AS c FROM
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents", "doc_id")
+    return table(spark, sf, "documents")
 
 
 def _td(spark, sf):
@@ -125,6 +125,35 @@ def q_cooccurrence(spark, sf):
     return FE.cooccurrence(_docs(spark, sf), window=2)
 
 
+@query("cooccurrence_sentence", f"""
+WITH s AS (SELECT unnest(string_split_regex(text, '[.!?\\n]+')) AS s FROM documents),
+n AS (SELECT row_number() OVER () AS id, {r6("s")} AS tok FROM s),
+c AS (SELECT id, term, count(*) AS c FROM (SELECT id, unnest(tok) AS term FROM n) GROUP BY ALL),
+p AS (SELECT a.term AS t1, b.term AS t2, CAST(sum(a.c * b.c) AS BIGINT) AS n
+      FROM c a JOIN c b ON a.id = b.id AND a.term <> b.term GROUP BY ALL)
+SELECT t1 AS term, count(*) AS n_partners, CAST(sum(n) AS BIGINT) AS n_total, max(n) AS n_most,
+       min(t2) AS first_partner FROM p GROUP BY t1""")
+def q_cooccurrence_sentence(spark, sf):
+    """The co-occurrence table, one row per term."""
+    pairs = FE.sentence_cooccurrence(_docs(spark, sf))
+    return pairs.groupBy(F.col("t1").alias("term")).agg(
+        F.count("*").alias("n_partners"), F.sum("n").alias("n_total"), F.max("n").alias("n_most"),
+        F.min("t2").alias("first_partner"))
+
+
+@query("vocabulary_normalized", f"""
+WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text),
+             '[a-zA-Z]+(?:\\.[a-zA-Z]+)*|\\p{{Nd}}+|[.!?,:;()"'']\\s')) AS term FROM documents),
+l AS (SELECT word, min(lemma) AS lemma FROM {FX.lemma_sql_values()} GROUP BY word),
+a AS (SELECT DISTINCT coalesce(l.lemma, t.term) AS term FROM t LEFT JOIN l ON l.word = t.term
+      WHERE regexp_matches(t.term, '^\\p{{L}}+$'))
+SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS idx FROM a
+WHERE term NOT IN ({FX.stopword_sql_list()})""")
+def q_vocabulary_normalized(spark, sf):
+    """One call in the order: tokenise, letters only, lemma, stop words."""
+    return FE.vocabulary_from_text(_docs(spark, sf), "lemma", FX.lemma_df(spark).select("word", "lemma"))
+
+
 _PAIRS_SQL = f"""pairs AS (SELECT item_id, tok[1] AS w1, tok[len(tok)] AS w2
   FROM (SELECT item_id, {r6()} AS tok FROM benchmark) WHERE len(tok) > 0)"""
 
@@ -136,10 +165,12 @@ def _pairs(spark, sf):
 
 
 @query("pair_similarity", f"""WITH {_TFIDF}, {_PAIRS_SQL},
-nrm AS (SELECT term, sqrt(sum(w * w)) AS norm FROM tf GROUP BY term),
+lw AS (SELECT w1 AS term FROM pairs UNION SELECT w2 FROM pairs),
+tl AS MATERIALIZED (SELECT tf.* FROM tf SEMI JOIN lw USING (term)),
+nrm AS (SELECT term, sqrt(sum(w * w)) AS norm FROM tl GROUP BY term),
 dp AS (SELECT DISTINCT w1, w2 FROM pairs),
 dt AS (SELECT dp.w1, dp.w2, sum(a.w * b.w) AS d FROM dp
-       JOIN tf a ON a.term = dp.w1 JOIN tf b ON b.term = dp.w2 AND b.doc_id = a.doc_id
+       JOIN tl a ON a.term = dp.w1 JOIN tl b ON b.term = dp.w2 AND b.doc_id = a.doc_id
        GROUP BY dp.w1, dp.w2)
 SELECT p.item_id, p.w1, p.w2,
        round(CASE WHEN n1.norm IS NOT NULL AND n2.norm IS NOT NULL

@@ -14,7 +14,7 @@ _LEX_SQL = f"lex AS (SELECT DISTINCT unnest({r6()}) AS word, lang AS cat FROM do
 
 
 def lexicon(spark, sf):
-    d = table(spark, sf, "documents", "doc_id")
+    d = table(spark, sf, "documents")
     return (T.tokenize(d, "text", "doc_id", "default", keep=["lang"])
             .select(F.col("term").alias("word"), F.col("lang").alias("cat")).distinct())
 
@@ -32,7 +32,7 @@ t AS (SELECT item_id, CAST(generate_subscripts(tok, 1) - 1 AS INTEGER) AS pos, u
 c AS (SELECT word, count(*) AS n FROM lex GROUP BY word)
 SELECT t.item_id, t.pos, t.term, coalesce(c.n, 0) AS n_cats FROM t LEFT JOIN c ON c.word = t.term""")
 def q_lexicon_coverage(spark, sf):
-    b = table(spark, sf, "benchmark", "item_id")
+    b = table(spark, sf, "benchmark")
     toks = T.tokenize(b, "text", "item_id", "default")
     cov = G.lexicon_coverage(toks, lexicon(spark, sf))
     return cov.select("item_id", "pos", "term", "n_cats")
@@ -42,7 +42,7 @@ def q_lexicon_coverage(spark, sf):
 t AS (SELECT item_id, unnest({r6()}) AS term FROM benchmark)
 SELECT DISTINCT term FROM t WHERE term NOT IN (SELECT word FROM lex)""")
 def q_missing_words(spark, sf):
-    b = table(spark, sf, "benchmark", "item_id")
+    b = table(spark, sf, "benchmark")
     toks = T.tokenize(b, "text", "item_id", "default")
     return G.missing_words(toks, lexicon(spark, sf)).select("term").distinct()
 

@@ -17,7 +17,7 @@ RUN2_RE2 = P.re2_vowel_run(2)
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents", "doc_id")
+    return table(spark, sf, "documents")
 
 
 @query("tokenize_word", f"""
@@ -210,7 +210,7 @@ FROM t LEFT JOIN l ON t.term = l.word GROUP BY 1""")
 def q_normalize_terms(spark, sf):
     toks = T.tokenize(_docs(spark, sf), "text", "doc_id", "default")
     lem = FX.lemma_df(spark).select("word", "lemma")
-    return T.term_counts(T.normalize_terms(toks, lem, "lemma"))
+    return T.normalize_counts(T.term_counts(toks), lem, "lemma")
 
 
 @query("lemma_summary", f"""
