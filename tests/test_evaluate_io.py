@@ -71,6 +71,26 @@ def test_few_shot_prompt_layout_and_cap(spark):
         EV.few_shot_prompt(q, ex, 1, "qa")
 
 
+def test_few_shot_prompt_holds_all_examples(spark):
+    ex = spark.createDataFrame([(i, f"text {i}", f"label {i}") for i in range(100)], "ex_id int, text string, label string")
+    q = spark.createDataFrame([("x",)], "text string")
+    r = EV.few_shot_prompt(q, ex, 100, "classification").first()
+    assert r.k_effective == 100 and r.prompt.count("Example ") == 100
+    assert EV.few_shot_prompt(q, ex, -1, "classification").first().k_effective == 0
+    assert EV.few_shot_prompt(q.limit(0), ex, F.lit(3), "classification").count() == 0
+
+
+def test_text_names_and_scalar_answers(spark):
+    cls = spark.createDataFrame([("t", 1, "Sports"), ("u", 2, None)], "text string, label int, label_names string")
+    assert [r.conversation[2].content for r in EV.to_conversation(cls).collect()] == ["Sports", "2"]
+    for kind, value, want in (("string", "yes", "yes"), ("int", 4, "4")):
+        qa = spark.createDataFrame([("q", "c", value), ("q", "c", None)], f"question string, context string, answers {kind}")
+        got = EV.to_conversation(qa).collect()
+        assert got[0].conversation[2].content == want and got[1].reject
+    only = spark.createDataFrame([("q", {"value": "v"})], "question string, answers struct<value:string>")
+    assert EV.to_conversation(only).first().conversation[2].content == "v"
+
+
 def test_conversations_and_rendering(spark):
     rows = [("q1", "ctx", {"text": ["ans", "other"], "value": None}, None, None, None),
             ("q2", None, {"text": [], "value": None}, None, None, None),
@@ -212,7 +232,109 @@ def test_results_log_and_docs(spark, tmp_path):
                                       "strategy=default"))
 
 
-def test_streaming_equals_batch_on_closed_windows(spark, tmp_path):
+def test_second_save_keeps_the_first(spark):
+    out = _tmp(spark)
+    row = lambda task: spark.createDataFrame([("m", task, 0, "s", 0.5)],
+                                             "model_id string, task string, n_shot int, strategy string, acc double")
+    for task in ("t1", "t2", "t2"):
+        SNK.save_result_docs(row(task), out)
+    assert sorted(r.task for r in spark.read.json(out).collect()) == ["t1", "t2"]
+
+
+def test_reads_fail_on_anything_but_a_missing_path(spark, tmp_path):
+    with pytest.raises(Exception):
+        SRC.read_corpus(spark, "nosuchscheme://x/y")
+    with pytest.raises(Exception):
+        SRC.read_results(spark, "nosuchscheme://x/y")
+
+
+def test_lines_of_split_files(spark, tmp_path):
+    for name, n in (("a.txt", 5000), ("b.txt", 3), ("c.txt", 0)):
+        (tmp_path / name).write_text("".join(f"{name} line {i}\r\n" for i in range(n)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = SRC.read_lines(spark, str(tmp_path)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r.path[-5:], r.line_no): r.text for r in got} == {
+        (n, i): f"{n} line {i}" for n, k in (("a.txt", 5000), ("b.txt", 3)) for i in range(k)}
+    head = SRC.read_lines(spark, str(tmp_path / "b.txt"), skip_header=True).orderBy("line_no").collect()
+    assert [(r.line_no, r.text) for r in head] == [(0, "b.txt line 1"), (1, "b.txt line 2")]
+
+
+def test_sections_across_chunks_and_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SRC, "CHUNK", 3)
+    long = "x" * 20_000
+    (tmp_path / "a.txt").write_text(f": {long}\n" + "".join(f"a{i} b c d\n" for i in range(10)))
+    (tmp_path / "b.txt").write_text("p q r s\n: s2\nt u v w\n")
+    got = SRC.read_analogies(spark, str(tmp_path)).orderBy("qid").collect()
+    assert [r.section for r in got] == [long] * 10 + [None, "s2"]
+    assert [r.qid for r in got] == list(range(12))
+
+
+def test_match_report(spark):
+    df = spark.createDataFrame([("f", "goood baad xx"), ("g", "none")], "file string, text string")
+    got = {r.file: r.report for r in SNK.match_report(df, {"R1": "[a-z]*o{2,}[a-z]*", "R2": "[a-z]*a{2,}[a-z]*"}).collect()}
+    assert got == {"f": "R1\ngoood\n\n\nR2\nbaad", "g": "R1\n\n\n\nR2\n"}
+
+
+def test_group_quantiles_equal_numpy(spark):
+    from wordloom.operators import ordering
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.random() if rng.random() > 0.1 else None, float(rng.randrange(4))) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    got = {r.g: r for r in ordering.group_quantiles(df, ["g"], {"x": F.col("x"), "y": F.col("y")}, [0.0, 0.5, 0.9, 1.0]).collect()}
+    for g in ("a", "b", None):
+        for j, name in ((1, "x"), (2, "y")):
+            values = [r[j] for r in rows if r[0] == g and r[j] is not None]
+            for p in (0.0, 0.5, 0.9, 1.0):
+                assert abs(got[g][f"{name}_{p}"] - np.quantile(values, p)) < 1e-12
+    assert ordering.group_quantiles(df, [], {"x": F.col("x")}, [0.5]).count() == 1
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from wordloom import session as S
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+    with pytest.raises(ValueError):
+        S.checkpoint_dir(Session())
+
+
+def test_written_tables_can_be_dropped(spark):
+    from wordloom import session as S
+    kept = dict(S._WRITTEN)
+    S._WRITTEN.clear()
+    try:
+        df = S.cut_lineage(spark.range(3))
+        path = next(iter(S._WRITTEN.values()))[0].replace("file:", "")
+        assert df.count() == 3 and os.path.isdir(path)
+        assert S.drop_written(spark) == 1 and not os.path.isdir(path)
+    finally:
+        S._WRITTEN.update(kept)
+
+
+def _run(spark, df, out):
+    q = (df.writeStream.outputMode("append").format("parquet").option("path", out + "/d")
+         .option("checkpointLocation", out + "/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(df.schema).parquet(out + "/d").collect()
+
+
+def test_stream_telemetry_equals_batch_on_closed_windows(spark, tmp_path):
     rows = [(i, f"2024-01-01 00:{i // 6:02d}:{(i * 7) % 60:02d}", "g" + str(i % 3), float(i % 11))
             for i in range(120)]
     batch = (spark.createDataFrame(rows, "id long, ts string, device string, reading double")
@@ -220,21 +342,68 @@ def test_streaming_equals_batch_on_closed_windows(spark, tmp_path):
     src = tmp_path / "in"
     batch.write.parquet(str(src))
     stream = spark.readStream.schema(batch.schema).parquet(str(src))
-    agg = SJ.stream_telemetry_flat(stream, "5 minutes", "0 seconds", ["g0", "g1"])
+    got = {r.w.start: (r.peak, r.p90, r.n_ticks) for r in _run(
+        spark, SJ.stream_telemetry(stream, "5 minutes", "0 seconds", ["g0", "g1"]), _tmp(spark))}
+    ticks = (batch.filter(F.col("device").isin("g0", "g1")).groupBy("event_time").agg(F.max("reading").alias("m"))
+             .groupBy(F.window("event_time", "5 minutes").alias("w"))
+             .agg(F.max("m").alias("peak"), F.sort_array(F.collect_list("m")).alias("all")).collect())
+    last = max(r.w.start for r in ticks)
+    want = {r.w.start: (r.peak, r["all"][int(np.ceil(0.9 * len(r["all"]))) - 1], len(r["all"]))
+            for r in ticks if r.w.start != last}
+    assert got == want
+    # idempotent append: the same stream twice stores each key once, with and without partitions
+    for part in (None, "device"):
+        tgt = _tmp(spark)
+        for i in range(2):
+            SJ.stream_append_results(stream, tgt, f"{tgt}-c{i}", ["id"], partition=part).awaitTermination()
+        assert spark.read.parquet(tgt).count() == 120
+
+
+def test_append_stops_on_other_errors(spark, tmp_path):
+    broken = tmp_path / "store"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("not parquet")
+    src = tmp_path / "in"
+    spark.createDataFrame([(1,)], "id long").write.parquet(str(src))
+    stream = spark.readStream.schema("id long").parquet(str(src))
+    with pytest.raises(Exception):
+        SJ.stream_append_results(stream, str(broken), str(tmp_path / "ck"), ["id"]).awaitTermination()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merged_sessions_equal_sorted_ones(seed):
+    rng = np.random.default_rng(seed)
+    times = rng.integers(0, 5000, 200)
+    prompts = rng.integers(0, 9, 200)
+    parts = []
+    for chunk in np.array_split(rng.permutation(200), 7):
+        parts = SJ.merge_sessions(parts + SJ.batch_sessions(times[chunk], prompts[chunk], 40), 40)
+    want = SJ.batch_sessions(times, prompts, 40)
+    assert [p[:4] for p in parts] == [w[:4] for w in want]
+
+
+def test_stream_requests_out_of_order_in_two_batches(spark, tmp_path):
+    """Late but not too late: an event before its session, one that bridges
+    two bursts, one in a later micro-batch; equal to the batch."""
+    one = [(1, "2024-01-01 02:00:00", 5), (1, "2024-01-01 02:05:00", 0), (1, "2024-01-01 02:30:00", 7),
+           (2, "2024-01-01 02:10:00", 1)]
+    two = [(1, "2024-01-01 02:17:00", 0), (1, "2024-01-01 01:30:00", 9), (1, "2024-01-01 01:30:09", 0),
+           (2, "2024-01-01 02:10:05", 0), (3, "2024-01-01 03:10:00", 3), (3, "2024-01-01 03:10:01", 0)]
+    end = [(9, "2024-01-02 00:00:00", 0)]
+    schema = "user_id long, ts string, k long"
+    src = tmp_path / "in"
+    src.mkdir()
     out = _tmp(spark)
-    q = (agg.writeStream.outputMode("append").format("parquet").option("path", out + "/d")
-         .option("checkpointLocation", out + "/c").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {r.w.start: (r.peak, r.n_samples) for r in spark.read.schema(agg.schema).parquet(out + "/d").collect()}
-    b = (batch.filter(F.col("device").isin("g0", "g1")).groupBy(F.window("event_time", "5 minutes").alias("w"))
-         .agg(F.max("reading").alias("peak"), F.count("*").alias("n")))
-    want = {r.w.start: (r.peak, r.n) for r in b.collect()}
-    assert got and all(want[k] == v for k, v in got.items())
-    # idempotent append: the same stream twice stores each key once
-    tgt = _tmp(spark)
-    for i in range(2):
-        SJ.stream_append_results(stream, tgt, f"{tgt}-c{i}", ["id"]).awaitTermination()
-    assert spark.read.parquet(tgt).count() == 120
+    got = []
+    for rows in (one, two, end, end):
+        batch = spark.createDataFrame(rows, schema).withColumn("event_time", F.to_timestamp("ts"))
+        batch.coalesce(1).write.mode("append").parquet(str(src))
+        stream = spark.readStream.schema(batch.schema).parquet(str(src))
+        r = SJ.stream_request_latency(stream, "15 minutes", "2 hours", ["user_id"], input_tokens=F.col("k"))
+        got = _run(spark, r, out)
+    rows = {(x.user_id, x.input_tokens, x.output_tokens, x.total_generation_time, x.time_to_first_token_seconds) for x in got}
+    assert rows == {(1, 9, 1, 9.0, 9.0), (1, 5, 3, 1800.0, 300.0), (2, 1, 1, 5.0, 5.0), (3, 3, 1, 1.0, 1.0)}
+    assert len(got) == 4
 
 
 def test_small_helpers_and_writers(spark, tmp_path):
@@ -257,22 +426,6 @@ def test_small_helpers_and_writers(spark, tmp_path):
     assert os.path.isdir(os.path.join(cor, "file=f1.txt"))
 
 
-def test_stream_telemetry_ticks(spark, tmp_path):
-    rows = [(f"2024-01-01 00:{m:02d}:00", "g" + str(m % 2), float(m)) for m in range(30)]
-    batch = (spark.createDataFrame(rows, "ts string, device string, reading double")
-             .withColumn("event_time", F.to_timestamp("ts")))
-    src = tmp_path / "in"
-    batch.write.parquet(str(src))
-    stream = spark.readStream.schema(batch.schema).parquet(str(src))
-    agg = SJ.stream_telemetry(stream, "10 minutes", "0 seconds")
-    out = _tmp(spark)
-    q = (agg.writeStream.outputMode("append").format("parquet").option("path", out + "/d")
-         .option("checkpointLocation", out + "/c").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {r.w.start: (r.peak, r.n_ticks) for r in spark.read.schema(agg.schema).parquet(out + "/d").collect()}
-    assert got and all(v[1] == 10 for v in got.values())
-
-
 def test_stream_request_latency_bounded_state(spark, tmp_path):
     rows = [(1, "2024-01-01 00:00:00", 5), (1, "2024-01-01 00:00:01", 0), (1, "2024-01-01 00:00:03", 0),
             (2, "2024-01-01 00:00:02", 7), (2, "2024-01-01 00:00:02.5", 0),

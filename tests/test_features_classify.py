@@ -148,10 +148,31 @@ def test_metrics_and_split(spark):
     assert not ev & set(s[s.split == "train"].doc_id)
 
 
-def test_cluster_settings_scale_with_input():
-    from wordloom.session import cluster_settings
-    small = cluster_settings(10 << 30, executors=10)
-    big = cluster_settings(100 << 40)
-    assert int(small["spark.sql.shuffle.partitions"]) == 80  # floor at the core count
-    assert int(big["spark.sql.shuffle.partitions"]) == 2 * (100 << 40) // (256 << 20)
-    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+def test_split_keeps_rows_with_equal_order(spark):
+    df = spark.createDataFrame([(i // 4, i) for i in range(40)], "o long, x long")
+    got = CL.train_eval_split(df, "o").collect()
+    assert len(got) == 40 and sum(r.split == "eval" for r in got) == 4
+    assert CL.read_split(df, 7, "o").count() == 7
+
+
+def test_sentence_cooccurrence(spark):
+    import pytest
+    from wordloom.operators import features as FE
+    df = spark.createDataFrame([(1, "aa bb aa. bb cc!\naa"), (2, None), (3, "")], "doc_id long, text string")
+    got = {(r.t1, r.t2): r.n for r in FE.sentence_cooccurrence(df).collect()}
+    assert got == {("aa", "bb"): 2, ("bb", "aa"): 2, ("bb", "cc"): 1, ("cc", "bb"): 1}
+    with pytest.raises(Exception):
+        FE.sentence_cooccurrence(df, max_terms=1).count()
+    with pytest.raises(ValueError):
+        FE.cooccurrence(df, 10**9)
+
+
+def test_normalised_vocabulary_order(spark):
+    """Normalised first, then stop words: a word whose lemma is a stop word goes."""
+    from wordloom.operators import features as FE
+    df = spark.createDataFrame([(1, "Words were here, word. THE cats")], "doc_id long, text string")
+    lem = spark.createDataFrame([("words", "word"), ("cats", "the"), ("words", "zword")], "word string, lemma string")
+    got = [r.term for r in FE.vocabulary_from_text(df, "lemma", lem).orderBy("idx").collect()]
+    assert got == ["word"]
+    kept = {r.term for r in FE.vocabulary_from_text(df, "none", None, lowercase=False, stopwords=None).collect()}
+    assert kept == {"Words", "were", "here", "word", "THE", "cats"}
