@@ -21,16 +21,17 @@ there.
 Plan.
 1. Equal sets collapse to one node (map-side combined): a group of copies is
    one row from here on.
-2. Each node keeps only the first tokens by hash (a tenth of the set at a
-   threshold of 0.9), which is all that most nodes ever need.  Tokens that
+2. Each node keeps only a window of the first tokens by hash (some more than
+   a tenth of the set at a threshold of 0.9), all that most nodes ever need.  Tokens that
    more than ``frequent`` windows hold are frequent.  Nodes with too few
    rare tokens in the window are looked at whole, and tokens frequent among
    them are frequent too.
 3. Per key, one node is the pivot and every other one is compared with it:
    one row per key and node, however large the list.  The linked nodes are
    contracted to components.
-4. What is left are pairs in one list but in different components; all of
-   them are compared, so no link between different texts is lost.
+4. What is left are pairs in one list but in different components.  They
+   must share a minimum of keys (all prefix tokens but those they may lose);
+   all that do are compared, so no link between different texts is lost.
 All tables are written to the shared folder; components are contracted with
 the alternating star method, without collecting anything.
 """
@@ -49,9 +50,7 @@ from pyspark.sql import types as T
 from wordloom.llm.common import broadcast_if_small, list_array, map_texts, written
 
 #: Words a task remembers.
-CACHE = 400_000
-#: Tokens kept beyond the plain prefix.
-EXTRA = 8
+CACHE = 200_000
 
 
 class WordHashes(dict):
@@ -95,6 +94,12 @@ class Rule:
         """One more than the tokens that a set of n may leave unshared."""
         return n - -(-self.a * n // self.b) + 1
 
+    def window(self, n: int) -> int:
+        """Tokens kept of a set of n: the prefix and some to replace the
+        frequent tokens in it."""
+        p = self.prefix(n)
+        return min(n, p + 8 + p // 8) if self.can_link(n) else 0
+
     def can_link(self, n: int) -> bool:
         """Whether a set of n tokens can link to a different set at all."""
         return self.a * (n + 1) <= self.b * n or self.a * n <= self.b * (n - 1)
@@ -176,7 +181,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
-                       threshold: float = 0.9, frequent: int = 50) -> DataFrame:
+                       threshold: float = 0.9, frequent: int = 32) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs``.
 
     Texts are lower-cased (A-Z) and cut at ASCII white space; a document's
@@ -198,7 +203,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         def step(texts):
             sets = [shingles(t, k, words) for t in texts]
             sizes = [len(s) for s in sets]
-            keep = [min(n, rule.prefix(n) + EXTRA) if rule.can_link(n) else 0 for n in sizes]
+            keep = [rule.window(n) for n in sizes]
             marks = [_digest(s) for s in sets]
             return [sizes, [m[0] for m in marks], [m[1] for m in marks],
                     list_array(np.concatenate([np.zeros(0, np.uint64), *(s[:w] for s, w in zip(sets, keep))]).view(np.int64),
@@ -216,55 +221,75 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .select(F.col("id").alias("node"), "n", "s1", "s2", "window").dropDuplicates(["node", "s1", "s2"]))
     windows = written(windows)
     entries = windows.select("node", "n", F.posexplode("window").alias("place", "token"))
+    want = (F.col("n") - F.ceil(F.col("n") * F.lit(rule.a) / F.lit(rule.b)) + 1).cast("long")
+    spare = 8 + F.floor(want / 8)
 
     # step 2: frequent tokens
     lists = written(entries.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
     often = lists.filter(F.col("df") > frequent).select("token")
-    heavy = _short_of_rare(entries, broadcast_if_small(often, 500_000))
+    hits = entries.join(broadcast_if_small(often, 200_000), "token").groupBy("node", "n").count()
+    heavy = written(hits.filter(F.col("count") > spare).select("node"))
     heavy_sets = written(_sets(slim, heavy, k))
     often2 = heavy_sets.select(F.explode("tokens").alias("token")).groupBy("token").count().filter(
         F.col("count") > frequent).select("token")
     often = written(often.unionByName(often2).distinct())
-    often_side = broadcast_if_small(often, 500_000)
-    in_window = entries.join(often_side, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list("place")).alias("skip"))
-    in_window = written(in_window)  # at most a window's places per node
-    whole = written(in_window.filter(F.size("skip") > EXTRA).select("node"))
-    whole_sets = written(_sets(slim, whole, k).select("node", "n", "tokens"))
+    often_side = broadcast_if_small(often, 200_000)
+    skips = entries.join(often_side, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list("place")).alias("skip"))
+    skips = written(skips)  # at most a window's places per node
+    whole = written(skips.filter(F.size("skip") > spare).select("node"))
+    more_sets = _sets(slim, whole.join(heavy, "node", "left_anti"), k)  # the heavy ones are there already
+    whole_sets = heavy_sets.unionByName(written(more_sets))
 
     # index keys of the nodes looked at whole
     flags = (whole_sets.select("node", "n", F.posexplode("tokens").alias("at", "token")).join(often_side, "token")
              .groupBy("node", "n").agg(F.collect_list("at").alias("often")))
     whole_keys = written(_whole_keys(whole_sets.join(flags, ["node", "n"], "left"), rule))
-    # and of the others: the first rare tokens of the window
-    want = F.col("n") - F.ceil(F.col("n") * F.lit(rule.a) / F.lit(rule.b)) + 1
-    shared_tokens = (lists.select("token").join(often, "token", "left_anti")
-                     .unionByName(whole_keys.select(F.col("key").alias("token"))).distinct())
-    plain = (entries.join(whole, "node", "left_anti").join(shared_tokens, "token")
-             .join(in_window, ["node", "n"], "left")
-             .withColumn("place", F.col("place") - F.coalesce(
-                 F.size(F.filter("skip", lambda x: x < F.col("place"))), F.lit(0)))
-             .filter(F.col("place") < want)
-             .select(F.col("token").alias("key"), "node", "n", "place"))
-    index = written(plain.unionByName(whole_keys.select("key", "node", "n", "place")))
+    # and of the others: the first rare tokens of the window, as far as another list can hold them
+    shared_tokens = written(lists.select("token").join(often, "token", "left_anti")
+                            .unionByName(whole_keys.select(F.col("key").alias("token"))).distinct())
+    skipped = F.coalesce(F.size(F.filter("skip", lambda x: x < F.col("place"))), F.lit(0))
+    plain = (windows.join(broadcast_if_small(whole, 200_000), "node", "left_anti")
+             .join(broadcast_if_small(skips, 200_000), ["node", "n"], "left")
+             .select("node", "n", "skip", F.posexplode("window").alias("place", "token"))
+             .withColumn("place", F.col("place") - skipped).filter(F.col("place") < want)
+             .select("token", "node", (F.shiftleft("n", 32) + F.col("place")).alias("np"))  # narrow rows: most end here
+             .join(shared_tokens, "token")
+             .select(F.col("token").alias("key"), "node", F.shiftright("np", 32).alias("n"),
+                     F.col("np").bitwiseAND(F.lit((1 << 32) - 1)).alias("place"), F.lit(False).alias("whole")))
+    index = written(plain.unionByName(whole_keys.select("key", "node", "n", "place", F.lit(True).alias("whole"))))
 
     # step 3: one pivot per key, the node with the earliest place (it has the fewest tokens of its own)
-    pivots = index.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("place", "node", "n")).alias("p")).filter("c > 1")
+    pivots = written(index.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("place", "node", "n")).alias("p"))
+                     .filter("c > 1").select("key", "p"))
     stars = (index.join(pivots, "key").filter("node <> p.node")
              .select(F.col("p.node").alias("x"), F.col("p.n").alias("nx"), F.col("p.place").alias("px"),
-                     F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py")))
-    first = written(_verified(slim, _possible(stars, rule), k, rule))
-    linked = first.filter("linked").select("a", "b")
-    roots = components(linked)
+                     F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"))
+             .filter(_sizes_fit(rule) & _places_fit(rule, F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))))
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct())
+    first = written(_verified(slim, stars, k, rule))
+    roots = components(first.filter("linked").select("a", "b"))
 
     # step 4: pairs in one list that are still in different components
-    rooted = (index.join(pivots.select("key"), "key").join(roots.withColumnRenamed("root", "r"), "node", "left")
+    rooted = (index.join(pivots.select("key"), "key")
+              .join(broadcast_if_small(roots, 200_000).withColumnRenamed("root", "r"), "node", "left")
               .withColumn("r", F.coalesce("r", "node")))
+    rooted = written(rooted)
     mixed = rooted.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).filter("lo < hi").select("key")
-    open_ = written(rooted.join(mixed, "key"))
-    pairs = (open_.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), F.col("r").alias("rx"))
-             .join(open_.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"),
-                                F.col("r").alias("ry")), "key").filter("x < y and rx <> ry"))
-    rest = _possible(pairs, rule).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    open_ = rooted.join(mixed, "key")
+    side = lambda x: open_.select("key", F.col("node").alias(x), F.col("n").alias(f"n{x}"),
+                                  F.col("place").alias(f"p{x}"), F.col("r").alias(f"r{x}"), F.col("whole").alias(f"w{x}"))
+    bound = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+    combined = F.col("wx") | F.col("wy")
+    # with a combined key one row that fits is enough; plain ones are counted first
+    pairs = (side("x").join(side("y"), "key").filter("x < y and rx <> ry")
+             .filter(_sizes_fit(rule) & (~combined | _places_fit(rule, bound)))
+             .groupBy("x", "y", "nx", "ny").agg(
+                 F.count("*").alias("shared"), F.max(combined).alias("combined"), F.max(bound).alias("most")))
+    # two plain nodes must share all but the tokens they may lose of the shorter prefix
+    need = F.ceil((F.col("nx") + F.col("ny")) * F.lit(rule.a) / F.lit(rule.a + rule.b))
+    least = need - F.ceil(F.greatest("nx", "ny") * F.lit(rule.a) / F.lit(rule.b)) + 1
+    rest = (pairs.filter(_places_fit(rule, F.col("most"))).filter(F.col("combined") | (F.col("shared") >= least))
+            .select(F.col("x").alias("a"), F.col("y").alias("b")).join(first.select("a", "b"), ["a", "b"], "left_anti"))
     second = written(_verified(slim, rest, k, rule)).filter("linked").select("a", "b")
     final = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second))
     return _answer(sketches, nodes, final, id_col)
@@ -277,11 +302,6 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _short_of_rare(entries: DataFrame, often: DataFrame) -> DataFrame:
-    """Nodes with more frequent tokens in the window than it has to spare."""
-    return entries.join(often, "token").groupBy("node").count().filter(F.col("count") > EXTRA).select("node")
-
-
 def _sets(slim: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, n, tokens): the whole sets of the given nodes, from their texts."""
     def make():
@@ -293,7 +313,7 @@ def _sets(slim: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
             return [sizes, list_array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64), sizes, pa.int64())]
         return step
 
-    wanted = broadcast_if_small(written(nodes.select(F.col("node")).distinct()), 500_000)
+    wanted = broadcast_if_small(written(nodes.select(F.col("node")).distinct()), 200_000)
     texts = slim.join(wanted, slim["id"] == wanted["node"]).select("node", "text")
     fields = [T.StructField("n", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
     return map_texts(texts, "text", fields, make, drop=("text",)).filter("n > 0")
@@ -320,13 +340,13 @@ def _whole_keys(sets: DataFrame, rule: Rule) -> DataFrame:
     return sets.select("node", "n", "tokens", "often").mapInArrow(run, "node long, n long, key long, place long")
 
 
-def _possible(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes and places allow the threshold."""
-    a, b = F.lit(rule.a), F.lit(rule.b)
-    most = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
-    return (pairs.filter(a * F.greatest("nx", "ny") <= b * F.least("nx", "ny"))
-            .filter((a + b) * most >= a * (F.col("nx") + F.col("ny")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct())
+def _sizes_fit(rule: Rule):
+    return F.lit(rule.a) * F.greatest("nx", "ny") <= F.lit(rule.b) * F.least("nx", "ny")
+
+
+def _places_fit(rule: Rule, most):
+    """Whether an overlap of at most ``most`` allows the threshold."""
+    return F.lit(rule.a + rule.b) * most >= F.lit(rule.a) * (F.col("nx") + F.col("ny"))
 
 
 def _verified(slim: DataFrame, pairs: DataFrame, k: int, rule: Rule) -> DataFrame:
