@@ -1,0 +1,49 @@
+import os
+import random
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = {"en": "the and of with thing other where under stone water".split(),
+         "fr": "être avec dans pour chose autre sous pierre eau où".split()}
+
+
+def prose(rng, n, lang="en"):
+    return " ".join(rng.choice(WORDS[lang]) + rng.choice(["", "s", "ly", "er"]) + str(rng.randrange(40)) * (rng.random() < 0.3)
+                    for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def awkward(spark):
+    """Documents with nulls in every column, empty and very long texts, ties,
+    repeated rows, copies, near copies and columns whose names clash with
+    results or working columns."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        lang = "en" if i % 2 else "fr"
+        rows.append((i, "\n".join(prose(rng, 12, lang) for _ in range(6)), lang, f"s{i % 3}", 1))
+    base = rows[1][1]
+    rows += [(100 + i, base, "en", "s0", 1) for i in range(5)]
+    words = base.split(" ")
+    for i in range(5):
+        near = list(words)
+        near[10 + 7 * i] = f"changed{i}"
+        rows.append((110 + i, " ".join(near), "en", "s1", 1))
+    rows += [(200, None, "en", "s0", None), (201, "", None, None, 0), (202, "   \t\n\n ", "fr", "s2", 7),
+             (203, "x" * 50_000, "en", "s1", 50_000), (204, prose(rng, 30_000), "en", "s2", 1),
+             (205, "?!?! 123 ###", "en", "s0", 3), (206, "é", "fr", None, 1), (207, "one two", None, "s0", 7),
+             (208, "one two", "en", "s0", 7), (None, base, "en", "s0", 1), (None, None, None, None, None),
+             rows[3], rows[3], (4, "another text under the same id, with other words", "en", "s1", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    return df.selectExpr("*", "1 AS size", "2 AS n_lines", "'x' AS lang_pred", "3 AS copies", "4 AS _id",
+                         "5 AS node", "'z' AS piece_ids", "6 AS toxic_prob", "7 AS k", "8 AS __lost")
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
