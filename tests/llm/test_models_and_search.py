@@ -179,7 +179,7 @@ def test_urls_and_rules(spark):
         if fit:
             assert r.verdict == max(fit)[1]
         verdicts[r.page_id] = r.verdict
-    assert verdicts[9] == "block" and verdicts[11] == verdicts[6] == verdicts[5] == "allow"
+    assert verdicts[10] == "block" and verdicts[11] == verdicts[6] == verdicts[5] == "allow"
     empty = spark.createDataFrame([], "page_id int, url string, html string")
     assert filter_urls(empty, RULES).count() == 0
     assert {r.verdict for r in filter_urls(spark.createDataFrame(PAGES, "page_id int, url string, html string"), []).collect()} == {"allow"}
