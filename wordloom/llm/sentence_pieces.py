@@ -81,6 +81,8 @@ class Pieces:
             hashes[at] = self._roll(codes)[length][:, 0]
         order = np.argsort(hashes)
         self.keys, self.ids, self.scores = hashes[order], np.array(ids, np.int32)[order], scores[order]
+        self.occupied = np.zeros(1 << 20, bool)  # which leading 20 bits a key has: most substrings end here
+        self.occupied[(self.keys >> np.uint64(44)).astype(np.int64)] = True
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces share a hash")
         self.sizes = np.array([len(b) for b in self.bytes_of], np.int64)
@@ -121,10 +123,13 @@ class Pieces:
             ids = np.full((e - s, b, m), -1, np.int32)
             for length, h in self._roll(codes[:, o:e]).items():
                 h = h[:, max(0, s + 1 - o - length):]
-                at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                hit = self.keys[at] == h
-                score[e - s - h.shape[1]:, :, length - 1] = np.where(hit, self.scores[at], -np.inf).T
-                ids[e - s - h.shape[1]:, :, length - 1] = np.where(hit, self.ids[at], -1).T
+                row, col = np.nonzero(self.occupied[(h >> np.uint64(44)).astype(np.int64)])
+                probe = h[row, col]
+                at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
+                hit = self.keys[at] == probe
+                row, col, at = row[hit], col[hit] + (e - s - h.shape[1]), at[hit]
+                score[col, row, length - 1] = self.scores[at]
+                ids[col, row, length - 1] = self.ids[at]
             single = score[:, :, 0]
             single[single == -np.inf] = self.miss
             for p in range(s + 1, e + 1):
@@ -135,8 +140,9 @@ class Pieces:
                 back[p] = last + 1
         return back, piece
 
-    def _segment(self, group: list[str]) -> list[np.ndarray]:
-        """The ids of each of a group of equally long words."""
+    def _segment(self, group: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a group of equally long words, one after another, and
+        the number of ids of each."""
         n, b = len(group[0]), len(group)
         codes = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(b, n)
         length, piece = self.viterbi(codes)
@@ -151,30 +157,33 @@ class Pieces:
         rows, ids, ends = (np.concatenate(x[::-1]) for x in (rows, ids, ends))
         order = np.argsort(rows, kind="stable")
         rows, ids, ends = rows[order], ids[order], ends[order]
-        out = np.split(ids, np.flatnonzero(np.diff(rows)) + 1)
-        for r in np.unique(rows[ids < 0]):  # characters without a piece, as their bytes
-            at = np.flatnonzero(rows == r)
-            out[r] = np.concatenate([
-                self.byte_ids[list(group[r][ends[i] - 1].encode("utf-8", "surrogatepass"))] if ids[i] < 0 else ids[i:i + 1]
-                for i in at])
-        return out
+        missing = np.flatnonzero(ids < 0)
+        if len(missing):  # characters without a piece, as their bytes
+            chars = [chr(c).encode("utf-8", "surrogatepass") for c in codes[rows[missing], ends[missing] - 1].tolist()]
+            size = np.ones(len(ids), np.int64)
+            size[missing] = [len(c) for c in chars]
+            wanted = np.repeat(ids, size)
+            wanted[wanted < 0] = self.byte_ids[np.frombuffer(b"".join(chars), np.uint8)]
+            ids, rows = wanted, np.repeat(rows, size)
+        return ids, np.bincount(rows, minlength=b)
 
     def _learn(self, new: list[str]) -> None:
         """Segment the words that are not in the cache yet."""
         new.sort(key=len)
-        found: list = []
+        ids, counts = [self.tokens], []
         a = 0
         while a < len(new):
             n, z = len(new[a]), a
             most = max(1, STEP // (n * self.longest))
             while z < len(new) and z - a < most and len(new[z]) == n:
                 z += 1
-            found.extend(self._segment(new[a:z]))
+            found, size = self._segment(new[a:z])
+            ids.append(found)
+            counts.append(size)
             a = z
-        base = len(self.words)
-        self.words.update((w, base + i) for i, w in enumerate(new))
-        self.tokens = np.concatenate([self.tokens, *found])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(f) for f in found])])
+        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        self.tokens = np.concatenate(ids)
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(counts))])
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids per text); a
