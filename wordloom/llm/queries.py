@@ -106,7 +106,37 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
              ("block", "net/es/"), ("block", "net/fr/")]
 
 
-@query("op5_url_filter")
+_URL = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+_HREF = """'(?i)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)'"""
+OP5 = f"""
+WITH RECURSIVE rules(action, rh, rp) AS (VALUES {", ".join("('%s', '%s', '/%s')" % (a, *r.split("/", 1)) for a, r in URL_RULES)}),
+p AS (SELECT page_id, {SQL_LOWER.format(f"coalesce(regexp_extract(url, {_URL}, 1), '')")} AS host,
+             coalesce(regexp_extract(url, {_URL}, 2), '') AS path, html FROM pages),
+fit AS (SELECT page_id, rh || rp AS rule, action, row_number() OVER (PARTITION BY page_id
+          ORDER BY length(rh || rp) DESC, length(rh) DESC, action <> 'block', rh || rp) AS rn
+        FROM p JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
+j AS (SELECT p.*, f.rule, f.action FROM p LEFT JOIN fit f ON f.page_id = p.page_id AND f.rn = 1),
+shares AS (SELECT host, avg(CAST(coalesce(action = 'allow', false) AS DOUBLE)) AS a,
+                  avg(CAST(coalesce(action = 'block', false) AS DOUBLE)) AS b FROM j WHERE host <> '' GROUP BY host),
+links AS (SELECT host AS src, unnest(regexp_extract_all(html, {_HREF}, 1)) AS href FROM p),
+pairs AS (SELECT src, {SQL_LOWER.format(f"regexp_extract(CASE WHEN starts_with(href, '//') THEN 'http:' || href ELSE href END, {_URL}, 1)")} AS dst
+          FROM links WHERE contains(href, '//')),
+up AS (SELECT DISTINCT a.host, b.host AS parent FROM p a JOIN p b ON b.host = regexp_extract(a.host, '^[^.]+\\.(.+)$', 1) AND b.host <> ''),
+g AS (SELECT src, dst, count(*) AS n FROM (
+        SELECT src, dst FROM pairs WHERE src <> '' AND dst <> '' AND src <> dst
+        UNION ALL SELECT host, parent FROM up UNION ALL SELECT parent, host FROM up) GROUP BY ALL),
+e AS (SELECT src AS host, dst AS t, n, 0 AS kind FROM g UNION ALL SELECT dst, src, n, 1 FROM g),
+steps AS (SELECT host, t, kind, 0.85 * n / sum(n) OVER (PARTITION BY host, kind) AS w FROM e),
+c(i, host, kind, x) AS (
+  SELECT 0, host, 0, 0.15 * a FROM shares WHERE a > 0 UNION ALL SELECT 0, host, 1, 0.15 * b FROM shares WHERE b > 0
+  UNION ALL SELECT i + 1, t, c.kind, sum(x * w) FROM c JOIN steps ON steps.host = c.host AND steps.kind = c.kind
+            WHERE i < 20 GROUP BY i, t, c.kind),
+v AS (SELECT host, sum(CASE WHEN kind = 0 THEN -x ELSE x END) AS d FROM c GROUP BY host)
+SELECT page_id, j.host, path, rule, coalesce(action, CASE WHEN coalesce(v.d, 0) > 0.5 * 0.15 THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN v USING (host)"""
+
+
+@query("op5_url_filter", OP5)
 def op5(spark, sf_dir):
     from wordloom.llm.url_filter import filter_urls
     return filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
