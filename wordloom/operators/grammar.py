@@ -28,7 +28,7 @@ def lexicon_sets(lexicon: DataFrame, word="word", cat="cat") -> DataFrame:
     d = lexicon.select(cat, word).distinct()
     before = ordering.exclusive_prefix_sum(d.withColumn("_one", F.lit(1)), [cat, word], "_one", "_b")
     first = before.groupBy(cat).agg(F.min("_b").alias("_start"))
-    return (before.join(first, cat)
+    return (before.join(broadcast_checked(first), cat)  # one row per category
                   .select(cat, word, (F.col("_b") - F.col("_start")).alias("idx")))
 
 

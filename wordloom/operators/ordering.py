@@ -54,11 +54,12 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: Sequence, weight: str,
 def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     """Adds the 1-based average rank of ``value`` (ties share the mean rank),
     as used by Spearman's coefficient.  Distinct values are ranked, then
-    joined back on the value."""
+    joined back on the value (broadcast if they are few, so that a value that
+    many rows share never deals them)."""
     counts = df.groupBy(value).agg(F.count("*").alias("_c"))
     ranked = exclusive_prefix_sum(counts, [value], "_c", "_b")
     ranks = ranked.select(value, (F.col("_b") + (F.col("_c") + 1) / 2.0).alias(out))
-    return df.join(ranks, value, "left")
+    return df.join(broadcast_checked(cut_lineage(ranks)), value, "left")
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequence[float]) -> DataFrame:
