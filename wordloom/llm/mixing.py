@@ -10,7 +10,7 @@ fraction of them once more.
 Plan: built-in expressions only.  The water level is a scalar found by a few
 aggregates over the one-row-per-source table.  The fraction is a prefix of
 the source in seeded hash order; where it ends comes from a histogram of
-sizes per (source, first 16 bits of the hash), which is at most 65,536 rows
+sizes per (source, first 12 bits of the hash), which is at most 4,096 rows
 per source however large a source is, and then from the documents of the
 single histogram cell in which it ends.  No window ever holds a source.
 """
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import WORD, broadcast_if_small, written
 
+#: Hexadecimal digits of the hash that name a cell of the histogram.
+CELL = 3
+
 
 def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -69,7 +72,7 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: s
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     slim = written(docs.select(F.col(source_col).alias("s"), word_count(F.col(text_col)).alias("size"),
                                key.alias("key")))
-    cells = written(slim.groupBy("s", F.substring("key", 1, 4).alias("cell")).agg(F.sum("size").alias("size")))
+    cells = written(slim.groupBy("s", F.substring("key", 1, CELL).alias("cell")).agg(F.sum("size").alias("size")))
     sizes = cells.groupBy("s").agg(F.sum("size").alias("source_size"))
     w = weights.select(F.col(weights.columns[0]).alias("ws"), F.col(weights.columns[1]).cast("double").alias("weight"))
     sources = written(
@@ -92,7 +95,7 @@ def mix(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: s
            .alias("a").join(broadcast_if_small(plan).alias("p"), F.expr("a.s <=> p.s"))
            .filter("before < need and before + size >= need").select("a.s", "cell", "before", "need"))
     cut = written(cut)
-    edge = (slim.withColumn("cell", F.substring("key", 1, 4)).alias("d")
+    edge = (slim.withColumn("cell", F.substring("key", 1, CELL)).alias("d")
             .join(broadcast_if_small(cut).alias("c"), F.expr("d.s <=> c.s and d.cell = c.cell"))
             .select("d.s", "key", "d.size", "before", "need")
             .groupBy("s", "key", "before", "need").agg(F.sum("size").alias("size")))
