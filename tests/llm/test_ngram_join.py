@@ -141,3 +141,12 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == {x: find(x) for x in root} and len(got) == len(root)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_ids_with_several_texts(spark):
+    """Rows sharing an id, with texts of one size, among many near copies."""
+    rng = random.Random(11)
+    rows = groups(rng, [12, 9, 5], [40], [0, 1, 2])
+    rows = [(i // 3, t) for i, t in rows] + rows[:4] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in jaccard_components(docs, frequent=3).collect()) == plain_components(rows)

@@ -22,10 +22,10 @@ Plan.
 1. Equal sets collapse to one node (map-side combined): a group of copies is
    one row from here on.
 2. Each node keeps only a window of the first tokens by hash (some more than
-   a tenth of the set at a threshold of 0.9), all that most nodes ever need.  Tokens that
-   more than ``frequent`` windows hold are frequent.  Nodes with too few
-   rare tokens in the window are looked at whole, and tokens frequent among
-   them are frequent too.
+   a tenth of the set at a threshold of 0.9), all that most nodes ever need.
+   Tokens that more than ``frequent`` windows hold are frequent.  Nodes with
+   too few rare tokens in the window are looked at whole, and tokens frequent
+   among them are frequent too.
 3. Per key, one node is the pivot and every other one is compared with it:
    one row per key and node, however large the list.  The linked nodes are
    contracted to components.
@@ -38,7 +38,6 @@ the alternating star method, without collecting anything.
 
 from __future__ import annotations
 
-import math
 from fractions import Fraction
 
 import numpy as np
@@ -215,41 +214,43 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               T.StructField("window", T.ArrayType(T.LongType()))]
     sketches = written(map_texts(slim, "text", fields, sketch, drop=("text",)))
     members = sketches.filter("n > 0 and id is not null").select("id", "n", "s1", "s2")
+    if members.groupBy("id").count().filter("count > 1").limit(1).count():  # rows that share an id: each text once
+        slim = slim.dropDuplicates(["id", "text"])
     nodes = written(members.groupBy("s1", "s2", "n").agg(F.min("id").alias("node")))
     # a node's window is read from the row of its smallest id; equal rows of that id collapse
     windows = (sketches.filter("size(window) > 0").join(nodes.withColumnRenamed("node", "id"), ["s1", "s2", "n", "id"])
                .select(F.col("id").alias("node"), "n", "s1", "s2", "window").dropDuplicates(["node", "s1", "s2"]))
     windows = written(windows)
-    entries = windows.select("node", "n", F.posexplode("window").alias("place", "token"))
+    entries = windows.select("node", "s1", "n", F.posexplode("window").alias("place", "token"))
     want = (F.col("n") - F.ceil(F.col("n") * F.lit(rule.a) / F.lit(rule.b)) + 1).cast("long")
     spare = 8 + F.floor(want / 8)
 
     # step 2: frequent tokens
     lists = written(entries.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
     often = lists.filter(F.col("df") > frequent).select("token")
-    hits = entries.join(broadcast_if_small(often, 200_000), "token").groupBy("node", "n").count()
-    heavy = written(hits.filter(F.col("count") > spare).select("node"))
+    hits = entries.join(broadcast_if_small(often, 200_000), "token").groupBy("node", "s1", "n").count()
+    heavy = written(hits.filter(F.col("count") > spare).select("node").distinct())
     heavy_sets = written(_sets(slim, heavy, k))
     often2 = heavy_sets.select(F.explode("tokens").alias("token")).groupBy("token").count().filter(
         F.col("count") > frequent).select("token")
     often = written(often.unionByName(often2).distinct())
     often_side = broadcast_if_small(often, 200_000)
-    skips = entries.join(often_side, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list("place")).alias("skip"))
+    skips = entries.join(often_side, "token").groupBy("node", "s1", "n").agg(F.sort_array(F.collect_list("place")).alias("skip"))
     skips = written(skips)  # at most a window's places per node
-    whole = written(skips.filter(F.size("skip") > spare).select("node"))
+    whole = written(skips.filter(F.size("skip") > spare).select("node").distinct())
     more_sets = _sets(slim, whole.join(heavy, "node", "left_anti"), k)  # the heavy ones are there already
     whole_sets = heavy_sets.unionByName(written(more_sets))
 
     # index keys of the nodes looked at whole
-    flags = (whole_sets.select("node", "n", F.posexplode("tokens").alias("at", "token")).join(often_side, "token")
-             .groupBy("node", "n").agg(F.collect_list("at").alias("often")))
-    whole_keys = written(_whole_keys(whole_sets.join(flags, ["node", "n"], "left"), rule))
+    flags = (whole_sets.select("node", "s1", F.posexplode("tokens").alias("at", "token")).join(often_side, "token")
+             .groupBy("node", "s1").agg(F.collect_list("at").alias("often")))
+    whole_keys = written(_whole_keys(whole_sets.join(flags, ["node", "s1"], "left"), rule))
     # and of the others: the first rare tokens of the window, as far as another list can hold them
     shared_tokens = written(lists.select("token").join(often, "token", "left_anti")
                             .unionByName(whole_keys.select(F.col("key").alias("token"))).distinct())
     skipped = F.coalesce(F.size(F.filter("skip", lambda x: x < F.col("place"))), F.lit(0))
     plain = (windows.join(broadcast_if_small(whole, 200_000), "node", "left_anti")
-             .join(broadcast_if_small(skips, 200_000), ["node", "n"], "left")
+             .join(broadcast_if_small(skips, 200_000), ["node", "s1", "n"], "left")
              .select("node", "n", "skip", F.posexplode("window").alias("place", "token"))
              .withColumn("place", F.col("place") - skipped).filter(F.col("place") < want)
              .select("token", "node", (F.shiftleft("n", 32) + F.col("place")).alias("np"))  # narrow rows: most end here
@@ -303,19 +304,20 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sets(slim: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, n, tokens): the whole sets of the given nodes, from their texts."""
+    """(node, s1, n, tokens): the whole sets of the given nodes, from their texts."""
     def make():
         words = WordHashes()
 
         def step(texts):
             sets = [shingles(t, k, words) for t in texts]
             sizes = [len(s) for s in sets]
-            return [sizes, list_array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64), sizes, pa.int64())]
+            return [[_digest(s)[0] for s in sets], sizes, list_array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64), sizes, pa.int64())]
         return step
 
     wanted = broadcast_if_small(written(nodes.select(F.col("node")).distinct()), 200_000)
     texts = slim.join(wanted, slim["id"] == wanted["node"]).select("node", "text")
-    fields = [T.StructField("n", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
+    fields = [T.StructField("s1", T.LongType()), T.StructField("n", T.LongType()),
+              T.StructField("tokens", T.ArrayType(T.LongType()))]
     return map_texts(texts, "text", fields, make, drop=("text",)).filter("n > 0")
 
 
