@@ -88,7 +88,7 @@ def nb_fit(td: DataFrame, docs: DataFrame, alpha: float | DataFrame = 1.0, label
 
 def nb_predict_proba(td: DataFrame, docs: DataFrame, model: dict[str, DataFrame],
                      id_col="doc_id", label="label", term="term", n="n",
-                     by: Sequence[str] = ()) -> DataFrame:
+                     by: Sequence[str] = (), max_classes: int = 10_000) -> DataFrame:
     """Per (document, class): ``log_score`` and ``prob``.
 
     Only terms present in the document are summed (out-of-vocabulary terms
@@ -96,11 +96,14 @@ def nb_predict_proba(td: DataFrame, docs: DataFrame, model: dict[str, DataFrame]
     are shifted by the document maximum before exponentiating; when every
     class is -infinity the probabilities are null (Q2).  Documents without
     known terms keep the prior.  Without ``by``, every class is attached to
-    every document through a scalar subquery holding the (few) classes, not
-    a join; with ``by`` through an equi-join on the group.
+    every document through a scalar subquery holding the classes, not a join
+    (more than ``max_classes`` are an error); with ``by`` through an
+    equi-join on the group.
     """
     by = list(by)
     classes = model["classes"]
+    if classes.limit(max_classes + 1).count() > max_classes:
+        raise ValueError(f"more than {max_classes} classes")
     # one join brings the likelihoods; a term's first class also counts it as
     # known, so the vocabulary needs no join of its own
     first = F.row_number().over(Window.partitionBy(*by, term).orderBy(label)) == 1

@@ -194,3 +194,12 @@ def q_vocab_overlap(spark, sf):
     a = T.tokenize(_docs(spark, sf), "text", "doc_id", "default")
     b = T.tokenize(table(spark, sf, "benchmark"), "text", "item_id", "default")
     return FE.vocab_overlap(a, b)
+
+
+@query("vocab_union", f"""
+SELECT DISTINCT term FROM (SELECT unnest({r6()}) AS term FROM documents
+                           UNION ALL SELECT unnest({r6()}) FROM benchmark)""")
+def q_vocab_union(spark, sf):
+    a = T.tokenize(_docs(spark, sf), "text", "doc_id", "default").select("term")
+    b = T.tokenize(table(spark, sf, "benchmark"), "text", "item_id", "default").select("term")
+    return a.union(b).distinct()

@@ -213,6 +213,24 @@ def q_normalize_terms(spark, sf):
     return T.normalize_counts(T.term_counts(toks), lem, "lemma")
 
 
+@query("normalize_terms_class", f"""
+WITH t AS (SELECT unnest({r6()}) AS term FROM documents),
+g AS (SELECT term, CASE length(term) % 4 WHEN 0 THEN 'JJR' WHEN 1 THEN 'VBD' WHEN 2 THEN 'RB' ELSE 'DT' END AS tag FROM t),
+k AS (SELECT term, CASE WHEN tag LIKE 'J%' THEN 'a' WHEN tag LIKE 'V%' THEN 'v' WHEN tag LIKE 'R%' THEN 'r' ELSE 'n' END AS cat FROM g),
+l AS (SELECT word, cat, min(lemma) AS lemma FROM {FX.lemma_sql_values()} GROUP BY ALL)
+SELECT coalesce(l.lemma, k.term) AS term, k.cat, count(*) AS n
+FROM k LEFT JOIN l ON l.word = k.term AND l.cat = k.cat GROUP BY ALL""")
+def q_normalize_terms_class(spark, sf):
+    """Lemma by (word, class); the class comes from a part-of-speech tag
+    (fixture rule: the word's length)."""
+    toks = T.tokenize(_docs(spark, sf), "text", "doc_id", "default")
+    n = F.length("term") % 4
+    tag = F.when(n == 0, "JJR").when(n == 1, "VBD").when(n == 2, "RB").otherwise("DT")
+    counts = toks.select("term", C.wordnet_class(tag).alias("cat")).groupBy("term", "cat").agg(F.count("*").alias("n"))
+    found = T.normalize_terms(counts, FX.lemma_df(spark), "lemma", cat="cat")
+    return found.groupBy("term", "cat").agg(F.sum("n").alias("n"))
+
+
 @query("lemma_summary", f"""
 WITH t AS (SELECT DISTINCT unnest({r6()}) AS term FROM documents),
 l AS (SELECT DISTINCT word, lemma FROM {FX.lemma_sql_values()})
