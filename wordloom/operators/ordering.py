@@ -86,7 +86,9 @@ def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequ
     lo = F.max(F.when(F.col("_hi") == 0, F.col("_v")))
     hi = F.max(F.when(F.col("_hi") == 1, F.col("_v")))
     keys = [f"_by{i}" for i in range(len(by))]
-    value = found.groupBy(*keys, "_name", "_p").agg((lo + (hi - lo) * F.max("_part")).alias("_q"))
+    part = F.max("_part")
+    value = found.groupBy(*keys, "_name", "_p").agg(
+        F.when(part == 0, lo).otherwise(lo * (1 - part) + hi * part).alias("_q"))
     return value.groupBy(*keys).agg(*[
         F.max(F.when((F.col("_name") == n) & (F.col("_p") == float(p)), F.col("_q"))).alias(f"{n}_{p}")
         for n in columns for p in probs]).withColumnsRenamed({f"_by{i}": c for i, c in enumerate(by)})

@@ -4,6 +4,8 @@ tables (batch).  The streaming jobs reuse the same column expressions."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,11 +89,12 @@ def _quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs, exact: bo
 
 
 def _on_group(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One row per group from two aggregates of the same rows, null-safe."""
+    """One row per group from two aggregates of the same rows, null-safe;
+    without groups, one row with the other's values as scalar subqueries."""
+    if not by:
+        return a.withColumns({c: b.select(F.col(f"`{c}`")).scalar() for c in b.columns})
     b = b.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(by)})
-    cond = F.lit(True)
-    for i, c in enumerate(by):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    cond = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)))
     return a.join(broadcast_checked(b), cond, "left").drop(*[f"_g{i}" for i in range(len(by))])
 
 
