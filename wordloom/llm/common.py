@@ -23,7 +23,22 @@ WHITE = " \t\n\x0b\f\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 #: Bytes of text that one step inside a Python task works on at once.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
+
+
+#: Bytes of one Arrow batch between the JVM and a Python worker.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on the bytes of an Arrow batch to
+    ``BATCH_BYTES`` (a lower setting stays): with long texts or arrays the
+    buffers of a batch, outside the heap, are what a task's memory is made
+    of."""
+    now = (spark.conf.get(_BATCH_KEY, None) or "").lower().rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +49,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a parquet table in the shared checkpoint folder: computed
     once, safe against lost executors, lineage cut."""
+    small_batches(df.sparkSession)
     return cut_lineage(df)
 
 
@@ -69,6 +85,7 @@ def map_texts(df: DataFrame, text_col: str, fields: list[T.StructField],
     named like a new field (any case) are replaced; ``drop`` leaves columns
     out of the result.
     """
+    small_batches(df.sparkSession)
     new = {f.name.lower() for f in fields} | {d.lower() for d in drop}
     keep = [f for f in df.schema.fields if f.name.lower() not in new]
     schema = T.StructType([*keep, *fields])

@@ -147,10 +147,10 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                     g, c = np.unique(h, return_counts=True)
                     held.setdefault(lang, []).append((g, c.astype(np.int64)))
                     size += len(g)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     held = {lang: [_merge(parts)] for lang, parts in held.items()}
                     size = sum(len(p[0][0]) for p in held.values())
-                    if size > 1_000_000:
+                    if size > 500_000:
                         yield from flush()
                         held, size = {}, 0
         yield from flush()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from wordloom.llm.common import pieces
+from wordloom.llm.common import pieces, small_batches
 
 # Notices and license texts to look for (name, text).
 TEMPLATES = [
@@ -172,6 +172,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     twice is reported twice.  Other columns are ignored.
     """
     index = Index(TEMPLATES if templates is None else templates, k, window)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)  # as large as the templates
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("license", T.StringType()),
                            T.StructField("matched_words", T.LongType()), T.StructField("coverage", T.DoubleType()),

@@ -34,7 +34,7 @@ SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Cells of the probe table (words x positions x piece lengths) held at once.
 STEP = 1 << 19
 #: Words that a task remembers.
-CACHE = 400_000
+CACHE = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

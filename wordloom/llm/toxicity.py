@@ -29,7 +29,7 @@ from wordloom.llm.common import map_texts, written
 PREFIXES = (4, 5, 6)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 #: Words a task remembers.
-CACHE = 400_000
+CACHE = 200_000
 
 
 def _hash(name: str) -> int:
