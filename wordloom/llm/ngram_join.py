@@ -160,7 +160,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = written(both.filter("b > a").join(low, "a").select(F.col("m").alias("a"), "b").filter("a < b").distinct())
+        large = both.filter("b > a").join(low, "a").select(F.col("m").alias("a"), "b").filter("a < b").distinct()
         # every edge hangs below its larger end: its neighbours move to the smallest of them
         down = large.groupBy("b").agg(F.min("a").alias("m"))
         small = (large.join(down, "b")
@@ -238,7 +238,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     skips = entries.join(often_side, "token").groupBy("node", "s1", "n").agg(F.sort_array(F.collect_list("place")).alias("skip"))
     skips = written(skips)  # at most a window's places per node
     whole = written(skips.filter(F.size("skip") > spare).select("node").distinct())
-    more_sets = _sets(slim, whole.join(heavy, "node", "left_anti"), k)  # the heavy ones are there already
+    more_sets = _sets(slim, written(whole.join(heavy, "node", "left_anti")), k)  # the heavy ones are there already
     whole_sets = heavy_sets.unionByName(written(more_sets))
 
     # index keys of the nodes looked at whole
@@ -304,7 +304,8 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sets(slim: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, s1, n, tokens): the whole sets of the given nodes, from their texts."""
+    """(node, s1, n, tokens): the whole sets of the given distinct nodes, from
+    their texts."""
     def make():
         words = WordHashes()
 
@@ -314,7 +315,7 @@ def _sets(slim: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
             return [[_digest(s)[0] for s in sets], sizes, list_array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64), sizes, pa.int64())]
         return step
 
-    wanted = broadcast_if_small(written(nodes.select(F.col("node")).distinct()), 200_000)
+    wanted = broadcast_if_small(nodes, 200_000)
     texts = slim.join(wanted, slim["id"] == wanted["node"]).select("node", "text")
     fields = [T.StructField("s1", T.LongType()), T.StructField("n", T.LongType()),
               T.StructField("tokens", T.ArrayType(T.LongType()))]
@@ -354,7 +355,7 @@ def _places_fit(rule: Rule, most):
 def _verified(slim: DataFrame, pairs: DataFrame, k: int, rule: Rule) -> DataFrame:
     """(a, b, linked) by the exact similarity of the whole sets."""
     pairs = written(pairs)
-    sets = written(_sets(slim, pairs.select(F.explode(F.array("a", "b")).alias("node")), k))
+    sets = written(_sets(slim, written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), k))
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
 
