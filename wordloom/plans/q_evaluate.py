@@ -295,29 +295,37 @@ def q_valid_results(spark, sf):
     return SRC.valid_results(ev, ["acc", "acc_norm", "em", "f1", "k"]).select("event_id", "valid")
 
 
+#: Means from exact decimal sums: the same double however the rows are dealt.
+_MEAN_SQL = "CAST(sum(CAST(value AS DECIMAL(18, 6))) AS DOUBLE) / count(value)"
+
+
+def _mean(column):
+    return F.sum(F.col(column).cast("decimal(18,6)")).cast("double") / F.count(column)
+
+
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 
 
 @query("score_pivot", f"""
-WITH c AS (SELECT event_type, strftime(ts, '%a') AS wd, avg(value) AS v FROM events GROUP BY ALL),
+WITH c AS (SELECT event_type, strftime(ts, '%a') AS wd, {_MEAN_SQL} AS v FROM events GROUP BY ALL),
 p AS (SELECT event_type, {', '.join(f"max(CASE WHEN wd = '{d}' THEN v END) AS {d}" for d in WEEKDAYS)}
       FROM c GROUP BY event_type)
 SELECT *, round(({' + '.join(WEEKDAYS)}) / 7.0, 2) AS mean FROM p""")
 def q_score_pivot(spark, sf):
     ev = table(spark, sf, "events")
     cells = ev.groupBy("event_type", F.date_format("ts", "E").alias("wd")).agg(
-        F.avg("value").alias("v"))
+        _mean("value").alias("v"))
     return EV.score_pivot(cells, ["event_type"], "wd", "v", WEEKDAYS, 2)
 
 
-@query("relative_change", """
-WITH c AS (SELECT event_type, day(ts) AS day, avg(value) AS value FROM events GROUP BY ALL)
+@query("relative_change", f"""
+WITH c AS (SELECT event_type, day(ts) AS day, {_MEAN_SQL} AS value FROM events GROUP BY ALL)
 SELECT event_type, day, value,
   100.0 * (value / first_value(value) OVER (PARTITION BY event_type ORDER BY day) - 1.0) AS pct_change
 FROM c""")
 def q_relative_change(spark, sf):
     ev = table(spark, sf, "events")
-    c = ev.groupBy("event_type", F.dayofmonth("ts").alias("day")).agg(F.avg("value").alias("value"))
+    c = ev.groupBy("event_type", F.dayofmonth("ts").alias("day")).agg(_mean("value").alias("value"))
     return EV.relative_change(c, ["event_type"], "day", "value", decimals=None)
 
 
