@@ -150,3 +150,58 @@ def test_ids_with_several_texts(spark):
     rows = [(i // 3, t) for i, t in rows] + rows[:4] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert Counter(tuple(r) for r in jaccard_components(docs, frequent=3).collect()) == plain_components(rows)
+
+
+def plain_links(rows, k, a, b):
+    """As plain_components, for any shingle width and threshold a / b."""
+    sets = plain_sets(rows, k)
+    root = {i: i for i, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, (i, s) in enumerate(sets):
+        for j, t in sets[:x]:
+            both = len(s & t)
+            if both and b * both >= a * (len(s) + len(t) - both):
+                u, v = sorted((find(i), find(j)))
+                root[v] = u
+    return Counter((i, len(s), find(i)) for i, s in sets)
+
+
+@pytest.mark.parametrize("threshold,a,b,least", [(0.8, 4, 5, 4), (0.5, 1, 2, 4), (0.5, 1, 2, 1), (0.2, 1, 5, 1)])
+def test_short_sets_of_frequent_tokens(spark, threshold, a, b, least):
+    rng = random.Random(least)
+    rows, seen = [], 0
+    for g in range(24):  # words of a group are in all its sets; each also fills up other sets
+        base = [f"g{g}w{i}" for i in range(rng.randrange(least, 13))]
+        for drop in (0, 0, 1, 2):
+            own = base[:max(1, len(base) - drop)] + [f"x{len(rows)}"] * rng.randrange(2)
+            rows.append((len(rows), " ".join(own)))
+        for w in base:
+            for _ in range(4):
+                rows.append((len(rows), " ".join([w] + [f"o{seen + j}" for j in range(12)])))
+                seen += 12
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_links(rows, 1, a, b)
+    assert len({c for _, _, c in want}) < len(rows) - 24
+    for frequent in (3, 10**6):
+        assert Counter(tuple(r) for r in jaccard_components(docs, k=1, threshold=threshold, frequent=frequent).collect()) == want
+
+
+def test_nine_words_and_their_first_eight(spark):
+    """4 of 5 shingles shared, every one of them in 40 other texts."""
+    words = [f"w{i}" for i in range(9)]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:8]))]
+    for i in range(5):
+        rows += [(100 * i + j + 10, " ".join(words[i:i + 5] + [f"o{i}x{j}y{x}" for x in range(4)])) for j in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in jaccard_components(docs, k=5, threshold=0.8).collect()) == plain_links(rows, 5, 4, 5)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 12), st.integers(0, 8), st.integers(0, 8), st.floats(0, 1), st.sampled_from([0.8, 0.5, 0.2]), st.randoms())
+def test_short_similar_sets_share_a_key(n, gone, added, share, threshold, rng):
+    test_similar_sets_share_a_key.hypothesis.inner_test(n, gone, added, share, threshold, rng)

@@ -11,7 +11,8 @@ single tokens.  Frequent tokens would make long lists, so they are put into
 classes and only pairs of tokens of one class are indexed; the prefix is
 extended until sum(rare) + sum over classes of (tokens - 1) reaches the same
 count, which still forces two similar sets to share an index key: either a
-rare token, or two frequent tokens of one class.  The number of classes grows
+rare token, or two frequent tokens of one class (sets too small for that are
+indexed by their single frequent tokens as well).  The number of classes grows
 with the set's size (by powers of two; a set is indexed on every level that a
 smaller partner could use), so the number of pairs stays proportional to it.
 Keys carry how many tokens come before and must be unshared if the key is the
@@ -23,8 +24,8 @@ Plan.
    one row from here on.
 2. Each node keeps only a window of the first tokens by hash (some more than
    a tenth of the set at a threshold of 0.9), all that most nodes ever need.
-   Tokens that more than ``frequent`` windows hold are frequent.  Nodes with
-   too few rare tokens in the window are looked at whole, and tokens frequent
+   Tokens that more than ``frequent`` windows hold are frequent.  Nodes
+   whose window has fewer rare tokens than a prefix are looked at whole, and tokens frequent
    among them are frequent too.
 3. Per key, one node is the pivot and every other one is compared with it:
    one row per key and node, however large the list.  The linked nodes are
@@ -130,6 +131,7 @@ def keys_of(tokens: np.ndarray, is_frequent: np.ndarray, rule: Rule) -> list[tup
     out = [(_signed(int(t)), i) for i, t in enumerate(rare[:want])]
     if len(rare) >= want:
         return out
+    short = False
     for lv in sorted({level(m) for m in (rule.smallest(n), n)} | set(range(level(rule.smallest(n)), level(n)))):
         groups: dict[int, list[tuple[int, int]]] = {}
         count, c = len(rare), classes_of(lv)
@@ -139,12 +141,15 @@ def keys_of(tokens: np.ndarray, is_frequent: np.ndarray, rule: Rule) -> list[tup
             group = groups.setdefault((int(t) >> 7) % c, [])
             count += bool(group)
             group.append((i, int(t)))
+        short |= count < want
         for group in groups.values():
             for x, (before, t) in enumerate(group):
                 # before t, each other class can hide one shared token that no pair shows
                 place = len(rare) + max(0, before - (c - 1))
                 for _, u in group[x + 1:]:
                     out.append((_signed(xxhash.xxh3_64_intdigest(b"%d %d %d" % (lv, t, u))), place))
+    if short:  # so few tokens must be shared that no two of a class need be among them
+        out += [(_signed(xxhash.xxh3_64_intdigest(b"%d" % int(t))), len(rare) + i) for i, t in enumerate(often)]
     return out
 
 
@@ -223,7 +228,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     windows = written(windows)
     entries = windows.select("node", "s1", "n", F.posexplode("window").alias("place", "token"))
     want = (F.col("n") - F.ceil(F.col("n") * F.lit(rule.a) / F.lit(rule.b)) + 1).cast("long")
-    spare = 8 + F.floor(want / 8)
+    spare = F.least(F.col("n") - want, 8 + F.floor(want / 8))  # more frequent tokens leave a window too few rare ones
 
     # step 2: frequent tokens
     lists = written(entries.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
