@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline as CP
-from test_ngram_join import plain_components
+from test_ngram_join import plain_components, plain_links
 from test_text_operators import plain_dedup, plain_water
 
 from wordloom.llm.language_id import gram_hashes
@@ -144,3 +144,22 @@ def test_near_copies_through_the_stage(spark):
             (3, " ".join(words), "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in CP.near_duplicates(spark, docs, None).collect()) == [1, 2]
+
+
+def test_near_duplicates_at_five_words(spark, staged):
+    """Against all pairs of five-word shingles at 0.8, with copies below 0.9 on three-word ones."""
+    near = [f"word{i}" for i in range(150)]
+    texts = [" ".join(near)]
+    for at in (20, 70, 120):
+        near[at] = "other"
+        texts.append(" ".join(near))
+    texts += [" ".join(f"w{i}" for i in range(9)), " ".join(f"w{i}" for i in range(8))]
+    rows = [(1000 + i, t, "en", "s", 1) for i, t in enumerate(texts[:1] + texts[3:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.unionByName(staged["ngram_jaccard_join"][0].filter("doc_id is not null").select(*docs.columns))
+    roots = defaultdict(set)
+    for i, _, root in plain_links([(r.doc_id, r.text) for r in docs.collect()], 5, 4, 5):
+        roots[i].add(root)
+    after = Counter(r.doc_id for r in CP.near_duplicates(spark, docs, None).collect())
+    assert set(after) == {i for i, c in roots.items() if c == {i}} and set(after.values()) == {1}
+    assert {1000, 1002} <= set(after) and not {1001, 1003} & set(after)
