@@ -2,6 +2,7 @@
 search against brute force."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -298,6 +299,54 @@ def test_repeated_template(spark):
     assert len([r for r in out if r.license == "MIT-notice"]) == 2
 
 
+def plain_matches(template, words, least, lo=0, hi=None):
+    """(first, end) of the best alignment over the whole table (no band) and
+    of the best ones left and right of it."""
+    hi = len(words) if hi is None else hi
+    best, prev = (0, 0, 0, 0), {}
+    for t in template:
+        row = {}
+        for j in range(lo, hi):
+            score, hits, first = prev.get(j - 1, (0, 0, j))
+            cell = (score + 2, hits + 1, first if score else j) if words[j] == t else (score - 1, hits, first)
+            for other in (prev.get(j), row.get(j - 1)):
+                if other and other[0] - 1 > cell[0]:
+                    cell = (other[0] - 1, *other[1:])
+            if cell[0] > 0:
+                row[j] = cell
+                if words[j] == t and cell[:2] > best[:2]:
+                    best = (*cell, j + 1)
+        prev = row
+    _, hits, first, end = best
+    if not hits:
+        return []
+    return (plain_matches(template, words, least, lo, first) + [(first, end)] * (hits / len(template) >= least)
+            + plain_matches(template, words, least, end, hi))
+
+
+@pytest.mark.parametrize("name", ["MIT-notice", "CC-BY-NC-4.0-notice", "Apache-2.0-notice", "GPL-3.0-header"])
+@pytest.mark.parametrize("every", [0, 8, 12, 20])
+@pytest.mark.parametrize("times", [2, 5])
+def test_repeats_close_together(name, every, times):
+    index = Index(TEMPLATES)
+    t = index.names.index(name)
+    words = re.findall(r"[^\W_]+", dict(TEMPLATES)[name].lower())
+    damaged = list(words)
+    damaged[0] = "altered"  # still as many words in a row as make a candidate
+    text = ["before"] * 3
+    for i in range(times):
+        text += (damaged if i == 1 else words) + [f"q{i}"] * max(0, every - len(words))
+    line = " ".join(text)
+    got = [(len(line[:a].split()), len(line[:b].split())) for x, _, _, a, b in index.matches(line, 0.8) if x == t]
+    assert got == plain_matches(words, text, 0.8) and len(got) == times
+
+
+def test_adjacent_notices(spark):
+    text = "Released under the MIT License."
+    out = scan_licenses(spark.createDataFrame([(1, f"{text} {text}")], "doc_id long, text string")).collect()
+    assert [(r.license, r.first_char, r.end_char) for r in out] == [("MIT-notice", 0, 30), ("MIT-notice", 32, 62)]
+
+
 # ----------------------------------------------------------------- vectors
 @pytest.mark.parametrize("block,query_block", [(16384, 1024), (13, 3)])
 def test_top_k(spark, block, query_block):

@@ -73,6 +73,7 @@ class Index:
         self.vocab: dict[str, int] = {}
         self.words = [[self.vocab.setdefault(w, len(self.vocab) + 1) for w in _TOKEN.findall(text.lower())]
                       for _, text in templates]
+        self.sets = [np.array(sorted(set(ids)), np.uint64) for ids in self.words]
         self.postings: dict[int, list[tuple[int, int]]] = {}
         for t, ids in enumerate(self.words):
             h = self.hashes(np.array(ids, np.uint64))
@@ -126,9 +127,7 @@ class Index:
                 if last is not None and d - last <= self.band:
                     continue  # within the band of the place already aligned
                 last = d
-                hit = self.align(t, ids, d)
-                if hit and hit[0] / len(self.words[t]) >= least:
-                    best.append(hit)
+                best += self.alignments(t, ids, d, least)
             taken: list[tuple] = []
             for n, a, b in sorted(best, key=lambda x: (-x[0], x[1])):
                 if all(b <= c or a >= e for _, c, e in taken):
@@ -136,15 +135,34 @@ class Index:
             out += [(t, n, n / len(self.words[t]), found[a].start(), found[b - 1].end()) for n, a, b in taken]
         return sorted(out, key=lambda x: (x[3], x[4], x[0]))
 
-    def align(self, t: int, ids: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
+    def alignments(self, t: int, ids: np.ndarray, diagonal: int, least: float) -> list[tuple[int, int, int]]:
+        """The alignments of template ``t`` around a diagonal with at least
+        the coverage ``least``: the best one, then the best ones of the words
+        left and right of it, and so on."""
+        size, band, out = len(self.words[t]), 2 * self.band, []
+        known = np.isin(ids[max(0, diagonal - band):diagonal + size + band], self.sets[t])
+        start = max(0, diagonal - band)
+        open_ = [(start, start + len(known))]
+        while open_:
+            lo, hi = open_.pop()
+            if known[lo - start:hi - start].sum() / size < least:
+                continue  # too few words of the template for a match
+            hit = self.align(t, ids, diagonal, lo, hi)
+            if hit:
+                if hit[0] / size >= least:
+                    out.append(hit)
+                open_ += [(lo, hit[1]), (hit[2], hi)]
+        return out
+
+    def align(self, t: int, ids: np.ndarray, diagonal: int, lo: int = 0, hi: int | None = None) -> tuple[int, int, int] | None:
         """(matched words, first word, end word) of the best local alignment
-        of template ``t`` with the text inside the band around a diagonal
-        (a match scores 2, a mismatch or a gap -1)."""
-        words, band, n = self.words[t], 2 * self.band, len(ids)
+        of template ``t`` with the words ``lo`` to ``hi`` of the text inside
+        the band around a diagonal (a match scores 2, a mismatch or a gap -1)."""
+        words, band, n = self.words[t], 2 * self.band, len(ids) if hi is None else hi
         best, previous = (0, 0, 0, 0), {}  # column -> (score, matches, first word)
         for i, w in enumerate(words):
             row: dict[int, tuple[int, int, int]] = {}
-            for j in range(max(0, diagonal + i - band), min(n, diagonal + i + band + 1)):
+            for j in range(max(lo, diagonal + i - band), min(n, diagonal + i + band + 1)):
                 same = int(ids[j]) == w
                 score, hits, first = previous.get(j - 1, (0, 0, j))
                 cell = (score + 2, hits + 1, first if score else j) if same else (score - 1, hits, first)
