@@ -63,6 +63,25 @@ def test_line_frequency(awkward):
     assert any(r.removed_words for r in got) and any(r.kept for r in got) and any(r.depleted for r in got)
 
 
+def test_line_frequency_removes_the_lines(awkward):
+    rows = [(r.doc_id, r.text, r.source) for r in awkward.collect()]
+    key = lambda line: ascii_lower(line.strip(WHITE))
+    docs, held = defaultdict(set), defaultdict(set)
+    for i, text, host in rows:
+        if i is not None:
+            docs[host].add(i)
+            for line in (text or "").split("\n"):
+                held[host, key(line)].add(i)
+    over = {(h, k) for (h, k), ids in held.items() if k and len(ids) > 3 and len(ids) > 0.05 * len(docs[h])}
+    want = Counter((i, host, None if text is None else "\n".join(x for x in text.split("\n") if (host, key(x)) not in over))
+                   for i, text, host in rows)
+    got = line_frequency_rules(awkward, max_docs=3, max_share=0.05).collect()
+    assert Counter((r.doc_id, r.source, r.clean_text) for r in got) == want
+    assert want != Counter((i, host, text) for i, text, host in rows)
+    left = {r.clean_text: r.n_words - r.removed_words for r in got}
+    assert all(len(WORD.findall(t or "")) == n for t, n in left.items())
+
+
 def plain_dedup(rows, least=10, threshold=2):
     key = lambda line: ascii_lower(line.strip(WHITE))
     held = defaultdict(set)
