@@ -60,6 +60,27 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int, share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of their row of ``table`` (inner join).
+
+    ``table`` has one row per key, with the number of ``rows`` that hold the
+    key as ``count`` (dropped); ``total`` is the sum of these.  Keys with
+    more than ``total / share`` rows are fewer than ``share`` by that rule,
+    so their part of the table is broadcast; all others meet in a shuffle
+    join, where no key has more rows than that.  Both inputs are read twice
+    and should be written tables.  Keys are not null."""
+    hot = F.broadcast(table.filter(F.col(count) * share > total).drop(count))
+    cold = table.filter(F.col(count) * share <= total).drop(count)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(rest.join(cold, keys))
+
+
+def text_keys(col, salt: int) -> list:
+    """Two 64-bit hashes of a column, different for every ``salt``.  Users
+    check that they tell all values apart and take the next salt if not."""
+    return [F.xxhash64(F.lit(2 * salt + i), col) for i in (0, 1)]
+
+
 def pieces(batch: pa.RecordBatch, column: str, step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` of at least one row whose texts add up to about
     ``step_bytes``, so that a task's working memory follows the longest

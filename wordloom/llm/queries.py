@@ -209,3 +209,17 @@ def op10(spark, sf_dir):
     model = fit_languages(docs.filter(~held_out))
     return predict_language(docs.select("doc_id", "text", held_out.alias("held_out")), model).select(
         "doc_id", "held_out", "lang_pred", "score")
+
+
+OP11 = """
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS t FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY points DESC, doc_id) AS rn FROM d),
+g AS (SELECT t, count(*) AS group_size, min(doc_id) FILTER (rn = 1) AS keep_id FROM r GROUP BY t)
+SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(t) AS text_sha256 FROM r JOIN g USING (t)"""
+
+
+@query("op11_exact_dedup", OP11)
+def op11(spark, sf_dir):
+    from wordloom.llm.exact_dedup import exact_dedup
+    out = exact_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
+    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
