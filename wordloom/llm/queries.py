@@ -223,3 +223,28 @@ def op11(spark, sf_dir):
     from wordloom.llm.exact_dedup import exact_dedup
     out = exact_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP12 = f"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+             SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({SQL_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+g AS (SELECT lang, CAST(m AS BIGINT) AS m, array_to_string(w[i:i+m-1], ' ') AS phrase, count(*) AS f
+      FROM p, range(1, 6) ms(m), range(1, CAST(len(w) AS BIGINT) - m + 2) r(i) GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE m >= 2 AND f >= 100),
+s AS (SELECT lang, array_to_string(w[i:i+k-1], ' ') AS phrase, max(a) AS f FROM c, range(2, m) q(k), range(1, m - k + 2) r(i) GROUP BY ALL),
+k AS (SELECT c.* FROM c LEFT JOIN s USING (lang, phrase) WHERE s.f IS NULL OR 100 * s.f < 100 * a),
+u AS (SELECT k.lang, k.phrase, a, cut, x.f AS l, y.f AS r, t.n, CAST((1000::HUGEINT * a * t.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+      FROM k JOIN range(1, 5) q(cut) ON cut < k.m JOIN t ON t.lang = k.lang
+      JOIN g x ON x.lang = k.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+      JOIN g y ON y.lang = k.lang AND y.phrase = array_to_string(w[cut + 1:k.m], ' ')),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM u) WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b) WHERE rank <= 2000"""
+
+
+@query("op12_collocations", OP12)
+def op12(spark, sf_dir):
+    from wordloom.llm.collocations import collocations
+    out = collocations(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
