@@ -1,8 +1,8 @@
 """Exact dedup by deterministic block naming, in built-in functions only.
 
 Every text, without ASCII white space, is cut into blocks of a fixed number
-of bytes.  The distinct blocks of the corpus are sorted and named by their
-place (an integer); then adjacent names of a document are taken in pairs,
+of bytes.  The distinct blocks of the corpus are sorted (by a hash, which
+deals them evenly, and their bytes) and named by their place, an integer; then adjacent names of a document are taken in pairs,
 the distinct pairs are sorted and named the same way, and so on until every
 document has one name.  Two documents have the same name after the same
 number of rounds exactly if their normalised texts are equal: each round
@@ -46,10 +46,12 @@ def _cut(docs: DataFrame, text_col: str, block_bytes: int) -> DataFrame:
     return bodies.withColumn("_blocks", F.transform(starts, lambda at: F.col("_body").substr(at, F.lit(block_bytes))))
 
 
-def _named(distinct: DataFrame, order: list[str], keep: list[str]) -> DataFrame:
+def _named(distinct: DataFrame, order: list[str], keep: list[str], ranges: int) -> DataFrame:
     """Distinct things sorted over the whole cluster and named by their place:
-    the partition of the sort and the row in it."""
-    return written(distinct.orderBy(*order).select(*keep, "_count", F.monotonically_increasing_id().alias("_name")))
+    the partition of the sort and the row in it.  The first ``ranges`` columns
+    of the order deal the partitions (their sample goes to the driver)."""
+    return written(distinct.repartitionByRange(*order[:ranges]).sortWithinPartitions(*order)
+                   .select(*keep, "_count", F.monotonically_increasing_id().alias("_name")))
 
 
 def name_blocks(docs: DataFrame, text_col: str, block_bytes: int,
@@ -60,7 +62,7 @@ def name_blocks(docs: DataFrame, text_col: str, block_bytes: int,
         blocks = explode_rows(_cut(docs.select(text_col), text_col, block_bytes), [], F.col("_blocks"), "_block")
         k1, k2 = keys(F.col("_block"), salt)
         distinct = blocks.groupBy(k1.alias("_k1"), k2.alias("_k2"), "_block").agg(F.count("*").alias("_count"))
-        names = _named(distinct, ["_block"], ["_k1", "_k2"])
+        names = _named(distinct, ["_k1", "_block"], ["_k1", "_k2"], 1)
         if names.groupBy("_k1", "_k2").count().filter("count > 1").limit(1).count() == 0:
             return names, salt
 
@@ -99,7 +101,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = written(named.filter("_left > 1").groupBy("_row", F.shiftright("_pos", 1).alias("_pos")).agg(
             F.shiftright(F.max("_left") + 1, 1).alias("_left"), F.max(F.when(even, F.col("_name"))).alias("_a"),
             F.coalesce(F.max(F.when(~even, F.col("_name"))), F.lit(-1)).alias("_b")))
-        names = _named(pairs.groupBy("_a", "_b").agg(F.count("*").alias("_count")), ["_a", "_b"], ["_a", "_b"])
+        names = _named(pairs.groupBy("_a", "_b").agg(F.count("*").alias("_count")), ["_a", "_b"], ["_a", "_b"], 2)
         named = lookup(pairs, names, ["_a", "_b"], "_count", pairs.count())
         most, level = (most + 1) // 2, level + 1
     found = written(reduce(DataFrame.unionByName, done).join(rows.drop("_keys"), "_row"))
