@@ -248,3 +248,10 @@ def op12(spark, sf_dir):
     from wordloom.llm.collocations import collocations
     out = collocations(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query("op13_token_alignment")
+def op13(spark, sf_dir):
+    from wordloom.llm.token_alignment import token_alignment
+    out = token_alignment(read(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
