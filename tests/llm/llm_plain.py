@@ -4,17 +4,14 @@ import math
 
 
 def plain_top_k(rows, k=10):
-    """Top-k by brute force; rows sharing an id count once, with the smallest vector."""
-    best = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        w = [math.floor(1024 * x) for x in v]
-        best[i] = min(best.get(i, w), w)
+    """Top-k by brute force: every row with a valid vector is a candidate of
+    every query row with another id."""
+    valid = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, v in best.items():
+    for q, v in valid:
         if q % 100 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in best.items() if i != q)[:k]
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in valid if i != q)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
     return out
 

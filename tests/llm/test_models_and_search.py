@@ -360,6 +360,25 @@ def test_top_k(spark, block, query_block):
     assert Counter(map(tuple, got)) == Counter(plain_top_k(rows))
 
 
+def test_top_k_of_any_value_and_every_row(spark):
+    """Large components, rows that share an id (with equal and different
+    vectors), and a vector that a third of the queries share."""
+    rng = random.Random(9)
+    rows = [(i, [rng.uniform(-1e6, 1e6) for _ in range(3)]) for i in range(300)]
+    rows += [(i, [1.0, 200_000.0, -1e6]) for i in range(10_000, 25_000, 100)]
+    rows += [(1, [1.0, 2.0, 0.0]), (1, [5.0, 5.0, 1e6]), (100, [9e5] * 3), (100, [9e5] * 3), (101, [9e5] * 3), (100, rows[100][1])]
+    rows += [(200, [9.5e5] * 3)] * 15 + [(201, [9.5e5] * 3)] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = exact_top_k(df, df.filter("vec_id % 100 = 0"), block=64, query_block=16).collect()
+    assert Counter(map(tuple, got)) == Counter(plain_top_k(rows))
+    pair = spark.createDataFrame([(0, [1.0, 200_000.0]), (1, [1.0, 200_000.0])], "vec_id long, embedding array<double>")
+    assert exact_top_k(pair, pair.filter("vec_id = 0")).first().score == (1024 * 200_000) ** 2 + 1024 ** 2
+    for x in (1e13, 5e6):
+        big = spark.createDataFrame([(0, [x]), (1, [x])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception):
+            exact_top_k(big, big.filter("vec_id = 0")).collect()
+
+
 def test_top_k_small(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in exact_top_k(df, df.filter("vec_id = 0")).collect()] == [(0, 1, 1, 1024 * 2048)]

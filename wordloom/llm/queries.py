@@ -149,12 +149,12 @@ def op6(spark, sf_dir):
 
 
 OP7 = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+WITH v AS (SELECT vec_id, row_number() OVER () AS o, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score,
-         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank
+         row_number() OVER (PARTITION BY q.o ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id) WHERE rank <= 10"""
 
 
@@ -205,7 +205,7 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     from wordloom.llm.language_id import fit_languages, predict_language
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     model = fit_languages(docs.filter(~held_out))
     return predict_language(docs.select("doc_id", "text", held_out.alias("held_out")), model).select(
         "doc_id", "held_out", "lang_pred", "score")

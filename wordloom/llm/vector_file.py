@@ -9,10 +9,12 @@ limit, then only those whose upper bound still reaches it.  After that the
 kth result is certain.
 
 Plan: equal vectors are one class with its k + 1 smallest ids (more can never
-be among k results), so a vector that a third of the rows share is scanned
-once.  Blocks of queries meet blocks of cells as groups of a cogroup; a
-group's size does not grow with the data, and each returns only its few
-candidates per query.  Exact vectors move only for candidates.
+be among k results) and the number of rows of each, so a vector that a third
+of the rows share is scanned once.  Blocks of queries meet blocks of cells as
+groups of a cogroup; a group's size does not grow with the data, and each
+returns only its few candidates per query.  Exact vectors move only for
+candidates.  Equal queries share one list, which comes back to their rows by
+``lookup``, so a vector that a third of the queries share is no hot key.
 """
 
 from __future__ import annotations
@@ -22,18 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import written
+from wordloom.llm.common import broadcast_if_small, lookup, written
 
-LIMIT = 1 << 27
+#: Scaled components from here on are not exact as doubles.
+LIMIT = 1 << 53
+#: Stands for no id (the two smallest values are not ids).
+NO_ID = -(1 << 63)
 
 
 def scaled(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(id, v): floor(scale * x) of every component of the valid vectors."""
+    """(id, v): floor(scale * x) of every component of the valid vectors; a
+    component that is not exact as a double is an error."""
     whole = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    ints = F.transform(vec_col, lambda x: F.greatest(
-        F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(x.cast("double") * scale))).cast("long"))
+    ints = F.transform(vec_col, lambda x: F.when(
+        F.abs(x.cast("double") * scale) < LIMIT, F.floor(x.cast("double") * scale)).otherwise(
+        F.raise_error(F.lit("a scaled component is not exactly representable"))).cast("long"))
     return (df.select(F.col(id_col).cast("long").alias("id"), F.when(whole, ints).alias("v"))
-            .filter("id is not null and v is not null").groupBy("id").agg(F.min("v").alias("v")))
+            .filter("id is not null and v is not null"))
 
 
 def matrix(column, dims: int) -> np.ndarray:
@@ -67,6 +74,16 @@ def quantiser(classes: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return lo, np.maximum(1, np.ceil((hi - lo + 1) / (1 << bits)))
 
 
+def largest(asked: DataFrame, dims: int) -> np.ndarray:
+    """The largest absolute component of each dimension (one row each)."""
+    rows = (asked.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.max(F.abs("x"))).collect())
+    out = np.zeros(dims)
+    for d, x in rows:
+        if d < dims:
+            out[d] = x
+    return out
+
+
 def exact_top_k(base: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id",
                 vec_col: str = "embedding", scale: int = 1024, bits: int = 8,
                 block: int = 16384, query_block: int = 1024) -> DataFrame:
@@ -74,36 +91,48 @@ def exact_top_k(base: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
     ``base`` with other ids and the highest integer inner products, ties to
     the smaller id; all of them if there are fewer.
 
-    Components become floor(scale * x), held within +-2**27.  Vectors that
+    Components become floor(scale * x); components from 2**53 on, and
+    vectors whose products could pass 64 bits, are an error.  Vectors that
     are null or hold a null or non-finite component take no part, nor do
     rows with a null id.  Shorter vectors count as filled up with zeros.
-    Rows sharing an id are one row with the smallest of their vectors.
-    Other columns are ignored.  An empty side gives no rows.
+    Every row counts: rows sharing an id, equal or not, are candidates of
+    their own and queries of their own (each with ranks from 1), and all of
+    them are left out for a query with their id.  Other columns are ignored.
+    An empty side gives no rows.
     """
     spark = base.sparkSession
     rows = scaled(base, id_col, vec_col, scale)
     first = Window.partitionBy("v").orderBy("id")
-    classes = (rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1)
-               .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    classes = (rows.groupBy("v", "id").agg(F.count("*").alias("rows"))
+               .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1)
+               .groupBy("v").agg(F.sort_array(F.collect_list(F.struct("id", F.least("rows", F.lit(k)).alias("rows")))).alias("ids")))
     classes = written(classes.withColumn("c", F.monotonically_increasing_id()))
     asked = scaled(queries, id_col, vec_col, scale)
-    wanted = written(asked.groupBy("v").agg(F.count("*").alias("n")).withColumn("q", F.monotonically_increasing_id()))
+    # ids with several vectors: their queries are told apart by id, and meet no class that only they hold
+    several = broadcast_if_small(written(rows.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id")
+                                         .agg((F.min("v") < F.max("v")).alias("_s")).filter("_s").select("id", F.col("id").alias("own"))))
+    asked = written(asked.join(several, "id", "left").withColumn("own", F.coalesce("own", F.lit(NO_ID)))
+                    .withColumn("row", F.monotonically_increasing_id()))
+    wanted = written(asked.groupBy("v", "own").agg(F.count("*").alias("n")).withColumn("q", F.monotonically_increasing_id()))
     n, nq = classes.count(), wanted.count()
     if not n or not nq:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     lo, width = quantiser(classes, bits)
+    if int((np.maximum(np.abs(lo), np.abs(lo + width * (1 << bits))) * largest(asked, len(lo))).sum()) >= 1 << 62:
+        raise ValueError("inner products could pass 64 bits")
     dims, n_blocks, n_queries = len(lo), -(-n // block), -(-nq // query_block)
 
     def to_cells(batches):
         for batch in batches:
             cells = ((matrix(batch.column("v"), dims) - lo) // width).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column("c"), pa.array([r.tobytes() for r in cells], pa.binary())],
-                                             names=["c", "cells"])
+            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("only"), pa.array([r.tobytes() for r in cells], pa.binary())],
+                                             names=["c", "only", "cells"])
 
-    cells = written(classes.select("c", "v").mapInArrow(to_cells, "c long, cells binary"))
+    only = F.when(F.size("ids") == 1, F.col("ids")[0]["id"]).otherwise(NO_ID + 1).alias("only")
+    cells = written(classes.select("c", only, "v").mapInArrow(to_cells, "c long, only long, cells binary"))
     left = (cells.withColumn("vb", F.pmod(F.hash("c"), F.lit(n_blocks)))
             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)))))
-    right = (wanted.select("q", "v").withColumn("qb", F.pmod(F.hash("q"), F.lit(n_queries)))
+    right = (wanted.select("q", "v", "own").withColumn("qb", F.pmod(F.hash("q"), F.lit(n_queries)))
              .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -113,11 +142,13 @@ def exact_top_k(base: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
             at = np.frombuffer(b"".join(left.column("cells").to_pylist()), np.uint8).reshape(len(c), dims)
             middle = lo + at * width + (width - 1) / 2
             ids, vectors = right.column("q").to_numpy(), matrix(right.column("v"), dims)
+            holder, own = left.column("only").to_numpy(), right.column("own").to_numpy()
             error = np.abs(vectors) @ ((width - 1) / 2) + 1e-9 * (np.abs(vectors) @ np.abs(middle).max(0))
             for a in range(0, len(ids), 64):
                 near = vectors[a:a + 64] @ middle.T
+                near[own[a:a + 64, None] == holder] = -np.inf
                 kth = np.partition(near, -min(k + 1, len(c)), axis=1)[:, -min(k + 1, len(c))]
-                r, x = np.nonzero(near >= (kth - 2 * error[a:a + 64])[:, None])
+                r, x = np.nonzero((near >= (kth - 2 * error[a:a + 64])[:, None]) & (near > -np.inf))
                 for column, values in zip(out, (ids[a + r], c[x], near[r, x], error[a + r])):
                     column.append(values)
         kinds = (np.int64, np.int64, np.float64, np.float64)
@@ -132,18 +163,21 @@ def exact_top_k(base: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
     def exact(pairs: DataFrame) -> DataFrame:
         score = F.aggregate(F.zip_with("qv", "v", lambda a, b: F.coalesce(a, F.lit(0)) * F.coalesce(b, F.lit(0))),
                             F.lit(0).cast("long"), lambda s, x: s + x)
-        return (pairs.join(classes, "c").join(wanted.select("q", F.col("v").alias("qv")), "q")
-                .select("q", "c", "ids", score.alias("score")))
+        return (pairs.join(classes, "c").join(wanted.select("q", "own", F.col("v").alias("qv")), "q")
+                .select("q", "own", "c", "ids", score.alias("score")))
 
     wave1 = written(exact(first_wave))
     limit = wave1.groupBy("q").agg(F.when(F.count("*") > k, F.min("score")).alias("limit"))
     rest = (found.join(limit, "q").filter("limit is null or near + error >= limit")
             .join(wave1.select("q", "c"), ["q", "c"], "left_anti"))
-    scored = wave1.unionByName(exact(rest)).select("q", "score", F.explode("ids").alias("vec_id"))
-    top = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    lists = scored.withColumn("n", F.row_number().over(top)).filter(F.col("n") <= k + 1).drop("n")
-    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    own = asked.join(wanted.select("q", "v"), "v").select(F.col("id").alias("query_id"), "q")
-    return (own.join(lists, "q").filter("query_id <> vec_id")
-            .withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
+    scored = wave1.unionByName(exact(rest)).select("q", "own", "score", F.explode("ids").alias("one")).filter("one.id <> own")
+    top = Window.partitionBy("q").orderBy(F.desc("score"), "one.id")
+    lists = (scored.withColumn("n", F.row_number().over(top)).filter(F.col("n") <= k + 1)
+             .groupBy("q").agg(F.collect_list(F.struct("score", "one.id", "one.rows")).alias("list")))
+    mine = lookup(asked, written(wanted.join(lists, "q")), ["v", "own"], "n", asked.count())
+    one = mine.select("row", F.col("id").alias("query_id"), F.explode("list").alias("x")).filter("query_id <> x.id")
+    each = one.select("row", "query_id", F.col("x.id").alias("vec_id"), F.col("x.score").alias("score"),
+                      F.explode(F.sequence(F.lit(1), F.col("x.rows").cast("int"))))
+    final = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    return (each.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
