@@ -8,11 +8,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from llm_plain import plain_top_k, unigram_model
 from wordloom.llm.license_scan import TEMPLATES, Index, scan_licenses, winnow
 from wordloom.llm.sentence_pieces import MODEL, Pieces, decode_ids, encode_texts
 from wordloom.llm.toxicity import Linear, Lookup, fit_chain, flat, predict_chain, word_features
-from wordloom.llm.url_filter import filter_urls, link_graph, propagate
+from wordloom.llm.url_filter import filter_urls, host_of, link_graph, parent_links, propagate
 from wordloom.llm.vector_file import exact_top_k
 
 
@@ -194,7 +196,7 @@ def test_page_rank_against_numpy(spark):
     got = {(r.host, r.kind): r.score for r in propagate(
         spark.createDataFrame(seeds, "host string, kind int, seed double"),
         spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "src string, dst string, n long"),
-        0.85, 60, 1e-9).collect()}
+        0.85, 400, 1e-9).collect()}
     for kind in (0, 1):
         m = np.zeros((12, 12))
         for (a, b), n in edges.items():
@@ -213,9 +215,43 @@ def test_link_graph(spark):
     pages = spark.createDataFrame([(plain_url(u)[0], h) for _, u, h in PAGES], "host string, html string")
     got = {(r.src, r.dst): r.n for r in link_graph(pages, parents=False).collect()}
     assert got == {("x.net", "y.org"): 1, ("good.org", "bad.org"): 1, ("fine.org", "good.org"): 1, ("b.com", "fine.org"): 1}
+    both = lambda *x: {(a, b) for a, b in zip(x, x[1:])} | {(b, a) for a, b in zip(x, x[1:])}
     parents = {(r.src, r.dst) for r in link_graph(pages).collect()} - set(got)
-    assert parents == {("www.example.com", "example.com"), ("example.com", "www.example.com"),
-                       ("a.example.com", "example.com"), ("example.com", "a.example.com")}
+    assert parents == both("www.example.com", "example.com", "a.example.com")
+
+
+def test_parent_links(spark):
+    hosts = ["a.b.example.org", "b.example.org", "example.org", "org", "", "10.0.0.1", "x.example.net", "x.example.net:80"]
+    got = {(r.src, r.dst) for r in parent_links(spark.createDataFrame([(h,) for h in hosts], "host string")).collect()}
+    up = {("a.b.example.org", "b.example.org"), ("b.example.org", "example.org"), ("x.example.net", "example.net"),
+          ("x.example.net:80", "example.net:80")}
+    assert got == up | {(b, a) for a, b in up}
+
+
+def test_given_pages_have_a_graph(spark):
+    """The graph of the driver's pages has edges, and pages that no rule
+    covers are judged by what flows over it: at their own seeds alone, all
+    of their hosts would be allowed."""
+    from wordloom.llm.queries import URL_RULES
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    assert link_graph(pages.select(host_of(F.col("url")).alias("host"), "html")).count() > 0
+    out = filter_urls(pages, URL_RULES).toPandas()
+    free = out[out.rule.isna()]
+    assert set(free.verdict) == {"allow", "block"}
+    assert (free[free.host.str.endswith(".example.net")].distrust > 0).all()
+    assert (free[free.host.str.endswith(".example.org")].distrust == 0).all()
+
+
+def test_propagation_reaches_its_limit(spark):
+    seeds = spark.createDataFrame([("a", 0, 1.0)], "host string, kind int, seed double")
+    ring = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    with pytest.raises(RuntimeError):
+        propagate(seeds, ring, 0.99, 8, 1e-9)
+    star = spark.createDataFrame([("hub", f"h{i}", 1) for i in range(3000)] + [(f"h{i}", "hub", 1) for i in range(3000)],
+                                 "src string, dst string, n long")
+    got = {r.host: r.score for r in propagate(spark.createDataFrame([("h7", 0, 1.0)], seeds.schema), star, 0.85, 400, 1e-9).collect()}
+    hub = 0.85 * 0.15 / (1 - 0.85 ** 2)
+    assert abs(got["hub"] - hub) < 1e-6 and abs(got["h7"] - 0.15 - 0.85 * hub / 3000) < 1e-6 and len(got) == 3001
 
 
 def test_distrust_flows_backwards(spark):

@@ -121,7 +121,9 @@ shares AS (SELECT host, avg(CAST(coalesce(action = 'allow', false) AS DOUBLE)) A
 links AS (SELECT host AS src, unnest(regexp_extract_all(html, {_HREF}, 1)) AS href FROM p),
 pairs AS (SELECT src, {SQL_LOWER.format(f"regexp_extract(CASE WHEN starts_with(href, '//') THEN 'http:' || href ELSE href END, {_URL}, 1)")} AS dst
           FROM links WHERE contains(href, '//')),
-up AS (SELECT DISTINCT a.host, b.host AS parent FROM p a JOIN p b ON b.host = regexp_extract(a.host, '^[^.]+\\.(.+)$', 1) AND b.host <> ''),
+sx AS (SELECT DISTINCT string_split(host, '.') AS s FROM p WHERE host <> '' AND NOT regexp_matches(host, '^[0-9.:]+$')),
+up AS (SELECT DISTINCT array_to_string(s[i:], '.') AS host, array_to_string(s[i + 1:], '.') AS parent
+       FROM sx, range(1, CAST(len(s) AS BIGINT) - 1) r(i)),
 g AS (SELECT src, dst, count(*) AS n FROM (
         SELECT src, dst FROM pairs WHERE src <> '' AND dst <> '' AND src <> dst
         UNION ALL SELECT host, parent FROM up UNION ALL SELECT parent, host FROM up) GROUP BY ALL),
@@ -130,7 +132,7 @@ steps AS (SELECT host, t, kind, 0.85 * n / sum(n) OVER (PARTITION BY host, kind)
 c(i, host, kind, x) AS (
   SELECT 0, host, 0, 0.15 * a FROM shares WHERE a > 0 UNION ALL SELECT 0, host, 1, 0.15 * b FROM shares WHERE b > 0
   UNION ALL SELECT i + 1, t, c.kind, sum(x * w) FROM c JOIN steps ON steps.host = c.host AND steps.kind = c.kind
-            WHERE i < 20 GROUP BY i, t, c.kind),
+            WHERE i < 80 GROUP BY i, t, c.kind),
 v AS (SELECT host, sum(CASE WHEN kind = 0 THEN -x ELSE x END) AS d FROM c GROUP BY host)
 SELECT page_id, j.host, path, rule, coalesce(action, CASE WHEN coalesce(v.d, 0) > 0.5 * 0.15 THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN v USING (host)"""

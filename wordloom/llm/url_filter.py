@@ -6,10 +6,16 @@ distrust starts at hosts with blocked pages and follows links backwards
 the host graph; a host whose distrust exceeds its trust by a threshold is
 blocked.
 
+The graph has the links between hosts, and a link each way between a host and
+its parent domain, up to the registered name: hosts under one name share
+trust and distrust through it, whether or not the parent has pages.
+
 Plan: built-in expressions only.  Links are reduced to host pairs map-side,
-so a hot host is one row per task; the graph has one row per host pair, and
-each round is one join and one aggregate over it, written to the shared
-folder.  Rules and verdicts come back to the pages through one table with a
+so a hot host is one row per task; the graph has one row per host pair.  A
+round is a join and an aggregate over it, eight rounds are written at a time,
+until no score moves.  The links of the few hosts with very many (a domain
+with millions of subdomains) are dealt over salts, so none is one task's
+key.  Rules and verdicts come back to the pages through one table with a
 row per host, broadcast only after its rows are counted.
 """
 
@@ -18,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import broadcast_if_small, written
+from wordloom.llm.common import broadcast_if_small, lookup, written
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,11 +57,21 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     return fit.groupBy("host").agg(F.array_sort(F.collect_set("r")).alias("rules"))  # rules on one host's suffixes
 
 
+def parent_links(hosts: DataFrame) -> DataFrame:
+    """(src, dst): one link each way between a host and its parent domain,
+    that and its parent, and so on up to the name below the top domain.
+    Addresses in numbers have no parents."""
+    up = hosts.filter("host <> '' and not host rlike '^[0-9.:]+$'").select(suffixes(F.col("host")).alias("s"))
+    both = F.flatten(F.transform(F.sequence(F.lit(1), F.size("s") - 2), lambda i: F.array(
+        F.struct(F.get("s", i - 1).alias("src"), F.get("s", i).alias("dst")),
+        F.struct(F.get("s", i).alias("src"), F.get("s", i - 1).alias("dst")))))
+    return up.filter("size(s) >= 3").select(F.explode(both).alias("e")).select("e.src", "e.dst").distinct()
+
+
 def link_graph(pages: DataFrame, parents: bool = True) -> DataFrame:
     """(src, dst, n): links between different hosts, from the absolute and
     protocol-relative href attributes of the pages (relative links stay on
-    their host), and with ``parents`` one link each way between a host and
-    its parent domain where both have pages."""
+    their host), and with ``parents`` those of :func:`parent_links`."""
     target = F.explode(F.regexp_extract_all("html", F.lit("""(?i)\\bhref\\s*=\\s*["']?\\s*([^"'\\s>]+)"""), F.lit(1)))
     found = (pages.select(F.col("host").alias("src"), target.alias("href"))
              .filter("href like '%//%'")
@@ -64,44 +80,47 @@ def link_graph(pages: DataFrame, parents: bool = True) -> DataFrame:
              .groupBy("src", "dst").agg(F.count("*").alias("n")))
     if not parents:
         return found
-    hosts = pages.select("host").filter("host <> ''").distinct()
-    up = (hosts.select("host", F.regexp_extract("host", r"^[^.]+\.(.+)$", 1).alias("p"))
-          .join(hosts.select(F.col("host").alias("p")), "p"))
-    both = up.select(F.explode(F.array(F.struct(F.col("host").alias("src"), F.col("p").alias("dst")),
-                                       F.struct(F.col("p").alias("src"), F.col("host").alias("dst")))).alias("e"))
-    return (found.unionByName(both.select("e.src", "e.dst", F.lit(1).cast("long").alias("n")))
+    both = parent_links(pages.select("host").distinct())
+    return (found.unionByName(both.select("src", "dst", F.lit(1).cast("long").alias("n")))
             .groupBy("src", "dst").agg(F.sum("n").alias("n")))
 
 
 def propagate(seeds: DataFrame, graph: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
     """(host, kind, score): both personalised PageRanks at once.  ``seeds``
     holds (host, kind, seed); kind 0 follows the links, kind 1 goes against
-    them.  Ends after ``rounds`` or when no score has moved by ``tolerance``
-    in four of them."""
+    them.  Ends when no score has moved by ``tolerance`` in eight rounds;
+    more than ``rounds`` of them are an error."""
+    keys = ["host", "kind"]
     steps = (graph.select(F.col("src").alias("host"), F.col("dst").alias("to"), "n", F.lit(0).alias("kind"))
              .unionByName(graph.select(F.col("dst").alias("host"), F.col("src").alias("to"), "n", F.lit(1).alias("kind"))))
-    out = steps.groupBy("host", "kind").agg(F.sum("n").alias("all"))
-    steps = written(steps.join(out, ["host", "kind"])
-                    .select("host", "kind", "to", (F.col("n") / F.col("all") * damping).alias("w")))
-    base = seeds.select("host", "kind", (F.col("seed") * (1 - damping)).alias("score"))
+    out = written(steps.groupBy(*keys).agg(F.sum("n").alias("all"), F.count("*").alias("links")))
+    total = out.agg(F.sum("links")).first()[0] or 0
+    # links of a host with more than a thousandth of all are dealt over salts
+    hot = out.filter(F.col("links") * 1000 > total).select(*keys, F.ceil(F.col("links") * 1000 / total).cast("int").alias("salts"))
+    hot = F.broadcast(hot)  # fewer than 1000 rows by that rule
+    salt = F.pmod(F.xxhash64("to"), F.coalesce("salts", F.lit(1)))
+    steps = written(lookup(steps, out, keys, "links", total).join(hot, keys, "left")
+                    .select(*keys, salt.alias("salt"), "to", (F.col("n") / F.col("all") * damping).alias("w")))
+    base = seeds.select(*keys, (F.col("seed") * (1 - damping)).alias("score"))
     state = written(base)
-    for done in range(0, rounds, 4):  # written, and compared, after every four rounds
+    for _ in range(0, rounds, 8):  # written, and compared, after every eight rounds
         new = state
-        for _ in range(min(4, rounds - done)):
-            moved = (new.join(steps, ["host", "kind"])
-                     .select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("w")).alias("score")))
-            new = base.unionByName(moved).groupBy("host", "kind").agg(F.round(F.sum("score"), 12).alias("score"))
+        for _ in range(8):
+            dealt = new.join(hot, keys, "left").select(*keys, "score", F.explode(
+                F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+            moved = dealt.join(steps, [*keys, "salt"]).select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("w")).alias("score"))
+            new = base.unionByName(moved).groupBy(*keys).agg(F.round(F.sum("score"), 12).alias("score"))
         new = written(new)
-        change = (new.withColumnRenamed("score", "s2").join(state, ["host", "kind"], "left")
+        change = (new.withColumnRenamed("score", "s2").join(state, keys, "left")
                   .agg(F.max(F.abs(F.col("s2") - F.coalesce("score", F.lit(0.0))))).first()[0] or 0.0)
         state = new
         if change < tolerance:
-            break
-    return state
+            return state
+    raise RuntimeError(f"scores still move by {change} after {rounds} rounds")
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
-                html_col: str = "html", damping: float = 0.85, rounds: int = 20, tolerance: float = 1e-4,
+                html_col: str = "html", damping: float = 0.85, rounds: int = 400, tolerance: float = 1e-4,
                 limit: float = 0.5) -> DataFrame:
     """(id, host, path, rule, verdict, trust, distrust) of every page.
 
