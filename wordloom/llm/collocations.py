@@ -1,18 +1,19 @@
 """Phrase collocations: frequent phrases of up to ``max_words`` words, scored
 by the weakest of their cuts.
 
-Texts are read once per phrase length and once more.  In a task, numpy holds
-the words of about 2 MB of text as one buffer with single blanks; prefix
-polynomials (modulo 2^64) over its bytes give every word's fingerprint, and
-prefix polynomials over these give the fingerprint of every n-gram.
-
-1. Scan m counts the fingerprints of the m-word phrases whose two parts of
-   m - 1 words are frequent; distinct fingerprints leave a task with their
-   number and an occurrence pointer (the smallest document id), a shuffle
-   adds them up, and only those with ``min_count`` occurrences are kept.
+In a task, numpy holds the words of about 2 MB of text as one buffer with
+single blanks; prefix polynomials (modulo 2^64) over its bytes give every
+word's fingerprint, and prefix polynomials over these give the fingerprint of
+every n-gram.  The texts are read in a few scans:
+
+1. Scans count the fingerprints of words, then of phrases of two words, of
+   three, and of all greater lengths at once, where all parts of the length
+   counted before are frequent.  Distinct fingerprints leave a task with
+   their number and an occurrence pointer (the smallest document id), a
+   shuffle adds them up, and only those with ``min_count`` occurrences stay.
 2. The next scan makes texts of phrases whose fingerprint is frequent, and
    of no others.  All occurrences of a fingerprint in a step are compared
-   byte by byte with the first; the shuffle groups by fingerprint *and*
+   byte by byte with one of them; the shuffle groups by fingerprint *and*
    text, so counts are those of texts and a collision is never merged.
 
 A scan knows the frequent fingerprints by a bit map of at most
@@ -23,6 +24,7 @@ joins of the frequent phrases, whose hot parts are broadcast (``lookup``).
 
 from __future__ import annotations
 
+import math
 import re
 from functools import reduce
 
@@ -46,8 +48,10 @@ _KIND = np.array([2 if c in MARKS else 1 if c in BLANKS else 0 for c in range(25
 STEP_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_ROWS = T.StructType([T.StructField("words", T.IntegerType()), T.StructField("print", T.LongType()),
-                      T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()),
+#: A fingerprint's bits (collisions only cost rows that the count then drops).
+_BITS = 48
+#: ``text`` is null in counts of fingerprints, else a language, a line end and a phrase (none: the language's words).
+_ROWS = T.StructType([T.StructField("print", T.LongType()), T.StructField("text", T.StringType()),
                       T.StructField("n", T.LongType()), T.StructField("first_id", T.LongType())])
 
 
@@ -116,7 +120,7 @@ class Words:
     def prints(self, m: int, at: np.ndarray, lang: np.ndarray) -> np.ndarray:
         """Fingerprints of the m-word phrases at these words; ``lang`` is one
         number per word."""
-        return mixed(self._polynomials.stretches(self.word, at, at + m) ^ lang[at])
+        return mixed(self._polynomials.stretches(self.word, at, at + m) ^ lang[at]) >> np.uint64(64 - _BITS)
 
     def same(self, m: int, at: np.ndarray, other: np.ndarray) -> np.ndarray:
         """Whether the m-word phrases at ``at`` and ``other`` are the same
@@ -146,7 +150,7 @@ class PrintFilter:
         self.bits, self.words = bits, words
 
     def has(self, prints: np.ndarray) -> np.ndarray:
-        at = prints >> np.uint64(64 - self.bits)
+        at = prints >> np.uint64(_BITS - self.bits)
         return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -154,7 +158,7 @@ def print_filter(prints: DataFrame, max_bits: int) -> PrintFilter:
     """The filter of a table with a column ``print``: 64 bits an entry, at
     most ``2 ** max_bits``; only its non-zero words reach the driver."""
     bits = min(max_bits, max(16, (64 * prints.count()).bit_length()))
-    rows = (prints.select(F.shiftrightunsigned("print", 64 - bits).alias("at"))
+    rows = (prints.select(F.shiftrightunsigned("print", _BITS - bits).alias("at"))
             .selectExpr("shiftrightunsigned(at, 6) AS word", "shiftleft(1L, cast(at % 64 AS int)) AS mask")
             .groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow())
     words = np.zeros(1 << (bits - 6), np.uint64)
@@ -182,7 +186,7 @@ def steps(batch: pa.RecordBatch, step_bytes: int):
 
 def _grouped(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts ``prints``, and where each run of equal ones starts."""
-    order = np.argsort(prints, kind="stable")
+    order = np.argsort(prints)
     ranked = prints[order]
     return order, np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
 
@@ -190,18 +194,36 @@ def _grouped(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _NO_ID = np.iinfo(np.int64).max
 
 
-def _scan(m: int, max_words: int, known, step_bytes: int):
-    """Rows of scan ``m`` over batches of (_text, _lang, _id): word totals
-    (scan 1), phrases of m - 1 words, fingerprint counts of m words."""
-    schema = to_arrow_schema(_ROWS)
-
-    def rows(words, prints, langs, phrases, n, first):
-        size = len(n)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.full(size, words, np.int32)), pa.array(prints.view(np.int64)) if prints is not None else pa.nulls(size, pa.int64()),
-            pa.array(langs, pa.string()) if langs is not None else pa.nulls(size, pa.string()),
-            pa.array(phrases, pa.string()) if phrases is not None else pa.nulls(size, pa.string()),
-            pa.array(n, pa.int64()), pa.array(first, pa.int64(), mask=first == _NO_ID)], schema=schema)
+def _rows(prints, texts, n, first) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array(prints.astype(np.int64)), pa.nulls(len(n), pa.string()) if texts is None else pa.array(texts, pa.string()),
+        pa.array(n, pa.int64()), pa.array(first, pa.int64(), mask=first == _NO_ID)], schema=to_arrow_schema(_ROWS))
+
+
+def _texts_of(w: Words, m: int, at, prints, number, langs, ids):
+    """Rows of the m-word phrases at ``at``, by fingerprint and text."""
+    order, starts = _grouped(prints)
+    at, sizes = at[order], np.diff([*starts, len(order)])
+    head = np.repeat(at[starts], sizes)
+    same = (number[at] == number[head]) & w.same(m, at, head)
+    doc = ids[w.text[at]]
+    name = lambda i: langs[w.text[i]] + "\n" + w.phrase(m, i).decode()
+    yield _rows(prints[order[starts]], [name(i) for i in at[starts].tolist()], np.add.reduceat(same.astype(np.int64), starts),
+                np.minimum.reduceat(np.where(same, doc, _NO_ID), starts))
+    others = {}  # occurrences under the fingerprint of another text
+    for j in np.flatnonzero(~same).tolist():
+        key = int(prints[order[j]]), name(at[j])
+        n, first = others.get(key, (0, _NO_ID))
+        others[key] = n + 1, min(first, int(doc[j]))
+    if others:
+        n, first = (np.array(x, np.int64) for x in zip(*others.values()))
+        yield _rows(np.array([p for p, _ in others], np.uint64), [t for _, t in others], n, first)
+
+
+def _scan(before: list[int], now: list[int], known, step_bytes: int):
+    """Rows of one scan over batches of (_text, _lang, _id): texts of the
+    phrases of the lengths ``before`` whose fingerprint is ``known``, and
+    fingerprint counts of the lengths ``now`` (word totals with the first)."""
 
     def run(batches):
         import xxhash
@@ -216,57 +238,42 @@ def _scan(m: int, max_words: int, known, step_bytes: int):
                     langs = [lang for _, lang, _ in step]
                     number = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in langs], np.uint64)[w.text]
                     ids = np.array([_NO_ID if i is None else i for _, _, i in step], np.int64)
-                    if m == 1:
-                        per_text = np.bincount(w.text, minlength=len(langs))
-                        total = {}
-                        for lang, n in zip(langs, per_text.tolist()):
-                            total[lang] = total.get(lang, 0) + n
-                        yield rows(0, None, list(total), None, list(total.values()), np.full(len(total), _NO_ID))
-                        wanted = w.whole(1)
-                    else:
-                        at = np.flatnonzero(w.whole(m - 1))
-                        prints = w.prints(m - 1, at, number)
+                    frequent = np.ones(len(w), bool)
+                    for m in before:
+                        at = np.flatnonzero(w.whole(m))
+                        prints = w.prints(m, at, number)
                         hit = seen.has(prints)
                         at, prints = at[hit], prints[hit]
-                        if len(at):
-                            yield from found(w, m - 1, at, prints, number, langs, ids)
-                        if m > max_words:
-                            continue
-                        frequent = np.zeros(len(w) + 1, bool)
+                        frequent = np.zeros(len(w), bool)
                         frequent[at] = True
-                        wanted = w.whole(m) & frequent[:-1] & frequent[1:]
-                    at = np.flatnonzero(wanted)
-                    if len(at):
-                        prints = w.prints(m, at, number)
-                        order, starts = _grouped(prints)
-                        yield rows(m, prints[order[starts]], None, None, np.diff([*starts, len(order)]),
-                                   np.minimum.reduceat(ids[w.text[at[order]]], starts))
-
-    def found(w, m, at, prints, number, langs, ids):
-        order, starts = _grouped(prints)
-        at, sizes = at[order], np.diff([*starts, len(order)])
-        head = np.repeat(at[starts], sizes)
-        same = (number[at] == number[head]) & w.same(m, at, head)
-        n = np.add.reduceat(same.astype(np.int64), starts)
-        doc = ids[w.text[at]]
-        first = np.minimum.reduceat(np.where(same, doc, _NO_ID), starts)
-        heads = at[starts].tolist()
-        phrases, where = [w.phrase(m, i).decode() for i in heads], [langs[t] for t in w.text[at[starts]].tolist()]
-        yield rows(m, prints[order[starts]], where, phrases, n, first)
-        others = {}  # occurrences under a fingerprint of another text: by their text
-        group = np.repeat(np.arange(len(starts)), sizes)
-        for j in np.flatnonzero(~same).tolist():
-            key = group[j], langs[w.text[at[j]]], w.phrase(m, at[j])
-            c, d = others.get(key, (0, _NO_ID))
-            others[key] = c + 1, min(d, int(doc[j]))
-        if others:
-            yield rows(m, prints[order[starts[[g for g, _, _ in others]]]], [x for _, x, _ in others],
-                       [p.decode() for _, _, p in others], [c for c, _ in others.values()],
-                       np.array([d for _, d in others.values()], np.int64))
+                        if len(at):
+                            yield from _texts_of(w, m, at, prints, number, langs, ids)
+                    if not before:
+                        total = {}
+                        for lang, n in zip(langs, np.bincount(w.text, minlength=len(langs)).tolist()):
+                            total[lang] = total.get(lang, 0) + n
+                        yield _rows(np.zeros(len(total)), [lang + "\n" for lang in total], list(total.values()), np.full(len(total), _NO_ID))
+                    part_size = before[-1] if before else 1
+                    for m in now:
+                        wanted = w.whole(m)
+                        for i in range(m - part_size + 1):  # every part of the length counted before
+                            wanted[:len(w) - i] &= frequent[i:]
+                        at = np.flatnonzero(wanted)
+                        if len(at):
+                            prints = w.prints(m, at, number)
+                            order, starts = _grouped(prints)
+                            yield _rows(prints[order[starts]], None, np.diff([*starts, len(order)]),
+                                        np.minimum.reduceat(ids[w.text[at[order]]], starts))
 
     return run
 
 
+def scans(max_words: int) -> list[tuple[list[int], list[int]]]:
+    """(lengths that get texts, lengths counted) of every scan."""
+    counted = [m for m in ([1], [2], [3], list(range(4, max_words + 1))) if m and m[0] <= max_words]
+    return list(zip([[], *counted], [*counted, []]))
+
+
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      max_words: int = 5, min_count: int = 100, filter_bits: int = 27,
                      step_bytes: int = STEP_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -282,18 +289,20 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
                         F.coalesce(F.col(lang_col), F.lit("und")).alias("_lang"))
+    cut = F.length("text") - F.length(F.substring_index("text", "\n", -1))  # a language may hold line ends, a phrase none
     found, totals, known = [], None, None
-    for m in range(1, max_words + 2):
-        rows = texts.mapInArrow(_scan(m, max_words, known, step_bytes), _ROWS)
-        counts = written(rows.groupBy("words", "print", "lang", "phrase").agg(F.sum("n").alias("n"), F.min("first_id").alias("first_id"))
-                         .filter((F.col("n") >= min_count) | (F.col("words") == 0)))
-        if m == 1:
-            totals = counts.filter("words = 0").select("lang", "n")
+    for before, now in scans(max_words):
+        rows = texts.mapInArrow(_scan(before, now, known, step_bytes), _ROWS)
+        counts = written(rows.groupBy("print", "text").agg(F.sum("n").alias("n"), F.min("first_id").alias("first_id"))
+                         .filter((F.col("n") >= min_count) | F.col("text").endswith("\n")))
+        named = counts.filter("text is not null").select(
+            F.col("text").substr(F.lit(1), cut - 1).alias("lang"), F.substring_index("text", "\n", -1).alias("phrase"), "n", "first_id")
+        if not before:
+            totals = named.select("lang", "n")
         else:
-            found.append(counts.filter("phrase is not null").select("words", "lang", "phrase", "n", "first_id"))
-        prints = counts.filter(f"words = {m} and phrase is null")
-        if m <= max_words:
-            held = print_filter(prints, filter_bits)
+            found.append(named.select(F.size(F.split("phrase", " ")).alias("words"), "lang", "phrase", "n", "first_id"))
+        if now:
+            held = print_filter(counts.filter("text is null"), filter_bits)
             if not held.words.any():
                 break
             known = spark.sparkContext.broadcast(held)
@@ -343,7 +352,11 @@ def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     exact = "cast({} as decimal(19, 0))".format
     score = F.expr(f"({exact('a')} * 1000 * {exact('n')}) div ({exact('l')} * {exact('r')})")
     worst = cuts.groupBy("lang", "phrase", "a", "n", "first_id").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("_cut"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (worst.select("lang", "phrase", "a", "_cut.l", "_cut.r", "n", "_cut.score", "first_id")
-            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    ranked = worst.select("lang", "phrase", "a", "_cut.l", "_cut.r", "n", "_cut.score", "first_id")
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # a language is ranked in parts first, as many as make parts and their union equally large
+    parts = max(1, math.isqrt(total // top))
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(parts))).orderBy(*order)
+    ranked = ranked.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= top)
+    return (ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "first_id"))
