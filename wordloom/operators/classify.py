@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_checked, cut_lineage
-from . import ordering
+from .selection import first_rows, mark_first
 
 NEG_INF = float("-inf")
 
@@ -52,7 +52,8 @@ def nb_fit(td: DataFrame, docs: DataFrame, alpha: float | DataFrame = 1.0, label
     Returns ``classes (by..., label, log_prior, log_default, total)``,
     ``likelihood (by..., label, term, log_lik)`` for observed pairs and
     ``vocab (by..., term)``.  log_lik = ln((count + alpha) / (total + alpha V));
-    ``log_default`` is the same with count 0 (-infinity when alpha = 0).
+    ``log_default`` is the same with count 0 (-infinity when alpha = 0, and
+    where a class has no tokens and alpha or the vocabulary leaves nothing).
 
     ``by`` fits one model per group in the same plan (e.g. a grid of
     settings as data); ``alpha`` is then a number or a DataFrame
@@ -76,13 +77,13 @@ def nb_fit(td: DataFrame, docs: DataFrame, alpha: float | DataFrame = 1.0, label
         a = F.col("_alpha")
     classes = classes.withColumn("_denom", F.col("total") + a * v_size)
     classes = classes.select(*by, label, "log_prior", "n_docs", "total", "_alpha", "_denom",
-                             _safe_ln(a / F.col("_denom")).alias("log_default"))
+                             F.coalesce(_safe_ln(F.try_divide(a, F.col("_denom"))), F.lit(NEG_INF)).alias("log_default"))
     # one row per class: broadcast after that is checked, so the few labels
     # never decide how the (class, term) rows are dealt
     classes = cut_lineage(classes)
     lik = (ct.join(broadcast_checked(classes.select(*by, label, "_alpha", "_denom")), [*by, label])
              .select(*by, label, term,
-                     _safe_ln((F.col("count") + F.col("_alpha")) / F.col("_denom")).alias("log_lik")))
+                     _safe_ln(F.try_divide(F.col("count") + F.col("_alpha"), F.col("_denom"))).alias("log_lik")))
     return {"classes": classes.drop("_alpha", "_denom"), "likelihood": lik, "vocab": vocab}
 
 
@@ -195,26 +196,20 @@ def train_eval_split(df: DataFrame, order: str, n_train: int | None = None,
     With ``eval_df`` the evaluation part is its first ``n_eval`` rows (500 by
     default) and training is the first ``n_train`` rows of ``df``.  Without
     it, evaluation is the head ``min(max_eval, total div 10)`` of ``df`` and
-    training the rest.  Rows get a distributed dense position (ties in
-    ``order`` are broken by the rest of the row), so neither a limit nor a
-    window holds a split in one task and rows with equal ``order`` stay.
+    training the rest.  The border is found by histograms of the order column
+    (ties by a hash of the row), so nothing is sorted, numbered or written,
+    and rows with equal ``order`` stay.
     """
-    placed = _placed(df, order)
-    if n_train is not None:
-        placed = placed.filter(F.col("_place") < n_train)
+    train = df if n_train is None else first_rows(df, n_train, order)
     if eval_df is not None:
-        ev = _placed(eval_df, order).filter(F.col("_place") < (n_eval if n_eval is not None else max_eval))
-        return (placed.drop("_place").withColumn("split", F.lit("train"))
-                      .unionByName(ev.drop("_place").withColumn("split", F.lit("eval"))))
-    size = min(max_eval, placed.count() // 10)
-    return (placed.withColumn("split", F.when(F.col("_place") < size, "eval").otherwise("train"))
-                  .drop("_place"))
-
-
-def _placed(df: DataFrame, order: str) -> DataFrame:
-    return ordering.dense_index(df, [F.col(order), F.xxhash64(*df.columns)], "_place")
+        ev = first_rows(eval_df, n_eval if n_eval is not None else max_eval, order)
+        return (train.withColumn("split", F.lit("train"))
+                .unionByName(ev.withColumn("split", F.lit("eval"))))
+    size = min(max_eval, train.count() // 10)
+    return (mark_first(train, size, order, "__eval")
+            .withColumn("split", F.when(F.col("__eval"), "eval").otherwise("train")).drop("__eval"))
 
 
 def read_split(df: DataFrame, n: int, order: str) -> DataFrame:
     """First n rows of a named split in a stable order."""
-    return _placed(df, order).filter(F.col("_place") < n).drop("_place")
+    return first_rows(df, n, order)

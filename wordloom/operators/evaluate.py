@@ -255,10 +255,11 @@ def score_pivot(df: DataFrame, rows: Sequence[str], column: str, value: str,
 def relative_change(df: DataFrame, group: Sequence[str], order: str, value: str,
                     decimals: int | None = 0) -> DataFrame:
     """Percent change of ``value`` from the first row of its group (smallest
-    ``order``), e.g. k = 0 to k = 10.  Half-to-even rounding when asked."""
+    ``order``), e.g. k = 0 to k = 10; null from a first value of 0.
+    Half-to-even rounding when asked."""
     w = Window.partitionBy(*group).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    chg = 100.0 * (F.col(value) / F.first(value).over(w) - 1.0)
+    chg = 100.0 * (F.try_divide(F.col(value), F.first(value).over(w)) - 1.0)
     if decimals is not None:
         chg = F.bround(chg, decimals)
     return df.withColumn("pct_change", chg)

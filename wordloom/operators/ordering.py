@@ -62,33 +62,52 @@ def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     return df.join(broadcast_checked(cut_lineage(ranks)), value, "left")
 
 
-def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequence[float]) -> DataFrame:
+def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequence[float],
+                    extra: dict | None = None, accuracy: int = 10_000) -> DataFrame:
     """Exact linear percentiles (numpy's default) per group: ``(by...,
     name_prob...)`` with one column ``f"{name}_{prob}"`` per entry of
     ``columns`` (name to column) and probability; nulls are left out.
-
-    All values get a position in one distributed sort by (group, name,
-    value); a group's percentiles are the values at two positions.  No group
-    is ever held by one task, as a percentile aggregate would."""
-    by = list(by)
-    arms = F.array(*[F.struct(F.lit(n).alias("_m"), c.cast("double").alias("_v")) for n, c in columns.items()])
-    long = df.select(*by, F.explode(arms).alias("_a")).select(*by, "_a.*").filter(F.col("_v").isNotNull())
-    placed = dense_index(long, [*by, "_m", "_v"], "_i")
-    groups = placed.groupBy(*by, "_m").agg(F.min("_i").alias("_first"), F.count("*").alias("_n"))
-    want = groups.select(*by, "_m", "_first", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
-    at = F.col("_p") * (F.col("_n") - 1)
-    want = want.select(*by, "_m", "_p", (at - F.floor(at)).alias("_part"), F.explode(F.array(
-        F.struct((F.col("_first") + F.floor(at)).alias("_i"), F.lit(0).alias("_hi")),
-        F.struct((F.col("_first") + F.ceil(at)).alias("_i"), F.lit(1).alias("_hi")))).alias("_x"))
-    want = want.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_m").alias("_name"),
-                       "_p", "_part", "_x._i", "_x._hi")
-    found = broadcast_checked(cut_lineage(want)).join(placed.select("_i", "_v"), "_i")
-    lo = F.max(F.when(F.col("_hi") == 0, F.col("_v")))
-    hi = F.max(F.when(F.col("_hi") == 1, F.col("_v")))
-    keys = [f"_by{i}" for i in range(len(by))]
-    part = F.max("_part")
-    value = found.groupBy(*keys, "_name", "_p").agg(
-        F.when(part == 0, lo).otherwise(lo * (1 - part) + hi * part).alias("_q"))
-    return value.groupBy(*keys).agg(*[
-        F.max(F.when((F.col("_name") == n) & (F.col("_p") == float(p)), F.col("_q"))).alias(f"{n}_{p}")
-        for n in columns for p in probs]).withColumnsRenamed({f"_by{i}": c for i, c in enumerate(by)})
+    ``extra`` (name to aggregate) adds columns from the first pass.
+
+    Two passes, no sort of the values.  The first takes a quantile sketch of
+    bounded size per group, which gives a bracket of a few thousandths of a
+    percent of the group around each percentile.  The second counts the rows
+    below a bracket and, per different value, those inside it; the percentile
+    is read from these few rows.  The counts show whether a bracket holds its
+    percentile; if one does not, all are widened."""
+    by, names, probs, extra = list(by), list(columns), [float(p) for p in probs], extra or {}
+    group = F.struct(*by) if by else F.lit(0)
+    rows = df.select("*", group.alias("_g"), *[c.cast("double").alias(f"_v{i}") for i, c in enumerate(columns.values())])
+    margin = 2.0 / accuracy
+    while True:
+        at = [min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)]
+        first = rows.groupBy("_g").agg(
+            *[F.percentile_approx(f"_v{i}", F.array(*[F.lit(x) for x in at]), accuracy).alias(f"_b{i}") for i in range(len(names))],
+            *[F.count(f"_v{i}").alias(f"_n{i}") for i in range(len(names))], *[v.alias(k) for k, v in extra.items()])
+        first = cut_lineage(first)
+        brackets = F.array(*[F.struct(
+            F.lit(i).cast("int").alias("m"), F.lit(j).cast("int").alias("p"), F.col(f"_v{i}").alias("v"),
+            F.get(f"_b{i}", 2 * j).alias("lo"), F.get(f"_b{i}", 2 * j + 1).alias("hi")) for i in range(len(names)) for j in range(len(probs))])
+        near = rows.join(broadcast_checked(first.select("_g", *[f"_b{i}" for i in range(len(names))])), "_g")
+        near = near.select("_g", F.explode(F.filter(brackets, lambda b: b["v"] <= b["hi"])).alias("b"))
+        counts = near.groupBy("_g", "b.m", "b.p", F.when(F.col("b.v") >= F.col("b.lo"), F.col("b.v")).alias("x")).agg(F.count("*").alias("c"))
+        sizes = first.select("_g", F.posexplode(F.array(*[F.col(f"_n{i}") for i in range(len(names))])).alias("m", "n"))
+        inside = Window.partitionBy("_g", "m", "p").orderBy(F.asc_nulls_first("x")).rowsBetween(Window.unboundedPreceding, 0)
+        placed = counts.withColumn("upto", F.sum("c").over(inside)).join(broadcast_checked(sizes.filter("n > 0")), ["_g", "m"])
+        place = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("p") + 1) * (F.col("n") - 1)
+        value = lambda i: F.min(F.when(F.col("upto") > i, F.col("x")))
+        known = F.coalesce(F.max(F.when(F.col("x").isNull(), F.col("upto"))), F.lit(0)) <= F.max(F.floor("place"))  # the bracket starts at or before it
+        read = placed.withColumn("place", place).groupBy("_g", "m", "p").agg(
+            value(F.floor("place")).alias("lo"), value(F.ceil("place")).alias("hi"), F.max(F.col("place") - F.floor("place")).alias("part"),
+            known.alias("known"))
+        read = cut_lineage(read)
+        if read.filter("not known or lo is null or hi is null").limit(1).count() == 0:
+            break
+        margin *= 8
+    q = F.when(F.col("part") == 0, F.col("lo")).otherwise(F.col("lo") * (1 - F.col("part")) + F.col("hi") * F.col("part"))
+    wide = read.groupBy("_g").agg(*[F.max(F.when((F.col("m") == i) & (F.col("p") == j), q)).alias(f"{n}_{p}")
+                                    for i, n in enumerate(names) for j, p in enumerate(probs)])
+    out = first.join(broadcast_checked(wide), "_g", "left")
+    if not by:  # one row, also of an empty table
+        out = df.sparkSession.range(1).select(F.lit(0).alias("_g")).join(F.broadcast(out), "_g", "left")
+    return out.select(*[F.col("_g")[c].alias(c) for c in by], *extra, *[F.col(f"`{n}_{p}`") for n in names for p in probs])

@@ -4,14 +4,12 @@ tables (batch).  The streaming jobs reuse the same column expressions."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..session import broadcast_checked, cut_lineage
+from ..session import cut_lineage
 from . import ordering
 
 LATENCY_METRICS = {
@@ -63,12 +61,13 @@ def request_latency(events: DataFrame, request: Sequence[str], ts="ts",
     req = list(request)
     inp = input_tokens if input_tokens is not None else F.lit(0)
     stats = events.groupBy(*req).agg(F.min(ts).alias("_start"), F.max(ts).alias("_end"),
-                                     F.count("*").alias("_n"),
-                                     F.min_by(inp, F.col(ts)).alias("_inp")).filter("_n >= 2")
-    times = events.select(*req, F.col(ts).alias("_t")).distinct()
+                                     F.count("*").alias("_n")).filter("_n >= 2")
+    # of events at the same earliest time, the smallest prompt length
+    times = events.select(*req, F.col(ts).alias("_t"), inp.alias("_i")).groupBy(*req, "_t").agg(F.min("_i").alias("_i"))
     early = (times.withColumn("_r", F.row_number().over(Window.partitionBy(*req).orderBy("_t")))
-                  .filter(F.col("_r") <= 2).filter(F.col("_r") == 2)
-                  .select(*req, F.col("_t").alias("_first_tok")))
+                  .filter(F.col("_r") <= 2).groupBy(*req)
+                  .agg(F.max(F.when(F.col("_r") == 2, F.col("_t"))).alias("_first_tok"),
+                       F.max(F.when(F.col("_r") == 1, F.col("_i"))).alias("_inp")))
     j = stats.join(early, req, "left")
     return j.select(*req, F.col("_start").alias("start_ts"),
                     *latency_columns(F.col("_start"), F.col("_first_tok"), F.col("_end"),
@@ -81,21 +80,12 @@ def approx_quantile(col: str, prob: float, accuracy: int = 10000):
     return F.percentile_approx(col, F.lit(float(prob)), accuracy)
 
 
-def _quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs, exact: bool, accuracy: int) -> DataFrame:
+def _quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs, exact: bool, accuracy: int, extra: dict) -> DataFrame:
     if exact:
-        return ordering.group_quantiles(df, by, columns, probs)
-    named = df.select(*by, *[c.alias(n) for n, c in columns.items()])
-    return named.groupBy(*by).agg(*[approx_quantile(n, p, accuracy).alias(f"{n}_{p}") for n in columns for p in probs])
-
-
-def _on_group(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One row per group from two aggregates of the same rows, null-safe;
-    without groups, one row with the other's values as scalar subqueries."""
-    if not by:
-        return a.withColumns({c: b.select(F.col(f"`{c}`")).scalar() for c in b.columns})
-    b = b.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(by)})
-    cond = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)))
-    return a.join(broadcast_checked(b), cond, "left").drop(*[f"_g{i}" for i in range(len(by))])
+        return ordering.group_quantiles(df, by, columns, probs, extra)
+    named = df.withColumns({f"_q_{n}": c for n, c in columns.items()})
+    return named.groupBy(*by).agg(*[approx_quantile(f"_q_{n}", p, accuracy).alias(f"{n}_{p}") for n in columns for p in probs],
+                                  *[c.alias(n) for n, c in extra.items()])
 
 
 def latency_percentiles(req: DataFrame, by: Sequence[str] = (),
@@ -104,13 +94,11 @@ def latency_percentiles(req: DataFrame, by: Sequence[str] = (),
                         accuracy: int = 10000) -> DataFrame:
     """p50 / p90 of first-token, per-token, total, end-to-end times and
     decode rate; max and p90 of any device columns.  Exact and linear like
-    numpy, from one distributed sort, or approximate in one aggregate with
-    ``exact=False``.  Rounded half-to-even to ``decimals`` (Q23) when given."""
+    numpy, from a sketch and the few rows around each percentile, or
+    approximate in one aggregate with ``exact=False``.  Rounded half-to-even to ``decimals`` (Q23) when given."""
     by = list(by)
     metrics = {short: F.col(c) for short, c in LATENCY_METRICS.items()} | {g: F.col(g) for g in gpu}
-    a = _quantiles(req, by, metrics, [0.5, 0.9], exact, accuracy)
-    if gpu:
-        a = _on_group(a, req.groupBy(*by).agg(*[F.max(g).alias(f"max_{g}") for g in gpu]), by)
+    a = _quantiles(req, by, metrics, [0.5, 0.9], exact, accuracy, {f"max_{g}": F.max(g) for g in gpu})
     rnd = (lambda c: F.bround(c, decimals)) if decimals is not None else (lambda c: c)
     cols = [*by]
     for short in LATENCY_METRICS:
@@ -129,8 +117,7 @@ def telemetry_summary(samples: DataFrame, devices: Sequence[str] | None, tick: s
     by = list(by)
     s = samples if devices is None else samples.filter(F.col(device).isin(list(devices)))
     per_tick = cut_lineage(s.groupBy(*by, tick).agg(F.max(reading).alias("_tick_max")))
-    agg = per_tick.groupBy(*by).agg(F.max("_tick_max").alias("peak"), F.count("*").alias("n_ticks"))
-    p90 = _quantiles(per_tick, by, {"tick": F.col("_tick_max")}, [0.9], exact, 10000)
-    return _on_group(agg, p90, by).select(
-        *by, F.coalesce("peak", F.lit(0.0)).alias("peak"),
-        F.coalesce(F.col("`tick_0.9`"), F.lit(0.0)).alias("p90"), "n_ticks")
+    out = _quantiles(per_tick, by, {"tick": F.col("_tick_max")}, [0.9], exact, 10000,
+                     {"peak": F.max("_tick_max"), "n_ticks": F.count("*")})
+    return out.select(*by, F.coalesce("peak", F.lit(0.0)).alias("peak"), F.coalesce(F.col("`tick_0.9`"), F.lit(0.0)).alias("p90"),
+                      F.coalesce("n_ticks", F.lit(0).cast("long")).alias("n_ticks"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..session import broadcast_checked, cut_lineage
+from .selection import first_rows
 
 
 def read_vectors(df: DataFrame, word="vec_id", vector="embedding") -> DataFrame:
@@ -174,7 +175,7 @@ def solve_analogies(questions: DataFrame, vectors: DataFrame,
     if case_insensitive:
         questions = questions.select("qid", "section", *[F.upper(x).alias(x) for x in "abcd"])
     if restrict_vocab is not None:
-        v = v.orderBy("rank" if "rank" in v.columns else "word").limit(restrict_vocab)
+        v = first_rows(v, restrict_vocab, "rank" if "rank" in v.columns else "word")
     if case_insensitive:
         v = folded(v)
     # unit vectors and the joined questions are each used several times:

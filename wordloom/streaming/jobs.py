@@ -46,14 +46,15 @@ _REQ_STATE = "t1 array<long>, t2 array<long>, tmax array<long>, n array<long>, i
 def merge_sessions(parts: list, gap: int) -> list:
     """Sessions ``(first, second, last, count, prompt)`` in micros, merged
     where the next starts within ``gap`` of the last end.  ``second`` is the
-    second distinct time (None for one); the prompt is that of the earliest."""
+    second distinct time (None for one); the prompt is the smallest of the
+    earliest time."""
     out: list = []
     for s in sorted(parts, key=lambda s: (s[0], s[2])):
         if out and s[0] - out[-1][2] <= gap:
             a = out[-1]
             times = sorted({t for t in (a[0], a[1], s[0], s[1]) if t is not None})
             out[-1] = (a[0], times[1] if len(times) > 1 else None, max(a[2], s[2]), a[3] + s[3],
-                       a[4] if a[0] <= s[0] else s[4])
+                       min(a[4], s[4]) if a[0] == s[0] else a[4])
         else:
             out.append(s)
     return out
@@ -63,7 +64,7 @@ def batch_sessions(times, prompts, gap: int) -> list:
     """The sessions among the events of one micro-batch (vectorised)."""
     import numpy as np
 
-    order = np.argsort(times, kind="stable")
+    order = np.lexsort((prompts, times))
     t, p = times[order], prompts[order]
     starts = np.flatnonzero(np.concatenate([[True], np.diff(t) > gap]))
     ends = np.concatenate([starts[1:], [len(t)]])
