@@ -94,3 +94,24 @@ CHANGES = [
     ("1B", "CLS", 0, 68.5, 14.60), ("1B", "CLS", 10, 77.0, 12.98),
 ]
 CHANGE_PCT = {("270M", "CLS"): (30, -23), ("270M", "QA"): (24, -19), ("1B", "CLS"): (12, -11)}
+
+# ---- fixed values: the parser's trees for the fifteen sentences, in its order ----
+TREES = {
+    1: ["(S (NP (Nominal (Nominal1 (Noun research)) (Noun fans))) (VP (Verb hope) (PP (Preposition for) (NP (Nominal (Adjective spinal) (Nominal1 (Noun injuries)))))))",
+        "(S (NP (Nominal (Noun research))) (VP (Verb fans) (NP (Nominal (Noun hope))) (PP (Preposition for) (NP (Nominal (Adjective spinal) (Nominal1 (Noun injuries)))))))"],
+    2: ["(S (NP (Nominal (Adjective spinal) (Nominal1 (Noun injuries)))) (VP (Verb need) (NP (Nominal (Noun research)))))"],
+    3: ["(S (NP (Nominal (Nominal1 (Noun sports)) (Noun fans))) (VP (Verb like) (NP (Nominal (Noun research)))))"],
+    4: ["(S (NP (Nominal (Nominal1 (Noun sports)) (Noun fans))) (VP (Verb fear) (NP (Nominal (Adjective spinal) (Nominal1 (Noun injuries))))))"],
+    5: ["(S (NP (Nominal (Nominal1 (Noun sports)) (Noun research))) (VP (Verb costs) (NP (Nominal (Noun money)))))"],
+    6: ["(S (NP (Det the) (Nominal (Noun fan))) (VP (Verb fans) (NP (Det the) (Nominal (Noun researcher))) (PP (Preposition with) (NP (Det a) (Nominal (Noun fan))))))"],
+    7: ["(S (NP (Nominal (Noun researchers))) (VP (Verb hope) (PP (Preposition for) (NP (Nominal (Noun money))))))"],
+    8: ["(S (NP (Det the) (Nominal (Noun fan))) (VP (Verb needs) (NP (Nominal (Nominal1 (Noun sports)) (Noun research)))))"],
+    9: ["(S (NP (Det the) (Nominal (Noun researcher))) (VP (Verb needs) (NP (Nominal (Noun money)))))"],
+    10: ["(S (NP (Det the) (Nominal (Noun fan))) (VP (Verb likes) (NP (Nominal (Noun sports)))))"],
+    11: ["(S (NP (Nominal (Noun fans))) (VP (Verb like) (NP (Nominal (Noun likes))) (PP (Preposition on) (NP (Nominal (Adjective social) (Nominal1 (Noun media)))))))"],
+    12: ["(S (NP (Nominal (Nominal1 (Noun sports)) (Noun fans))) (VP (Verb hope) (PP (Preposition for) (NP (Nominal (Noun likes))))))",
+        "(S (NP (Nominal (Noun sports))) (VP (Verb fans) (NP (Nominal (Noun hope))) (PP (Preposition for) (NP (Nominal (Noun likes))))))"],
+    13: ["(S (NP (Nominal (Noun fans))) (VP (Verb need) (NP (Nominal (Noun money))) (PP (Preposition for) (NP (Nominal (Noun sports))))))"],
+    14: ["(S (NP (Det the) (Nominal (Adjective social) (Nominal1 (Noun fan)))) (VP (Verb likes) (NP (Det the) (Nominal (Noun researcher)))))"],
+    15: ["(S (NP (Nominal (Noun researchers))) (VP (Verb fear) (NP (Det the) (Nominal (Noun media)))))"],
+}

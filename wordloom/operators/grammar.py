@@ -1,12 +1,9 @@
-"""Lexicons, grammar coverage and parse counting.
-
-``chart_parse`` counts the parses of every sentence under a context-free
-grammar as a span-join job (CKY with counts): spans ``(sent, i, j, cat, n)``
-are seeded from the lexicon, and for each span length the left and right
-spans meet in an equi-join on (sentence, split point) and the binary rules
-in an equi-join on (left, right) category.  Unary chains are applied through
-their closure with path counts.  The new spans of each length are written to
-the shared checkpoint folder.
+"""Lexicons, grammar coverage, parse counting and parse trees.
+
+A sentence's candidate categories come from a join of its words with the
+lexicon; then each sentence is parsed whole inside a task (``forest.Forest``,
+bit sets per span), without a shuffle or a round per sentence length.  A
+grammar is small: its rules are counted before they are sent to the tasks.
 """
 
 from __future__ import annotations
@@ -46,91 +43,94 @@ def missing_words(tokens: DataFrame, lexicon: DataFrame, term="term", word="word
     return tokens.join(lexicon.select(F.col(word).alias(term)).distinct(), term, "left_anti")
 
 
-def binarize(rules: DataFrame) -> DataFrame:
-    """Rules ``(lhs, rhs array)``: right-hand sides longer than two are split
-    with fresh symbols ``lhs|rest``; returns ``(lhs, b, c)`` where ``c`` is
-    null for unary rules."""
-    r = rules.withColumn("_n", F.size("rhs"))
-    short = r.filter(F.col("_n") <= 2).select(
-        "lhs", F.col("rhs")[0].alias("b"), F.get(F.col("rhs"), 1).alias("c"))
-    long_ = r.filter(F.col("_n") > 2)
-    # A -> X1 X2 ... Xn becomes A -> X1 <A|X2..Xn>, <A|X2..Xn> -> X2 <A|X3..Xn>, ...
-    parts = long_.select("lhs", "rhs", F.posexplode(F.sequence(F.lit(0), F.col("_n") - 2))
-                         .alias("_p", "_i"))
-    name = lambda start: F.concat(F.col("lhs"), F.lit("|"),
-                                  F.array_join(F.slice("rhs", start + 1, F.size("rhs")), " "))
-    split = parts.select(
-        F.when(F.col("_i") == 0, F.col("lhs")).otherwise(name(F.col("_i"))).alias("lhs"),
-        F.col("rhs")[F.col("_i")].alias("b"),
-        F.when(F.col("_i") == F.size("rhs") - 2, F.col("rhs")[F.col("_i") + 1])
-         .otherwise(name(F.col("_i") + 1)).alias("c"))
-    return short.unionByName(split).distinct()
-
-
-def unary_closure(unary: DataFrame) -> DataFrame:
-    """``(top, bottom, paths)``: number of unary derivations top =>+ bottom
-    of one step or more (identity is added by the caller).  A cycle is
-    rejected; without one, a chain has no more steps than there are symbols,
-    so the loop ends."""
-    u = unary.select(F.col("lhs").alias("top"), F.col("b").alias("bottom"))
-    total = None
-    frontier = u.groupBy("top", "bottom").agg(F.count("*").cast("long").alias("paths"))
-    while True:
-        if frontier.isEmpty():
-            if total is None:
-                return frontier
-            return total.groupBy("top", "bottom").agg(F.sum("paths").alias("paths"))
-        total = frontier if total is None else total.unionByName(frontier)
-        frontier = (frontier.join(u.select(F.col("top").alias("bottom"), F.col("bottom").alias("nb")), "bottom")
-                    .groupBy("top", F.col("nb").alias("bottom")).agg(F.sum("paths").alias("paths")))
-        if frontier.filter(F.col("top") == F.col("bottom")).limit(1).count() > 0:
-            raise ValueError("unary cycle in grammar")
-        frontier = cut_lineage(frontier)
-
-
-def _close(spans: DataFrame, closure: DataFrame) -> DataFrame:
-    """Apply unary chains: every span of category B also counts for each A
-    with A =>+ B, times the number of chains; the span itself stays."""
-    up = (spans.join(closure.withColumnRenamed("bottom", "cat"), "cat")
-               .select("sent", "i", "j", F.col("top").alias("cat"),
-                       (F.col("n") * F.col("paths")).alias("n")))
-    return (spans.select("sent", "i", "j", "cat", "n").unionByName(up)
-                 .groupBy("sent", "i", "j", "cat").agg(F.sum("n").alias("n")))
+#: Rules that are sent to the tasks; more of them are an error.
+MAX_RULES = 1_000_000
+
+
+def rule_list(rules: DataFrame) -> list[tuple[str, tuple[str, ...], float]]:
+    """The distinct rules ``(lhs, rhs, cost)`` in the order of their symbols;
+    the cost is 0 without a column ``cost``."""
+    cost = F.col("cost").cast("double") if "cost" in rules.columns else F.lit(0.0)
+    rows = rules.select("lhs", "rhs", cost.alias("cost")).distinct().limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    return sorted((r.lhs, tuple(r.rhs), r.cost or 0.0) for r in rows)
+
+
+def parse_trees(sentences: DataFrame, lexicon: DataFrame, rules: DataFrame, start="S", k: int = 10,
+                sent="sent_id", text="text") -> DataFrame:
+    """``(sent_id, n_words, n_parses, trees)`` per sentence: the number of
+    parses and the first ``k`` trees in brackets, ``(S (NP (Noun fans)) ...)``.
+
+    Trees come in ascending order of the summed ``cost`` of their rules (a
+    column of ``rules``; 0 without it).  Of equal cost, a tree whose first
+    part is longer comes first, then by rule, then by the order of the parts'
+    own trees.  Sentences without words are left out; words outside the
+    lexicon have no category.  A cycle of one-symbol rules, and a number of
+    parses beyond 64 bits, are an error."""
+    from .forest import Grammar
+    grammar = Grammar(rule_list(rules), start)
+    toks = C.posexplode_rows(sentences.select(F.col(sent).alias("sent"), text), ["sent"],
+                             F.filter(F.split(F.trim(F.col(text)), r"\s+"), lambda w: w != ""), "i", "w")
+    # one row per (word, sentence place) and a word's few categories; a
+    # sentence's words are one row in the end, as they were at the start
+    cats = lexicon.select(F.col("word").alias("w"), "cat").distinct().groupBy("w").agg(F.array_sort(F.collect_set("cat")).alias("cats"))
+    placed = toks.join(broadcast_checked(cut_lineage(cats)), "w", "left")
+    whole = placed.groupBy("sent").agg(F.array_sort(F.collect_list(F.struct("i", "w", "cats"))).alias("words"))
+
+    def parse(batches):
+        import pyarrow as pa
+        for batch in batches:
+            rows = [grammar.parse([(x["w"], x["cats"] or []) for x in words], k) for words in batch.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sent"), pa.array(map(len, batch.column("words").to_pylist()), pa.int64()),
+                 pa.array([n for n, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.list_(pa.string()))],
+                names=["sent", "n_words", "n_parses", "trees"])
+
+    kind = whole.schema["sent"].dataType.simpleString()
+    return whole.mapInArrow(parse, f"sent {kind}, n_words long, n_parses long, trees array<string>").withColumnRenamed("sent", sent)
 
 
 def chart_parse(sentences: DataFrame, lexicon: DataFrame, rules: DataFrame, start="S",
                 sent="sent_id", text="text") -> DataFrame:
     """Number of parses per sentence (0 when none): ``(sent_id, n_words, n_parses)``."""
-    toks = cut_lineage(C.posexplode_rows(sentences.withColumn("sent", F.col(sent)), ["sent"],
-                                         F.split(F.trim(F.col(text)), r"\s+"), "i", "w"))
-    lengths = cut_lineage(toks.groupBy("sent").agg(F.count("*").alias("len")))
-    max_len = lengths.select(F.max("len")).first()[0] or 0
-    b = binarize(rules)
-    binary = broadcast_checked(cut_lineage(b.filter(F.col("c").isNotNull())))
-    closure = broadcast_checked(cut_lineage(unary_closure(b.filter(F.col("c").isNull()))))
-    few = broadcast_checked(lexicon.select(F.col("word").alias("w"), "cat").distinct())
-    seed = (toks.join(few, "w").select("sent", "i", (F.col("i") + 1).alias("j"), "cat",
-                                       F.lit(1).cast("long").alias("n")))
-    chart = cut_lineage(_close(seed, closure))
-    for length in range(2, max_len + 1):
-        # the right part's length is in the join key, so each pair of spans
-        # meets once, in the round of its length; a sentence takes part only
-        # in the rounds it is long enough for
-        left = chart.select("sent", "i", F.col("j").alias("k"), F.col("cat").alias("b"),
-                            F.col("n").alias("n1"), (F.lit(length) - (F.col("j") - F.col("i"))).alias("rest"))
-        right = chart.select("sent", F.col("i").alias("k"), "j", F.col("cat").alias("c"),
-                             F.col("n").alias("n2"), (F.col("j") - F.col("i")).alias("rest"))
-        new = (left.join(right, ["sent", "k", "rest"]).join(binary, ["b", "c"])
-                   .groupBy("sent", "i", "j", F.col("lhs").alias("cat"))
-                   .agg(F.sum(F.col("n1") * F.col("n2")).alias("n")))
-        # only the new spans are computed and written in a round
-        chart = chart.unionByName(cut_lineage(_close(new, closure)))
-    full = (chart.filter(F.col("cat") == start).filter(F.col("i") == 0)
-                 .join(lengths, "sent").filter(F.col("j") == F.col("len"))
-                 .select("sent", F.col("n").alias("n_parses")))
-    return (lengths.join(full, "sent", "left")
-                   .select(F.col("sent").alias(sent), F.col("len").alias("n_words"),
-                           F.coalesce("n_parses", F.lit(0)).cast("long").alias("n_parses")))
+    return parse_trees(sentences, lexicon, rules, start, 0, sent, text).drop("trees")
+
+
+def _grow(known: DataFrame, step) -> DataFrame:
+    """The least fixpoint of ``known`` (one column ``sym``) under ``step``; a
+    round adds a symbol, so there are no more rounds than symbols."""
+    known = cut_lineage(known.distinct())
+    while True:
+        more = cut_lineage(step(known).distinct().join(broadcast_checked(known), "sym", "left_anti"))
+        if more.isEmpty():
+            return known
+        known = cut_lineage(known.unionByName(more))
+
+
+def rule_coverage(rules: DataFrame, lexicon: DataFrame, start="S") -> DataFrame:
+    """Which rules can ever be part of a parse: ``(lhs, rhs, productive,
+    reachable, usable)``.
+
+    A symbol is productive if it is a category of the lexicon or the left
+    side of a rule whose symbols are all productive; such a rule is
+    productive itself.  A rule is reachable if its left side is the start or
+    occurs in a reachable productive rule.  Usable rules are both."""
+    r = cut_lineage(rules.select("lhs", "rhs").distinct())
+    parts = r.select("lhs", "rhs", F.explode(F.array_distinct("rhs")).alias("sym"))
+
+    def all_known(known):
+        hit = parts.join(broadcast_checked(known), "sym").groupBy("lhs", "rhs").agg(F.count("*").alias("_n"))
+        return hit.filter(F.col("_n") == F.size(F.array_distinct("rhs"))).drop("_n")
+
+    productive = _grow(lexicon.select(F.col("cat").alias("sym")), lambda known: all_known(known).select(F.col("lhs").alias("sym")))
+    fine = cut_lineage(all_known(productive))
+    reached = _grow(r.sparkSession.createDataFrame([(start,)], "sym string"), lambda known: fine.join(
+        broadcast_checked(known.withColumnRenamed("sym", "lhs")), "lhs").select(F.explode("rhs").alias("sym")))
+    out = (r.join(fine.withColumn("_p", F.lit(True)), ["lhs", "rhs"], "left")
+           .join(reached.select(F.col("sym").alias("lhs"), F.lit(True).alias("_r")), "lhs", "left"))
+    p, q = F.coalesce("_p", F.lit(False)), F.coalesce("_r", F.lit(False))
+    return out.select("lhs", "rhs", p.alias("productive"), q.alias("reachable"), (p & q).alias("usable"))
 
 
 def parse_statistics(parses: DataFrame, n="n_parses") -> DataFrame:

@@ -94,12 +94,16 @@ def role_sentences(spark, sf):
                                                              lambda t: t["role"]), " ").alias("text"))
 
 
-def role_parses(spark, sf):
+def role_grammar(spark, rules):
     """The grammar goes through a file and read_grammar."""
     path = scratch(spark, "grammar")
-    spark.createDataFrame([(r,) for r in ROLE_GRAMMAR], "value string").write.text(path)
+    spark.createDataFrame([(r,) for r in rules], "value string").write.text(path)
+    return SRC.read_grammar(spark, path)
+
+
+def role_parses(spark, sf):
     lex = spark.createDataFrame(ROLE_LEXICON, "word string, cat string")
-    return G.chart_parse(role_sentences(spark, sf), lex, SRC.read_grammar(spark, path), "S", "conv_id")
+    return G.chart_parse(role_sentences(spark, sf), lex, role_grammar(spark, ROLE_GRAMMAR), "S", "conv_id")
 
 
 # n pairs have plain[n] trees, and led[n] with a system turn in front: either
@@ -125,6 +129,57 @@ def q_chart_parse(spark, sf):
     return role_parses(spark, sf)
 
 
+# the first five trees of n pairs, and of n pairs after a system turn: the
+# longest first part first, then the parts' own trees in order
+_TREES_SQL = """
+RECURSIVE s AS (SELECT conv_id, string_agg(CASE role WHEN 'user' THEN 'U' WHEN 'assistant' THEN 'A' WHEN 'system' THEN 'Y' ELSE '?' END,
+                                 '' ORDER BY turn) AS r, count(*) AS n_words FROM conversations GROUP BY conv_id),
+f(n, plain, led) AS (
+  SELECT 1, [['(S (T (U user) (A assistant)))']], [['(S (Y system) (S (T (U user) (A assistant))))']]
+  UNION ALL
+  SELECT n + 1, list_append(plain, p), list_append(led, (l || list_transform(p, lambda t: '(S (Y system) ' || t || ')'))[1:5]) FROM (
+    SELECT n, plain, led,
+      flatten(list_transform(range(n, 0, -1), lambda k: flatten(list_transform(plain[k], lambda a:
+        list_transform(plain[n + 1 - k], lambda b: '(S ' || a || ' ' || b || ')')))))[1:5] AS p,
+      flatten(list_transform(range(n, 0, -1), lambda k: flatten(list_transform(led[k], lambda a:
+        list_transform(plain[n + 1 - k], lambda b: '(S ' || a || ' ' || b || ')')))))[1:5] AS l
+    FROM f) WHERE n < 30),
+c AS (SELECT max_by(plain, n) AS plain, max_by(led, n) AS led FROM f)"""
+
+
+@query("parse_trees", f"""WITH {_TREES_SQL}
+SELECT conv_id, n_words, CASE WHEN regexp_full_match(r, '(UA)+') THEN plain[len(r) // 2]
+       WHEN regexp_full_match(r, 'Y(UA)+') THEN led[(len(r) - 1) // 2] ELSE []::VARCHAR[] END AS trees FROM s, c""")
+def q_parse_trees(spark, sf):
+    lex = spark.createDataFrame(ROLE_LEXICON, "word string, cat string")
+    trees = G.parse_trees(role_sentences(spark, sf), lex, role_grammar(spark, ROLE_GRAMMAR), "S", 5, "conv_id")
+    return trees.select("conv_id", "n_words", "trees")
+
+
+#: Two more rules, one with a symbol no word has, one that nothing leads to.
+DEAD_RULES = ["S -> X S", "Z -> U A"]
+
+
+@query("rule_coverage", f"""
+WITH RECURSIVE r(lhs, rhs) AS (VALUES {", ".join("('%s', %s)" % (a, b.split()) for a, b in (x.split(" -> ") for x in [*ROLE_GRAMMAR, *DEAD_RULES]))}),
+lex AS (SELECT DISTINCT CASE role WHEN 'user' THEN 'U' WHEN 'assistant' THEN 'A' WHEN 'system' THEN 'Y' END AS cat FROM conversations),
+p(i, syms) AS (SELECT 0, list(cat) FROM lex WHERE cat IS NOT NULL
+  UNION ALL SELECT i + 1, list_distinct(syms || (SELECT list(lhs) FROM r WHERE list_has_all(syms, rhs))) FROM p WHERE i < 9),
+pf AS (SELECT max_by(syms, i) AS syms FROM p),
+ok AS (SELECT lhs, rhs FROM r, pf WHERE list_has_all(syms, rhs)),
+q(i, syms) AS (SELECT 0, ['S'] UNION ALL
+  SELECT i + 1, list_distinct(syms || coalesce((SELECT flatten(list(rhs)) FROM ok WHERE list_contains(syms, lhs)), [])) FROM q WHERE i < 9),
+qf AS (SELECT max_by(syms, i) AS syms FROM q)
+SELECT lhs, array_to_string(rhs, ' ') AS rhs, list_has_all(pf.syms, rhs) AS productive, list_contains(qf.syms, lhs) AS reachable,
+       list_has_all(pf.syms, rhs) AND list_contains(qf.syms, lhs) AS usable FROM r, pf, qf""")
+def q_rule_coverage(spark, sf):
+    """Coverage by the roles that occur in the conversations."""
+    roles = table(spark, sf, "conversations").select(F.col("role").alias("word")).distinct()
+    lex = roles.join(F.broadcast(spark.createDataFrame(ROLE_LEXICON, "word string, cat string")), "word")
+    out = G.rule_coverage(role_grammar(spark, [*ROLE_GRAMMAR, *DEAD_RULES]), lex)
+    return out.withColumn("rhs", F.array_join("rhs", " "))
+
+
 @query("parse_statistics", f"""WITH {_PARSE_SQL}
 SELECT CAST(n_parses AS BIGINT) AS n_parses, count(*) AS n_sentences, (SELECT count(*) FROM p) AS sentences_read,
        (SELECT avg(CAST(n_parses > 0 AS DOUBLE)) FROM p) AS share_parsed FROM p GROUP BY n_parses""")
