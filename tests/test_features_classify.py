@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from fixtures import TOY_SENTENCES
 from pyspark.sql import functions as F
 
@@ -161,12 +162,46 @@ def test_sentence_cooccurrence(spark):
     df = spark.createDataFrame([(1, "aa bb aa. bb cc!\naa"), (2, None), (3, "")], "doc_id long, text string")
     got = {(r.t1, r.t2): r.n for r in FE.sentence_cooccurrence(df).collect()}
     assert got == {("aa", "bb"): 2, ("bb", "aa"): 2, ("bb", "cc"): 1, ("cc", "bb"): 1}
-    with pytest.raises(Exception):
-        FE.sentence_cooccurrence(df, max_terms=1).count()
     with pytest.raises(ValueError):
         FE.cooccurrence(df, 10**9)
 
 
+@pytest.mark.parametrize("block_terms", [1, 3, 512])
+def test_context_cooccurrence(spark, block_terms):
+    """Blocks of any size give the plain sums; nulls are left out; the focus
+    keeps the pairs of its terms."""
+    from collections import Counter
+    import random
+    from wordloom.operators import features as FE
+    rng = random.Random(block_terms)
+    rows = [(d, f"t{t}", rng.randrange(1, 5)) for d in range(12) for t in rng.sample(range(30), rng.randrange(0, 25))]
+    td = spark.createDataFrame(rows + [(None, "t1", 9), (1, None, 9), (50, "lone", 3)], "doc_id long, term string, n long").repartition(4)
+    want = Counter()
+    for d, t, n in rows:
+        for e, u, m in rows:
+            if d == e and t != u:
+                want[t, u] += n * m
+    got = [(r.t1, r.t2, r.n) for r in FE.context_cooccurrence(td, block_terms=block_terms).collect()]
+    assert Counter({(a, b): n for a, b, n in got}) == want and len(got) == len(want)
+    focus = spark.createDataFrame([("t3",), ("t7",), ("t7",), ("none",)], "term string")
+    got = [(r.t1, r.t2, r.n) for r in FE.context_cooccurrence(td, focus=focus, block_terms=block_terms).collect()]
+    assert sorted(got) == sorted((a, b, n) for (a, b), n in want.items() if a in ("t3", "t7"))
+    assert FE.context_cooccurrence(td.limit(0)).count() == 0
+
+
+def test_long_contexts(spark):
+    """A document of 50,000 different terms is many rows of two blocks."""
+    from wordloom.operators import features as FE
+    long = spark.range(50_000).select(F.lit(1).alias("doc_id"), F.format_string("w%05d", "id").alias("term"), (F.col("id") % 3 + 1).alias("n"))
+    focus = spark.createDataFrame([("w00000",), ("w00001",)], "term string")
+    got = FE.context_cooccurrence(long, focus=focus).groupBy("t1").agg(F.count("*").alias("k"), F.sum("n").alias("s")).collect()
+    total = sum(i % 3 + 1 for i in range(50_000))
+    assert {(r.t1, r.k, r.s) for r in got} == {("w00000", 49_999, total - 1), ("w00001", 49_999, 2 * (total - 2))}
+    text = spark.range(1).select(F.lit(1).alias("doc_id"), F.concat_ws(" ", F.transform(
+        F.sequence(F.lit(0), F.lit(49_999)), lambda i: F.format_string("w%d", i % 700))).alias("text"))
+    assert FE.sentence_cooccurrence(text).count() == 700 * 699
+
+
 def test_normalised_vocabulary_order(spark):
     """Normalised first, then stop words: a word whose lemma is a stop word goes."""
     from wordloom.operators import features as FE

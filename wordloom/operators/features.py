@@ -119,7 +119,7 @@ def cooccurrence(docs: DataFrame, window: int, text="text", id_col="doc_id",
     reduced map-side on (least, greatest), and mirrored last.  With
     ``binary`` a pair counts once per document.  A window as long as a
     document would pair all its tokens in one row; for a wider context use
-    :func:`sentence_cooccurrence`.
+    :func:`sentence_cooccurrence` or :func:`context_cooccurrence`.
     """
     if not 1 <= window <= MAX_WINDOW:
         raise ValueError(f"window must be between 1 and {MAX_WINDOW} positions")
@@ -148,31 +148,58 @@ def cooccurrence(docs: DataFrame, window: int, text="text", id_col="doc_id",
         F.col("_m.a").alias("t1"), F.col("_m.b").alias("t2"), "n")
 
 
+#: Terms of one block of a context; a row of two blocks makes at most its square of pairs.
+BLOCK_TERMS = 512
+
+
+def context_cooccurrence(td: DataFrame, id_col="doc_id", term="term", n="n", focus: DataFrame | None = None,
+                         block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """Term-term co-occurrence with whole contexts (documents), zero
+    diagonal, symmetric ``(t1, t2, n)``: the sum over contexts of the product
+    of the two terms' counts.  ``td`` has one row per (context, term) with
+    its count; rows with a null are left out.
+
+    This is the Gram product of the term-document table in blocks.  A
+    context's terms are cut into blocks of about ``block_terms`` by hash, a
+    pair of blocks is a row, and a row gives one term's pairs at a time: a
+    long context is many rows, and a frequent term is no group, as products
+    are added up in their task before (t1, t2) is shuffled.  ``focus`` (a
+    column ``term``) leaves only pairs whose ``t1`` is one of its terms."""
+    td = td.select(F.col(id_col).alias("_c"), F.col(term).alias("_t"), F.col(n).cast("long").alias("_n")).dropna()
+    if focus is not None:
+        wanted = broadcast_checked(cut_lineage(focus.select(F.col("term").alias("_t")).distinct().withColumn("_f", F.lit(True))))
+        td = td.join(wanted, "_t", "left").withColumn("_f", F.coalesce("_f", F.lit(False)))
+        td = cut_lineage(td.join(td.filter("_f").select("_c").distinct(), "_c", "left_semi"))
+    else:
+        td = cut_lineage(td.withColumn("_f", F.lit(True)))
+    sizes = td.groupBy("_c").agg(F.count("*").alias("_k"))
+    many = sizes.filter(F.col("_k") > block_terms).select("_c", F.ceil(F.col("_k") / block_terms).cast("int").alias("_b"))
+    blocks = td.join(broadcast_checked(cut_lineage(many)), "_c", "left").withColumn("_b", F.coalesce("_b", F.lit(1)))
+    blocks = cut_lineage(blocks.groupBy("_c", "_b", F.pmod(F.xxhash64("_t"), F.col("_b")).cast("int").alias("_i"))
+                         .agg(F.sort_array(F.collect_list(F.struct(F.col("_t").alias("t"), F.col("_n").alias("n"), F.col("_f").alias("f")))).alias("_x")))
+    # one block: the pairs of a row with itself; several: every block with each later one
+    own = C.explode_rows(C.posexplode_rows(blocks, ["_x"], F.col("_x"), "_p", "_a"), ["_a"],
+                         F.slice("_x", F.col("_p") + 2, F.greatest(F.size("_x"), F.lit(1))), "_z")
+    later = C.explode_rows(blocks.filter("_i + 1 < _b"), ["_c", F.col("_x").alias("_y")], F.sequence(F.col("_i") + 1, F.col("_b") - 1), "_i")
+    met = later.join(blocks.filter("_b > 1").select("_c", "_i", "_x"), ["_c", "_i"])
+    across = C.explode_rows(C.explode_rows(met, ["_x"], F.col("_y"), "_a"), ["_a"], F.col("_x"), "_z")
+    pairs = own.unionByName(across).filter("_a.f or _z.f")
+    half = pairs.groupBy(F.least("_a.t", "_z.t").alias("a"), F.greatest("_a.t", "_z.t").alias("b"),
+                         F.when(F.col("_a.t") < F.col("_z.t"), F.col("_a.f")).otherwise(F.col("_z.f")).alias("fa"),
+                         F.when(F.col("_a.t") < F.col("_z.t"), F.col("_z.f")).otherwise(F.col("_a.f")).alias("fb")).agg(
+        F.sum(F.col("_a.n") * F.col("_z.n")).alias("n"))
+    both = F.array(F.struct(F.col("a").alias("t1"), F.col("b").alias("t2"), F.col("fa").alias("f")),
+                   F.struct(F.col("b").alias("t1"), F.col("a").alias("t2"), F.col("fb").alias("f")))
+    return half.select(F.explode(both).alias("_m"), "n").filter("_m.f").select("_m.t1", "_m.t2", "n")
+
+
 def sentence_cooccurrence(docs: DataFrame, text="text", id_col="doc_id", tokenizer="default",
-                          lowercase=True, max_terms: int = 10_000) -> DataFrame:
-    """Term-term co-occurrence with sentences (runs without ``.``, ``!``,
-    ``?`` or a line break) as context, zero diagonal, symmetric ``(t1, t2,
-    n)``: the sum over sentences of the product of the two terms' counts.
-
-    A sentence is a bounded context: its distinct terms are paired inside its
-    own row, and one with more than ``max_terms`` of them is an error (not
-    cut, not skipped).  Pairs are reduced map-side and mirrored last."""
-    sents = C.explode_rows(docs, [], F.split(F.col(text), r"[.!?\n]+"), "s")
-    toks = sents.select(C.regex_tokens("s", T._pattern(tokenizer), lowercase).alias("t")).filter(F.size("t") > 1)
-    u = toks.select("t", F.array_sort(F.array_distinct("t")).alias("u"))
-    u = u.filter(F.assert_true(F.size("u") <= max_terms, F.lit(
-        f"a sentence has more than {max_terms} different terms")).isNull() & (F.size("u") > 1))
-    counted = u.select(F.transform("u", lambda w: F.struct(
-        w.alias("w"), F.size(F.filter("t", lambda x: x == w)).cast("long").alias("c"))).alias("u"))
-    # the pairs of one term at a time, so that a row never holds all pairs
-    first = counted.select("u", F.posexplode("u").alias("i", "a"))
-    pair = first.select("a", F.explode(F.slice("u", F.col("i") + 2, F.size("u"))).alias("b"))
-    half = pair.groupBy(F.col("a.w").alias("t1"), F.col("b.w").alias("t2")).agg(
-        F.sum(F.col("a.c") * F.col("b.c")).alias("n"))
-    both = F.array(F.struct(F.col("t1").alias("a"), F.col("t2").alias("b")),
-                   F.struct(F.col("t2").alias("a"), F.col("t1").alias("b")))
-    return half.select(F.explode(both).alias("_m"), "n").select(
-        F.col("_m.a").alias("t1"), F.col("_m.b").alias("t2"), "n")
+                          lowercase=True, focus: DataFrame | None = None) -> DataFrame:
+    """:func:`context_cooccurrence` with sentences (runs without ``.``,
+    ``!``, ``?`` or a line break) as contexts, however long."""
+    sents = C.explode_rows(docs, [], F.split(F.col(text), r"[.!?\n]+"), "s").withColumn("sent", F.monotonically_increasing_id())
+    toks = C.explode_rows(sents, ["sent"], C.regex_tokens("s", T._pattern(tokenizer), lowercase), "term")
+    return context_cooccurrence(toks.groupBy("sent", "term").agg(F.count("*").alias("n")), "sent", focus=focus)
 
 
 # ---------------------------------------------------------------- similarity

@@ -141,6 +141,25 @@ def q_cooccurrence_sentence(spark, sf):
         F.min("t2").alias("first_partner"))
 
 
+@query("cooccurrence_document", f"""
+WITH c AS (SELECT item_id, term, count(*) AS n FROM (SELECT item_id, unnest({r6()}) AS term FROM benchmark) GROUP BY ALL)
+SELECT a.term AS t1, b.term AS t2, CAST(sum(a.n * b.n) AS BIGINT) AS n
+FROM c a JOIN c b ON a.item_id = b.item_id AND a.term <> b.term GROUP BY ALL""")
+def q_cooccurrence_document(spark, sf):
+    """The whole term-term table over the benchmark's items."""
+    return FE.context_cooccurrence(FE.doc_term_counts(table(spark, sf, "benchmark"), "text", "item_id"), "item_id")
+
+
+@query("cooccurrence_focus", f"""
+WITH c AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({r6()}) AS term FROM documents) GROUP BY ALL)
+SELECT a.term AS t1, b.term AS t2, CAST(sum(a.n * b.n) AS BIGINT) AS n
+FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.term <> b.term WHERE a.term = {_TARGET} GROUP BY ALL""")
+def q_cooccurrence_focus(spark, sf):
+    """Partners of the target word over whole documents."""
+    word = _docs(spark, sf).limit(1).select(F.lit(target_word(spark, sf)).alias("term"))
+    return FE.context_cooccurrence(FE.doc_term_counts(_docs(spark, sf)), focus=word)
+
+
 @query("vocabulary_normalized", f"""
 WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text),
              '[a-zA-Z]+(?:\\.[a-zA-Z]+)*|\\p{{Nd}}+|[.!?,:;()"'']\\s')) AS term FROM documents),
