@@ -12,10 +12,8 @@ trust and distrust through it, whether or not the parent has pages.
 
 Plan: built-in expressions only.  Links are reduced to host pairs map-side,
 so a hot host is one row per task; the graph has one row per host pair.  A
-round is a join and an aggregate over it, eight rounds are written at a time,
-until no score moves.  The links of the few hosts with very many (a domain
-with millions of subdomains) are dealt over salts, so none is one task's
-key.  Rules and verdicts come back to the pages through one table with a
+round is one join and one aggregate over it, four rounds are written at a
+time, until no score moves.  Rules and verdicts come back to the pages through one table with a
 row per host, broadcast only after its rows are counted.
 """
 
@@ -88,27 +86,20 @@ def link_graph(pages: DataFrame, parents: bool = True) -> DataFrame:
 def propagate(seeds: DataFrame, graph: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
     """(host, kind, score): both personalised PageRanks at once.  ``seeds``
     holds (host, kind, seed); kind 0 follows the links, kind 1 goes against
-    them.  Ends when no score has moved by ``tolerance`` in eight rounds;
+    them.  Ends when no score has moved by ``tolerance`` in four rounds;
     more than ``rounds`` of them are an error."""
     keys = ["host", "kind"]
     steps = (graph.select(F.col("src").alias("host"), F.col("dst").alias("to"), "n", F.lit(0).alias("kind"))
              .unionByName(graph.select(F.col("dst").alias("host"), F.col("src").alias("to"), "n", F.lit(1).alias("kind"))))
     out = written(steps.groupBy(*keys).agg(F.sum("n").alias("all"), F.count("*").alias("links")))
     total = out.agg(F.sum("links")).first()[0] or 0
-    # links of a host with more than a thousandth of all are dealt over salts
-    hot = out.filter(F.col("links") * 1000 > total).select(*keys, F.ceil(F.col("links") * 1000 / total).cast("int").alias("salts"))
-    hot = F.broadcast(hot)  # fewer than 1000 rows by that rule
-    salt = F.pmod(F.xxhash64("to"), F.coalesce("salts", F.lit(1)))
-    steps = written(lookup(steps, out, keys, "links", total).join(hot, keys, "left")
-                    .select(*keys, salt.alias("salt"), "to", (F.col("n") / F.col("all") * damping).alias("w")))
+    steps = written(lookup(steps, out, keys, "links", total).select(*keys, "to", (F.col("n") / F.col("all") * damping).alias("w")))
     base = seeds.select(*keys, (F.col("seed") * (1 - damping)).alias("score"))
     state = written(base)
-    for _ in range(0, rounds, 8):  # written, and compared, after every eight rounds
+    for _ in range(0, rounds, 4):  # written, and compared, after every four rounds
         new = state
-        for _ in range(8):
-            dealt = new.join(hot, keys, "left").select(*keys, "score", F.explode(
-                F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
-            moved = dealt.join(steps, [*keys, "salt"]).select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("w")).alias("score"))
+        for _ in range(4):  # a host's one score meets its links: many links of one host are split by AQE
+            moved = new.join(steps, keys).select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("w")).alias("score"))
             new = base.unionByName(moved).groupBy(*keys).agg(F.round(F.sum("score"), 12).alias("score"))
         new = written(new)
         change = (new.withColumnRenamed("score", "s2").join(state, keys, "left")
