@@ -69,8 +69,8 @@ def linear(values, p):
     return float(np.percentile(np.array(values), 100 * p)) if values else None
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_percentiles_by_brackets(spark, accuracy):
+@pytest.mark.parametrize("accuracy,small", [(20, 0), (10_000, 0), (10_000, 1000), (10_000, 100_000)])
+def test_percentiles_by_brackets(spark, accuracy, small):
     """Coarse sketches (their brackets must be widened where they miss), ties,
     nulls, null groups, tiny groups."""
     rng = random.Random(3)
@@ -78,7 +78,7 @@ def test_percentiles_by_brackets(spark, accuracy):
     rows += [(None, float(i % 50), None) for i in range(500)] + [("one", 4.0, 4.0), ("two", 1.0, None), ("two", 2.0, None), ("none", None, None)]
     df = spark.createDataFrame(rows, "g string, x double, y double").repartition(6)
     probs = [0.0, 0.5, 0.9, 1.0]
-    got = OR.group_quantiles(df, ["g"], {"x": F.col("x"), "y": F.col("y")}, probs, {"n": F.count("*")}, accuracy).collect()
+    got = OR.group_quantiles(df, ["g"], {"x": F.col("x"), "y": F.col("y")}, probs, {"n": F.count("*")}, accuracy, small).collect()
     assert len(got) == 5
     for r in got:
         for c in "xy":
@@ -88,9 +88,9 @@ def test_percentiles_by_brackets(spark, accuracy):
                 if values:
                     assert abs(r[f"{c}_{p}"] - linear(values, p)) < 1e-9
         assert r.n == sum(row[0] == r.g for row in rows)
-    whole = OR.group_quantiles(df, [], {"x": F.col("x")}, [0.9], accuracy=accuracy).collect()
+    whole = OR.group_quantiles(df, [], {"x": F.col("x")}, [0.9], accuracy=accuracy, small=small).collect()
     assert len(whole) == 1 and abs(whole[0]["x_0.9"] - linear([r[1] for r in rows if r[1] is not None], 0.9)) < 1e-9
-    assert [r["x_0.5"] for r in OR.group_quantiles(df.limit(0), [], {"x": F.col("x")}, [0.5]).collect()] == [None]
+    assert [r["x_0.5"] for r in OR.group_quantiles(df.limit(0), [], {"x": F.col("x")}, [0.5], small=small - 1).collect()] == [None]
 
 
 def test_few_rows_are_sorted(spark):
@@ -100,7 +100,7 @@ def test_few_rows_are_sorted(spark):
     real = OR.cut_lineage
     try:
         OR.cut_lineage = lambda d: seen.append(d) or real(d)
-        OR.group_quantiles(df, [], {"x": F.col("x")}, [0.5, 0.9])
+        OR.group_quantiles(df, [], {"x": F.col("x")}, [0.5, 0.9], small=1000)
     finally:
         OR.cut_lineage = real
     assert len(seen) == 2 and "Window" not in seen[0]._jdf.queryExecution().toString()

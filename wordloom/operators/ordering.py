@@ -63,13 +63,14 @@ def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequence[float],
-                    extra: dict | None = None, accuracy: int = 10_000) -> DataFrame:
+                    extra: dict | None = None, accuracy: int = 10_000, small: int = 100_000) -> DataFrame:
     """Exact linear percentiles (numpy's default) per group: ``(by...,
     name_prob...)`` with one column ``f"{name}_{prob}"`` per entry of
     ``columns`` (name to column) and probability; nulls are left out.
     ``extra`` (name to aggregate) adds columns from the first pass.
 
-    Two passes, no sort of the values.  The first takes a quantile sketch of
+    Where no group has more than ``small`` rows, one aggregate holds their
+    values.  Else two passes, no sort of the values.  The first takes a quantile sketch of
     bounded size per group, which gives a bracket of a few thousandths of a
     percent of the group around each percentile.  The second counts the rows
     below a bracket and, per different value, those inside it; the percentile
@@ -78,17 +79,30 @@ def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequ
     by, names, probs, extra = list(by), list(columns), [float(p) for p in probs], extra or {}
     group = F.struct(*by) if by else F.lit(0)
     rows = df.select("*", group.alias("_g"), *[c.cast("double").alias(f"_v{i}") for i, c in enumerate(columns.values())])
-    margin = 2.0 / accuracy
+    if (rows.groupBy("_g").count().agg(F.max("count")).first()[0] or 0) <= small:
+        exact = [F.percentile(f"_v{i}", F.lit(p)).alias(f"{n}_{p}") for i, n in enumerate(names) for p in probs]
+        out = rows.groupBy(*[F.col(c) for c in by]).agg(*exact, *[v.alias(k) for k, v in extra.items()])
+        return out.select(*by, *extra, *[F.col(f"`{n}_{p}`") for n in names for p in probs])
+    # brackets of several widths come with the sketch; a group takes the
+    # narrowest that its size and the sketch's error allow
+    widths = [2.0 / accuracy]
+    while widths[-1] < 1:
+        widths.append(min(1.0, widths[-1] * 8))
+    at = [min(1.0, max(0.0, p + d * w)) for p in probs for d in (-1, 1) for w in widths]
+    skip = 0
     while True:
-        at = [min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)]
         first = rows.groupBy("_g").agg(
             *[F.percentile_approx(f"_v{i}", F.array(*[F.lit(x) for x in at]), accuracy).alias(f"_b{i}") for i in range(len(names))],
             *[F.count(f"_v{i}").alias(f"_n{i}") for i in range(len(names))], *[v.alias(k) for k, v in extra.items()])
         first = cut_lineage(first)
         brackets = F.array(*[F.struct(
             F.lit(i).cast("int").alias("m"), F.lit(j).cast("int").alias("p"), F.col(f"_v{i}").alias("v"),
-            F.get(f"_b{i}", 2 * j).alias("lo"), F.get(f"_b{i}", 2 * j + 1).alias("hi")) for i in range(len(names)) for j in range(len(probs))])
-        near = rows.join(broadcast_checked(first.select("_g", *[f"_b{i}" for i in range(len(names))])), "_g")
+            F.get(f"_b{i}", F.col(f"_w{i}") + 2 * j * len(widths)).alias("lo"),
+            F.get(f"_b{i}", F.col(f"_w{i}") + (2 * j + 1) * len(widths)).alias("hi")) for i in range(len(names)) for j in range(len(probs))])
+        width = lambda n: F.least(F.lit(len(widths) - 1), F.lit(skip) + sum(
+            (F.try_divide(F.lit(1.0), n) + 1.0 / accuracy > w).cast("int") for w in widths[:-1]))
+        near = rows.join(broadcast_checked(first.select("_g", *[f"_b{i}" for i in range(len(names))], *[
+            F.coalesce(width(F.col(f"_n{i}")), F.lit(0)).alias(f"_w{i}") for i in range(len(names))])), "_g")
         near = near.select("_g", F.explode(F.filter(brackets, lambda b: b["v"] <= b["hi"])).alias("b"))
         counts = near.groupBy("_g", "b.m", "b.p", F.when(F.col("b.v") >= F.col("b.lo"), F.col("b.v")).alias("x")).agg(F.count("*").alias("c"))
         sizes = first.select("_g", F.posexplode(F.array(*[F.col(f"_n{i}") for i in range(len(names))])).alias("m", "n"))
@@ -103,7 +117,7 @@ def group_quantiles(df: DataFrame, by: Sequence[str], columns: dict, probs: Sequ
         read = cut_lineage(read)
         if read.filter("not known or lo is null or hi is null").limit(1).count() == 0:
             break
-        margin *= 8
+        skip += 1
     q = F.when(F.col("part") == 0, F.col("lo")).otherwise(F.col("lo") * (1 - F.col("part")) + F.col("hi") * F.col("part"))
     wide = read.groupBy("_g").agg(*[F.max(F.when((F.col("m") == i) & (F.col("p") == j), q)).alias(f"{n}_{p}")
                                     for i, n in enumerate(names) for j, p in enumerate(probs)])

@@ -98,6 +98,8 @@ def latency_percentiles(req: DataFrame, by: Sequence[str] = (),
     approximate in one aggregate with ``exact=False``.  Rounded half-to-even to ``decimals`` (Q23) when given."""
     by = list(by)
     metrics = {short: F.col(c) for short, c in LATENCY_METRICS.items()} | {g: F.col(g) for g in gpu}
+    if exact:  # two passes
+        req = cut_lineage(req.select(*by, *LATENCY_METRICS.values(), *gpu))
     a = _quantiles(req, by, metrics, [0.5, 0.9], exact, accuracy, {f"max_{g}": F.max(g) for g in gpu})
     rnd = (lambda c: F.bround(c, decimals)) if decimals is not None else (lambda c: c)
     cols = [*by]
