@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import broadcast_if_small, read, written
+from wordloom.llm.common import WORD, broadcast_if_small, read, written
 from wordloom.llm.language_id import UNKNOWN, fit_languages, predict_language
 from wordloom.llm.line_dedup import line_dedup
 from wordloom.llm.mixing import cycled_weights, mix, repeated
@@ -44,11 +44,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops repeated lines outside the first document that holds them.
-    Documents that lose every word by it go; ``n_chars`` follows the text."""
-    free, own = aside(docs, "n_lines", "n_dropped")
-    out = line_dedup(free)
-    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
-    out = out.filter(~emptied).drop("n_lines", "n_dropped").withColumnsRenamed(own)
+    A document that loses more than half of its words by it goes: what is
+    left of a copy or near copy is no text of its own, and the next stage
+    could not find it any more.  ``n_chars`` follows the text."""
+    free, own = aside(docs, "n_lines", "n_dropped", "__words")
+    words = F.regexp_count("text", F.lit(WORD))
+    out = line_dedup(free.withColumn("__words", words))
+    depleted = F.coalesce((F.col("n_dropped") > 0) & (2 * words < F.col("__words")), F.lit(False))
+    emptied = (F.col("n_dropped") > 0) & (words == 0)
+    out = out.filter(~(depleted | emptied)).drop("n_lines", "n_dropped", "__words").withColumnsRenamed(own)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
