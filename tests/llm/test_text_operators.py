@@ -83,6 +83,10 @@ def test_line_frequency_removes_the_lines(awkward):
 
 
 def plain_dedup(rows, least=10, threshold=2):
+    return Counter(plain_dedup_rows(rows, least, threshold))
+
+
+def plain_dedup_rows(rows, least=10, threshold=2):
     key = lambda line: ascii_lower(line.strip(WHITE))
     held = defaultdict(set)
     for i, text in rows:
@@ -94,7 +98,7 @@ def plain_dedup(rows, least=10, threshold=2):
         lines = (text or "").split("\n")
         kept = [x for x in lines if i is None or len(key(x)) < least or len(held[key(x)]) < threshold or min(held[key(x)]) == i]
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
-    return Counter(out)
+    return out
 
 
 @pytest.mark.parametrize("threshold", [2, 4])
