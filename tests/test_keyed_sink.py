@@ -1,0 +1,94 @@
+"""The keyed folder behind the streaming append: null keys over a restart,
+files left unread, merges of small files, and failures between its steps."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordloom.streaming import jobs as SJ
+from wordloom.streaming.keyed import KeyedFolder
+
+SCHEMA = "model string, k long, score double"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_null_keys_over_a_restart(spark, tmp_path):
+    """The same rows with null keys come again in a new stream: stored once."""
+    data = [("a", 1, 0.5), (None, 1, 0.25), ("a", None, 1.0), (None, None, 2.0), ("a", 1, 0.1), (None, None, 3.0)]
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(data, SCHEMA).write.parquet(src)
+    for i in range(3):
+        stream = spark.readStream.schema(SCHEMA).parquet(src)
+        SJ.stream_append_results(stream, out, str(tmp_path / f"c{i}"), ["model", "k"]).awaitTermination()
+        assert rows(spark.read.parquet(out)) == sorted([("a", 1, 0.1), (None, 1, 0.25), ("a", None, 1.0), (None, None, 2.0)], key=str)
+
+
+@pytest.mark.parametrize("partition", [None, "model"])
+def test_batches_against_a_dictionary(spark, tmp_path, partition):
+    """Many batches with old and new keys, merged on the way: the first row of a key stays."""
+    rng = random.Random(5)
+    folder = KeyedFolder(spark, str(tmp_path / "t"), ["model", "k"], partition=partition, rows_per_file=400, merge_files=5)
+    want = {}
+    for _ in range(9):
+        batch = [(rng.choice(["x", "y", None]), rng.choice([None, *range(60)]), float(rng.randrange(9))) for _ in range(40)]
+        new = {}
+        for m, k, s in batch:
+            if (m, k) not in want:
+                new[m, k] = min(s, new.get((m, k), s))
+        assert folder.append(spark.createDataFrame(batch, SCHEMA).repartition(3)) == len(new)
+        want |= new
+    assert rows(folder.read().select("model", "k", "score")) == sorted([(m, k, s) for (m, k), s in want.items()], key=str)
+    assert sorted(r.file for r in folder.index().collect()) == sorted(folder.files())
+    assert len(folder.files()) < 9 * (3 if partition else 1)
+
+
+def test_only_files_that_may_hold_a_key_are_read(spark, tmp_path):
+    folder = KeyedFolder(spark, str(tmp_path / "t"), ["k"])
+    for i in range(6):
+        folder.append(spark.range(1000 * i, 1000 * i + 1000).select(F.col("id").alias("k"), F.lit("x").alias("v")))
+    files = folder.files()
+    held = {f: {r.k for r in folder.read([f]).collect()} for f in files}
+    for probe in ([5], [2500, 2501], [999_999], [10, 5999]):
+        got = folder.candidates(spark.createDataFrame([(k,) for k in probe], "k long"))
+        must = {f for f, ks in held.items() if ks & set(probe)}
+        assert must <= set(got) and len(got) <= len(must) + 1
+    none = [k for k in range(10**6, 10**6 + 20)]
+    assert sum(len(folder.candidates(spark.createDataFrame([(k,)], "k long"))) for k in none) <= 3
+    plan = folder.read(folder.candidates(spark.createDataFrame([(2500,)], "k long")))
+    assert len(plan.inputFiles()) <= 2
+
+
+def test_failures_between_the_steps(spark, tmp_path):
+    """Rows without an index, a merge that stopped before and after its list
+    of old files was written, an index version left unfinished."""
+    path = str(tmp_path / "t")
+    folder = KeyedFolder(spark, path, ["k"])
+    make = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    folder.append(make(0, 10))
+    make(10, 20).coalesce(1).write.mode("append").parquet(path)  # stored, the index row is missing
+    assert folder.append(make(5, 25)) == 5
+    files = folder.files()
+    folder.read(files).write.parquet(f"{path}/_merge-a/rows")  # no list of old files: given up
+    folder.read(files).coalesce(1).write.parquet(f"{path}/_merge-b/rows")
+    spark.createDataFrame([(f,) for f in files[:2]], "file string").write.parquet(f"{path}/_merge-b/old")
+    folder._fs.delete(folder._Path(files[0]), False)  # the merge had begun to delete
+    keep = files[2:]
+    folder._fs.delete(folder._Path(keep[0]), False)
+    (tmp_path / "t" / "_keys" / "7").mkdir()
+    assert folder.append(make(20, 30)) == 5
+    assert sorted(r.k for r in folder.read().collect()) == list(range(30))
+    assert len([d for d in folder._list(path) if "_merge-" in d]) == 0
+    folder.merge(folder.files(), 30)
+    assert len(folder.files()) == 1 and folder.append(make(0, 31)) == 1
+
+
+def test_empty_batches(spark, tmp_path):
+    folder = KeyedFolder(spark, str(tmp_path / "t"), ["k"])
+    empty = spark.createDataFrame([], "k long, v string")
+    assert folder.append(empty) == 0 and folder.files() == []
+    assert folder.append(spark.createDataFrame([(1,), (1,)], "k long")) == 1
+    assert folder.append(spark.createDataFrame([], "k long")) == 0 and len(folder.files()) == 1

@@ -6,13 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.telemetry import approx_quantile, latency_columns
-from ..session import path_missing
+from .keyed import KeyedFolder
 
 
 def with_event_time(stream: DataFrame, ts="ts", out="event_time") -> DataFrame:
@@ -153,34 +152,18 @@ def _interval_micros(df: DataFrame, gap: str) -> int:
 
 def stream_append_results(stream: DataFrame, path: str, checkpoint: str,
                           keys: Sequence[str], fmt: str = "parquet",
-                          trigger_once: bool = True, partition: str | None = None) -> StreamingQuery:
-    """Append only rows whose keys are not stored yet; safe to restart (the
-    checkpoint records processed input, the anti join skips stored keys).
-
-    With ``partition`` (a column that a key determines, with few values per
-    micro-batch) the result is stored partitioned by it, and a micro-batch
-    reads only the stored partitions it touches."""
-    keys = list(keys)
-
+                          trigger_once: bool = True, partition: str | None = None,
+                          rows_per_file: int = 1_000_000, merge_files: int = 64) -> StreamingQuery:
+    """Append only rows whose keys are not stored yet (null is a key value
+    like others; of rows of one key in a batch the smallest is stored); safe
+    to restart: the checkpoint records processed input, and stored keys are
+    found through the key index of :class:`~.keyed.KeyedFolder`, so a batch
+    opens only the files that may hold one of its keys.
+
+    With ``partition`` the result is stored partitioned by that column.
+    ``rows_per_file`` and ``merge_files`` say when small files are merged."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        b = batch.dropDuplicates(keys).persist()
-        try:
-            stored = spark.read.format(fmt).load(path)
-        except AnalysisException as e:
-            if not path_missing(e):
-                raise
-            stored = None
-        out = b
-        if stored is not None:
-            if partition is not None:
-                touched = [r[0] for r in b.select(partition).distinct().collect()]
-                here = F.col(partition).isin([v for v in touched if v is not None])
-                stored = stored.filter(here | F.col(partition).isNull() if None in touched else here)
-            out = b.join(stored.select(*keys).distinct(), keys, "left_anti")
-        w = out.write.mode("append").format(fmt)
-        (w.partitionBy(partition) if partition is not None else w).save(path)
-        b.unpersist()
+        KeyedFolder(batch.sparkSession, path, keys, fmt, partition, rows_per_file, merge_files).append(batch)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
