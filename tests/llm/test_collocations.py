@@ -141,11 +141,27 @@ def test_fingerprints_follow_the_text():
         lang = np.zeros(len(w), np.uint64)
         prints = w.prints(m, at, lang)
         assert prints.tolist() == [x for a in alone for x in a.prints(m, np.flatnonzero(a.whole(m)), np.zeros(len(a), np.uint64)).tolist()]
-        names = [w.phrase(m, i) for i in at.tolist()]
+        names = w.names(m, at, ["l"] * 5).to_pylist()
         assert len(set(prints.tolist())) == len(set(names)) == len(set(zip(prints.tolist(), names)))
         assert w.same(m, at, np.roll(at, 1)).tolist() == [a == b for a, b in zip(names, names[-1:] + names[:-1])]
 
 
+def test_rows_are_added_up():
+    row = lambda p, t, n, i: C._rows(np.array(p), None if t is None else pa.array(t, pa.string()), n, np.array(i))
+    batches = [row([1, 2], None, [5, 1], [7, C._NO_ID]), row([2, 1], None, [1, 2], [4, 9]), row([1, 1], ["a", "b"], [1, 1], [3, 3]),
+               row([1], ["a"], [4], [2])]
+    for limit in (1, 3, 100):
+        sums, first = Counter(), {}
+        for b in C._added_up(iter(batches), limit):
+            for r in b.to_pylist():
+                sums[r["print"], r["text"]] += r["n"]
+                if r["first_id"] is not None:
+                    first[r["print"], r["text"]] = min(r["first_id"], first.get((r["print"], r["text"]), 99))
+        assert sums == {(1, None): 7, (2, None): 2, (1, "a"): 5, (1, "b"): 1}
+        assert first == {(1, None): 7, (2, None): 4, (1, "a"): 2, (1, "b"): 3}
+    assert list(C._added_up(iter([]))) == []
+
+
 def test_long_texts_are_cut_at_marks():
     text = ("one two. three four five! " * 900 + "x " * 4000 + "; end").lower()
     batch = pa.RecordBatch.from_pydict({"_text": [text, None, "", "a. b"], "_lang": ["en"] * 4, "_id": [1, 2, 3, 4]})

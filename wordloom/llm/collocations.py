@@ -30,6 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,7 +103,7 @@ class Words:
         flat = raw[inside]
         self.stop = np.cumsum(stop - start + 1)
         self.start = self.stop - (stop - start)
-        self.buffer = flat.tobytes() + bytes(8)
+        self.buffer, self._flat = flat.tobytes() + bytes(8), flat
         self._polynomials = polynomials
         value = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)[flat]
         self.word = mixed(polynomials.stretches(value, self.start, self.stop))
@@ -139,8 +140,14 @@ class Words:
             open_ = open_[(differ == 0) & (size[open_] > done)]
         return out
 
-    def phrase(self, m: int, at: int) -> bytes:
-        return self.buffer[self.start[at]:self.stop[at + m - 1]]
+    def names(self, m: int, at: np.ndarray, langs: list[str]) -> pa.Array:
+        """The m-word phrases at these words, each after its language and a line end."""
+        start, size = self.start[at], self.stop[at + m - 1] - self.start[at]
+        stops = np.cumsum(size)
+        data = self._flat[np.arange(stops[-1] if len(at) else 0) + np.repeat(start - (stops - size), size)]
+        offsets = np.concatenate([[0], stops]).astype(np.int64)
+        phrases = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data)).cast(pa.string())
+        return pc.binary_join_element_wise(pa.array(langs, pa.string()).take(pa.array(self.text[at])), phrases, "\n")
 
 
 class PrintFilter:
@@ -196,10 +203,34 @@ _NO_ID = np.iinfo(np.int64).max
 
 def _rows(prints, texts, n, first) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
-        pa.array(prints.astype(np.int64)), pa.nulls(len(n), pa.string()) if texts is None else pa.array(texts, pa.string()),
+        pa.array(prints.astype(np.int64)), pa.nulls(len(n), pa.string()) if texts is None else texts,
         pa.array(n, pa.int64()), pa.array(first, pa.int64(), mask=first == _NO_ID)], schema=to_arrow_schema(_ROWS))
 
 
+#: Rows that a task holds to add up equal ones.
+HELD_ROWS = 1 << 21
+
+
+def _added_up(batches, limit: int = HELD_ROWS):
+    """The rows with those of one fingerprint and text added up, as far as
+    ``limit`` rows reach."""
+    held, size = [], 0
+
+    def flush():
+        table = pa.Table.from_batches(held).group_by(["print", "text"], use_threads=False).aggregate([("n", "sum"), ("first_id", "min")])
+        table = table.select(["print", "text", "n_sum", "first_id_min"]).rename_columns([f.name for f in _ROWS.fields])
+        yield from table.to_batches(max_chunksize=1 << 17)
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= limit:
+            yield from flush()
+            held, size = [], 0
+    if held:
+        yield from flush()
+
+
 def _texts_of(w: Words, m: int, at, prints, number, langs, ids):
     """Rows of the m-word phrases at ``at``, by fingerprint and text."""
     order, starts = _grouped(prints)
@@ -207,17 +238,11 @@ def _texts_of(w: Words, m: int, at, prints, number, langs, ids):
     head = np.repeat(at[starts], sizes)
     same = (number[at] == number[head]) & w.same(m, at, head)
     doc = ids[w.text[at]]
-    name = lambda i: langs[w.text[i]] + "\n" + w.phrase(m, i).decode()
-    yield _rows(prints[order[starts]], [name(i) for i in at[starts].tolist()], np.add.reduceat(same.astype(np.int64), starts),
+    yield _rows(prints[order[starts]], w.names(m, at[starts], langs), np.add.reduceat(same.astype(np.int64), starts),
                 np.minimum.reduceat(np.where(same, doc, _NO_ID), starts))
-    others = {}  # occurrences under the fingerprint of another text
-    for j in np.flatnonzero(~same).tolist():
-        key = int(prints[order[j]]), name(at[j])
-        n, first = others.get(key, (0, _NO_ID))
-        others[key] = n + 1, min(first, int(doc[j]))
-    if others:
-        n, first = (np.array(x, np.int64) for x in zip(*others.values()))
-        yield _rows(np.array([p for p, _ in others], np.uint64), [t for _, t in others], n, first)
+    other = np.flatnonzero(~same)
+    if len(other):  # occurrences under the fingerprint of another text
+        yield _rows(prints[order[other]], w.names(m, at[other], langs), np.ones(len(other), np.int64), doc[other])
 
 
 def _scan(before: list[int], now: list[int], known, step_bytes: int):
@@ -225,7 +250,7 @@ def _scan(before: list[int], now: list[int], known, step_bytes: int):
     phrases of the lengths ``before`` whose fingerprint is ``known``, and
     fingerprint counts of the lengths ``now`` (word totals with the first)."""
 
-    def run(batches):
+    def rows(batches):
         import xxhash
 
         polynomials, seen = Polynomials(), known.value if known is not None else None
@@ -252,7 +277,7 @@ def _scan(before: list[int], now: list[int], known, step_bytes: int):
                         total = {}
                         for lang, n in zip(langs, np.bincount(w.text, minlength=len(langs)).tolist()):
                             total[lang] = total.get(lang, 0) + n
-                        yield _rows(np.zeros(len(total)), [lang + "\n" for lang in total], list(total.values()), np.full(len(total), _NO_ID))
+                        yield _rows(np.zeros(len(total)), pa.array([lang + "\n" for lang in total], pa.string()), list(total.values()), np.full(len(total), _NO_ID))
                     part_size = before[-1] if before else 1
                     for m in now:
                         wanted = w.whole(m)
@@ -265,7 +290,7 @@ def _scan(before: list[int], now: list[int], known, step_bytes: int):
                             yield _rows(prints[order[starts]], None, np.diff([*starts, len(order)]),
                                         np.minimum.reduceat(ids[w.text[at[order]]], starts))
 
-    return run
+    return lambda batches: _added_up(rows(batches))
 
 
 def scans(max_words: int) -> list[tuple[list[int], list[int]]]:
