@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from llm_plain import plain_top_k, unigram_model
 from wordloom.llm.license_scan import TEMPLATES, Index, scan_licenses, winnow
 from wordloom.llm.sentence_pieces import MODEL, Pieces, decode_ids, encode_texts
-from wordloom.llm.toxicity import Linear, Lookup, fit_chain, flat, predict_chain, word_features
+from wordloom.llm.toxicity import Linear, Lookup, fit_chain, flat, predict_chain, text_features, word_features
 from wordloom.llm.url_filter import filter_urls, host_of, link_graph, parent_links, propagate
 from wordloom.llm.vector_file import exact_top_k
 
@@ -147,6 +147,96 @@ def test_chain(spark, nothing):
     assert len({r.toxic_prob for r in predict_chain(docs, none).collect()}) == 1
 
 
+def plain_chain(docs, labels, names, folds, l2, min_docs, max_features):
+    """The chain over dense matrices: features chosen by chi-squared, every
+    fold's model fitted without the fold, out-of-fold log-odds as the next
+    category's input, the threshold of the best F1 among all cuts."""
+    import zlib
+
+    ids = sorted(i for i in labels if docs.get(i) is not None)
+    of = {i: set(text_features(docs[i].split())) | {f for w in docs[i].split() for f in word_features(w)} for i in ids}
+    y = np.array([labels[i] for i in ids], float)
+    counts = Counter(f for i in ids for f in of[i])
+    chosen = set()
+    for c in range(len(names)):
+        pos, n, scored = y[:, c].sum(), len(ids), []
+        for f, k in counts.items():
+            if min_docs <= k < n and 0 < pos < n:
+                a = sum(y[r, c] for r, i in enumerate(ids) if f in of[i])
+                table = np.array([[a, k - a], [pos - a, n - k - pos + a]])
+                expected = np.outer(table.sum(1), table.sum(0)) / n
+                chi = ((table - expected) ** 2 / expected).sum()
+                if chi > 10.83:
+                    scored.append((-chi, f))
+        chosen |= {f for _, f in sorted(scored)[:max_features]}
+    chosen = sorted(chosen)
+    x = np.array([[f in of[i] for f in chosen] for i in ids], float).reshape(len(ids), len(chosen))
+    fold = np.array([zlib.crc32(str(i).encode()) % folds for i in ids])
+
+    def fitted(rows, extra, target):
+        at = np.argwhere(x[rows])
+        m = Linear.fit(at[:, 0], at[:, 1], len(rows), len(chosen), extra[rows], target[rows], l2)
+        return lambda r, e: x[r] @ m.weights + e[r] @ m.dense + m.bias, m
+
+    held_extra, models, cuts = np.zeros((len(ids), 0)), [], []
+    for c in range(len(names)):
+        held = np.zeros(len(ids))
+        for k in range(folds):
+            inside, out = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+            held[out] = fitted(inside, held_extra, y[:, c])[0](out, held_extra)
+        models.append(fitted(np.arange(len(ids)), held_extra, y[:, c])[1])
+        held_extra = np.column_stack([held_extra, held])
+        p = 1 / (1 + np.exp(-held))
+        values = sorted(set(p.tolist()), reverse=True)
+        f1 = [2 * (y[p >= v, c].sum()) / ((p >= v).sum() + y[:, c].sum()) for v in values]
+        best = int(np.argmax(f1))
+        cuts.append((values[best] + (values[best + 1] if best + 1 < len(values) else 0.0)) / 2)
+
+    def predict(text):
+        have, extra, out = set(text_features((text or "").split())) if text else set(), [], []
+        have |= {f for w in (text or "").split() for f in word_features(w)}
+        row = np.array([f in have for f in chosen], float)
+        for m, cut in zip(models, cuts):
+            margin = row @ m.weights + np.array(extra) @ m.dense + m.bias
+            extra.append(margin)
+            out += [1 / (1 + np.exp(-margin)), 1 / (1 + np.exp(-margin)) >= cut]
+        return out
+
+    return chosen, cuts, predict
+
+
+def test_chain_against_a_plain_one(spark):
+    """Features, thresholds and every probability of a three-category chain,
+    with clashing columns, documents without a label and labels without one."""
+    rng = random.Random(12)
+    words = [f"word{i}" for i in range(40)]
+    docs, labels = {}, {}
+    for i in range(400):
+        junk, rude = rng.random() < 0.4, rng.random() < 0.3
+        toxic = rng.random() < (0.8 if rude and junk else 0.1)
+        text = rng.choices(words, k=rng.randrange(5, 30))
+        text += ["spamword!!!"] * (junk and rng.random() < 0.9) + ["rudeword"] * (rude and rng.random() < 0.8) + ["HATE"] * (toxic and rng.random() < 0.7)
+        rng.shuffle(text)
+        docs[i] = " ".join(text)
+        if i % 4:
+            labels[i] = (int(junk), int(rude), int(toxic))
+    docs |= {500: None, 501: "", 502: "   "}
+    labels |= {500: (1, 1, 1), 501: (0, 0, 0), 999: (1, 0, 1)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").selectExpr("*", "'x' AS toxic", "1 AS junk_prob", "2 AS y0")
+    labs = spark.createDataFrame([(i, *v, None) for i, v in labels.items()], "doc_id long, junk int, rude int, toxic int, text string")
+    names = ["junk", "rude", "toxic"]
+    chosen, cuts, predict = plain_chain(docs, labels, names, 4, 0.1, 3, 30)
+    chain = fit_chain(df, labs, {c: f"{c} = 1" for c in names}, folds=4, min_docs=3, max_features=30)
+    assert chain.selected.tolist() == chosen and len(chosen) > 3
+    assert np.allclose(chain.thresholds, cuts, atol=1e-6)
+    out = predict_chain(df, chain)
+    assert sorted(out.columns) == sorted(["doc_id", "text", "y0", *names, *[f"{c}_prob" for c in names]])
+    for r in out.collect():
+        want = predict(r.text)
+        got = [v for c in names for v in (r[f"{c}_prob"], r[c])]
+        assert np.allclose(got[::2], want[::2], atol=1e-6) and got[1::2] == want[1::2]
+
+
 # --------------------------------------------------------------------- url
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "bad.org/")]
 PAGES = [(1, "http://WWW.Example.com/en/1?x#y", ""), (2, "https://a.example.com/en/2", ""), (3, "http://example.com/enx", ""),
