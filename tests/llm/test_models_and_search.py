@@ -396,7 +396,7 @@ def test_licenses(spark, nothing):
         assert 0.8 <= r.coverage <= 1 and 0 <= r.first_char < r.end_char <= len(texts[r.doc_id])
         if r.doc_id % 10 == 0 and r.doc_id < 990:
             piece = texts[r.doc_id][r.first_char:r.end_char]
-            assert piece in dict(TEMPLATES)[r.license]
+            assert r.license != TEMPLATES[r.doc_id // 10][0] or (piece in dict(TEMPLATES)[r.license] and r.coverage == 1)
     for i, names in want.items():
         assert names <= got[i]
     assert not any(got[10 * i + 2] for i in range(len(TEMPLATES))) and not (got[990] | got[991] | got[992])

@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 
 from wordloom.llm.common import pieces, small_batches
 
-# Notices and license texts to look for (name, text).
+# Notices, headers, grant and condition paragraphs to look for
+# (name, text); -excerpt marks a part of another entry.
 TEMPLATES = [
     ("Apache-2.0-notice", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0-header",
@@ -32,6 +33,13 @@ TEMPLATES = [
      "http://www.apache.org/licenses/LICENSE-2.0"),
     ("MIT-notice", "Released under the MIT License."),
     ("MIT-text",
+     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+     "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+     "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+     "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+     "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+     "substantial portions of the Software."),
+    ("MIT-grant-excerpt",
      "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
      "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
      "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
@@ -41,11 +49,40 @@ TEMPLATES = [
      "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
      "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
      "option) any later version."),
+    ("LGPL-3.0-header",
+     "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+     "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+     "your option) any later version."),
+    ("AGPL-3.0-header",
+     "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+     "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+     "your option) any later version."),
+    ("MPL-2.0-notice",
+     "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+     "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0-notice", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("BSD-redistribution",
+    ("CC0-1.0-notice",
+     "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+     "to this software to the public domain worldwide."),
+    ("Unlicense-notice", "This is free and unencumbered software released into the public domain."),
+    ("BSD-redistribution-excerpt",
      "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
      "the following conditions are met"),
+    ("BSD-2-Clause-conditions",
+     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+     "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+     "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+     "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+     "materials provided with the distribution."),
+    ("BSD-3-Clause-conditions",
+     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+     "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+     "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+     "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+     "materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its "
+     "contributors may be used to endorse or promote products derived from this software without specific prior "
+     "written permission."),
     ("ISC-text",
      "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
      "granted, provided that the above copyright notice and this permission notice appear in all copies."),
