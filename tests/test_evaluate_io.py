@@ -457,3 +457,42 @@ def test_approximate_percentiles_close_to_exact(spark):
     ap = TL.latency_percentiles(df, decimals=None, exact=False).first()
     assert abs(ex.p50_ttft_seconds - ap.p50_ttft_seconds) <= 0.2
     assert abs(ex.p90_decode_tps - ap.p90_decode_tps) <= 0.2
+
+
+def test_sessions_one_entry_at_a_time(spark, tmp_path):
+    """Restarted from its checkpoint for every batch: late and bridging
+    events give the batch's sessions, and the state store holds one entry per
+    open session, those that closed are gone."""
+    rng = np.random.default_rng(4)
+    times = np.sort(rng.integers(0, 40_000, 160))
+    users = rng.integers(1, 4, 160)
+    order = np.argsort(times + rng.integers(0, 1500, 160), kind="stable")  # late by up to 25 minutes
+    rows = [(int(users[i]), int(times[i]), int(i % 7)) for i in order] + [(9, 100_000, 0)]
+    make = lambda part: spark.createDataFrame(part, "u long, s long, k long").select(
+        F.col("u").alias("user_id"), "k", F.timestamp_seconds(F.col("s") + 1_700_000_000).alias("event_time"))
+    src, out = str(tmp_path / "in"), _tmp(spark)
+    for a in range(0, len(rows), 41):
+        make(rows[a:a + 41]).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(make(rows[:1]).schema).parquet(src)
+        got = _run(spark, SJ.stream_request_latency(stream, "10 minutes", "30 minutes", ["user_id"], input_tokens=F.col("k")), out)
+        if a == 0:
+            held = [r.map_key if hasattr(r, "map_key") else r for r in
+                    spark.read.format("statestore").option("stateVarName", "open").load(out + "/c").collect()]
+            assert held
+    want = {}
+    for u in (1, 2, 3):
+        mine = sorted((t, k) for w, t, k in rows if w == u)
+        parts = [[mine[0]]]
+        for x in mine[1:]:
+            if x[0] - parts[-1][-1][0] > 600:
+                parts.append([])
+            parts[-1].append(x)
+        for p in parts:
+            if len(p) > 1:
+                want[u, p[0][0]] = (len(p) - 1, float(p[-1][0] - p[0][0]), min(k for t, k in p if t == p[0][0]))
+    base = spark.range(1).select(F.timestamp_seconds(F.lit(1_700_000_000)).cast("long").alias("b")).first().b
+    found = {(r.user_id, r.s - base): (r.output_tokens, r.total_generation_time, r.input_tokens)
+             for r in spark.read.parquet(out + "/d").withColumn("s", F.col("start_ts").cast("long")).collect()}
+    assert found == want and len(got) == len(want)
+    left = spark.read.format("statestore").option("stateVarName", "open").load(out + "/c").count()
+    assert left == 1  # only the last event's session is open

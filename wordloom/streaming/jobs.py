@@ -74,43 +74,77 @@ def batch_sessions(times, prompts, gap: int) -> list:
             for a, z, s in zip(starts, ends, second)]
 
 
-def _request_sessions(gap: int, req: list, ts: str, inp_col: str | None):
-    """State per request: its open sessions, five numbers each.  A session is
-    emitted when the watermark has passed its end by the gap, so an event
-    that is late but not too late joins, or bridges, the sessions it belongs
-    to; at most lateness / gap + 1 sessions are open at a time."""
-    import pandas as pd
-
-    def fn(key, pdfs, state):
-        import numpy as np
-
-        parts = []
-        if state.exists:
-            t1, t2, tmax, n, inp = state.get
-            parts = [(a, None if b < 0 else b, c, d, e) for a, b, c, d, e in zip(t1, t2, tmax, n, inp)]
-        for batch in pdfs:
-            if len(batch):
-                times = batch[ts].to_numpy().astype("datetime64[us]").astype(np.int64)
-                prompts = batch[inp_col].fillna(0).to_numpy().astype(np.int64) if inp_col else np.zeros(len(batch), np.int64)
-                parts += batch_sessions(times, prompts, gap)
-        sessions = merge_sessions(parts, gap)
-        passed = state.getCurrentWatermarkMs()
-        closes = lambda s: (s[2] + gap) // 1000 + 1
-        done = [s for s in sessions if closes(s) < passed]
-        open_ = [s for s in sessions if closes(s) >= passed]
-        if open_:
-            state.update(tuple([(-1 if s[i] is None else s[i]) for s in open_] for i in range(5)))
-            state.setTimeoutTimestamp(max(min(map(closes, open_)), passed + 1))
-        elif state.exists:
-            state.remove()
-        if done:
+def _closes(session, gap: int) -> int:
+    """The watermark (ms) from which no event can join a session any more."""
+    return (session[2] + gap) // 1000 + 1
+
+
+def _by_closing(sessions: list, gap: int) -> dict:
+    out: dict = {}
+    for s in sessions:
+        out.setdefault(_closes(s, gap), []).append(s)
+    return out
+
+
+def _session_processor(gap: int, req: list, ts: str, inp_col: str | None):
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Sessions(StatefulProcessor):
+        """State per request: a map from the time a session closes to the
+        sessions that close then, five numbers each, and a timer per such
+        time.  A batch writes only the entries its events change: an event
+        that is late but not too late joins, or bridges, the sessions it
+        belongs to.  A timer emits one entry and removes it."""
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.open = handle.getMapState("open", "closes long", _REQ_STATE)
+
+        @staticmethod
+        def _sessions(value) -> list:
+            return [(int(a), None if b < 0 else int(b), int(c), int(d), int(e)) for a, b, c, d, e in zip(*value)]
+
+        def handleInputRows(self, key, rows, timerValues):
+            import numpy as np
+
+            parts = []
+            for batch in rows:
+                if len(batch):
+                    times = batch[ts].to_numpy().astype("datetime64[us]").astype(np.int64)
+                    prompts = batch[inp_col].fillna(0).to_numpy().astype(np.int64) if inp_col else np.zeros(len(batch), np.int64)
+                    parts += batch_sessions(times, prompts, gap)
+            old = {int(k[0]): self._sessions(v) for k, v in self.open.iterator()}
+            new = _by_closing(merge_sessions([s for x in old.values() for s in x] + parts, gap), gap)
+            for at in old.keys() - new.keys():
+                self.open.removeKey((at,))
+                self.handle.deleteTimer(at)
+            for at, sessions in new.items():
+                if old.get(at) != sessions:
+                    self.open.updateValue((at,), tuple([-1 if s[i] is None else s[i] for s in sessions] for i in range(5)))
+                if at not in old:
+                    self.handle.registerTimer(at)
+            return iter(())  # rows come from the timers
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            import pandas as pd
+
+            at = expiredTimerInfo.getExpiryTimeInMs()
+            done = self._sessions(self.open.getValue((at,)))
+            self.open.removeKey((at,))
             rows = pd.DataFrame(done, columns=["_start", "_first_tok", "_end", "_n", "_inp"])
             rows["_first_tok"] = rows["_first_tok"].astype("Int64")
             for c, v in zip(req, key):
                 rows[c] = v
             yield rows[[*req, "_start", "_first_tok", "_end", "_n", "_inp"]]
 
-    return fn
+        def close(self) -> None:
+            pass
+
+    return Sessions()
+
+
+#: The state store that state variables and timers need.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_request_latency(stream: DataFrame, gap: str, lateness: str,
@@ -118,23 +152,23 @@ def stream_request_latency(stream: DataFrame, gap: str, lateness: str,
                            input_tokens=None) -> DataFrame:
     """First-token and total time per request as tokens arrive.  A request
     is a burst of events closed after ``gap`` of silence, tracked by a
-    custom stateful operator with five numbers of state per open session
-    (no event list is ever gathered).  Events may come out of order by up to
+    stateful processor with five numbers of state per open session (no event
+    list is ever gathered) and a timer for its end.  Its state variables need
+    the RocksDB state store, which is set for the session.  Events may come out of order by up to
     ``lateness``; the result is that of the batch on the same events.  The
     latency columns are the batch operator's expressions."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
     req = list(request)
     gap_us = _interval_micros(stream, gap)
     src = stream.withWatermark(ts, lateness)
     inp_col = None
     if input_tokens is not None:
-        src = src.withColumn("_inp_src", input_tokens.cast("long"))
-        inp_col = "_inp_src"
+        src = src.withColumn("prompt__", input_tokens.cast("long"))
+        inp_col = "prompt__"
     keys = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in req)
     out_schema = f"{keys}, _start long, _first_tok long, _end long, _n long, _inp long"
-    sessions = src.select(*req, ts, *([inp_col] if inp_col else [])).groupBy(*req).applyInPandasWithState(
-        _request_sessions(gap_us, req, ts, inp_col), out_schema, _REQ_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    sessions = src.select(*req, ts, *([inp_col] if inp_col else [])).groupBy(*req).transformWithStateInPandas(
+        _session_processor(gap_us, req, ts, inp_col), out_schema, "append", "eventtime")
     as_ts = lambda c: F.timestamp_micros(F.col(c))
     return sessions.filter(F.col("_n") >= 2).select(
         *req, as_ts("_start").alias("start_ts"),
