@@ -233,3 +233,15 @@ def test_dedup_hash_matches_contract(spark):
     out = {r.doc_id: r.text for r in line_dedup(docs).collect()}
     assert out == {1: "a SHARED line \n", 2: "own"}
     assert hashlib.sha256(out[2].encode()).hexdigest()
+
+
+def test_line_dedup_leaves_remnants_out(awkward):
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    words = lambda t: len(WORD.findall(t or ""))
+    for share in (0.5, 1.0):
+        want = Counter()
+        for (i, text), (_, n, gone, left) in zip(rows, plain_dedup_rows(rows)):
+            if not gone or words(left) >= share * words(text):
+                want[i, n, gone, left] += 1
+        got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_dedup(awkward, min_share=share).collect())
+        assert got == want and sum(want.values()) < len(rows)

@@ -97,6 +97,18 @@ def pieces(batch: pa.RecordBatch, column: str, step_bytes: int = STEP_BYTES) ->
         yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Spark keeps a
+    Python worker for later tasks, and an idle one should be small."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_texts(df: DataFrame, text_col: str, fields: list[T.StructField],
               make: Callable[[], Callable[[list], list]], drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with ``fields`` added, computed from one text column.
@@ -122,6 +134,8 @@ def map_texts(df: DataFrame, text_col: str, fields: list[T.StructField],
                 cols += [c if isinstance(c, pa.Array) else pa.array(c, type=arrow.field(f.name).type)
                          for c, f in zip(out, fields)]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
+        step = out = cols = part = batch = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 

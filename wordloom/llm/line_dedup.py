@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm.common import WHITE, broadcast_if_small, map_texts, pieces, written
+from wordloom.llm.common import WHITE, broadcast_if_small, give_back, map_texts, pieces, written
 
 
 def line_keys(text: str | None, min_chars: int) -> list[tuple[str, bytes | None]]:
@@ -33,7 +33,7 @@ def line_keys(text: str | None, min_chars: int) -> list[tuple[str, bytes | None]
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               min_chars: int = 10, threshold: int = 2) -> DataFrame:
+               min_chars: int = 10, threshold: int = 2, min_share: float = 0.0) -> DataFrame:
     """Documents with every repeated line removed except in the smallest id
     that holds it; all columns kept, ``n_lines`` and ``n_dropped`` added.
 
@@ -43,7 +43,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with the smallest id; that one keeps all of its own.  Null and empty
     texts are one empty line and come back as "".  Rows that share an id are
     one document for the count and are each rewritten; rows with a null id
-    are left as they are.  An input column named ``n_lines`` or
+    are left as they are.  A document that loses lines and keeps less than
+    ``min_share`` of its words is left out (none at 0).  An input column named ``n_lines`` or
     ``n_dropped`` is replaced.  Keys are 128-bit hashes.
     """
     def keys():
@@ -64,10 +65,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     common = broadcast_if_small(written(common.select("_k", "_first")), 200_000)
     lost = (held.join(common, "_k").filter("_id <> _first")
             .groupBy(F.col("_id").alias("__ld_id")).agg(F.collect_set("_k").alias("__ld_lost")))  # at most the document's own lines
-    return _reassemble(docs.join(lost, docs[id_col] == lost["__ld_id"], "left").drop("__ld_id"), text_col, min_chars)
+    return _reassemble(docs.join(lost, docs[id_col] == lost["__ld_id"], "left").drop("__ld_id"), text_col, min_chars, min_share)
 
 
-def _reassemble(df: DataFrame, text_col: str, min_chars: int) -> DataFrame:
+def _reassemble(df: DataFrame, text_col: str, min_chars: int, min_share: float) -> DataFrame:
     names = [f.name for f in df.schema.fields if f.name not in ("__ld_lost",) and f.name.lower() not in ("n_lines", "n_dropped")]
     schema = T.StructType([df.schema[n] for n in names]
                           + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
@@ -75,12 +76,13 @@ def _reassemble(df: DataFrame, text_col: str, min_chars: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in pieces(batch, text_col):
-                texts, total, gone = [], [], []
+                texts, total, gone, stays = [], [], [], []
                 for text, lost in zip(part.column(text_col).to_pylist(), part.column("__ld_lost").to_pylist()):
                     if not lost:
                         texts.append(text or "")
                         total.append((text or "").count("\n") + 1)
                         gone.append(0)
+                        stays.append(True)
                         continue
                     lost = set(lost)
                     lines = line_keys(text, min_chars)
@@ -88,8 +90,11 @@ def _reassemble(df: DataFrame, text_col: str, min_chars: int) -> DataFrame:
                     texts.append("\n".join(kept))
                     total.append(len(lines))
                     gone.append(len(lines) - len(kept))
+                    stays.append(min_share <= 0 or len(texts[-1].encode().split()) >= min_share * len(text.encode().split()))
                 cols = [pa.array(texts, part.schema.field(n).type) if n == text_col else part.column(n) for n in names]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
+                out = pa.RecordBatch.from_arrays(cols + [pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                                                  names=[f.name for f in schema.fields])
+                yield out if all(stays) else out.filter(pa.array(stays))
+        give_back()
 
     return df.mapInArrow(run, schema)
