@@ -47,12 +47,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document that loses more than half of its words by it goes: what is
     left of a copy or near copy is no text of its own, and the next stage
     could not find it any more.  ``n_chars`` follows the text."""
-    free, own = aside(docs, "n_lines", "n_dropped", "__words")
-    words = F.regexp_count("text", F.lit(WORD))
-    out = line_dedup(free.withColumn("__words", words))
-    depleted = F.coalesce((F.col("n_dropped") > 0) & (2 * words < F.col("__words")), F.lit(False))
-    emptied = (F.col("n_dropped") > 0) & (words == 0)
-    out = out.filter(~(depleted | emptied)).drop("n_lines", "n_dropped", "__words").withColumnsRenamed(own)
+    free, own = aside(docs, "n_lines", "n_dropped")
+    out = line_dedup(free, min_share=0.5)
+    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(WORD)
+    out = out.filter(~emptied).drop("n_lines", "n_dropped").withColumnsRenamed(own)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
