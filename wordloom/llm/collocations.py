@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from wordloom.functions.columns import explode_rows
-from wordloom.llm.common import lookup, pieces, small_batches, written
+from wordloom.llm.common import give_back, lookup, pieces, small_batches, written
 
 MARKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -208,7 +208,7 @@ def _rows(prints, texts, n, first) -> pa.RecordBatch:
 
 
 #: Rows that a task holds to add up equal ones.
-HELD_ROWS = 1 << 21
+HELD_ROWS = 1 << 19
 
 
 def _added_up(batches, limit: int = HELD_ROWS):
@@ -290,7 +290,11 @@ def _scan(before: list[int], now: list[int], known, step_bytes: int):
                             yield _rows(prints[order[starts]], None, np.diff([*starts, len(order)]),
                                         np.minimum.reduceat(ids[w.text[at[order]]], starts))
 
-    return lambda batches: _added_up(rows(batches))
+    def run(batches):
+        yield from _added_up(rows(batches))
+        give_back()
+
+    return run
 
 
 def scans(max_words: int) -> list[tuple[list[int], list[int]]]:
