@@ -496,3 +496,27 @@ def test_sessions_one_entry_at_a_time(spark, tmp_path):
     assert found == want and len(got) == len(want)
     left = spark.read.format("statestore").option("stateVarName", "open").load(out + "/c").count()
     assert left == 1  # only the last event's session is open
+
+
+def test_month_from_day_sketches(spark, tmp_path):
+    """Regrouped sketches: exact up to their size, within the stated rank
+    error beyond it, in one step or by way of weeks."""
+    rng = np.random.default_rng(6)
+    ticks = np.sort(rng.choice(30 * 86400, 9000, replace=False))
+    values = rng.gamma(2.0, 3.0, 9000)
+    rows = [(int(t), "g0", float(v)) for t, v in zip(ticks, values)] + [(31 * 86400, "g0", 0.0)]
+    df = spark.createDataFrame(rows, "s long, device string, reading double").select(
+        F.timestamp_seconds(F.col("s") + 1_704_067_200).alias("event_time"), "device", "reading")
+    src = str(tmp_path / "in")
+    df.write.parquet(src)
+    stream = spark.readStream.schema(df.schema).parquet(src)
+    for k, error in ((200, 2.3 / 200), (16384, 0.0)):
+        out = _tmp(spark)
+        job = SJ.stream_telemetry(stream, "1 day", "0 seconds", sketch_k=k)
+        _run(spark, job, out)
+        days = spark.read.schema(job.schema).parquet(out + "/d").withColumn("week", F.weekofyear("w.start"))
+        assert days.count() == 30
+        for got in (SJ.regroup_telemetry(days).first(), SJ.regroup_telemetry(SJ.regroup_telemetry(days, ["week"])).first()):
+            rank = (values <= got.p90).mean()
+            assert abs(rank - 0.9) <= 2 * error + 1 / 9000 and got.n_ticks == 9000 and got.peak == values.max()
+            assert got.p90 in set(values.tolist())

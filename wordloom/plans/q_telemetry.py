@@ -116,6 +116,19 @@ def q_stream_telemetry(spark, sf):
     return out.select(F.col("w.start").cast("string").alias("window_start"), "peak", "p90", "n_ticks")
 
 
+@query("regroup_telemetry", """
+WITH t AS (SELECT ts, max(value) AS m FROM events WHERE event_type IN ('click', 'view') GROUP BY ts),
+w AS (SELECT date_trunc('day', ts) AS d, m FROM t)
+SELECT strftime(date_trunc('week', d), '%Y-%m-%d') AS week, max(m) AS peak, quantile_disc(m, 0.9) AS p90, count(*) AS n_ticks FROM w
+WHERE d + INTERVAL 1 DAY <= (SELECT max(ts) FROM events WHERE event_type IN ('click', 'view')) GROUP BY ALL""")
+def q_regroup_telemetry(spark, sf):
+    """Weeks from the stored sketches of the days that have closed."""
+    s = _event_stream(spark, sf).select("event_time", F.col("event_type").alias("device"), F.col("value").alias("reading"))
+    days = _drain(spark, SJ.stream_telemetry(s, "1 day", "0 seconds", ["click", "view"], sketch_k=16384), "sketches")
+    weeks = SJ.regroup_telemetry(days.withColumn("week", F.date_format(F.date_trunc("week", "w.start"), "yyyy-MM-dd")), ["week"])
+    return weeks.drop("sketch")
+
+
 @query("stream_request_latency", """
 WITH e AS (SELECT user_id, ts, CAST(props->>'$.k' AS BIGINT) AS k FROM events),
 g AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE, true) AS new FROM e),

@@ -22,21 +22,41 @@ def with_event_time(stream: DataFrame, ts="ts", out="event_time") -> DataFrame:
 
 def stream_telemetry(stream: DataFrame, width: str, lateness: str,
                      devices: Sequence[str] | None = None, ts="event_time",
-                     device="device", reading="reading", accuracy: int = 10000) -> DataFrame:
+                     device="device", reading="reading", accuracy: int = 10000,
+                     sketch_k: int | None = None) -> DataFrame:
     """Peak and p90 of device readings per tumbling window, continuously.
 
     The maximum over devices is taken per sample time first (a tick), then
     peak and p90 over the ticks in the window.  The p90 is a value of the
     window from a sketch of bounded size (exact up to ``accuracy`` ticks), so
     the state doesn't grow with the stream.  Append mode: a window is emitted
-    once the watermark passes its end; later rows are dropped."""
+    once the watermark passes its end; later rows are dropped.
+
+    With ``sketch_k`` a column ``sketch`` holds the window's mergeable
+    quantile sketch; :func:`regroup_telemetry` makes days, weeks or any other
+    grouping from stored windows."""
     s = stream if devices is None else stream.filter(F.col(device).isin(list(devices)))
     ticks = (s.withWatermark(ts, lateness)
               .groupBy(F.col(ts).alias("tick"))
               .agg(F.max(reading).alias("_m")))
+    more = [] if sketch_k is None else [F.kll_sketch_agg_double(F.col("_m").cast("double"), sketch_k).alias("sketch")]
     return ticks.groupBy(F.window("tick", width).alias("w")).agg(F.max("_m").alias("peak"),
                                   approx_quantile("_m", 0.9, accuracy).alias("p90"),
-                                  F.count("*").alias("n_ticks"))
+                                  F.count("*").alias("n_ticks"), *more)
+
+
+def regroup_telemetry(windows: DataFrame, by: Sequence[str] = (), prob: float = 0.9) -> DataFrame:
+    """``(by..., peak, p90, n_ticks, sketch)`` of groups of stored windows
+    (rows of :func:`stream_telemetry` with their sketches) without their
+    readings.  The percentile is a reading whose rank is off by about
+    ``2.3 / sketch_k`` of the group's ticks at most (99 % of the time; exact
+    up to ``sketch_k`` ticks); the result has a sketch again, so that it can
+    be grouped further."""
+    both = windows.filter("sketch is not null").groupBy(*by).agg(
+        F.max("peak").alias("peak"), F.sum("n_ticks").alias("n_ticks"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    name = f"p{round(100 * prob)}"
+    return both.select(*by, "peak", F.when(F.col("n_ticks") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(prob))).alias(name),
+                       "n_ticks", "sketch")
 
 
 _REQ_STATE = "t1 array<long>, t2 array<long>, tmax array<long>, n array<long>, inp array<long>"
