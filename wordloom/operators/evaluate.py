@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions import columns as C
 from ..functions import prompts as PR
 from ..session import broadcast_checked
+from .counts import counted
 
 
 # ------------------------------------------------------------------ prompts
@@ -94,10 +95,11 @@ def label_name(label: str | Column, names) -> Column:
 
 def to_conversation(df: DataFrame, question="question", context="context",
                     answers="answers", text="text", label="label",
-                    label_names="label_names") -> DataFrame:
+                    label_names="label_names", observation=None) -> DataFrame:
     """Question-answer or classification rows to system / user / assistant
     messages (``conversation``).  Rows matching neither layout get a null
-    conversation and ``reject = true`` (Q21) instead of failing.
+    conversation and ``reject = true`` (Q21) instead of failing; an
+    ``observation`` counts ``rows`` and ``rejected``.
 
     ``label_names`` is the list of class names, which a class id picks from,
     or the class name itself as text; without it the label is used as text."""
@@ -121,7 +123,8 @@ def to_conversation(df: DataFrame, question="question", context="context",
         conv = F.when(cond, cl) if conv is None else conv.when(cond, cl)
     if conv is None:
         raise ValueError("rows have neither question/answers nor text/label columns")
-    return df.withColumn("conversation", conv).withColumn("reject", F.col("conversation").isNull())
+    out = df.withColumn("conversation", conv).withColumn("reject", F.col("conversation").isNull())
+    return counted(out, observation, rows=None, rejected=F.col("reject"))
 
 
 def strip_ws(c: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import patterns as P
 from ..session import broadcast_checked
+from .counts import counted
 
 TOKENIZERS = {
     "word": P.word_token(1),      # R5, Unicode
@@ -185,17 +186,18 @@ def keep_categories(df: DataFrame, cats: Sequence[str], cat="cat", word="word")
 
 def label_from_filename(df: DataFrame, rules: Sequence[tuple[str, str]],
                         name="path", default: str | None = None,
-                        out="label", keep_unmatched=False) -> DataFrame:
+                        out="label", keep_unmatched=False, observation=None) -> DataFrame:
     """Class from the file name (last path segment, Q4): first rule whose
     regular expression matches wins, else ``default``; rows without a label
-    are dropped (Q7) unless ``keep_unmatched``."""
+    are dropped (Q7) unless ``keep_unmatched``.  An ``observation`` counts
+    ``rows`` and ``unmatched``."""
     fname = C.last_segment(name)
     expr = None
     for pattern, label in rules:
         expr = (F.when(fname.rlike(pattern), F.lit(label)) if expr is None
                 else expr.when(fname.rlike(pattern), F.lit(label)))
     expr = F.lit(default) if expr is None else expr.otherwise(F.lit(default))
-    res = df.withColumn(out, expr)
+    res = counted(df.withColumn(out, expr), observation, rows=None, unmatched=F.col(out).isNull())
     return res if keep_unmatched else res.filter(F.col(out).isNotNull())
 
 

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import ordering
+from ..operators.counts import counted
 from ..session import broadcast_checked, cut_lineage, path_missing
 
 
-def read_corpus(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, glob: str | None = None, observation=None) -> DataFrame:
     """One row per file: ``(path, file, text)`` with the whole text.  A
     missing folder is an empty corpus and a warning; any other failure is an
-    error."""
+    error.  An ``observation`` counts ``files`` (empty ones are no rows)."""
     try:
         # the keyword matters: text() has its own wholetext=False default
         df = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
@@ -26,9 +27,10 @@ def read_corpus(spark: SparkSession, path: str, glob: str | None = None) -> Data
         if not path_missing(e):
             raise
         warnings.warn(f"no files read from {path}: {e}")
-        return spark.createDataFrame([], "path string, file string, text string")
-    return df.select(F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+        return counted(spark.createDataFrame([], "path string, file string, text string"), observation, files=None)
+    found = df.select(F.col("_metadata.file_path").alias("path"),
+                      F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+    return counted(found, observation, files=None)
 
 
 def read_lines(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
