@@ -48,10 +48,10 @@ def cosine_distance(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
     return j.withColumn("cosine", cos).withColumn("distance", 1.0 - cos).drop("_v1", "_v2")
 
 
-def _query_vector(vectors: DataFrame, positive: Sequence[str], negative: Sequence[str]):
-    """Mean of signed unit vectors, computed by Spark and fetched as one
-    literal array (its size is the vector dimension, a proven bound; a
-    scalar subquery cannot be used inside the cosine's lambdas)."""
+def query_vector(vectors: DataFrame, positive: Sequence[str], negative: Sequence[str]) -> list[float]:
+    """Mean of signed unit vectors, computed by Spark and fetched (its size is
+    the vector dimension, a proven bound; a scalar subquery cannot be used
+    inside the cosine's lambdas)."""
     sign = F.when(F.col("word").isin(list(positive)), 1.0).otherwise(-1.0)
     sel = vectors.filter(F.col("word").isin(list(positive) + list(negative)))
     unit = sel.select(F.posexplode(C.unit_vector("vector")).alias("i", "x"), sign.alias("s"))
@@ -63,7 +63,7 @@ def _query_vector(vectors: DataFrame, positive: Sequence[str], negative: Sequenc
         raise KeyError(f"{missing} not in the vocabulary")
     row = comp.select(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))),
                                   lambda e: e["x"] / n_words)).first()
-    return F.array(*[F.lit(float(x)) for x in row[0]])
+    return [float(x) for x in row[0]]
 
 
 def most_similar(vectors: DataFrame, positive: Sequence[str], negative: Sequence[str] = (),
@@ -72,7 +72,7 @@ def most_similar(vectors: DataFrame, positive: Sequence[str], negative: Sequence
     best first (the library default is 10).  An input word that is not in the
     table is an error.  The query vector (one row, as long as a vector) is
     fetched and becomes a literal; top-n is a take-ordered."""
-    q = _query_vector(vectors, positive, negative)
+    q = F.array(*[F.lit(x) for x in query_vector(vectors, positive, negative)])
     res = (vectors.filter(~F.col("word").isin(list(positive) + list(negative)))
                   .select("word", C.cosine("vector", q).alias("similarity")))
     if n is None:

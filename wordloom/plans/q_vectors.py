@@ -4,12 +4,15 @@ i with (7 i + 3) mod n, score 10 - |label difference|; analogies:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import text as T
 from ..operators import vectors as VE
-from ..session import table
+from ..operators.vector_index import VectorIndex
+from ..session import checkpoint_dir, table
 from .registry import query
 
 _U = """u AS (SELECT CAST(vec_id AS VARCHAR) AS word, label, CAST(embedding AS DOUBLE[]) AS v
@@ -98,6 +101,14 @@ def q_most_similar_analogy(spark, sf):
     return r.select("word", F.round("similarity", 9).alias("similarity"))
 
 
+@query("most_similar_index", _most_similar_sql(["1", "2"], ["0"], 10))
+def q_most_similar_index(spark, sf):
+    """The same question to a stored index of all vectors."""
+    index = VectorIndex.build(_vec(spark, sf), f"{checkpoint_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}")
+    r = index.most_similar(["1", "2"], ["0"], 10)
+    return r.select("word", F.round("similarity", 9).alias("similarity"))
+
+
 @query("compare_models", f"""WITH {_U},
 m AS (SELECT 'plain' AS model, word, v FROM u
       UNION ALL SELECT 'weighted', word, list_transform(v, lambda x, i: x * i) FROM u),
