@@ -166,28 +166,34 @@ def context_cooccurrence(td: DataFrame, id_col="doc_id", term="term", n="n", foc
     are added up in their task before (t1, t2) is shuffled.  ``focus`` (a
     column ``term``) leaves only pairs whose ``t1`` is one of its terms."""
     td = td.select(F.col(id_col).alias("_c"), F.col(term).alias("_t"), F.col(n).cast("long").alias("_n")).dropna()
+    part = [F.col("_t").alias("t"), F.col("_n").alias("n")]
     if focus is not None:
+        part.append(F.col("_f").alias("f"))
         wanted = broadcast_checked(cut_lineage(focus.select(F.col("term").alias("_t")).distinct().withColumn("_f", F.lit(True))))
         td = td.join(wanted, "_t", "left").withColumn("_f", F.coalesce("_f", F.lit(False)))
-        td = cut_lineage(td.join(td.filter("_f").select("_c").distinct(), "_c", "left_semi"))
-    else:
-        td = cut_lineage(td.withColumn("_f", F.lit(True)))
+        td = td.join(td.filter("_f").select("_c").distinct(), "_c", "left_semi")
+    td = cut_lineage(td)
     sizes = td.groupBy("_c").agg(F.count("*").alias("_k"))
     many = sizes.filter(F.col("_k") > block_terms).select("_c", F.ceil(F.col("_k") / block_terms).cast("int").alias("_b"))
     blocks = td.join(broadcast_checked(cut_lineage(many)), "_c", "left").withColumn("_b", F.coalesce("_b", F.lit(1)))
     blocks = cut_lineage(blocks.groupBy("_c", "_b", F.pmod(F.xxhash64("_t"), F.col("_b")).cast("int").alias("_i"))
-                         .agg(F.sort_array(F.collect_list(F.struct(F.col("_t").alias("t"), F.col("_n").alias("n"), F.col("_f").alias("f")))).alias("_x")))
+                         .agg(F.sort_array(F.collect_list(F.struct(*part))).alias("_x")))
     # one block: the pairs of a row with itself; several: every block with each later one
-    own = C.explode_rows(C.posexplode_rows(blocks, ["_x"], F.col("_x"), "_p", "_a"), ["_a"],
-                         F.slice("_x", F.col("_p") + 2, F.greatest(F.size("_x"), F.lit(1))), "_z")
+    own = C.explode_rows(C.posexplode_rows(blocks.filter(F.size("_x") > 1), ["_x"], F.col("_x"), "_p", "_a"), ["_a"],
+                         F.slice("_x", F.col("_p") + 2, F.size("_x")), "_z")
     later = C.explode_rows(blocks.filter("_i + 1 < _b"), ["_c", F.col("_x").alias("_y")], F.sequence(F.col("_i") + 1, F.col("_b") - 1), "_i")
     met = later.join(blocks.filter("_b > 1").select("_c", "_i", "_x"), ["_c", "_i"])
     across = C.explode_rows(C.explode_rows(met, ["_x"], F.col("_y"), "_a"), ["_a"], F.col("_x"), "_z")
-    pairs = own.unionByName(across).filter("_a.f or _z.f")
-    half = pairs.groupBy(F.least("_a.t", "_z.t").alias("a"), F.greatest("_a.t", "_z.t").alias("b"),
-                         F.when(F.col("_a.t") < F.col("_z.t"), F.col("_a.f")).otherwise(F.col("_z.f")).alias("fa"),
-                         F.when(F.col("_a.t") < F.col("_z.t"), F.col("_z.f")).otherwise(F.col("_a.f")).alias("fb")).agg(
+    pairs = own.unionByName(across)
+    flags = []
+    if focus is not None:
+        pairs = pairs.filter("_a.f or _z.f")
+        flags = [F.when(F.col("_a.t") < F.col("_z.t"), F.col("_a.f")).otherwise(F.col("_z.f")).alias("fa"),
+                 F.when(F.col("_a.t") < F.col("_z.t"), F.col("_z.f")).otherwise(F.col("_a.f")).alias("fb")]
+    half = pairs.groupBy(F.least("_a.t", "_z.t").alias("a"), F.greatest("_a.t", "_z.t").alias("b"), *flags).agg(
         F.sum(F.col("_a.n") * F.col("_z.n")).alias("n"))
+    if not flags:
+        half = half.withColumns({"fa": F.lit(True), "fb": F.lit(True)})
     both = F.array(F.struct(F.col("a").alias("t1"), F.col("b").alias("t2"), F.col("fa").alias("f")),
                    F.struct(F.col("b").alias("t1"), F.col("a").alias("t2"), F.col("fb").alias("f")))
     return half.select(F.explode(both).alias("_m"), "n").filter("_m.f").select("_m.t1", "_m.t2", "n")

@@ -99,26 +99,36 @@ def _closes(session, gap: int) -> int:
     return (session[2] + gap) // 1000 + 1
 
 
-def _by_closing(sessions: list, gap: int) -> dict:
+#: Gaps of closing time that share one state entry.
+ENTRY_GAPS = 1024
+
+
+def _entries(sessions: list, gap: int, span: int) -> dict:
+    """Sessions by the stretch of time they close in."""
     out: dict = {}
     for s in sessions:
-        out.setdefault(_closes(s, gap), []).append(s)
+        out.setdefault(_closes(s, gap) // span, []).append(s)
     return out
 
 
 def _session_processor(gap: int, req: list, ts: str, inp_col: str | None):
     from pyspark.sql.streaming import StatefulProcessor
 
+    span = max(1, ENTRY_GAPS * gap // 1000)
+
     class Sessions(StatefulProcessor):
-        """State per request: a map from the time a session closes to the
-        sessions that close then, five numbers each, and a timer per such
-        time.  A batch writes only the entries its events change: an event
-        that is late but not too late joins, or bridges, the sessions it
-        belongs to.  A timer emits one entry and removes it."""
+        """State per request: a map from stretches of time to the sessions
+        that close in them, five numbers each, and one timer per stretch, for
+        the first that closes.  A batch writes only the entries its events
+        change: an event that is late but not too late joins, or bridges, the
+        sessions it belongs to.  A timer emits what has closed."""
 
         def init(self, handle) -> None:
             self.handle = handle
-            self.open = handle.getMapState("open", "closes long", _REQ_STATE)
+            self.open = handle.getMapState("open", "stretch long", _REQ_STATE)
+
+        def _store(self, at: int, sessions: list) -> None:
+            self.open.updateValue((at,), tuple([-1 if s[i] is None else s[i] for s in sessions] for i in range(5)))
 
         @staticmethod
         def _sessions(value) -> list:
@@ -134,23 +144,34 @@ def _session_processor(gap: int, req: list, ts: str, inp_col: str | None):
                     prompts = batch[inp_col].fillna(0).to_numpy().astype(np.int64) if inp_col else np.zeros(len(batch), np.int64)
                     parts += batch_sessions(times, prompts, gap)
             old = {int(k[0]): self._sessions(v) for k, v in self.open.iterator()}
-            new = _by_closing(merge_sessions([s for x in old.values() for s in x] + parts, gap), gap)
-            for at in old.keys() - new.keys():
-                self.open.removeKey((at,))
-                self.handle.deleteTimer(at)
-            for at, sessions in new.items():
-                if old.get(at) != sessions:
-                    self.open.updateValue((at,), tuple([-1 if s[i] is None else s[i] for s in sessions] for i in range(5)))
-                if at not in old:
-                    self.handle.registerTimer(at)
+            new = _entries(merge_sessions([s for x in old.values() for s in x] + parts, gap), gap, span)
+            for at in old.keys() | new.keys():
+                if old.get(at) == new.get(at):
+                    continue
+                first, now = (min((_closes(s, gap) for s in x.get(at, ())), default=None) for x in (old, new))
+                if first is not None and first != now:
+                    self.handle.deleteTimer(first)
+                if now is None:
+                    self.open.removeKey((at,))
+                    continue
+                self._store(at, new[at])
+                if first != now:
+                    self.handle.registerTimer(now)
             return iter(())  # rows come from the timers
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             import pandas as pd
 
-            at = expiredTimerInfo.getExpiryTimeInMs()
-            done = self._sessions(self.open.getValue((at,)))
-            self.open.removeKey((at,))
+            passed = timerValues.getCurrentWatermarkInMs()
+            at = expiredTimerInfo.getExpiryTimeInMs() // span
+            held = self._sessions(self.open.getValue((at,)))
+            done = [s for s in held if _closes(s, gap) <= passed]
+            left = [s for s in held if _closes(s, gap) > passed]
+            if left:
+                self._store(at, left)
+                self.handle.registerTimer(min(_closes(s, gap) for s in left))
+            else:
+                self.open.removeKey((at,))
             rows = pd.DataFrame(done, columns=["_start", "_first_tok", "_end", "_n", "_inp"])
             rows["_first_tok"] = rows["_first_tok"].astype("Int64")
             for c, v in zip(req, key):
