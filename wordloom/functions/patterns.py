@@ -34,6 +34,9 @@ ENGLISH_STOPWORDS = (
 # letters, numbers and underscore, so it is written as an explicit class;
 # Java's ASCII ``\w`` / ``\b`` would silently drop accented words.
 WORD_CHAR = r"[\p{L}\p{N}_]"
+# A word without a match is given up at its first character, not tried again
+# from each of its characters (a match inside it would also be one from there).
+WORD_START = rf"(?<!{WORD_CHAR})"
 VOWELS = "aeiou"
 
 
@@ -41,12 +44,12 @@ def elongated(min_run: int = 3) -> str:
     """R2 generalised: a word holding one vowel repeated ``min_run`` times."""
     if min_run < 2:
         raise ValueError("min_run must be at least 2")
-    return rf"(?i){WORD_CHAR}*([aeiou])\1{{{min_run - 1},}}{WORD_CHAR}*"
+    return rf"(?i){WORD_START}{WORD_CHAR}*([aeiou])\1{{{min_run - 1},}}{WORD_CHAR}*"
 
 
 def vowel_cluster() -> str:
     """R1: three equal vowels, or exactly two followed by another vowel."""
-    return rf"(?i){WORD_CHAR}*([aeiou])(\1{{2,}}|\1(?!\1)[aeiou]){WORD_CHAR}*"
+    return rf"(?i){WORD_START}{WORD_CHAR}*([aeiou])(\1{{2,}}|\1(?!\1)[aeiou]){WORD_CHAR}*"
 
 
 def vowel_run(min_run: int = 3) -> str:
