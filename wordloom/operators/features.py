@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -19,14 +19,22 @@ def doc_term_counts(docs: DataFrame, text="text", id_col="doc_id", tokenizer="de
                     lowercase=True, keep: Sequence[str] = ()) -> DataFrame:
     """Term-document counts ``(doc_id, keep..., term, n)`` from the text.
 
-    Tokens are exploded and counted by (doc, term); the partial aggregate
-    runs before the shuffle, so a document's repeated terms leave its task
-    as one row each.  (Counting inside the row with array lambdas was
-    measured 3x slower: lambdas run outside generated code.)"""
-    toks = T.tokenize(docs, text, id_col, tokenizer, lowercase, keep=keep)
+    Texts are dealt by document before they are tokenised: a text is far
+    smaller than its (document, term) rows, and these are then counted where
+    they are made, without a shuffle of their own.  (Counting inside the row
+    with array lambdas was measured 3x slower: lambdas run outside generated
+    code.)"""
+    toks = T.tokenize(by_document(docs.select(id_col, *keep, text), id_col), text, id_col, tokenizer, lowercase, keep=keep)
     return toks.groupBy(id_col, *keep, "term").agg(F.count("*").alias("n"))
 
 
+def by_document(docs: DataFrame, id_col="doc_id") -> DataFrame:
+    """The rows dealt by id over ``spark.sql.shuffle.partitions`` tasks (a
+    given number is not coalesced by the size of texts, whose tokens take
+    far more memory)."""
+    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), id_col)
+
+
 def term_document(tokens: DataFrame, vocab: DataFrame | None = None, id_col="doc_id",
                   term="term") -> DataFrame:
     """Count per (document, term) from long-form tokens; with a vocabulary,
@@ -88,15 +96,43 @@ def tfidf(td: DataFrame, docs: DataFrame, id_col="doc_id", term="term", n="n",
     n_docs = docs.select(F.count("*")).scalar()
     dfreq = document_frequency(td, term, id_col)
     one = F.lit(1.0) if smooth else F.lit(0.0)
-    idf = dfreq.select(term, (F.log((one + n_docs) / (one + F.col("df"))) + 1.0).alias("idf"))
-    w = td.join(idf, term).select(id_col, term, (F.col(n) * F.col("idf")).alias("w"))
+    idf = cut_lineage(dfreq.select(term, "df", (F.log((one + n_docs) / (one + F.col("df"))) + 1.0).alias("idf")))
+    least = _frequent_from(idf)
+    # the frequent terms' rows meet their idf where they are; only those of rare terms are shuffled by term
+    often = F.broadcast(idf.filter(F.col("df") >= least).select(term, F.col("idf").alias("_often")))
+    w = td.filter(F.col(term).isNotNull()).join(often, term, "left")
+    if least > 1:
+        rare = w.filter(F.col("_often").isNull()).join(idf.filter(F.col("df") < least).select(term, "idf"), term)
+        w = (w.filter(F.col("_often").isNotNull()).withColumnRenamed("_often", "idf")
+              .unionByName(rare.drop("_often")))
+    else:
+        w = w.withColumnRenamed("_often", "idf")
+    w = w.select(id_col, term, (F.col(n) * F.col("idf")).alias("w"))
     if not normalize:
         return w.withColumnRenamed("w", "tfidf")
-    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return (w.join(norms, id_col)
+    # one shuffle by document for the norm and the weights; rows without an id have no norm to join
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return (w.filter(F.col(id_col).isNotNull()).withColumn("_norm", norm)
              .select(id_col, term, F.try_divide(F.col("w"), F.col("_norm")).alias("tfidf")))
 
 
+#: Terms that are broadcast with their idf.
+FREQUENT_TERMS = 100_000
+
+
+def _frequent_from(idf: DataFrame, most: int | None = None) -> int:
+    """The least power of two such that at most ``most`` terms have that
+    document frequency (from the counts per power, a few dozen rows)."""
+    most = FREQUENT_TERMS if most is None else most
+    powers = idf.groupBy(F.floor(F.log2(F.greatest("df", F.lit(1)))).alias("p")).agg(F.count("*").alias("n")).collect()
+    total = 0
+    for p, k in sorted(powers, reverse=True):
+        total += k
+        if total > most:
+            return 2 ** (p + 1)
+    return 1
+
+
 def max_cell(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
     """Largest cell with its row and column; ties to the smallest (row, col).
     Planned as a distributed take-ordered, not a sort of everything."""
@@ -163,15 +199,13 @@ def context_cooccurrence(td: DataFrame, id_col="doc_id", term="term", n="n", foc
     context's terms are cut into blocks of about ``block_terms`` by hash, a
     pair of blocks is a row, and a row gives one term's pairs at a time: a
     long context is many rows, and a frequent term is no group, as products
-    are added up in their task before (t1, t2) is shuffled.  ``focus`` (a
-    column ``term``) leaves only pairs whose ``t1`` is one of its terms."""
+    are added up in their task before (t1, t2) is shuffled.  With ``focus``
+    (a column ``term``) only pairs whose ``t1`` is one of its terms are made
+    (:func:`_focus_cooccurrence`)."""
     td = td.select(F.col(id_col).alias("_c"), F.col(term).alias("_t"), F.col(n).cast("long").alias("_n")).dropna()
-    part = [F.col("_t").alias("t"), F.col("_n").alias("n")]
     if focus is not None:
-        part.append(F.col("_f").alias("f"))
-        wanted = broadcast_checked(cut_lineage(focus.select(F.col("term").alias("_t")).distinct().withColumn("_f", F.lit(True))))
-        td = td.join(wanted, "_t", "left").withColumn("_f", F.coalesce("_f", F.lit(False)))
-        td = td.join(td.filter("_f").select("_c").distinct(), "_c", "left_semi")
+        return _focus_cooccurrence(cut_lineage(td), focus)
+    part = [F.col("_t").alias("t"), F.col("_n").alias("n")]
     td = cut_lineage(td)
     sizes = td.groupBy("_c").agg(F.count("*").alias("_k"))
     many = sizes.filter(F.col("_k") > block_terms).select("_c", F.ceil(F.col("_k") / block_terms).cast("int").alias("_b"))
@@ -185,18 +219,20 @@ def context_cooccurrence(td: DataFrame, id_col="doc_id", term="term", n="n", foc
     met = later.join(blocks.filter("_b > 1").select("_c", "_i", "_x"), ["_c", "_i"])
     across = C.explode_rows(C.explode_rows(met, ["_x"], F.col("_y"), "_a"), ["_a"], F.col("_x"), "_z")
     pairs = own.unionByName(across)
-    flags = []
-    if focus is not None:
-        pairs = pairs.filter("_a.f or _z.f")
-        flags = [F.when(F.col("_a.t") < F.col("_z.t"), F.col("_a.f")).otherwise(F.col("_z.f")).alias("fa"),
-                 F.when(F.col("_a.t") < F.col("_z.t"), F.col("_z.f")).otherwise(F.col("_a.f")).alias("fb")]
-    half = pairs.groupBy(F.least("_a.t", "_z.t").alias("a"), F.greatest("_a.t", "_z.t").alias("b"), *flags).agg(
+    half = pairs.groupBy(F.least("_a.t", "_z.t").alias("a"), F.greatest("_a.t", "_z.t").alias("b")).agg(
         F.sum(F.col("_a.n") * F.col("_z.n")).alias("n"))
-    if not flags:
-        half = half.withColumns({"fa": F.lit(True), "fb": F.lit(True)})
-    both = F.array(F.struct(F.col("a").alias("t1"), F.col("b").alias("t2"), F.col("fa").alias("f")),
-                   F.struct(F.col("b").alias("t1"), F.col("a").alias("t2"), F.col("fb").alias("f")))
-    return half.select(F.explode(both).alias("_m"), "n").filter("_m.f").select("_m.t1", "_m.t2", "n")
+    both = F.array(F.struct(F.col("a").alias("t1"), F.col("b").alias("t2")),
+                   F.struct(F.col("b").alias("t1"), F.col("a").alias("t2")))
+    return half.select(F.explode(both).alias("_m"), "n").select("_m.t1", "_m.t2", "n")
+
+
+def _focus_cooccurrence(td: DataFrame, focus: DataFrame) -> DataFrame:
+    """The pairs of the focus terms alone: their own rows, few per context,
+    meet the rows of the same context, so no other pair is made."""
+    wanted = broadcast_checked(cut_lineage(focus.select(F.col("term").alias("_t")).distinct()))
+    own = td.join(wanted, "_t", "left_semi").select("_c", F.col("_t").alias("t1"), F.col("_n").alias("_n1"))
+    met = td.join(own, "_c").filter(F.col("t1") != F.col("_t"))
+    return met.groupBy("t1", F.col("_t").alias("t2")).agg(F.sum(F.col("_n1") * F.col("_n")).alias("n"))
 
 
 def sentence_cooccurrence(docs: DataFrame, text="text", id_col="doc_id", tokenizer="default",
@@ -217,16 +253,17 @@ def rank_by_similarity(weights: DataFrame, target: str, id_col="doc_id", term="t
                        w="w") -> DataFrame:
     """Every other term with its cosine to ``target`` over documents.
 
-    One pass: the weights are left-joined on document to the target's
-    postings (at most one per document), and a single aggregate by term
-    gives each term's norm and its dot product with the target; the target's
-    own norm is that aggregate's target row.  Terms sharing no document with
-    the target get 0."""
-    tgt = weights.filter(F.col(term) == F.lit(target)).select(id_col, F.col(w).alias("_wt"))
-    agg = (weights.join(tgt, id_col, "left")
-                  .groupBy(term)
-                  .agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("_norm"),
-                       F.sum(F.col(w) * F.coalesce(F.col("_wt"), F.lit(0.0))).alias("_dot")))
+    One pass: the target's weight in each document is a maximum over the
+    document's rows, and a single aggregate by term gives each term's norm
+    and its dot product with the target; the target's own norm is that
+    aggregate's target row (so the aggregate, one row per term, is written
+    once; weights that come dealt by document are neither written nor
+    shuffled again).  Terms sharing no document with the target get 0."""
+    own = F.max(F.when(F.col(term) == F.lit(target), F.col(w))).over(Window.partitionBy(id_col))
+    seen = weights.select(id_col, term, w).withColumn("_wt", F.when(F.col(id_col).isNotNull(), own))
+    agg = cut_lineage(seen.groupBy(term)
+                          .agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("_norm"),
+                               F.sum(F.col(w) * F.coalesce(F.col("_wt"), F.lit(0.0))).alias("_dot")))
     tnorm = agg.filter(F.col(term) == F.lit(target)).select(F.first("_norm")).scalar()
     return agg.filter(F.col(term) != F.lit(target)).select(
         term, F.coalesce(F.try_divide(F.col("_dot"), F.col("_norm") * tnorm),
@@ -243,8 +280,9 @@ def pair_similarity(weights: DataFrame, pairs: DataFrame, id_col="doc_id", term=
                     w="w", best: int | None = None) -> DataFrame:
     """Cosine for listed (w1, w2) pairs over documents; null when a word is
     missing.  Postings are restricted to listed words before any join."""
-    words = pairs.select(F.explode(F.array("w1", "w2")).alias(term)).distinct()
-    post = weights.join(words, term, "left_semi").select(id_col, term, w)
+    words = broadcast_checked(cut_lineage(pairs.select(F.explode(F.array("w1", "w2")).alias(term)).distinct()))
+    # the listed words' postings are read four times: they are written, not the weights
+    post = cut_lineage(weights.join(words, term, "left_semi").select(id_col, term, w))
     norms = term_norms(post, term, w)
     # the listed pairs go to the postings (broadcast if they are few), and the
     # two sides meet on (pair, document): no word's postings are one key

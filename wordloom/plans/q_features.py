@@ -34,13 +34,10 @@ def _td(spark, sf):
     return FE.doc_term_counts(_docs(spark, sf), "text", "doc_id", "default")
 
 
-def _tfidf(spark, sf, materialize=False):
-    """TF-IDF weights; the similarity queries read them three times (target
-    postings, all postings, target norm), so for them they are materialised
-    once."""
+def _tfidf(spark, sf):
+    """TF-IDF weights, dealt by document (the similarity queries read them once)."""
     docs = _docs(spark, sf)
-    w = FE.tfidf(FE.doc_term_counts(docs), docs).withColumnRenamed("tfidf", "w")
-    return cut_lineage(w) if materialize else w
+    return FE.tfidf(FE.doc_term_counts(docs), docs).withColumnRenamed("tfidf", "w")
 
 
 def target_word(spark, sf):
@@ -103,14 +100,14 @@ sims AS (SELECT nrm.term, coalesce(dt.d / (nrm.norm * tn.n), 0.0) AS similarity
 
 @query("rank_by_similarity", _RANK_SQL + " SELECT term, round(similarity, 9) AS similarity FROM sims")
 def q_rank_by_similarity(spark, sf):
-    r = FE.rank_by_similarity(_tfidf(spark, sf, True), target_word(spark, sf))
+    r = FE.rank_by_similarity(_tfidf(spark, sf), target_word(spark, sf))
     return r.select("term", F.round("similarity", 9).alias("similarity"))
 
 
 @query("find_similar_words", _RANK_SQL + """
 SELECT term, round(similarity, 9) AS similarity FROM sims ORDER BY similarity DESC, term LIMIT 10""")
 def q_find_similar_words(spark, sf):
-    r = FE.find_similar_words(_tfidf(spark, sf, True), target_word(spark, sf), 10)
+    r = FE.find_similar_words(_tfidf(spark, sf), target_word(spark, sf), 10)
     return r.select("term", F.round("similarity", 9).alias("similarity"))
 
 
@@ -197,7 +194,7 @@ SELECT p.item_id, p.w1, p.w2,
 FROM pairs p LEFT JOIN nrm n1 ON n1.term = p.w1 LEFT JOIN nrm n2 ON n2.term = p.w2
 LEFT JOIN dt ON dt.w1 = p.w1 AND dt.w2 = p.w2""")
 def q_pair_similarity(spark, sf):
-    r = FE.pair_similarity(_tfidf(spark, sf, True), cut_lineage(_pairs(spark, sf)))
+    r = FE.pair_similarity(_tfidf(spark, sf), cut_lineage(_pairs(spark, sf)))
     return r.select("item_id", "w1", "w2", F.round("similarity", 9).alias("similarity"))
 
 
