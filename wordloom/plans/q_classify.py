@@ -10,6 +10,7 @@ from ..functions import columns as C
 from ..functions.patterns import ENGLISH_STOPWORDS
 from ..operators import classify as CL
 from ..operators import text as T
+from ..operators.features import by_document
 from ..session import broadcast_checked, cut_lineage, table
 from . import fixtures as FX
 from .registry import query
@@ -21,7 +22,8 @@ def _test():
 
 def nb_inputs(spark, sf, n=1, stop=False, lower=True):
     docs = table(spark, sf, "documents").withColumnRenamed("lang", "label")
-    arr = T.token_arrays(docs, "text", "tokens", "word", lowercase=lower)
+    # texts are dealt by document, so that their terms are counted where they are made
+    arr = T.token_arrays(by_document(docs.select("doc_id", "label", "text")), "text", "tokens", "word", lowercase=lower)
     toks = T.ngrams(arr, n, "tokens", "doc_id", keep=["label"])
     if stop:
         toks = T.remove_stopwords(toks, ENGLISH_STOPWORDS)
@@ -190,9 +192,11 @@ def q_nb_experiment(spark, sf):
     docs = table(spark, sf, "documents").withColumnRenamed("lang", "label")
     view_of = {name: (s.get("lower", True), s.get("n", 1)) for name, s in NB_SETTINGS}
     views = {v: f"v{i}" for i, v in enumerate(dict.fromkeys(view_of.values()))}
-    arr = docs.select("doc_id", "label",
-                      C.regex_tokens("text", T.TOKENIZERS["word"], True).alias("low"),
-                      C.regex_tokens("text", T.TOKENIZERS["word"], False).alias("cased"))
+    # dealt by document: no (document, term) row is shuffled
+    arr = by_document(docs.select("doc_id", "label", "text")).select(
+        "doc_id", "label",
+        C.regex_tokens("text", T.TOKENIZERS["word"], True).alias("low"),
+        C.regex_tokens("text", T.TOKENIZERS["word"], False).alias("cased"))
     arms = [F.struct(F.lit(key).alias("view"), C.ngram_array("low" if lower else "cased", n).alias("toks"))
             for (lower, n), key in views.items()]
     long = C.explode_rows(arr, ["doc_id", "label"], F.array(*arms), "a").select(
