@@ -4,6 +4,7 @@ lexicon files, and stored result logs."""
 
 from __future__ import annotations
 
+import math
 import warnings
 
 from pyspark.errors import AnalysisException
@@ -16,10 +17,18 @@ from ..operators.counts import counted
 from ..session import broadcast_checked, cut_lineage, path_missing
 
 
+#: Bytes of small files that one task reads.
+READ_BYTES = 16 << 20
+
+
 def read_corpus(spark: SparkSession, path: str, glob: str | None = None, observation=None) -> DataFrame:
     """One row per file: ``(path, file, text)`` with the whole text.  A
     missing folder is an empty corpus and a warning; any other failure is an
-    error.  An ``observation`` counts ``files`` (empty ones are no rows)."""
+    error.  An ``observation`` counts ``files`` (empty ones are no rows).
+
+    Spark plans a task for a few small files (each counts as 4 MB); as many
+    of them are read by one task as hold ``READ_BYTES``, so that a corpus of
+    many documents is not more tasks than its size needs."""
     try:
         # the keyword matters: text() has its own wholetext=False default
         df = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
@@ -28,6 +37,8 @@ def read_corpus(spark: SparkSession, path: str, glob: str | None = None, observa
             raise
         warnings.warn(f"no files read from {path}: {e}")
         return counted(spark.createDataFrame([], "path string, file string, text string"), observation, files=None)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    df = df.select("value", "_metadata").coalesce(max(4 * spark.sparkContext.defaultParallelism, math.ceil(size / READ_BYTES)))
     found = df.select(F.col("_metadata.file_path").alias("path"),
                       F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
     return counted(found, observation, files=None)

@@ -1,11 +1,16 @@
 """Writers: result logs, per-run result documents, transformed corpora and
 lexicon files.  Writes go through Spark's commit protocol, which replaces the
-reference's temp-file-and-rename."""
+reference's temp-file-and-rename (for one file per document on a file system
+see :func:`write_corpus`)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import os
+import re
+from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote, urlsplit
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,8 +63,56 @@ def save_result_docs(df: DataFrame, path: str,
 
 
 def write_corpus(df: DataFrame, path: str, file="file", text="text") -> None:
-    """Transformed text, one folder per source file."""
-    df.select(file, text).write.mode("overwrite").partitionBy(file).text(path)
+    """Transformed text, one folder per source file; what ``path`` held
+    before is replaced.
+
+    In a store this is Spark's partitioned text writer.  On a file system
+    (``file:``, shared between driver and executors) Hadoop starts a shell
+    for the rights of each file and folder, some 20 ms a document, so there
+    the tasks write the same layout themselves, and a task's files get their
+    names only when all of them are complete."""
+    df = df.select(F.col(file).cast("string").alias(file), text)
+    spark = df.sparkSession
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file":
+        df.write.mode("overwrite").partitionBy(file).text(path)
+        return
+    if df.schema[text].dataType.simpleString() != "string":
+        raise ValueError(f"{text} is {df.schema[text].dataType.simpleString()}, not string")
+    folder = root.toUri().getPath().rstrip("/")
+    if any(f.startswith("file:") and unquote(urlsplit(f).path).startswith(f"{folder}/") for f in df.inputFiles()):
+        raise ValueError(f"{path} is also read from")
+    staging = root.suffix("/_temporary")
+    fs.delete(root, True)
+    fs.mkdirs(staging)
+    staged = staging.toUri().getPath()
+    df.foreachPartition(lambda rows: _write_files(rows, folder, staged, file))
+    fs.delete(staging, True)
+    fs.create(root.suffix("/_SUCCESS")).close()
+
+
+def partition_folder(name: str, value: str | None) -> str:
+    """The folder that Spark gives a partition value."""
+    def escaped(x: str) -> str:
+        return re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", x)
+    return f"{escaped(name)}={escaped(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def _write_files(rows: Iterable, folder: str, staging: str, name: str) -> None:
+    """One task's documents: written under a name of this attempt, and put
+    in place at the end (an attempt that comes again replaces its files)."""
+    task = TaskContext.get()
+    own = os.path.join(staging, f"{task.stageId()}-{task.partitionId()}-{task.taskAttemptId()}")
+    os.makedirs(own)
+    written: dict[str, str] = {}
+    for value, text in rows:
+        to = partition_folder(name, value)
+        with open(written.setdefault(to, os.path.join(own, str(len(written)))), "ab") as out:
+            out.write((text or "").encode() + b"\n")
+    for to, made in written.items():
+        os.makedirs(os.path.join(folder, to), exist_ok=True)
+        os.replace(made, os.path.join(folder, to, f"part-{task.partitionId():05d}.txt"))
 
 
 def match_report(df: DataFrame, patterns: Mapping[str, str], file="file", text="text") -> DataFrame:
