@@ -41,3 +41,20 @@ def test_odd_terms_in_small_batches(spark, monkeypatch, strip, batch):
                              .select(F.col("x.term").alias("t"), F.col("x.n").alias("n"), F.lit(0).alias("cut")).toArrow().to_batches())
         assert all(len(b) for b in made)
         assert {(r.t1, r.t2): r.n for r in FE.context_cooccurrence(td, block_terms=block_terms).collect()} == dict(expected)
+
+
+@pytest.mark.parametrize("strip, batch", [(1, 1), (10**6, 10**6)])
+@pytest.mark.parametrize("window", [1, 3])
+def test_window_pairs_travel_summed(spark, monkeypatch, window, strip, batch):
+    monkeypatch.setattr(pairs, "STRIP_PAIRS", strip)
+    monkeypatch.setattr(pairs, "BATCH_TERMS", batch)
+    monkeypatch.setattr(FE, "DEALT_PAIRS", 10)
+    rows = [(1, ["b", "a", "b", "b", "c", "a\x00"]), (1, ["a", "b"]), (2, ["x", None, "y", "x"]), (3, []), (4, None), (5, ["\x01"])]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    near = [(d, *sorted((a, b))) for d, t in rows for i, a in enumerate(t or []) for b in t[i + 1:i + 1 + window]
+            if a is not None and b is not None and a != b]
+    for binary in (False, True):
+        half = Counter((a, b) for _, a, b in (set(near) if binary else near))
+        co = FE.cooccurrence(docs, window, tokens="tokens", binary=binary)
+        assert binary or len(exchanges(co)) == 1 and "(t1#" in exchanges(co)[0]
+        assert {(r.t1, r.t2): r.n for r in co.collect()} == {**half, **{(b, a): n for (a, b), n in half.items()}}

@@ -141,6 +141,8 @@ def max_cell(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- co-occurrence
+#: About how many terms a character of text is (it only sets the number of tasks).
+TERMS_OF_CHARACTER = 0.16
 #: Widest window: a row of n tokens makes n * window pairs.
 MAX_WINDOW = 1000
 
@@ -152,37 +154,31 @@ def cooccurrence(docs: DataFrame, window: int, text="text", id_col="doc_id",
     symmetric ``(t1, t2, n)``.
 
     Each unordered position pair is produced once inside its document's row
-    (``n_tokens * window`` pairs, never all pairs of a document), pairs are
-    reduced map-side on (least, greatest), and mirrored last.  With
-    ``binary`` a pair counts once per document.  A window as long as a
-    document would pair all its tokens in one row; for a wider context use
-    :func:`sentence_cooccurrence` or :func:`context_cooccurrence`.
+    (``n_tokens * window`` pairs, never all pairs of a document), equal
+    pairs are added up in their task and dealt by term (:func:`_dealt`), and
+    mirrored last.  With ``binary`` a pair counts once per document.  A
+    window as long as a document would pair all its tokens in one row; for a
+    wider context use :func:`sentence_cooccurrence` or
+    :func:`context_cooccurrence`.
     """
     if not 1 <= window <= MAX_WINDOW:
         raise ValueError(f"window must be between 1 and {MAX_WINDOW} positions")
     toks = F.col(tokens) if tokens else C.regex_tokens(text, T._pattern(tokenizer), lowercase)
-    base = docs.select(id_col, toks.alias("_t"))
+    if not binary:
+        places = F.size(tokens) if tokens else F.length(text) * TERMS_OF_CHARACTER
+        made = window * float(docs.agg(F.sum(F.greatest(places, F.lit(0)))).first()[0] or 0)
+        return _mirrored(_dealt(docs.select(toks.alias("t")).mapInArrow(
+            lambda batches: pairs.stripes(batches, window), pairs.STRIPES), made))
     t = F.col("_t")
-    nt = F.size(t)
-    pairs = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.lit(window)),
-        lambda d: F.when(nt > d, F.transform(
-            F.sequence(F.lit(0), nt - d - 1),
-            lambda i: F.struct(F.get(t, i).alias("a"), F.get(t, i + d).alias("b"))))
-        .otherwise(F.array().cast("array<struct<a:string,b:string>>"))))
-    p = (C.explode_rows(base, [id_col], pairs, "p")
+    # both ends of a distance side by side: no lambda, and a row per (document, distance)
+    base = C.explode_rows(docs.select(id_col, toks.alias("_t")), [id_col, "_t"], F.sequence(F.lit(1), F.lit(window)), "_d")
+    k = F.greatest(F.size(t) - F.col("_d"), F.lit(0))
+    ends = F.arrays_zip(F.slice(t, 1, k).alias("a"), F.slice(t, F.col("_d") + 1, k).alias("b"))
+    p = (C.explode_rows(base, [id_col], ends, "p")
              .select(id_col, F.least("p.a", "p.b").alias("t1"),
                      F.greatest("p.a", "p.b").alias("t2"))
              .filter(F.col("t1") != F.col("t2")))
-    if binary:
-        p = p.distinct()
-    half = p.groupBy("t1", "t2").agg(F.count("*").alias("n"))
-    # mirrored by a narrow explode of each aggregated pair, not a second
-    # read of the aggregate (which would tokenise the corpus again)
-    both = F.array(F.struct(F.col("t1").alias("a"), F.col("t2").alias("b")),
-                   F.struct(F.col("t2").alias("a"), F.col("t1").alias("b")))
-    return half.select(F.explode(both).alias("_m"), "n").select(
-        F.col("_m.a").alias("t1"), F.col("_m.b").alias("t2"), "n")
+    return _mirrored(p.distinct().groupBy("t1", "t2").agg(F.count("*").alias("n")))
 
 
 #: Terms of one block of a context; a row of two blocks makes at most its square of pairs.
@@ -235,7 +231,11 @@ def _pair_counts(units: DataFrame, made: float) -> DataFrame:
     made, a large batch of rows at a time, and travel as one row per first
     term (its partners in one string) to enough tasks for each to hold its
     share: nothing is spilled, and no pair carries two terms and a key."""
-    stripes = units.mapInArrow(pairs.stripes, "t1 string, t2 string, n array<long>")
+    return _dealt(units.mapInArrow(pairs.stripes, pairs.STRIPES), made)
+
+
+def _dealt(stripes: DataFrame, made: float) -> DataFrame:
+    """``(t1, t2, n)`` from the tasks' own sums, one row per first term."""
     dealt = stripes.repartition(max(1, math.ceil(made / DEALT_PAIRS)), "t1")
     partners = F.arrays_zip(F.split("t2", pairs.SEPARATOR).alias("t2"), F.col("n").alias("n"))
     # grouped as they were dealt (terms still escaped), so without another shuffle

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Terms of the rows whose pairs are added up together, and most pairs held at once (a term's partners in one row may be more).
 BATCH_TERMS, STRIP_PAIRS = 2_000_000, 2_000_000
+STRIPES = "t1 string, t2 string, n array<long>"
 #: Stands between the partners of a term; in a term it is escaped.
 SEPARATOR, ESCAPE = "\x00", "\x01"
 
@@ -23,43 +24,43 @@ def unescaped(c: str) -> Column:
     return F.when(F.contains(F.col(c), F.lit(ESCAPE)), back).otherwise(F.col(c))
 
 
-def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def stripes(batches: Iterator[pa.RecordBatch], window: int | None = None) -> Iterator[pa.RecordBatch]:
     """From rows ``(t, n, cut)``, lists of terms with their counts (null: 1
     each, repeats are added), rows ``(t1, t2, n)``: a term, its later
-    partners joined by ``SEPARATOR`` and the sums of the products."""
+    partners joined by ``SEPARATOR`` and the sums of the products.  With a
+    ``window`` rows are ``(t)``, and a term meets the different ones of the
+    next ``window`` places."""
     held, terms = [], 0
     for batch in batches:
         held.append(batch)
         terms += len(batch.column("t").flatten())
         if terms >= BATCH_TERMS:
-            yield from _added(held)
+            yield from _added(held, window)
             held, terms = [], 0
     if terms:
-        yield from _added(held)
+        yield from _added(held, window)
 
 
-def _added(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _added(batches: list[pa.RecordBatch], window: int | None) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(batches)
     t = table.column("t")
     sizes = pc.fill_null(pc.list_value_length(t), 0).to_numpy()
     words = pa.chunked_array([c.flatten() for c in t.chunks]).combine_chunks().dictionary_encode()
-    counts = [c.flatten().to_numpy() if not c.null_count else np.ones(len(x.flatten()), np.int64)
-              for c, x in zip(table.column("n").chunks, t.chunks)]
-    # codes in the order of the words' bytes, which is Spark's
+    # codes in the order of the words' bytes, which is Spark's; a null is -1
     order = pc.sort_indices(words.dictionary).to_numpy()
-    rank = np.empty(len(order), np.int64)
+    rank = np.full(len(order) + 1, -1, np.int64)
     rank[order] = np.arange(len(order))
+    code = rank[pc.fill_null(words.indices, len(order)).to_numpy()]
     escaped = pc.replace_substring(pc.replace_substring(words.dictionary.take(pa.array(order)), ESCAPE, ESCAPE + "1"), SEPARATOR, ESCAPE + "0")
-    n_words = len(order)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    cut = table.column("cut").to_numpy()
-    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    # each row's different terms in order
-    at, n, first = _summed(row * n_words + rank[words.indices.to_numpy()], np.concatenate(counts))
-    row, code = at // n_words, at % n_words
-    side = place[first] < cut[row]
+    if window:
+        n = cut = side = None
+    else:
+        row, code, n, cut, side = _terms_of_rows(table, row, code, sizes, len(order))
     later = np.searchsorted(row, row, "right") - np.arange(len(row)) - 1
-    lefts = np.argsort(code, kind="stable")  # by term, so that a strip has all of a term's rows
+    if window:
+        later = np.minimum(later, window)
+    lefts = np.argsort(code, kind="stable")  # by term, so that a strip has a term's rows together
     ends = np.cumsum(later[lefts])
     begin = 0
     while begin < len(lefts):
@@ -70,20 +71,37 @@ def _added(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
         left = np.repeat(left, k)
         right = left + 1 + step
-        if cut.any():
+        if window:
+            keep = (code[left] != code[right]) & (code[left] >= 0) & (code[right] >= 0)
+            left, right = left[keep], right[keep]
+        elif cut.any():
             keep = (cut[row[left]] == 0) | (side[left] != side[right])
             left, right = left[keep], right[keep]
         if len(left):
-            key, total, _ = _summed(code[left] * n_words + code[right], n[left] * n[right])
-            yield _joined(escaped, key // n_words, key % n_words, total)
+            t1, t2 = np.minimum(code[left], code[right]), np.maximum(code[left], code[right])
+            key, total, _ = _summed(t1 * len(order) + t2, None if window else n[left] * n[right])
+            yield _joined(escaped, key // len(order), key % len(order), total)
+
+
+def _terms_of_rows(table: pa.Table, row: np.ndarray, code: np.ndarray, sizes: np.ndarray, n_words: int):
+    """Each row's different terms in order with their counts; the rows' cuts and the side of its row's cut that a term is on."""
+    counts = [c.flatten().to_numpy() if not c.null_count else np.ones(len(x.flatten()), np.int64)
+              for c, x in zip(table.column("n").chunks, table.column("t").chunks)]
+    cut = table.column("cut").to_numpy()
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at, n, first = _summed(row * n_words + code, np.concatenate(counts))
+    row, code = at // n_words, at % n_words
+    return row, code, n, cut, place[first] < cut[row]
 
 
-def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each key once, in order, with the sum of its ``n`` and its first place."""
+def _summed(key: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once, in order, with the sum of its ``n`` (or how often it
+    is there) and its first place."""
     order = np.argsort(key, kind="stable")
     key = key[order]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[:len(key)]
-    return key[starts], np.add.reduceat(n[order], starts) if len(key) else n, order[starts]
+    total = np.diff(np.append(starts, len(key))) if n is None else np.add.reduceat(n[order], starts) if len(key) else n
+    return key[starts], total, order[starts]
 
 
 def _joined(words: pa.Array, t1: np.ndarray, t2: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
