@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 #: Terms of the rows whose pairs are added up together, and most pairs held at once (a term's partners in one row may be more).
 BATCH_TERMS, STRIP_PAIRS = 2_000_000, 2_000_000
 STRIPES = "t1 string, t2 string, n array<long>"
+GRAMS = "t1 string, n1 long, t2 string, n array<long>"
 #: Stands between the partners of a term; in a term it is escaped.
 SEPARATOR, ESCAPE = "\x00", "\x01"
 
@@ -41,7 +42,45 @@ def stripes(batches: Iterator[pa.RecordBatch], window: int | None = None) -> Ite
         yield from _added(held, window)
 
 
-def _added(batches: list[pa.RecordBatch], window: int | None) -> Iterator[pa.RecordBatch]:
+def grams(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """From rows ``(t)``, lists of terms, rows ``(t1, n1, t2, n)``: n - 1
+    terms in a row (joined by blanks) with how often they are there, and the
+    terms that follow, joined by ``SEPARATOR``, with how often each does."""
+    held, terms = [], 0
+    for batch in batches:
+        held.append(batch)
+        terms += len(batch.column("t").flatten())
+        if terms >= BATCH_TERMS:
+            yield from _added_grams(held, n)
+            held, terms = [], 0
+    if terms:
+        yield from _added_grams(held, n)
+
+
+def _added_grams(batches: list[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    _, _, row, code, words = _coded(batches)
+    at = np.arange(max(0, len(row) - n + 2))
+    at = at[row[at] == row[at + n - 2]]
+    if not len(at):
+        return
+    head = code[at]
+    for j in range(1, n - 1):  # numbered anew each time, so that the products stay small
+        head = np.unique(head * len(words) + code[at + j], return_inverse=True)[1]
+    last = np.minimum(at + n - 1, len(row) - 1)
+    follows = np.where((last == at + n - 1) & (row[last] == row[at]), code[last] + 1, 0)  # 0: the row ends
+    key, k, first = _summed(head * (len(words) + 1) + follows, None)
+    head, follows = key // (len(words) + 1), key % (len(words) + 1)
+    starts = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]]))
+    some = follows > 0
+    offsets = pa.array(np.append(0, np.cumsum(np.add.reduceat(some, starts, dtype=np.int64))).astype(np.int32))
+    heads = pc.binary_join_element_wise(*[words.take(pa.array(code[at[first[starts]] + j])) for j in range(n - 1)], " ")
+    tails = pc.binary_join(pa.ListArray.from_arrays(offsets, words.take(pa.array(follows[some] - 1))), SEPARATOR)
+    yield pa.RecordBatch.from_arrays([heads, pa.array(np.add.reduceat(k, starts)), tails, pa.ListArray.from_arrays(offsets, pa.array(k[some]))],
+                                     ["t1", "n1", "t2", "n"])
+
+
+def _coded(batches: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The rows as a table, their sizes, each term's row and code, and the words by code (escaped)."""
     table = pa.Table.from_batches(batches)
     t = table.column("t")
     sizes = pc.fill_null(pc.list_value_length(t), 0).to_numpy()
@@ -53,10 +92,16 @@ def _added(batches: list[pa.RecordBatch], window: int | None) -> Iterator[pa.Rec
     code = rank[pc.fill_null(words.indices, len(order)).to_numpy()]
     escaped = pc.replace_substring(pc.replace_substring(words.dictionary.take(pa.array(order)), ESCAPE, ESCAPE + "1"), SEPARATOR, ESCAPE + "0")
     row = np.repeat(np.arange(len(sizes)), sizes)
+    return table, sizes, row, code, escaped
+
+
+def _added(batches: list[pa.RecordBatch], window: int | None) -> Iterator[pa.RecordBatch]:
+    table, sizes, row, code, escaped = _coded(batches)
+    n_words = len(escaped)
     if window:
         n = cut = side = None
     else:
-        row, code, n, cut, side = _terms_of_rows(table, row, code, sizes, len(order))
+        row, code, n, cut, side = _terms_of_rows(table, row, code, sizes, n_words)
     later = np.searchsorted(row, row, "right") - np.arange(len(row)) - 1
     if window:
         later = np.minimum(later, window)
@@ -79,8 +124,8 @@ def _added(batches: list[pa.RecordBatch], window: int | None) -> Iterator[pa.Rec
             left, right = left[keep], right[keep]
         if len(left):
             t1, t2 = np.minimum(code[left], code[right]), np.maximum(code[left], code[right])
-            key, total, _ = _summed(t1 * len(order) + t2, None if window else n[left] * n[right])
-            yield _joined(escaped, key // len(order), key % len(order), total)
+            key, total, _ = _summed(t1 * n_words + t2, None if window else n[left] * n[right])
+            yield _joined(escaped, key // n_words, key % n_words, total)
 
 
 def _terms_of_rows(table: pa.Table, row: np.ndarray, code: np.ndarray, sizes: np.ndarray, n_words: int):

@@ -7,6 +7,7 @@ large array carried through every shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import patterns as P
 from ..session import broadcast_checked
+from . import pairs
 from .counts import counted
 
 TOKENIZERS = {
@@ -71,6 +73,36 @@ def ngrams(df: DataFrame, n: int, tokens: str = "tokens", id_cols="doc_id",
     return C.posexplode_rows(df, [*_ids(id_cols), *keep], C.ngram_array(tokens, n))
 
 
+#: Grams that a task of the dealt grams gets before equal ones are added up.
+DEALT_GRAMS = 1_500_000
+
+
+def ngram_counts(df: DataFrame, n: int, tokens: str = "tokens", about=None) -> DataFrame:
+    """How often each run of n and of n - 1 tokens (without nulls and blanks)
+    occurs: ``(n, term, cnt)``, n from 2.
+
+    A run of n tokens holds one of n - 1, so both are counted from one row
+    per n - 1 tokens with all that follow them.  Equal ones are added up
+    where they are made, a large batch of rows at a time, and the rows go to
+    enough tasks for each to hold its share.  ``about`` (a column) is about
+    how many tokens a row has, if that is cheaper to tell than to count."""
+    if n < 2:
+        raise ValueError("n must be 2 at least")
+    size = F.size(tokens) if about is None else about
+    made = 2 * float(df.agg(F.sum(F.greatest(size, F.lit(0)))).first()[0] or 0)
+    rows = df.select(F.col(tokens).alias("t")).mapInArrow(lambda batches: pairs.grams(batches, n), pairs.GRAMS)
+    dealt = rows.repartition(max(1, math.ceil(made / DEALT_GRAMS)), "t1")
+    alone = F.struct(F.lit(None).cast("string").alias("t2"), F.col("n1").alias("n"))
+    both = F.concat(F.array(alone), F.arrays_zip(F.split("t2", pairs.SEPARATOR).alias("t2"), F.col("n").alias("n")))
+    # grouped as they were dealt, so without another shuffle; where nothing follows the split still gives a text, without a count
+    counts = (C.explode_rows(dealt, ["t1"], both, "_p").select("t1", "_p.t2", "_p.n").filter(F.col("n").isNotNull())
+               .groupBy("t1", "t2").agg(F.sum("n").alias("cnt")))
+    head, last = pairs.unescaped("t1"), pairs.unescaped("t2")
+    short = F.col("t2").isNull()
+    return counts.select(F.when(short, F.lit(n - 1)).otherwise(F.lit(n)).alias("n"),
+                         F.when(short, head).otherwise(F.concat(head, F.lit(" "), last)).alias("term"), "cnt")
+
+
 def tokenizer_report(df: DataFrame, text="text",
                      tokenizers: dict[str, str] | None = None,
                      lowercase=True) -> DataFrame:

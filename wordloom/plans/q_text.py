@@ -60,13 +60,8 @@ g AS (
   FROM t, range(1, CAST(len(tok) AS BIGINT) - 1) r(i))
 SELECT n, term, count(*) AS cnt FROM g GROUP BY n, term""")
 def q_ngrams(spark, sf):
-    # one scan: bigram and trigram arrays are two labelled arms of each row
-    docs = T.token_arrays(_docs(spark, sf), "text", "tokens", "default")
-    arms = F.array(*[F.struct(F.lit(n).alias("n"), C.ngram_array("tokens", n).alias("g"))
-                     for n in (2, 3)])
-    long = C.explode_rows(docs, ["doc_id"], arms, "a").select("doc_id", "a.n", "a.g")
-    grams = C.explode_rows(long, ["n"], F.col("g"), "term")
-    return grams.groupBy("n", "term").agg(F.count("*").alias("cnt"))
+    # a trigram holds a bigram: both are counted from the same rows
+    return T.ngram_counts(T.token_arrays(_docs(spark, sf), "text", "tokens", "default"), 3, about=F.length("text") / 6)
 
 
 @query("term_counts", f"""
