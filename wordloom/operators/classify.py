@@ -37,38 +37,47 @@ def class_priors(docs: DataFrame, label="label",
                          _safe_ln(prior).alias("log_prior"))
 
 
-def class_term_totals(td: DataFrame, label="label", term="term", n="n", by: Sequence[str] = ()):
+def _terms(term: str | Sequence[str]) -> list[str]:
+    return [term] if isinstance(term, str) else list(term)
+
+
+def class_term_totals(td: DataFrame, label="label", term: str | Sequence[str] = "term", n="n", by: Sequence[str] = ()):
     """Tokens per (class, term) and per class."""
-    ct = td.groupBy(*by, label, term).agg(F.sum(n).alias("count"))
+    ct = td.groupBy(*by, label, *_terms(term)).agg(F.sum(n).alias("count"))
     tot = ct.groupBy(*by, label).agg(F.sum("count").alias("total"))
     return ct, tot
 
 
 def nb_fit(td: DataFrame, docs: DataFrame, alpha: float | DataFrame = 1.0, label="label",
-           term="term", n="n", class_prior=None, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+           term: str | Sequence[str] = "term", n="n", class_prior=None, by: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Fit on training counts ``td (by..., doc_id, label, term, n)`` and
     training documents ``docs (by..., doc_id, label)``.
 
-    Returns ``classes (by..., label, log_prior, log_default, total)``,
-    ``likelihood (by..., label, term, log_lik)`` for observed pairs and
+    Returns ``classes (by..., label, log_prior, n_docs, total, n_terms, log_default)``
+    (``n_terms``: size of the vocabulary), ``likelihood (by..., label, term, log_lik)`` for observed pairs and
     ``vocab (by..., term)``.  log_lik = ln((count + alpha) / (total + alpha V));
     ``log_default`` is the same with count 0 (-infinity when alpha = 0, and
     where a class has no tokens and alpha or the vocabulary leaves nothing).
 
     ``by`` fits one model per group in the same plan (e.g. a grid of
     settings as data); ``alpha`` is then a number or a DataFrame
-    ``(by..., alpha)``.
+    ``(by..., alpha)``.  A term may be several columns; rows that come dealt
+    by one of them are not shuffled again.
     """
     by = list(by)
-    ct, tot = class_term_totals(td, label, term, n, by)
-    vocab = td.select(*by, term).distinct()
+    keys = [*_terms(term), *by]
+    ct, _ = class_term_totals(td, label, term, n, by)
+    vocab = ct.select(*keys).distinct()
+    # a term is new in its first class: one pass over the counts gives the classes' totals and the vocabulary's size
+    new = (F.row_number().over(Window.partitionBy(*keys).orderBy(label)) == 1).cast("long")
+    tot = cut_lineage(ct.withColumn("_new", new).groupBy(*by, label).agg(F.sum("count").alias("total"), F.sum("_new").alias("_v")))
     pri = class_priors(docs, label, class_prior, by)
-    classes = pri.join(tot, [*by, label], "left").fillna(0, ["total"])
+    classes = pri.join(tot.drop("_v"), [*by, label], "left").fillna(0, ["total"])
     if by:
-        classes = classes.join(vocab.groupBy(*by).agg(F.count("*").alias("_v")), by, "left")
+        classes = classes.join(tot.groupBy(*by).agg(F.sum("_v").alias("_v")), by, "left")
         v_size = F.coalesce(F.col("_v"), F.lit(0))
     else:
-        v_size = vocab.select(F.count("*")).scalar()
+        v_size = tot.select(F.coalesce(F.sum("_v"), F.lit(0))).scalar()
     if isinstance(alpha, DataFrame):
         classes = classes.join(alpha.select(*by, F.col("alpha").cast("double").alias("_alpha")), by)
         a = F.col("_alpha")
@@ -76,19 +85,19 @@ def nb_fit(td: DataFrame, docs: DataFrame, alpha: float | DataFrame = 1.0, label
         classes = classes.withColumn("_alpha", F.lit(float(alpha)))
         a = F.col("_alpha")
     classes = classes.withColumn("_denom", F.col("total") + a * v_size)
-    classes = classes.select(*by, label, "log_prior", "n_docs", "total", "_alpha", "_denom",
+    classes = classes.select(*by, label, "log_prior", "n_docs", "total", v_size.alias("n_terms"), "_alpha", "_denom",
                              F.coalesce(_safe_ln(F.try_divide(a, F.col("_denom"))), F.lit(NEG_INF)).alias("log_default"))
     # one row per class: broadcast after that is checked, so the few labels
     # never decide how the (class, term) rows are dealt
     classes = cut_lineage(classes)
     lik = (ct.join(broadcast_checked(classes.select(*by, label, "_alpha", "_denom")), [*by, label])
-             .select(*by, label, term,
+             .select(*by, label, *_terms(term),
                      _safe_ln(F.try_divide(F.col("count") + F.col("_alpha"), F.col("_denom"))).alias("log_lik")))
     return {"classes": classes.drop("_alpha", "_denom"), "likelihood": lik, "vocab": vocab}
 
 
 def nb_predict_proba(td: DataFrame, docs: DataFrame, model: dict[str, DataFrame],
-                     id_col="doc_id", label="label", term="term", n="n",
+                     id_col="doc_id", label="label", term: str | Sequence[str] = "term", n="n",
                      by: Sequence[str] = (), max_classes: int = 10_000) -> DataFrame:
     """Per (document, class): ``log_score`` and ``prob``.
 
@@ -99,19 +108,27 @@ def nb_predict_proba(td: DataFrame, docs: DataFrame, model: dict[str, DataFrame]
     known terms keep the prior.  Without ``by``, every class is attached to
     every document through a scalar subquery holding the classes, not a join
     (more than ``max_classes`` are an error); with ``by`` through an
-    equi-join on the group.
+    equi-join on the group.  A term may be several columns; if ``td`` and
+    the model come dealt by one of them over as many tasks, neither is
+    shuffled again.
     """
     by = list(by)
     classes = model["classes"]
     if classes.limit(max_classes + 1).count() > max_classes:
         raise ValueError(f"more than {max_classes} classes")
-    # one join brings the likelihoods; a term's first class also counts it as
-    # known, so the vocabulary needs no join of its own
-    first = F.row_number().over(Window.partitionBy(*by, term).orderBy(label)) == 1
-    lik = model["likelihood"].withColumn("_first", first.cast("long"))
-    matched = (td.join(lik, [*by, term]).groupBy(*by, id_col, label)
-                 .agg(F.sum(F.col(n) * F.col("log_lik")).alias("_s"), F.sum(n).alias("_m"),
-                      F.sum(F.col(n) * F.col("_first")).alias("_f")))
+    # a term's counts and its likelihoods in one group: the counts get the likelihoods of
+    # all classes; the first of these also counts the term as known
+    keys = [*_terms(term), *by]  # the term first: it tells rows apart in a sort
+    none = lambda c, of: F.lit(None).cast(of.schema[c].dataType).alias(c)
+    lik = model["likelihood"].dropna(subset=keys)
+    met = td.select(*keys, id_col, n, none(label, lik), none("log_lik", lik), F.lit(True).alias("_td")).dropna(subset=keys).union(
+        lik.select(*keys, none(id_col, td), none(n, td), label, "log_lik", F.lit(False).alias("_td")))
+    of_term = F.collect_list(F.when(~F.col("_td"), F.struct(label, "log_lik"))).over(Window.partitionBy(*keys))
+    matched = (met.withColumn("_l", of_term).filter("_td")
+                  .select(*by, id_col, n, F.posexplode("_l").alias("_i", "_l")).select(*by, id_col, n, "_i", f"_l.{label}", "_l.log_lik")
+                  .groupBy(*by, id_col, label)
+                  .agg(F.sum(F.col(n) * F.col("log_lik")).alias("_s"), F.sum(n).alias("_m"),
+                       F.sum(F.when(F.col("_i") == 0, F.col(n))).alias("_f")))
     if by:
         few = broadcast_checked(classes.select(*by, label, "log_prior", "log_default"))
         grid = docs.select(*by, id_col).distinct().join(few, by)

@@ -3,7 +3,8 @@ operators, applied by Spark to the Arrow batches of a partition."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 BATCH_TERMS, STRIP_PAIRS = 2_000_000, 2_000_000
 STRIPES = "t1 string, t2 string, n array<long>"
 GRAMS = "t1 string, n1 long, t2 string, n array<long>"
+#: Rows that a task hands over at once.
+ROWS_OUT = 50_000
 #: Stands between the partners of a term; in a term it is escaped.
 SEPARATOR, ESCAPE = "\x00", "\x01"
 
@@ -57,8 +60,48 @@ def grams(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
         yield from _added_grams(held, n)
 
 
-def _added_grams(batches: list[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    _, _, row, code, words = _coded(batches)
+class Arm(NamedTuple):
+    """Terms of n - 1 and of n tokens of a column and what they are called
+    (n = 1: the tokens alone, called ``shorter``)."""
+    column: str
+    n: int
+    shorter: str
+    longer: str | None = None
+
+
+def grams_by(batches: Iterator[pa.RecordBatch], by: str, arms: Sequence[Arm]) -> Iterator[pa.RecordBatch]:
+    """:func:`grams` per value of the column ``by`` (null is one) and arm:
+    rows ``(by, v1, v2, t1, n1, t2, n)`` with the arm's names."""
+    for held in _pieces(batches, [a.column for a in arms]):
+        for a in arms:
+            named = [pa.RecordBatch.from_arrays([b.column(a.column), b.column(by)], ["t", "by"]) for b in held]
+            for made in _added_grams(named, max(a.n, 2), by, a.n > 1):
+                for i, name in enumerate((a.shorter, a.longer)):
+                    made = made.add_column(1 + i, f"v{1 + i}", pa.array([name] * len(made), pa.string()))
+                yield from (made.slice(i, ROWS_OUT) for i in range(0, len(made), ROWS_OUT))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows in pieces that hold ``BATCH_TERMS`` terms in one of the
+    columns (one row may hold more), however the batches are cut."""
+    held, terms = [], 0
+    for batch in batches:
+        sizes = [pc.fill_null(pc.list_value_length(batch.column(c)), 0).to_numpy(zero_copy_only=False) for c in columns]
+        ends, begin = np.cumsum(np.maximum.reduce(sizes), dtype=np.int64), 0
+        while begin < len(batch):
+            done = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, done + BATCH_TERMS - terms, "right")))
+            held.append(batch.slice(begin, end - begin))
+            terms, begin = terms + int(ends[end - 1] - done), end
+            if begin < len(batch) or terms >= BATCH_TERMS:
+                yield held
+                held, terms = [], 0
+    if terms:
+        yield held
+
+
+def _added_grams(batches: list[pa.RecordBatch], n: int, by: str | None = None, followed: bool = True) -> Iterator[pa.RecordBatch]:
+    table, _, row, code, words = _coded(batches)
     at = np.arange(max(0, len(row) - n + 2))
     at = at[row[at] == row[at + n - 2]]
     if not len(at):
@@ -66,8 +109,15 @@ def _added_grams(batches: list[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
     head = code[at]
     for j in range(1, n - 1):  # numbered anew each time, so that the products stay small
         head = np.unique(head * len(words) + code[at + j], return_inverse=True)[1]
-    last = np.minimum(at + n - 1, len(row) - 1)
-    follows = np.where((last == at + n - 1) & (row[last] == row[at]), code[last] + 1, 0)  # 0: the row ends
+    if by:
+        group = table.column("by").combine_chunks().dictionary_encode(null_encoding="encode")
+        of_row = group.indices.to_numpy()
+        head = head * len(group.dictionary) + of_row[row[at]]
+    if followed:
+        last = np.minimum(at + n - 1, len(row) - 1)
+        follows = np.where((last == at + n - 1) & (row[last] == row[at]), code[last] + 1, 0)  # 0: the row ends
+    else:
+        follows = 0
     key, k, first = _summed(head * (len(words) + 1) + follows, None)
     head, follows = key // (len(words) + 1), key % (len(words) + 1)
     starts = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]]))
@@ -75,8 +125,9 @@ def _added_grams(batches: list[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
     offsets = pa.array(np.append(0, np.cumsum(np.add.reduceat(some, starts, dtype=np.int64))).astype(np.int32))
     heads = pc.binary_join_element_wise(*[words.take(pa.array(code[at[first[starts]] + j])) for j in range(n - 1)], " ")
     tails = pc.binary_join(pa.ListArray.from_arrays(offsets, words.take(pa.array(follows[some] - 1))), SEPARATOR)
-    yield pa.RecordBatch.from_arrays([heads, pa.array(np.add.reduceat(k, starts)), tails, pa.ListArray.from_arrays(offsets, pa.array(k[some]))],
-                                     ["t1", "n1", "t2", "n"])
+    made = pa.RecordBatch.from_arrays([heads, pa.array(np.add.reduceat(k, starts)), tails, pa.ListArray.from_arrays(offsets, pa.array(k[some]))],
+                                      ["t1", "n1", "t2", "n"])
+    yield made.add_column(0, by, group.dictionary.take(pa.array(head[starts] % len(group.dictionary)))) if by else made
 
 
 def _coded(batches: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, pa.Array]:

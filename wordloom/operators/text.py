@@ -103,6 +103,29 @@ def ngram_counts(df: DataFrame, n: int, tokens: str = "tokens", about=None) -> D
                          F.when(short, head).otherwise(F.concat(head, F.lit(" "), last)).alias("term"), "cnt")
 
 
+def ngram_counts_by(df: DataFrame, by: str, arms: Sequence[pairs.Arm], deal: int | None = None) -> DataFrame:
+    """:func:`ngram_counts` per value of ``by`` and arm (a column of tokens,
+    none empty, an n, and names for the terms of n - 1 and of n tokens; with
+    n = 1 the tokens alone are counted): ``(by, view, t1, t2, cnt)``.  The term
+    is ``t1`` and, if that is not empty, a blank and ``t2`` (as
+    ``pairs.unescaped`` shows them); ``view`` is the name.
+
+    Equal ones are added up where they are made, a large batch of rows at a
+    time, so a term has a row per batch.  With ``deal`` they travel, one row
+    per ``t1`` and batch, to as many tasks, where a term's rows are together."""
+    schema = f"{by} {df.schema[by].dataType.simpleString()}, v1 string, v2 string, {pairs.GRAMS}"
+    columns = sorted({a.column for a in arms})
+    made = df.select(by, *columns).mapInArrow(lambda batches: pairs.grams_by(batches, by, arms), schema)
+    if deal:
+        made = made.repartition(deal, "t1")
+    alone = F.struct(F.lit("").alias("t2"), F.col("n1").alias("n"))
+    both = F.concat(F.array(alone), F.arrays_zip(F.split("t2", pairs.SEPARATOR).alias("t2"), F.col("n").alias("n")))
+    # where nothing follows the split still gives a text, without a count
+    return (C.explode_rows(made, [by, "v1", "v2", "t1"], both, "_p").filter(F.col("_p.n").isNotNull())
+             .select(by, F.when(F.col("_p.t2") == "", F.col("v1")).otherwise(F.col("v2")).alias("view"),
+                     "t1", "_p.t2", F.col("_p.n").alias("cnt")))
+
+
 def tokenizer_report(df: DataFrame, text="text",
                      tokenizers: dict[str, str] | None = None,
                      lowercase=True) -> DataFrame:

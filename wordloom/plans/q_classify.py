@@ -4,11 +4,14 @@ splits."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.patterns import ENGLISH_STOPWORDS
 from ..operators import classify as CL
+from ..operators import pairs
 from ..operators import text as T
 from ..operators.features import by_document
 from ..session import broadcast_checked, cut_lineage, table
@@ -184,48 +187,64 @@ def _nb_experiment_sql():
 
 @query("nb_experiment", _nb_experiment_sql())
 def q_nb_experiment(spark, sf):
-    """Accuracy and vocabulary size under each setting.  The corpus is
-    scanned once and counted once per token view (cased or lower-cased words,
-    bigrams, trigrams); settings that share a view differ only in data: alpha
-    and the stop list are applied to its counts, and one model per setting is
-    fitted and scored in one plan (``by=["setting"]``)."""
+    """Accuracy and vocabulary size under each setting.  Each token view
+    (cased or lower-cased words, bigrams, trigrams) is counted for all
+    settings that share it; these differ only in data: alpha and the stop list
+    are applied to its counts, and one model per setting is fitted and scored
+    in one plan (``by=["setting"]``).
+
+    Counts are added up in the tasks that tokenise (``T.ngram_counts_by``):
+    training counts per class, test counts per document.  A term stays in two
+    columns, and both sides are dealt once by the first; fitting and scoring
+    group and join them there."""
     docs = table(spark, sf, "documents").withColumnRenamed("lang", "label")
-    view_of = {name: (s.get("lower", True), s.get("n", 1)) for name, s in NB_SETTINGS}
-    views = {v: f"v{i}" for i, v in enumerate(dict.fromkeys(view_of.values()))}
-    # dealt by document: no (document, term) row is shuffled
-    arr = by_document(docs.select("doc_id", "label", "text")).select(
-        "doc_id", "label",
-        C.regex_tokens("text", T.TOKENIZERS["word"], True).alias("low"),
-        C.regex_tokens("text", T.TOKENIZERS["word"], False).alias("cased"))
-    arms = [F.struct(F.lit(key).alias("view"), C.ngram_array("low" if lower else "cased", n).alias("toks"))
-            for (lower, n), key in views.items()]
-    long = C.explode_rows(arr, ["doc_id", "label"], F.array(*arms), "a").select(
-        "doc_id", "label", "a.view", "a.toks")
-    toks = C.explode_rows(long, ["view", "doc_id", "label"], F.col("toks"), "term")
-    td = cut_lineage(toks.groupBy("view", "doc_id", "label", "term").agg(F.count("*").alias("n")))
-    # the settings of each view, exploded per row (no join on a few-valued key)
-    settings = F.create_map(*[x for key in views.values() for x in (
-        F.lit(key), F.array(*[F.lit(n) for n, v in view_of.items() if views[v] == key]))])
+    views: dict[tuple[str, int], list[str]] = {}
+    for name, s in NB_SETTINGS:
+        views.setdefault(("low" if s.get("lower", True) else "cased", s.get("n", 1)), []).append(name)
+    arms, left = [], set(views)
+    while left:  # the longest first: its runs of one less are counted with it
+        column, n = max(left, key=lambda v: v[1])
+        arms.append(pairs.Arm(column, n, *(f"{column} {k}" for k in range(max(1, n - 1), n + 1))))
+        left -= {(column, n), (column, n - 1)}
+    # the settings of each view, exploded per row (no join on a few-valued key); a view of none has no rows
+    settings = F.create_map(*[x for (column, n), names in views.items()
+                              for x in (F.lit(f"{column} {n}"), F.array(*[F.lit(name) for name in names]))])
     stop = [name for name, s in NB_SETTINGS if s.get("stop")]
+    tasks = gram_tasks(docs, len(arms))
 
-    def per_setting(counts, *keep):
-        x = counts.select(F.explode(settings[F.col("view")]).alias("setting"), *keep)
-        return x.filter(~(F.col("setting").isin(stop) & F.col("term").isin(ENGLISH_STOPWORDS)))
+    def counts(part, by, deal=None):
+        arr = by_document(part.select("doc_id", "label", "text")).select(
+            by, C.regex_tokens("text", T.TOKENIZERS["word"], True).alias("low"),
+            C.regex_tokens("text", T.TOKENIZERS["word"], False).alias("cased"))
+        return T.ngram_counts_by(arr, by, arms, deal)
 
-    totals = cut_lineage(td.filter(~_test()).groupBy("view", "label", "term").agg(F.sum("n").alias("n")))
+    def per_setting(x, by):
+        x = x.select(F.explode(settings[F.col("view")]).alias("setting"), by, "t1", "t2", F.col("cnt").alias("n"))
+        return x.filter(~(F.col("setting").isin(stop) & (F.col("t2") == "") & F.col("t1").isin(ENGLISH_STOPWORDS)))
+
+    test = cut_lineage(counts(docs.filter(_test()), "doc_id")).repartition(tasks, "t1")
+    train = counts(docs.filter(~_test()), "label", tasks)
     names = F.array(*[F.lit(name) for name, _ in NB_SETTINGS])
     all_docs = docs.select("doc_id", "label", F.explode(names).alias("setting"))
     alpha = spark.createDataFrame([(name, float(s["alpha"])) for name, s in NB_SETTINGS],
                                   "setting string, alpha double")
-    by = ["setting"]
-    model = CL.nb_fit(per_setting(totals, "label", "term", "n"), all_docs.filter(~_test()), alpha, by=by)
-    pred = CL.nb_predict(per_setting(td.filter(_test()), "doc_id", "term", "n"),
-                         all_docs.filter(_test()), model, by=by)
+    by, term = ["setting"], ["t1", "t2"]
+    model = CL.nb_fit(per_setting(train, "label"), all_docs.filter(~_test()), alpha, term=term, by=by)
+    pred = CL.nb_predict(per_setting(test, "doc_id"), all_docs.filter(_test()), model, term=term, by=by)
     acc = CL.accuracy(pred.join(all_docs.filter(_test()), ["setting", "doc_id"]), by=by)
-    vs = model["vocab"].groupBy("setting").agg(F.count("*").alias("vocab_size"))
+    vs = model["classes"].filter("n_terms > 0").groupBy("setting").agg(F.max("n_terms").alias("vocab_size"))
     return acc.join(vs, "setting").select("setting", "vocab_size", "accuracy")
 
 
+#: Rows that a task of the dealt counts gets before equal ones are added up, and about how many an arm makes of a character of text.
+DEALT_COUNTS, COUNTS_OF_CHARACTER = 1_500_000, 0.2
+
+
+def gram_tasks(docs, arms: int) -> int:
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(1, math.ceil(chars * COUNTS_OF_CHARACTER * arms / DEALT_COUNTS))
+
+
 @query("train_eval_split", """
 WITH n AS (SELECT least(500, count(*) // 10) AS m FROM documents),
 o AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents)
