@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 from ..operators import ordering
 from ..operators.counts import counted
 from ..session import broadcast_checked, cut_lineage, path_missing
+from . import folders
 
 
-#: Bytes of small files that one task reads.
-READ_BYTES = 16 << 20
+#: Bytes of small files that one task reads, files and folders that the driver lists, and how many of more one task reads.
+READ_BYTES, LISTED, READ_ENTRIES = 16 << 20, 20_000, 4_000
 
 
 def read_corpus(spark: SparkSession, path: str, glob: str | None = None, observation=None) -> DataFrame:
@@ -28,7 +29,14 @@ def read_corpus(spark: SparkSession, path: str, glob: str | None = None, observa
 
     Spark plans a task for a few small files (each counts as 4 MB); as many
     of them are read by one task as hold ``READ_BYTES``, so that a corpus of
-    many documents is not more tasks than its size needs."""
+    many documents is not more tasks than its size needs.  Its driver holds
+    several objects a file, so on a file system (``file:``) a folder of more
+    than ``LISTED`` files, or of folders ``name=value`` with files, is listed
+    and read by tasks."""
+    folder = folders.on_file_system(spark, path)
+    if folder and (entries := folders.large(spark, folder, glob, LISTED)):
+        tasks = max(4 * spark.sparkContext.defaultParallelism, math.ceil(entries / READ_ENTRIES))
+        return counted(folders.texts(spark, folder, glob, tasks), observation, files=None)
     try:
         # the keyword matters: text() has its own wholetext=False default
         df = spark.read.text(path, wholetext=True, pathGlobFilter=glob)

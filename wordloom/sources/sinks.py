@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .folders import read_from
 
 # ---- fixed values: result log header of the reference, in order ----
 RESULT_HEADER = [
@@ -81,7 +82,7 @@ def write_corpus(df: DataFrame, path: str, file="file", text="text") -> None:
     if df.schema[text].dataType.simpleString() != "string":
         raise ValueError(f"{text} is {df.schema[text].dataType.simpleString()}, not string")
     folder = root.toUri().getPath().rstrip("/")
-    if any(f.startswith("file:") and unquote(urlsplit(f).path).startswith(f"{folder}/") for f in df.inputFiles()):
+    if any(f.startswith("file:") and unquote(urlsplit(f).path).startswith(f"{folder}/") for f in df.inputFiles()) or read_from(df, folder):
         raise ValueError(f"{path} is also read from")
     staging = root.suffix("/_temporary")
     fs.delete(root, True)
