@@ -34,14 +34,7 @@ def stripes(batches: Iterator[pa.RecordBatch], window: int | None = None) -> Ite
     partners joined by ``SEPARATOR`` and the sums of the products.  With a
     ``window`` rows are ``(t)``, and a term meets the different ones of the
     next ``window`` places."""
-    held, terms = [], 0
-    for batch in batches:
-        held.append(batch)
-        terms += len(batch.column("t").flatten())
-        if terms >= BATCH_TERMS:
-            yield from _added(held, window)
-            held, terms = [], 0
-    if terms:
+    for held in _pieces(batches, ["t"]):
         yield from _added(held, window)
 
 
@@ -49,15 +42,9 @@ def grams(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
     """From rows ``(t)``, lists of terms, rows ``(t1, n1, t2, n)``: n - 1
     terms in a row (joined by blanks) with how often they are there, and the
     terms that follow, joined by ``SEPARATOR``, with how often each does."""
-    held, terms = [], 0
-    for batch in batches:
-        held.append(batch)
-        terms += len(batch.column("t").flatten())
-        if terms >= BATCH_TERMS:
-            yield from _added_grams(held, n)
-            held, terms = [], 0
-    if terms:
-        yield from _added_grams(held, n)
+    for held in _pieces(batches, ["t"]):
+        for made in _added_grams(held, n):
+            yield from (made.slice(i, ROWS_OUT) for i in range(0, len(made), ROWS_OUT))
 
 
 class Arm(NamedTuple):
