@@ -222,16 +222,30 @@ def context_cooccurrence(td: DataFrame, id_col="doc_id", term="term", n="n", foc
 DEALT_PAIRS = 1_500_000
 
 
-def _pair_counts(units: DataFrame, made: float) -> DataFrame:
-    """``(t1, t2, n)`` with t1 < t2 from rows ``(t array, n array, cut)``:
+def _pair_counts(units: DataFrame, made: float, common: Sequence[str] | None = None) -> DataFrame:
+    """``(t1, t2, n)``, each pair once (t1 < t2, or with ``common`` words the
+    rarer one first), from rows ``(t array, n array, cut)``:
     the pairs of a row's different terms, or, with a ``cut`` above 0, those
     of a term before it with one after it.  ``made``: about how many.
 
     The pairs are many times the text, so they are added up where they are
     made, a large batch of rows at a time, and travel as one row per first
     term (its partners in one string) to enough tasks for each to hold its
-    share: nothing is spilled, and no pair carries two terms and a key."""
-    return _dealt(units.mapInArrow(pairs.stripes, pairs.STRIPES), made)
+    share: nothing is spilled, and no pair carries two terms and a key.  With
+    ``common`` words a partner is mostly a number of two bytes until the pairs
+    are counted."""
+    if common is None:
+        return _dealt(units.mapInArrow(pairs.stripes, pairs.STRIPES), made)
+    dealt = units.mapInArrow(lambda batches: pairs.stripes(batches, common=common), pairs.CODED_STRIPES).repartition(
+        max(1, math.ceil(made / (2 * DEALT_PAIRS))), "t1")  # a pair takes about half as much
+    # a row has one of the two; the other is filled up with nulls
+    partners = F.arrays_zip(F.coalesce(F.split("t2", pairs.SEPARATOR), F.array().cast("array<string>")).alias("t2"),
+                            F.coalesce("c", F.array().cast("array<short>")).alias("c"), F.col("n").alias("n"))
+    half = (C.explode_rows(dealt, ["t1"], partners, "_p").select("t1", "_p.t2", "_p.c", "_p.n")
+             .groupBy("t1", "t2", "c").agg(F.sum("n").alias("n")))
+    words = units.sparkSession.createDataFrame([(i - pairs.SHORT, w) for i, w in enumerate(common)], "c short, _word string")
+    return half.join(F.broadcast(words), "c", "left").select(
+        pairs.unescaped("t1").alias("t1"), F.coalesce("_word", pairs.unescaped("t2")).alias("t2"), "n")
 
 
 def _dealt(stripes: DataFrame, made: float) -> DataFrame:
@@ -274,7 +288,9 @@ def sentence_cooccurrence(docs: DataFrame, text="text", id_col="doc_id", tokeniz
     # a sentence is part of one text: its terms are counted where they are, without a shuffle
     units = sents.select(toks.alias("t"), F.lit(None).cast("array<long>").alias("n"), F.lit(0).alias("cut"))
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    return _mirrored(_pair_counts(units, chars * PAIRS_OF_CHARACTER))
+    seen = T.term_counts(T.tokenize(docs, text, [], tokenizer, lowercase))
+    common = [r.term for r in seen.orderBy(F.desc("n"), "term").limit(pairs.COMMON).select("term").collect()]
+    return _mirrored(_pair_counts(units, chars * PAIRS_OF_CHARACTER, common))
 
 
 # ---------------------------------------------------------------- similarity

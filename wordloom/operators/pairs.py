@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Terms of the rows whose pairs are added up together, and most pairs held at once (a term's partners in one row may be more).
 BATCH_TERMS, STRIP_PAIRS = 2_000_000, 2_000_000
 STRIPES = "t1 string, t2 string, n array<long>"
+CODED_STRIPES = "t1 string, t2 string, c array<short>, n array<long>"
+#: Most words that travel as a number of two bytes, which is their place less ``SHORT``.
+COMMON, SHORT = 65_536, 32_768
 GRAMS = "t1 string, n1 long, t2 string, n array<long>"
 #: Rows that a task hands over at once.
 ROWS_OUT = 50_000
@@ -28,14 +31,20 @@ def unescaped(c: str) -> Column:
     return F.when(F.contains(F.col(c), F.lit(ESCAPE)), back).otherwise(F.col(c))
 
 
-def stripes(batches: Iterator[pa.RecordBatch], window: int | None = None) -> Iterator[pa.RecordBatch]:
+def stripes(batches: Iterator[pa.RecordBatch], window: int | None = None, common: Sequence[str] | None = None) -> Iterator[pa.RecordBatch]:
     """From rows ``(t, n, cut)``, lists of terms with their counts (null: 1
     each, repeats are added), rows ``(t1, t2, n)``: a term, its later
     partners joined by ``SEPARATOR`` and the sums of the products.  With a
     ``window`` rows are ``(t)``, and a term meets the different ones of the
-    next ``window`` places."""
+    next ``window`` places.
+
+    With ``common`` (at most ``COMMON`` words, the most frequent first) rows
+    are ``(t1, t2, c, n)``.  Of a pair the rarer term is ``t1``, so nearly all
+    partners are common: these are in ``c``, as their place less
+    ``SHORT``, in a row without ``t2``; the others in one without ``c``."""
+    known = None if common is None else _escaped_words(pa.array(common, pa.string()))
     for held in _pieces(batches, ["t"]):
-        yield from _added(held, window)
+        yield from _added(held, window, known)
 
 
 def grams(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -128,14 +137,25 @@ def _coded(batches: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndar
     rank = np.full(len(order) + 1, -1, np.int64)
     rank[order] = np.arange(len(order))
     code = rank[pc.fill_null(words.indices, len(order)).to_numpy()]
-    escaped = pc.replace_substring(pc.replace_substring(words.dictionary.take(pa.array(order)), ESCAPE, ESCAPE + "1"), SEPARATOR, ESCAPE + "0")
+    escaped = _escaped_words(words.dictionary.take(pa.array(order)))
     row = np.repeat(np.arange(len(sizes)), sizes)
     return table, sizes, row, code, escaped
 
 
-def _added(batches: list[pa.RecordBatch], window: int | None) -> Iterator[pa.RecordBatch]:
+def _escaped_words(words: pa.Array) -> pa.Array:
+    return pc.replace_substring(pc.replace_substring(words, ESCAPE, ESCAPE + "1"), SEPARATOR, ESCAPE + "0")
+
+
+def _added(batches: list[pa.RecordBatch], window: int | None, common: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
     table, sizes, row, code, escaped = _coded(batches)
     n_words = len(escaped)
+    if common is not None:
+        # numbered anew: the rare words first, by their bytes, then the common ones up to the most frequent
+        place = pc.fill_null(pc.index_in(escaped, value_set=common), -1).to_numpy()
+        anew = np.lexsort((np.arange(n_words), -place, place >= 0))
+        number = np.full(n_words + 1, -1, np.int64)
+        number[anew] = np.arange(n_words)
+        code, escaped, place = number[code], escaped.take(pa.array(anew)), place[anew]
     if window:
         n = cut = side = None
     else:
@@ -163,7 +183,14 @@ def _added(batches: list[pa.RecordBatch], window: int | None) -> Iterator[pa.Rec
         if len(left):
             t1, t2 = np.minimum(code[left], code[right]), np.maximum(code[left], code[right])
             key, total, _ = _summed(t1 * n_words + t2, None if window else n[left] * n[right])
-            yield _joined(escaped, key // n_words, key % n_words, total)
+            t1, t2 = key // n_words, key % n_words
+            if common is None:
+                yield _joined(escaped, t1, t2, total)
+                continue
+            often = place[t2] >= 0
+            for some, codes in ((often, place), (~often, None)):
+                if some.any():
+                    yield _joined(escaped, t1[some], t2[some], total[some], codes, True)
 
 
 def _terms_of_rows(table: pa.Table, row: np.ndarray, code: np.ndarray, sizes: np.ndarray, n_words: int):
@@ -187,8 +214,13 @@ def _summed(key: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarr
     return key[starts], total, order[starts]
 
 
-def _joined(words: pa.Array, t1: np.ndarray, t2: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _joined(words: pa.Array, t1: np.ndarray, t2: np.ndarray, n: np.ndarray, place: np.ndarray | None = None, coded=False) -> pa.RecordBatch:
     starts = np.flatnonzero(np.concatenate([[True], t1[1:] != t1[:-1]]))
     offsets = pa.array(np.append(starts, len(t1)).astype(np.int32))
-    partners = pc.binary_join(pa.ListArray.from_arrays(offsets, words.take(pa.array(t2))), SEPARATOR)
-    return pa.RecordBatch.from_arrays([words.take(pa.array(t1[starts])), partners, pa.ListArray.from_arrays(offsets, pa.array(n))], ["t1", "t2", "n"])
+    of = lambda values: pa.ListArray.from_arrays(offsets, values)
+    first, sums = words.take(pa.array(t1[starts])), of(pa.array(n))
+    if place is not None:
+        columns = [pa.nulls(len(starts), pa.string()), of(pa.array((place[t2] - SHORT).astype(np.int16)))]
+    else:
+        columns = [pc.binary_join(of(words.take(pa.array(t2))), SEPARATOR)] + [pa.nulls(len(starts), pa.list_(pa.int16()))] * coded
+    return pa.RecordBatch.from_arrays([first, *columns, sums], ["t1", "t2", "c", "n"] if coded else ["t1", "t2", "n"])
